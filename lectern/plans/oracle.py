@@ -9,6 +9,8 @@ INTEGER, sums cast to BIGINT (DuckDB widens them to HUGEINT).
 
 from __future__ import annotations
 
+import hashlib
+
 def R(expr: str, digits: int) -> str:
     """Spark's ``round`` on a double: HALF_UP on its shortest decimal text.
 
@@ -164,6 +166,43 @@ _BASE = {
                """ + R("length_score * CAST(0.15 AS DOUBLE)", 4) + """ AS length_contribution,
                data_quality_flag
         FROM weighted""",
+    "genre_metrics": """
+        SELECT primary_genre AS genre, count(DISTINCT book_id) AS total_books,
+               """ + R("avg(average_rating)", 2) + """ AS avg_rating,
+               CAST(sum(ratings_count) AS BIGINT) AS total_ratings,
+               """ + R("avg(positive_review_pct)", 1) + """ AS avg_positive_pct,
+               """ + R("avg(negative_review_pct)", 1) + """ AS avg_negative_pct,
+               """ + R("avg(average_rating / CAST(5.0 AS DOUBLE) * CAST(0.35 AS DOUBLE)"
+                       " + popularity_score * CAST(0.25 AS DOUBLE)"
+                       " + sentiment_score * CAST(0.25 AS DOUBLE))", 4) + """ AS avg_weighted_score
+        FROM scored GROUP BY primary_genre""",
+    "genre_mart": """
+        SELECT CAST(rank() OVER (ORDER BY avg_weighted_score DESC) AS INTEGER) AS genre_rank,
+               genre, total_books, avg_rating, total_ratings, avg_positive_pct,
+               avg_negative_pct, avg_weighted_score
+        FROM genre_metrics""",
+    "legacy_scored": """
+        SELECT *,
+               CASE WHEN average_rating >= 4.0 THEN CAST(1.0 AS DOUBLE)
+                    WHEN average_rating >= 3.0 THEN CAST(0.5 AS DOUBLE)
+                    ELSE CAST(0.0 AS DOUBLE) END AS proxy,
+               """ + R("average_rating / CAST(5.0 AS DOUBLE) * CAST(0.4 AS DOUBLE)"
+                       " + ln(ratings_count + 1) / ln(5000001) * CAST(0.3 AS DOUBLE)"
+                       " + (CASE WHEN average_rating >= 4.0 THEN CAST(1.0 AS DOUBLE)"
+                       " WHEN average_rating >= 3.0 THEN CAST(0.5 AS DOUBLE)"
+                       " ELSE CAST(0.0 AS DOUBLE) END) * CAST(0.3 AS DOUBLE)", 4) + """
+                   AS weighted_score
+        FROM enriched
+        WHERE data_quality_flag IN ('high_confidence', 'medium_confidence')""",
+    "presets": """
+        SELECT strategy, CAST(w_rating AS DOUBLE) AS w_rating,
+               CAST(w_popularity AS DOUBLE) AS w_popularity,
+               CAST(w_sentiment AS DOUBLE) AS w_sentiment, CAST(w_length AS DOUBLE) AS w_length
+        FROM (VALUES ('default', 0.35, 0.25, 0.25, 0.15),
+                     ('conservative', 0.50, 0.35, 0.10, 0.05),
+                     ('discovery', 0.60, 0.10, 0.25, 0.05),
+                     ('sentiment_first', 0.25, 0.20, 0.50, 0.05))
+             AS t(strategy, w_rating, w_popularity, w_sentiment, w_length)""",
 }
 
 _ORDER = list(_BASE)
@@ -205,3 +244,275 @@ def _q(name: str, body: str, *needed: str) -> None:
 
 
 _q("candidates", "SELECT * FROM candidates", "candidates")
+
+_FLAGS = "('high_confidence', 'medium_confidence')"
+_EXCLUDED = "('household', 'Uncategorised')"
+
+_q("typed_items", """SELECT book_id, average_rating, ratings_count, text_reviews_count, num_pages
+FROM raw_items""", "raw_items")
+_q("primary_contributor", """SELECT book_id, authors[1].author_id AS primary_author_id,
+       shelf AS shelf_genre FROM raw_items""", "raw_items")
+_q("quality_flag", """SELECT book_id, ratings_count,
+       CASE WHEN ratings_count >= 900 THEN 'high_confidence'
+            WHEN ratings_count >= 600 THEN 'medium_confidence'
+            ELSE 'low_confidence' END AS data_quality_flag
+FROM raw_items""", "raw_items")
+_q("valid_items", "SELECT book_id, title, average_rating FROM silver_items", "silver_items")
+_q("valid_reviews", """SELECT review_id, book_id, rating, date_added FROM raw_reviews
+WHERE review_id IS NOT NULL AND book_id IS NOT NULL AND rating BETWEEN 1 AND 5""",
+   "raw_reviews")
+_q("eligible_items", "SELECT book_id, primary_genre, data_quality_flag FROM eligible", "eligible")
+_q("long_texts", """SELECT doc_id, lang, CAST(length(text) AS INTEGER) AS text_length
+FROM documents WHERE text IS NOT NULL AND length(text) > 50""")
+_q("critical_nulls", """
+SELECT 'silver_books' AS layer,
+       count_if(book_id IS NULL OR average_rating IS NULL) AS null_rows FROM silver_items
+UNION ALL
+SELECT 'enriched' AS layer,
+       count_if(book_id IS NULL OR average_rating IS NULL) AS null_rows FROM enriched""",
+   "silver_items", "enriched")
+_q("silver_reviews", """SELECT review_id, book_id, user_id_hashed, rating, sentiment,
+       review_date, review_year, CAST(NULL AS VARCHAR) AS review_text
+FROM silver_reviews""", "silver_reviews")
+
+_q("genre_long", "SELECT book_id, genre_name, genre_count FROM genre_long", "genre_long")
+_q("genre_unpivot", """SELECT book_id, genre_name, genre_count FROM genre_long
+WHERE genre_count IS NOT NULL AND genre_count > 0""", "genre_long")
+_q("primary_genre", "SELECT book_id, primary_genre FROM primary_genre", "primary_genre")
+
+_q("items_with_genre", """
+SELECT b.book_id, coalesce(g.primary_genre, b.shelf_genre, 'Uncategorised') AS primary_genre,
+       b.shelf_genre
+FROM silver_items b LEFT JOIN primary_genre g ON b.book_id = g.book_id""",
+   "silver_items", "primary_genre")
+_q("items_with_metrics", """
+SELECT b.book_id,
+       coalesce(r.total_reviews, 0) AS total_reviews,
+       coalesce(r.avg_review_rating, 0) AS avg_review_rating,
+       coalesce(r.positive_review_pct, 0) AS positive_review_pct,
+       coalesce(r.neutral_review_pct, 0) AS neutral_review_pct,
+       coalesce(r.negative_review_pct, 0) AS negative_review_pct,
+       r.first_review_date, r.latest_review_date
+FROM silver_items b LEFT JOIN review_metrics r ON b.book_id = r.book_id""",
+   "silver_items", "review_metrics")
+
+
+def _signal(pattern: str) -> str:
+    return f"coalesce(regexp_matches(text, '(?i){pattern}'), false)"
+
+
+_q("fused_sentiment", f"""
+SELECT l.doc_id,
+       CASE WHEN l.toxic = 1 THEN 'neg' WHEN l.quality = 1 THEN 'pos'
+            ELSE 'neutral' END AS nlp_sentiment,
+       {_signal('ment|ness')} AS audiobook_risk,
+       CASE WHEN {_signal('ment|ness')} THEN 'negative'
+            WHEN l.toxic = 1 THEN 'negative'
+            WHEN l.quality = 1 THEN 'positive'
+            ELSE 'neutral' END AS final_sentiment
+FROM labels l JOIN documents d ON l.doc_id = d.doc_id""")
+_q("enriched_items", """SELECT book_id, title, primary_author_id, average_rating, ratings_count,
+       text_reviews_count, num_pages, data_quality_flag, primary_genre, total_reviews,
+       avg_review_rating, positive_review_pct, neutral_review_pct, negative_review_pct,
+       first_review_date, latest_review_date
+FROM enriched""", "enriched")
+_q("orphan_reviews", """
+SELECT r.review_id, r.book_id FROM silver_reviews r
+WHERE r.book_id IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM silver_items b WHERE b.book_id = r.book_id)""",
+   "silver_reviews", "silver_items")
+
+_q("review_metrics", "SELECT * FROM review_metrics", "review_metrics")
+_q("genre_performance", "SELECT * FROM genre_mart", "genre_mart")
+_q("quality_distribution", """SELECT data_quality_flag, count(*) AS books
+FROM silver_items GROUP BY data_quality_flag""", "silver_items")
+_q("top_genres", f"""SELECT primary_genre, count(*) AS books FROM enriched
+WHERE data_quality_flag IN {_FLAGS}
+GROUP BY primary_genre ORDER BY books DESC, primary_genre ASC LIMIT 10""", "enriched")
+_q("genre_coverage", """SELECT count_if(primary_genre <> 'Uncategorised') AS books_with_genre,
+       count(*) AS total_books FROM enriched""", "enriched")
+_q("reviewed_items", """SELECT count_if(total_reviews > 0) AS reviewed_books,
+       count(*) AS total_books FROM enriched""", "enriched")
+
+_REVIEW_ORDER = ("shipped_at DESC NULLS LAST, o_part ASC NULLS FIRST, o_supp ASC NULLS FIRST, "
+                 "o_qty ASC NULLS FIRST, o_price ASC NULLS FIRST")
+_q("dedup_latest", f"""
+SELECT review_id, book_id, user_id, rating, date_added FROM (
+  SELECT *, row_number() OVER (PARTITION BY review_id ORDER BY {_REVIEW_ORDER}) AS rn
+  FROM raw_reviews) WHERE rn = 1""", "raw_reviews")
+_q("dedup_by_metric", f"""
+SELECT review_id, book_id, user_id, rating, date_added FROM (
+  SELECT *, row_number() OVER (PARTITION BY review_id
+                               ORDER BY rating DESC NULLS LAST, {_REVIEW_ORDER}) AS rn
+  FROM raw_reviews) WHERE rn = 1""", "raw_reviews")
+_q("global_rank", """SELECT book_id, weighted_score,
+       CAST(rank() OVER (ORDER BY weighted_score DESC) AS INTEGER) AS audiobook_rank
+FROM weighted""", "weighted")
+_q("genre_rank", """SELECT book_id, primary_genre, weighted_score,
+       CAST(rank() OVER (PARTITION BY primary_genre ORDER BY weighted_score DESC) AS INTEGER)
+           AS genre_rank
+FROM weighted""", "weighted")
+_q("best_per_genre", f"""
+SELECT primary_genre AS genre, book_id, title, average_rating AS rating, weighted_score AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY primary_genre
+                                   ORDER BY weighted_score DESC, book_id ASC) AS rn
+      FROM candidates WHERE primary_genre NOT IN {_EXCLUDED})
+WHERE rn = 1""", "candidates")
+
+_q("top_candidates", """
+SELECT audiobook_rank AS rank, book_id, title, primary_genre AS genre, average_rating AS rating,
+       format('{:,}', ratings_count) AS total_ratings, num_pages, length_category,
+       weighted_score AS score
+FROM candidates ORDER BY audiobook_rank, book_id LIMIT 10""", "candidates")
+_q("genre_strategy", """
+SELECT genre_rank, genre, total_books, avg_rating,
+       format('{:,}', total_ratings) AS total_ratings, avg_weighted_score AS avg_score
+FROM genre_mart""", "genre_mart")
+_q("recommendation", """
+(SELECT 'top_item' AS kind, title AS name, primary_genre AS genre, weighted_score AS score,
+        ratings_count AS ratings
+ FROM candidates ORDER BY audiobook_rank, book_id LIMIT 1)
+UNION ALL
+(SELECT 'top_genre' AS kind, genre AS name, genre, avg_weighted_score AS score,
+        total_ratings AS ratings
+ FROM genre_mart ORDER BY genre_rank, genre LIMIT 1)""", "candidates", "genre_mart")
+_q("layer_quality", """
+SELECT 'bronze_books' AS layer, count(*) AS total_records,
+       count_if(book_id IS NULL) AS null_ids FROM raw_items
+UNION ALL
+SELECT 'silver_books', count(*), count_if(book_id IS NULL) FROM silver_items
+UNION ALL
+SELECT 'gold_candidates', count(*), count_if(book_id IS NULL) FROM candidates""",
+   "raw_items", "silver_items", "candidates")
+
+_q("hashed_users", """SELECT DISTINCT user_id, sha256(user_id) AS user_id_hashed
+FROM raw_reviews""", "raw_reviews")
+_q("rating_sentiment", """SELECT review_id, book_id, rating,
+       CASE WHEN rating >= 4 THEN 'positive' WHEN rating = 3 THEN 'neutral'
+            ELSE 'negative' END AS sentiment
+FROM raw_reviews""", "raw_reviews")
+_q("review_dates", """SELECT review_id, book_id, date_added,
+       CAST(try_strptime(date_added, '%Y-%m-%d') AS DATE) AS review_date,
+       CAST(year(CAST(try_strptime(date_added, '%Y-%m-%d') AS DATE)) AS INTEGER) AS review_year
+FROM raw_reviews""", "raw_reviews")
+_q("popularity_score", "SELECT book_id, ratings_count, "
+   + R("ln(ratings_count + 1) / ln(5000001)", 6) + " AS popularity_score FROM silver_items",
+   "silver_items")
+_q("sentiment_score", """SELECT book_id, total_reviews, positive_review_pct, average_rating,
+       CASE WHEN positive_review_pct IS NOT NULL AND total_reviews > 0
+                THEN positive_review_pct / CAST(100.0 AS DOUBLE)
+            WHEN average_rating >= 4.0 THEN CAST(1.0 AS DOUBLE)
+            WHEN average_rating >= 3.0 THEN CAST(0.5 AS DOUBLE)
+            ELSE CAST(0.0 AS DOUBLE) END AS sentiment_score
+FROM enriched""", "enriched")
+_q("length_score", """SELECT book_id, num_pages,
+       CASE WHEN num_pages IS NULL THEN CAST(0.5 AS DOUBLE)
+            WHEN num_pages BETWEEN 200 AND 400 THEN CAST(1.0 AS DOUBLE)
+            WHEN num_pages BETWEEN 400 AND 600 THEN CAST(0.8 AS DOUBLE)
+            WHEN num_pages BETWEEN 100 AND 200 THEN CAST(0.6 AS DOUBLE)
+            WHEN num_pages BETWEEN 600 AND 800 THEN CAST(0.4 AS DOUBLE)
+            ELSE CAST(0.2 AS DOUBLE) END AS length_score,
+       CASE WHEN num_pages IS NULL THEN 'unknown'
+            WHEN num_pages BETWEEN 200 AND 400 THEN 'ideal'
+            WHEN num_pages BETWEEN 400 AND 600 THEN 'good'
+            WHEN num_pages BETWEEN 100 AND 200 THEN 'short'
+            WHEN num_pages BETWEEN 600 AND 800 THEN 'long'
+            ELSE 'very_long' END AS length_category
+FROM silver_items""", "silver_items")
+_q("weighted_score", "SELECT book_id, weighted_score FROM weighted", "weighted")
+_q("score_breakdown", """SELECT book_id, weighted_score,
+       """ + R("average_rating / CAST(5.0 AS DOUBLE) * CAST(0.35 AS DOUBLE)", 4)
+   + """ AS rating_contribution,
+       """ + R("popularity_score * CAST(0.25 AS DOUBLE)", 4) + """ AS popularity_contribution,
+       """ + R("sentiment_score * CAST(0.25 AS DOUBLE)", 4) + """ AS sentiment_contribution,
+       """ + R("length_score * CAST(0.15 AS DOUBLE)", 4) + """ AS length_contribution
+FROM weighted""", "weighted")
+_q("legacy_score", """
+SELECT CAST(rank() OVER (ORDER BY weighted_score DESC) AS INTEGER) AS audiobook_rank,
+       CAST(rank() OVER (PARTITION BY primary_genre ORDER BY weighted_score DESC) AS INTEGER)
+           AS genre_rank,
+       book_id, title, primary_author_id, primary_genre, average_rating, ratings_count,
+       text_reviews_count, weighted_score, data_quality_flag
+FROM legacy_scored""", "legacy_scored")
+_q("legacy_genre_summary", """
+SELECT primary_genre, total_books, avg_rating, total_ratings, positive_pct, avg_weighted_score,
+       CAST(rank() OVER (ORDER BY avg_weighted_score DESC) AS INTEGER) AS genre_rank
+FROM (SELECT primary_genre, count(book_id) AS total_books,
+             """ + R("avg(average_rating)", 2) + """ AS avg_rating,
+             CAST(sum(ratings_count) AS BIGINT) AS total_ratings,
+             """ + R("avg(proxy) * 100", 1) + """ AS positive_pct,
+             """ + R("avg(average_rating / CAST(5.0 AS DOUBLE) * CAST(0.4 AS DOUBLE)"
+                     " + ln(ratings_count + 1) / ln(5000001) * CAST(0.3 AS DOUBLE)"
+                     " + proxy * CAST(0.3 AS DOUBLE))", 4) + """ AS avg_weighted_score
+      FROM legacy_scored WHERE primary_genre <> 'Uncategorised'
+      GROUP BY primary_genre)""", "legacy_scored")
+_q("masked_ids", """SELECT c_custkey, concat('***-**-', right(c_name, 4)) AS analyst_view,
+       c_name AS engineer_view FROM customer""")
+_q("text_signals", f"""SELECT doc_id, {_signal('the')} AS mentions_narrator,
+       {_signal('tion')} AS mentions_pacing, {_signal('ment|ness')} AS audiobook_risk
+FROM documents""")
+
+_q("silver_items", """SELECT book_id, title, primary_author_id, average_rating, ratings_count,
+       text_reviews_count, num_pages, shelf_genre, data_quality_flag FROM silver_items""",
+   "silver_items")
+_q("strategy_ranks", """
+SELECT strategy, book_id, primary_genre, weighted_score,
+       CAST(rank() OVER (PARTITION BY strategy ORDER BY weighted_score DESC) AS INTEGER)
+           AS strategy_rank
+FROM (SELECT p.strategy, s.book_id, s.primary_genre,
+             """ + R("s.average_rating / CAST(5.0 AS DOUBLE) * p.w_rating"
+                     " + s.popularity_score * p.w_popularity"
+                     " + s.sentiment_score * p.w_sentiment"
+                     " + s.length_score * p.w_length", 4) + """ AS weighted_score
+      FROM scored s CROSS JOIN presets p)""", "scored", "presets")
+
+# --- data tests: generated from the same declared list as the Spark side ----
+_MODEL_CTE = {
+    "bronze_books": "raw_items", "bronze_reviews": "raw_reviews", "bronze_genres": "raw_genres",
+    "stg_books": "silver_items", "stg_reviews": "silver_reviews", "stg_genres": "primary_genre",
+    "int_books_enriched": "enriched", "mart_audiobook_candidates": "candidates",
+    "mart_genre_performance": "genre_mart",
+}
+
+
+def _dq_sql(kind: str) -> str:
+    from ..operators import quality as Q
+    rows = []
+    for t in Q.declared_tests():
+        if t.kind != kind:
+            continue
+        src = _MODEL_CTE[t.model]
+        if kind == "not_null":
+            fail = f"(SELECT count_if({t.column} IS NULL) FROM {src})"
+        elif kind == "unique":
+            fail = (f"(SELECT count(*) FROM (SELECT {t.column} FROM {src} "
+                    f"WHERE {t.column} IS NOT NULL GROUP BY {t.column} HAVING count(*) > 1))")
+        else:
+            vals = ", ".join(f"'{v}'" for v in t.values)
+            fail = (f"(SELECT count_if({t.column} IS NOT NULL AND {t.column} NOT IN ({vals})) "
+                    f"FROM {src})")
+        rows.append(f"SELECT '{t.name}' AS test, '{t.kind}' AS kind, '{t.model}' AS model, "
+                    f"'{t.column}' AS column_name, '{t.severity}' AS severity, "
+                    f"CAST({fail} AS BIGINT) AS failures")
+    body = ("SELECT *, CASE WHEN failures = 0 THEN 'pass' WHEN severity = 'warn' THEN 'warn' "
+            "ELSE 'fail' END AS status FROM (\n" + "\nUNION ALL\n".join(rows) + ")")
+    return with_ctes(body, *{_MODEL_CTE[t.model] for t in Q.declared_tests() if t.kind == kind})
+
+
+SQL["dq_not_null"] = _dq_sql("not_null")
+SQL["dq_unique"] = _dq_sql("unique")
+SQL["dq_accepted_values"] = _dq_sql("accepted_values")
+
+_SUBJECTS = "(" + ", ".join(f"'{h}'" for h in (hashlib.sha256(b"7").hexdigest(),
+                                               hashlib.sha256(b"42").hexdigest())) + ")"
+_q("subject_lookup", f"""SELECT review_id, book_id, user_id, rating FROM raw_reviews
+WHERE sha256(user_id) IN {_SUBJECTS}""", "raw_reviews")
+_q("subject_erasure", f"""SELECT review_id, book_id, user_id, rating FROM raw_reviews
+WHERE sha256(user_id) IS NULL OR sha256(user_id) NOT IN {_SUBJECTS}""", "raw_reviews")
+_q("audit_log", """
+SELECT user_id AS "user", ts AS event_time, event_type AS action_name,
+       CAST(json_extract(props, '$.k') AS INTEGER) AS table_accessed, value
+FROM events
+WHERE starts_with(event_type, 'c') AND ts > TIMESTAMP '2024-01-15 00:00:00'
+ORDER BY event_time DESC, "user" ASC""")
+_q("ingest_incremental", "SELECT event_id, ts, user_id, event_type, value, props FROM events")

@@ -8,13 +8,14 @@ and every query still reads the whole base tables it depends on.
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..config import ScoringConfig, star_config
-from ..operators import clean, enrich, reshape, score
+from ..operators import clean, enrich, report, reshape, score
 from ..sources import star
 
 
@@ -69,3 +70,34 @@ class Inputs:
     @cached_property
     def candidates(self) -> DataFrame:
         return score.candidates(self.enriched, self.cfg)
+
+    @cached_property
+    def scored(self) -> DataFrame:
+        return score.score_items(score.eligible_items(self.enriched, self.cfg), self.cfg)
+
+    @cached_property
+    def genre_mart(self) -> DataFrame:
+        return report.genre_performance(self.enriched, self.cfg)
+
+    @cached_property
+    def models(self) -> dict[str, DataFrame]:
+        """Every tested model of the reference, built from the star tables."""
+        return {
+            "bronze_books": self.raw_items, "bronze_reviews": self.raw_reviews,
+            "bronze_genres": self.raw_genres, "stg_books": self.silver_items,
+            "stg_reviews": self.silver_reviews, "stg_genres": self.primary_genre,
+            "int_books_enriched": self.enriched,
+            "mart_audiobook_candidates": self.candidates,
+            "mart_genre_performance": self.genre_mart,
+        }
+
+
+# Parameters of the star queries (not data subsets):
+# the documented listening words never occur in the driver's invented prose,
+# so the oracle runs the same operator with patterns that do.
+ORACLE_PATTERNS = {"mentions_narrator": "the", "mentions_pacing": "tion",
+                   "audiobook_risk": "ment|ness"}
+# Erasure request: the subjects are users 7 and 42, named only by their hash.
+SUBJECT_HASHES = tuple(hashlib.sha256(u.encode()).hexdigest() for u in ("7", "42"))
+AUDIT_PREFIX = "c"
+AUDIT_SINCE = "2024-01-15 00:00:00"
