@@ -24,10 +24,15 @@ from .star_views import Inputs
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
-def register(name: str):
+GOLD = frozenset({"enriched"})
+ALL = frozenset({"bronze", "enriched"})
+
+
+def register(name: str, stage: frozenset = frozenset()):
+    """Register ``fn`` under ``name``; ``stage`` names layers written once first."""
     def deco(fn: Callable[[Inputs], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(Inputs(spark, sf_dir))
+            return fn(Inputs(spark, sf_dir, stage=stage))
         run.__doc__ = fn.__doc__
         run.__name__ = name
         QUERIES[name] = run
@@ -92,7 +97,7 @@ def q_long_texts(i: Inputs) -> DataFrame:
         "doc_id", "lang", F.length("text").alias("text_length"))
 
 
-@register("critical_nulls")
+@register("critical_nulls", ALL)
 def q_critical_nulls(i: Inputs) -> DataFrame:
     """Rows with a NULL id or rating, per layer."""
     parts = [clean.critical_nulls(df).select(F.lit(name).alias("layer"), "null_rows")
@@ -177,7 +182,7 @@ def q_review_metrics(i: Inputs) -> DataFrame:
     return i.review_metrics
 
 
-@register("genre_performance")
+@register("genre_performance", GOLD)
 def q_genre_performance(i: Inputs) -> DataFrame:
     """The genre mart."""
     return drop_stamps(i.genre_mart)
@@ -226,19 +231,19 @@ def q_dedup_by_metric(i: Inputs) -> DataFrame:
                                  then=star.review_order()).select(*DEDUP_OUT)
 
 
-@register("global_rank")
+@register("global_rank", GOLD)
 def q_global_rank(i: Inputs) -> DataFrame:
     """Global RANK by score, from a bounded histogram (no single-partition window)."""
     return score.global_rank(i.scored.select("book_id", "weighted_score"))
 
 
-@register("genre_rank")
+@register("genre_rank", GOLD)
 def q_genre_rank(i: Inputs) -> DataFrame:
     """RANK within genre by score."""
     return score.group_rank(i.scored.select("book_id", "primary_genre", "weighted_score"))
 
 
-@register("best_per_genre")
+@register("best_per_genre", GOLD)
 def q_best_per_genre(i: Inputs) -> DataFrame:
     """Best candidate per genre (ROW_NUMBER = 1, ties by id)."""
     return report.best_per_genre(i.candidates, i.cfg.excluded_genres)
@@ -246,25 +251,25 @@ def q_best_per_genre(i: Inputs) -> DataFrame:
 
 # --- L: sort, limit, union ---------------------------------------------------
 
-@register("top_candidates")
+@register("top_candidates", GOLD)
 def q_top_candidates(i: Inputs) -> DataFrame:
     """L1: the top 10 candidates."""
     return report.top_candidates(i.candidates, 10)
 
 
-@register("genre_strategy")
+@register("genre_strategy", GOLD)
 def q_genre_strategy(i: Inputs) -> DataFrame:
     """L2: the genre strategy report."""
     return report.genre_strategy(i.genre_mart)
 
 
-@register("recommendation")
+@register("recommendation", GOLD)
 def q_recommendation(i: Inputs) -> DataFrame:
     """L3: top item and top genre."""
     return report.recommendation(i.candidates, i.genre_mart)
 
 
-@register("layer_quality")
+@register("layer_quality", ALL)
 def q_layer_quality(i: Inputs) -> DataFrame:
     """Rows and NULL ids per layer (UNION ALL of three aggregates)."""
     return report.layer_quality([("bronze_books", i.raw_items),
@@ -335,13 +340,13 @@ def q_score_breakdown(i: Inputs) -> DataFrame:
                            "length_contribution")
 
 
-@register("legacy_score")
+@register("legacy_score", GOLD)
 def q_legacy_score(i: Inputs) -> DataFrame:
     """The older three-part model (proxy sentiment, no genre exclusion)."""
     return score.legacy_candidates(i.enriched, star_config(LEGACY3))
 
 
-@register("legacy_genre_summary")
+@register("legacy_genre_summary", GOLD)
 def q_legacy_genre_summary(i: Inputs) -> DataFrame:
     """M5: the older genre summary (only Uncategorised dropped)."""
     return report.legacy_genre_summary(i.enriched, star_config(LEGACY3))
@@ -373,13 +378,13 @@ def q_silver_items(i: Inputs) -> DataFrame:
         "text_reviews_count", "num_pages", "shelf_genre", "data_quality_flag")
 
 
-@register("candidates")
+@register("candidates", GOLD)
 def q_candidates(i: Inputs) -> DataFrame:
     """M2: the candidates mart (the flagship query)."""
     return drop_stamps(i.candidates)
 
 
-@register("strategy_ranks")
+@register("strategy_ranks", GOLD)
 def q_strategy_ranks(i: Inputs) -> DataFrame:
     """M4: each item ranked under the four weight presets."""
     return score.strategy_ranks(i.enriched, PRESETS, i.cfg)
@@ -391,19 +396,19 @@ def _dq(i: Inputs, kinds: tuple[str, ...]) -> DataFrame:
     return quality.run_tests(i.models, kinds=kinds)
 
 
-@register("dq_not_null")
+@register("dq_not_null", ALL)
 def q_dq_not_null(i: Inputs) -> DataFrame:
     """Q1: the 32 not_null tests, failures per test."""
     return _dq(i, ("not_null",))
 
 
-@register("dq_unique")
+@register("dq_unique", ALL)
 def q_dq_unique(i: Inputs) -> DataFrame:
     """Q2: the 6 unique tests (review_id duplicates are reported, by design)."""
     return _dq(i, ("unique",))
 
 
-@register("dq_accepted_values")
+@register("dq_accepted_values", ALL)
 def q_dq_accepted_values(i: Inputs) -> DataFrame:
     """Q3: the 4 accepted_values tests."""
     return _dq(i, ("accepted_values",))
@@ -431,7 +436,7 @@ def q_audit_log(i: Inputs) -> DataFrame:
     return governance.audit_log(i.table("events"), V.AUDIT_PREFIX, V.AUDIT_SINCE)
 
 
-@register("snapshot_history")
+@register("snapshot_history", ALL)
 def q_snapshot_history(i: Inputs) -> DataFrame:
     """Write the mart as versions, erase a subject, list the history."""
     from ..session import scratch_path

@@ -54,3 +54,17 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh folder name under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return "/".join([base, "lectern", *parts, uuid.uuid4().hex])
+
+
+def materialize(df, label: str = "stage"):
+    """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
+
+    Cuts the lineage (a lost executor re-reads files instead of recomputing
+    the upstream joins) and lets several consumers of one intermediate table
+    scan it with column pruning instead of re-running its plan.  Not a
+    ``localCheckpoint``: the files live on the cluster's shared storage.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "stage", label)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
