@@ -117,7 +117,11 @@ def read_json_lines(spark: SparkSession, path: str, schema: T.StructType | str |
 
 
 def rejected_records(df: DataFrame, source_col: str = "_source_file") -> DataFrame:
-    """Corrupt lines per source file (bad text kept for inspection elsewhere)."""
+    """Corrupt lines per source file, on a Bronze table.
+
+    Run it on the written Bronze data: Spark rejects a query over *raw* JSON
+    whose only data column is ``_corrupt_record``.
+    """
     src = F.col(source_col) if source_col in df.columns else F.col("_metadata.file_path")
     return (df.filter(F.col(CORRUPT).isNotNull())
             .groupBy(src.alias("source_file")).agg(F.count(F.lit(1)).alias("rejected")))

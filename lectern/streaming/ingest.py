@@ -22,6 +22,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..sources import jsonl
@@ -75,7 +76,8 @@ def stream_frame(spark: SparkSession, spec: IngestSpec, batch_id: str) -> DataFr
            .option("columnNameOfCorruptRecord", jsonl.CORRUPT)
            .option("pathGlobFilter", "*.json")
            .options(**spec.options)
-           .json(spec.source))
+           .json(spec.source)
+           .filter(~F.col("_metadata.file_name").endswith(jsonl.SAMPLE_SUFFIX)))
     shaped = jsonl.shape_bronze(raw, spec.struct_col, spec.key)
     return jsonl.add_audit_columns(shaped, batch_id)
 

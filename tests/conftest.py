@@ -1,0 +1,112 @@
+from __future__ import annotations
+
+import json
+import sys
+from pathlib import Path
+
+import pytest
+
+ROOT = Path(__file__).resolve().parents[1]
+sys.path.insert(0, str(ROOT))
+
+SF_SMALL = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    from pyspark.sql import SparkSession
+    ckpt = tmp_path_factory.mktemp("ckpt")
+    s = (SparkSession.builder.master("local[*]")
+         .appName("lectern-tests")
+         .config("spark.sql.shuffle.partitions", "8")
+         .config("spark.sql.adaptive.enabled", "true")
+         .config("spark.sql.session.timeZone", "UTC")
+         .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
+         .config("spark.checkpoint.dir", str(ckpt))
+         .getOrCreate())
+    s.sparkContext.setLogLevel("ERROR")
+    from lectern.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(s)
+    yield s
+
+
+def write_jsonl(folder: Path, name: str, rows: list, raw_lines: list[str] = ()) -> Path:
+    folder.mkdir(parents=True, exist_ok=True)
+    p = folder / name
+    with p.open("w") as f:
+        for r in rows:
+            f.write(json.dumps(r) + "\n")
+        for line in raw_lines:
+            f.write(line + "\n")
+    return p
+
+
+def book(book_id, title="T", rating="4.0", count="20000", pages="300", authors=None,
+         shelves=None, **extra):
+    row = {"book_id": book_id, "title": title, "average_rating": rating,
+           "ratings_count": count, "text_reviews_count": "10", "num_pages": pages,
+           "authors": authors if authors is not None else [{"author_id": f"a{book_id}"}],
+           "popular_shelves": shelves if shelves is not None else [{"name": "fiction"}],
+           "language_code": "eng", "publisher": "P", "format": "Paperback",
+           "description": "d", "isbn": "i", "isbn13": "i13"}
+    row.update(extra)
+    return row
+
+
+def review(review_id, book_id, user_id="u1", rating=5, date="2017-01-02", text="good"):
+    return {"review_id": review_id, "book_id": book_id, "user_id": user_id, "rating": rating,
+            "review_text": text, "date_added": date}
+
+
+@pytest.fixture
+def raw_catalogue(tmp_path):
+    """A small raw JSON-lines catalogue with the edge cases of FIXTURES.md §1."""
+    raw = tmp_path / "raw"
+    books = [
+        book("1", "Ideal", "4.5", "150000", "320"),
+        book("2", "Good", "4.0", "50000", "450", shelves=[{"name": "fantasy"}]),
+        # duplicate id: the later-ingested version is the one kept
+        book("3", "Dup old", "3.0", "20000", "250"),
+        book("4", "Blank pages", "3.5", "10000", ""),
+        book("5", "Bad pages", "4.2", "99999", "abc", authors=[], shelves=[]),
+        book("6", "Null pages", "2.9", "100000", None, authors=None, shelves=None),
+        book("7", None, "4.0", "20000", "300"),          # NULL title → dropped
+        book(None, "No id", "4.0", "20000", "300"),      # NULL id → dropped
+        book("8", "Zero rating", "0", "20000", "300"),   # rating 0 → dropped
+        book("9", "Low", "4.9", "9999", "300"),          # low confidence
+        book("10", "Comic", "4.8", "200000", "120"),
+        book("11", "Tie A", "4.0", "20000", "300", shelves=[{"name": "poetry"}]),
+        book("12", "Tie B", "4.0", "20000", "300", shelves=[{"name": "poetry"}]),
+    ]
+    write_jsonl(raw / "books", "part1.json", books, raw_lines=['{"book_id": "99", "title": '])
+    write_jsonl(raw / "books", "books_sample.json", [book("500", "Sample")])
+    reviews = [
+        review("r1", "1", "u1", 5), review("r2", "1", "u2", 4), review("r3", "1", "u3", 3),
+        review("r4", "1", "u4", 1), review("r5", "2", "u1", 5, "not a date"),
+        review("r6", "2", "u5", 0), review("r7", "2", "u6", 6), review("r8", "2", "u7", None),
+        review("r8", "2", "u8", 2),                      # duplicate review_id
+        review("r9", "404", "u9", 5),                    # orphan book
+        review("r10", "11", "u1", 4), review("r11", "12", "u2", 4),
+        review("r11", "12", "u3", 5),                    # duplicate valid review_id
+    ]
+    write_jsonl(raw / "reviews", "part1.json", reviews)
+    genres = [
+        {"book_id": "1", "genres": {"fantasy, paranormal": 10, "fiction": 3, "young-adult": 10}},
+        {"book_id": "2", "genres": {"fantasy, paranormal": None, "fiction": None,
+                                    "young-adult": None}},
+        {"book_id": "3", "genres": {"fantasy, paranormal": 0, "fiction": 0, "young-adult": 0}},
+        {"book_id": "10", "genres": {"comics, graphic": 50, "fiction": 2}},
+    ]
+    write_jsonl(raw / "genres", "part1.json", genres)
+    write_jsonl(raw / "authors", "part1.json", [{"author_id": "a1", "name": "A"}])
+    write_jsonl(raw / "series", "part1.json", [{"series_id": "s1", "title": "S"}])
+    return raw
+
+
+def add_second_batch(raw: Path):
+    """Second landing: a newer version of book 3 (with a new column) and more genres."""
+    write_jsonl(raw / "books", "part2.json",
+                [book("3", "Dup new", "4.6", "30000", "380", edition="2nd")])
+    write_jsonl(raw / "genres", "part2.json",
+                [{"book_id": "11", "genres": {"poetry": 7, "fiction": 7}}])
