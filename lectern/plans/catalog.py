@@ -97,7 +97,7 @@ def q_long_texts(i: Inputs) -> DataFrame:
         "doc_id", "lang", F.length("text").alias("text_length"))
 
 
-@register("critical_nulls", ALL)
+@register("critical_nulls", GOLD)
 def q_critical_nulls(i: Inputs) -> DataFrame:
     """Rows with a NULL id or rating, per layer."""
     parts = [clean.critical_nulls(df).select(F.lit(name).alias("layer"), "null_rows")
@@ -269,7 +269,7 @@ def q_recommendation(i: Inputs) -> DataFrame:
     return report.recommendation(i.candidates, i.genre_mart)
 
 
-@register("layer_quality", ALL)
+@register("layer_quality", GOLD)
 def q_layer_quality(i: Inputs) -> DataFrame:
     """Rows and NULL ids per layer (UNION ALL of three aggregates)."""
     return report.layer_quality([("bronze_books", i.raw_items),
@@ -396,19 +396,19 @@ def _dq(i: Inputs, kinds: tuple[str, ...]) -> DataFrame:
     return quality.run_tests(i.models, kinds=kinds)
 
 
-@register("dq_not_null", ALL)
+@register("dq_not_null", GOLD)
 def q_dq_not_null(i: Inputs) -> DataFrame:
     """Q1: the 32 not_null tests, failures per test."""
     return _dq(i, ("not_null",))
 
 
-@register("dq_unique", ALL)
+@register("dq_unique", GOLD)
 def q_dq_unique(i: Inputs) -> DataFrame:
     """Q2: the 6 unique tests (review_id duplicates are reported, by design)."""
     return _dq(i, ("unique",))
 
 
-@register("dq_accepted_values", ALL)
+@register("dq_accepted_values", GOLD)
 def q_dq_accepted_values(i: Inputs) -> DataFrame:
     """Q3: the 4 accepted_values tests."""
     return _dq(i, ("accepted_values",))
@@ -436,7 +436,7 @@ def q_audit_log(i: Inputs) -> DataFrame:
     return governance.audit_log(i.table("events"), V.AUDIT_PREFIX, V.AUDIT_SINCE)
 
 
-@register("snapshot_history", ALL)
+@register("snapshot_history", GOLD)
 def q_snapshot_history(i: Inputs) -> DataFrame:
     """Write the mart as versions, erase a subject, list the history."""
     from ..session import scratch_path

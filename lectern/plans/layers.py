@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..config import DEFAULT, ScoringConfig
 from ..operators import clean, enrich, governance, quality, report, reshape, score
+from ..session import run_concurrently
 from ..sources import jsonl
 from ..streaming.ingest import IngestResult, IngestSpec, read_bronze, run_plan
 
@@ -67,24 +68,33 @@ def ingest_bronze(spark: SparkSession, layout: Layout, datasets: Sequence[str] =
     return run_plan(spark, specs, batch_id)
 
 
+def _written(results: dict) -> dict:
+    bad = {k: v for k, v in results.items() if isinstance(v, Exception)}
+    if bad:
+        raise RuntimeError(f"layer writes failed: {bad}")
+    return results
+
+
 def build_silver(spark: SparkSession, layout: Layout, cfg: ScoringConfig = DEFAULT,
                  item_order=None) -> dict[str, int]:
-    """stg_reviews, stg_genres, stg_books, then int_books_enriched (from the written tables)."""
-    counts = {}
+    """stg_reviews, stg_genres and stg_books (independent, written side by side),
+    then int_books_enriched from the three written tables."""
     books = read_bronze(spark, layout.bronze("books"))
     reviews = read_bronze(spark, layout.bronze("reviews"))
     genres = read_bronze(spark, layout.bronze("genres"))
 
-    stg_reviews = governance.assert_no_columns(
-        quality.enforce_contract(clean.silver_reviews(reviews), "stg_reviews"),
-        ["user_id"], "silver")
-    counts["stg_reviews"] = jsonl.write_counted(stg_reviews, layout.silver("stg_reviews"))
-
-    stg_genres = quality.enforce_contract(reshape.primary_category(genres), "stg_genres")
-    counts["stg_genres"] = jsonl.write_counted(stg_genres, layout.silver("stg_genres"))
-
-    stg_books = quality.enforce_contract(clean.silver_items(books, cfg, item_order), "stg_books")
-    counts["stg_books"] = jsonl.write_counted(stg_books, layout.silver("stg_books"))
+    # Contracts and the privacy check are plan-time: they fail before any write.
+    stg = {
+        "stg_reviews": governance.assert_no_columns(
+            quality.enforce_contract(clean.silver_reviews(reviews), "stg_reviews"),
+            ["user_id"], "silver"),
+        "stg_genres": quality.enforce_contract(reshape.primary_category(genres), "stg_genres"),
+        "stg_books": quality.enforce_contract(clean.silver_items(books, cfg, item_order),
+                                              "stg_books"),
+    }
+    counts = _written(run_concurrently(
+        {name: (lambda name=name, df=df: jsonl.write_counted(df, layout.silver(name)))
+         for name, df in stg.items()}))
 
     metrics = enrich.review_metrics(spark.read.parquet(layout.silver("stg_reviews")))
     enriched = enrich.enrich_items(spark.read.parquet(layout.silver("stg_books")),
@@ -95,19 +105,19 @@ def build_silver(spark: SparkSession, layout: Layout, cfg: ScoringConfig = DEFAU
 
 
 def build_gold(spark: SparkSession, layout: Layout, cfg: ScoringConfig = DEFAULT) -> dict[str, int]:
-    """Both marts from the enriched table, each as a new version."""
+    """Both marts from the enriched table, written side by side, each as a new version."""
     enriched = spark.read.parquet(layout.silver("int_books_enriched"))
     cands = governance.assert_no_columns(
         quality.enforce_contract(score.candidates(enriched, cfg), "mart_audiobook_candidates"),
         ["user_id", "user_id_hashed"], "gold")
     mart = quality.enforce_contract(report.genre_performance(enriched, cfg),
                                     "mart_genre_performance")
-    return {
-        "mart_audiobook_candidates": governance.write_snapshot(
+    return _written(run_concurrently({
+        "mart_audiobook_candidates": lambda: governance.write_snapshot(
             cands, layout.gold("mart_audiobook_candidates")),
-        "mart_genre_performance": governance.write_snapshot(
+        "mart_genre_performance": lambda: governance.write_snapshot(
             mart, layout.gold("mart_genre_performance")),
-    }
+    }))
 
 
 def model_tables(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:

@@ -68,3 +68,22 @@ def materialize(df, label: str = "stage"):
     path = scratch_path(spark, "stage", label)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def run_concurrently(tasks: dict, max_workers: int = 4) -> dict:
+    """Run independent driver-side job launches in parallel threads.
+
+    Spark schedules jobs submitted from several threads side by side, so
+    small independent writes (one per dataset or table) overlap instead of
+    queueing; each result is the return value or the raised exception.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+    out: dict = {}
+    with ThreadPoolExecutor(max_workers=max(1, min(max_workers, len(tasks)))) as pool:
+        futures = {name: pool.submit(fn) for name, fn in tasks.items()}
+        for name, fut in futures.items():
+            try:
+                out[name] = fut.result()
+            except Exception as e:  # noqa: BLE001 - handed back to the caller
+                out[name] = e
+    return out

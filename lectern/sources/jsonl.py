@@ -148,10 +148,12 @@ def raw_inventory(spark: SparkSession, datasets: Mapping[str, str]) -> DataFrame
 
 
 def write_counted(df: DataFrame, path: str, mode: str = "overwrite",
-                  partition_by: tuple[str, ...] = (), fmt: str = "parquet") -> int:
+                  partition_by: tuple[str, ...] = (), fmt: str = "parquet",
+                  options: Mapping[str, str] | None = None) -> int:
     """S15 + A8: write and return the row count gathered during the write."""
     obs = Observation("rows")
-    w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode).format(fmt)
+    w = (df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode).format(fmt)
+         .options(**(options or {})))
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(path)

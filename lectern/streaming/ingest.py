@@ -17,7 +17,6 @@ merged with DDL hints; readers use ``mergeSchema`` across batches.
 from __future__ import annotations
 
 import datetime as dt
-import traceback
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -106,20 +105,29 @@ def read_bronze(spark: SparkSession, target: str) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(target)
 
 
+def _ingest_one(spark: SparkSession, spec: IngestSpec, batch_id: str) -> IngestResult:
+    res = ingest_incremental(spark, spec, batch_id)
+    # count() on Parquet reads row-group footers only, not the data.
+    res.total_rows = read_bronze(spark, spec.target).count()
+    res.status = jsonl.row_gate(res.total_rows, spec.name, spec.min_rows, spec.warn_below)["status"]
+    return res
+
+
 def run_plan(spark: SparkSession, specs: Sequence[IngestSpec],
-             batch_id: str | None = None) -> list[IngestResult]:
-    """Ingest every dataset; a failure is recorded (0 rows) and the rest go on."""
+             batch_id: str | None = None, parallel: int = 4) -> list[IngestResult]:
+    """Ingest every dataset; a failure is recorded (0 rows) and the rest go on.
+
+    Datasets are independent streams with their own checkpoints, so up to
+    ``parallel`` of them run at once.
+    """
+    from ..session import run_concurrently
     batch_id = batch_id or new_batch_id()
+    done = run_concurrently({s.name: (lambda s=s: _ingest_one(spark, s, batch_id)) for s in specs},
+                            parallel)
     out = []
     for spec in specs:
-        try:
-            res = ingest_incremental(spark, spec, batch_id)
-            # count() on Parquet reads row-group footers only, not the data.
-            res.total_rows = read_bronze(spark, spec.target).count()
-            gate = jsonl.row_gate(res.total_rows, spec.name, spec.min_rows, spec.warn_below)
-            res.status = gate["status"]
-        except Exception as e:  # noqa: BLE001 - reported per dataset, not swallowed
-            res = IngestResult(spec.name, status="error",
-                               error=f"{type(e).__name__}: {e}\n{traceback.format_exc(limit=2)}")
-        out.append(res)
+        r = done[spec.name]
+        if isinstance(r, Exception):
+            r = IngestResult(spec.name, status="error", error=f"{type(r).__name__}: {r}")
+        out.append(r)
     return out
