@@ -9,9 +9,11 @@ file's rows once.  Because bootstrap and increments are the same query, there
 is no gap between a full load and a checkpoint seeding step, and the same
 flattening applies to every batch.
 
-Schema: fixed by the caller, or inferred from the folder at each run start
-(so a column that appears in new files is picked up after a restart) and
-merged with DDL hints; readers use ``mergeSchema`` across batches.
+Schema: fixed by the caller, or inferred and stored next to the checkpoint;
+each later run infers only over files modified since the previous run and
+adds their new columns (so a column that appears in new files is picked up
+after a restart without re-reading old files); DDL hints override inferred
+types; readers use ``mergeSchema`` across batches.
 """
 
 from __future__ import annotations
@@ -40,6 +42,7 @@ class IngestSpec:
     min_rows: int = jsonl.MIN_ROWS
     warn_below: int | None = None
     options: dict = field(default_factory=dict)   # extra JSON reader options
+    sampling_ratio: float = 1.0                     # rows read to infer a schema
 
 
 @dataclass
@@ -56,15 +59,75 @@ def new_batch_id(now: dt.datetime | None = None) -> str:
     return (now or dt.datetime.now(dt.timezone.utc)).strftime("%Y%m%d_%H%M%S")
 
 
+SCHEMA_STORE = "_inferred_schema"
+
+
+def _now_in_session_tz(spark: SparkSession) -> dt.datetime:
+    from zoneinfo import ZoneInfo
+    tz = spark.conf.get("spark.sql.session.timeZone", "UTC")
+    return dt.datetime.now(ZoneInfo(tz)).replace(tzinfo=None)
+
+
+def _load_store(spark: SparkSession, store: str) -> tuple[T.StructType | None, str | None]:
+    from ..operators.governance import _fs
+    fs, p = _fs(spark, store)
+    if not fs.exists(p):
+        return None, None
+    row = spark.read.schema("schema string, since string").json(store).first()
+    return (T.StructType.fromJson(__import__("json").loads(row["schema"])), row["since"])
+
+
+def _save_store(spark: SparkSession, store: str, schema: T.StructType, since: str) -> None:
+    (spark.createDataFrame([(schema.json(), since)], "schema string, since string")
+     .coalesce(1).write.mode("overwrite").json(store))
+
+
+def _merge_fields(old: T.StructType | None, new: T.StructType) -> T.StructType:
+    """Columns only ever get added (nested struct fields too); a known leaf keeps its type."""
+    if old is None:
+        return new
+    incoming = {f.name: f for f in new.fields}
+    fields = []
+    for f in old.fields:
+        g = incoming.get(f.name)
+        if g is not None and isinstance(f.dataType, T.StructType) \
+                and isinstance(g.dataType, T.StructType):
+            f = T.StructField(f.name, _merge_fields(f.dataType, g.dataType), True)
+        fields.append(f)
+    known = set(old.fieldNames())
+    return T.StructType(fields + [f for f in new.fields if f.name not in known])
+
+
 def _schema(spark: SparkSession, spec: IngestSpec) -> T.StructType:
+    """Explicit schema, or one inferred incrementally and kept with the checkpoint.
+
+    The first run infers over the folder (``spec.sampling_ratio`` of the
+    rows); later runs infer only over files modified since the previous run
+    (``modifiedAfter``, with a one-second overlap) and add their new columns,
+    so a run never re-reads the whole landing folder just to find a schema.
+    """
     if isinstance(spec.schema, T.StructType):
         return spec.schema
     if isinstance(spec.schema, str):
         return jsonl.parse_ddl(spark, spec.schema)
-    inferred = (spark.read.option("pathGlobFilter", "*.json")
-                .option("columnNameOfCorruptRecord", jsonl.CORRUPT).json(spec.source).schema)
+    store = f"{spec.checkpoint.rstrip('/')}/{SCHEMA_STORE}"
+    old, since = _load_store(spark, store)
+    started = _now_in_session_tz(spark) - dt.timedelta(seconds=1)
+    reader = (spark.read.option("pathGlobFilter", "*.json")
+              .option("samplingRatio", str(spec.sampling_ratio))
+              .option("columnNameOfCorruptRecord", jsonl.CORRUPT))
+    if since:
+        reader = reader.option("modifiedAfter", since)
+    try:
+        inferred = reader.json(spec.source).schema
+    except Exception:  # noqa: BLE001 - no new file since the last run
+        if old is None:
+            raise
+        inferred = T.StructType([])
     base = T.StructType([f for f in inferred.fields if f.name != jsonl.CORRUPT])
-    return jsonl.merge_hints(base, spec.hints, spark)
+    merged = _merge_fields(old, jsonl.merge_hints(base, spec.hints, spark))
+    _save_store(spark, store, merged, started.strftime("%Y-%m-%dT%H:%M:%S"))
+    return merged
 
 
 def stream_frame(spark: SparkSession, spec: IngestSpec, batch_id: str) -> DataFrame:
