@@ -50,13 +50,13 @@ def dedup(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
 
 def dedup_latest(df: DataFrame, keys: Sequence[str], ts_col: str = "_ingestion_timestamp",
                  then: Sequence[Column] = ()) -> DataFrame:
-    """Latest version per key (reference notebook ordering)."""
+    """Latest version per key (by ingestion time)."""
     return dedup(df, keys, [F.col(ts_col).desc_nulls_last(), *then])
 
 
 def dedup_by_metric(df: DataFrame, keys: Sequence[str], metric: Column,
                     then: Sequence[Column] = ()) -> DataFrame:
-    """Version with the largest metric per key (dbt ordering)."""
+    """Version with the largest metric per key."""
     return dedup(df, keys, [metric.desc_nulls_last(), *then])
 
 

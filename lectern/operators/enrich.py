@@ -70,7 +70,7 @@ def orphans(children: DataFrame, parents: DataFrame, key: str = "book_id",
             parent_key: str | None = None) -> DataFrame:
     """Child rows with a key that has no parent (``left_anti``).
 
-    NULL keys are not orphans (dbt's relationships test skips them).  No
+    NULL keys are not orphans (a relationships test skips them).  No
     ``distinct`` on the parent side: duplicates cannot change an anti join.
     """
     p = parents.select(F.col(parent_key or key).alias("_parent_key"))

@@ -125,7 +125,7 @@ def global_rank(df: DataFrame, score: str = "weighted_score",
     """Global ``RANK`` by score desc.
 
     The histogram is broadcast: for a score rounded to 4 dp it holds at most
-    ``histogram_bound(cfg)`` rows (about 30,000 for the default weights).
+    ``histogram_bound(cfg)`` rows (14,579 for the default weights).
     """
     return with_ranks(df, score, (), rank_col, broadcast_table=True)
 

@@ -126,7 +126,7 @@ def test_no_single_partition_over_rows(spark):
     for line in plan.splitlines():
         if "SinglePartition" in line:
             assert "hashpartitioning" not in line
-    assert score.histogram_bound(DEFAULT) < 40_000
+    assert score.histogram_bound(DEFAULT) == 14_579
 
 
 def test_strategy_ranks_each_preset(spark):
