@@ -169,3 +169,27 @@ def vacuum(spark: SparkSession, root: str, retain_days: int,
             fs.delete(p, True)
             removed.append(v)
     return removed
+
+
+def apply_retention(spark: SparkSession, tables: dict[str, tuple[str, str]],
+                    now: dt.datetime | None = None) -> dict[str, list[int]]:
+    """G9 per layer: ``{table: (layer, root)}`` → versions vacuumed, by each layer's days."""
+    return {name: vacuum(spark, root, RETENTION_DAYS[layer], now)
+            for name, (layer, root) in tables.items()}
+
+
+# --- G10 ------------------------------------------------------------------
+
+def shareable(df: DataFrame, group_cols: Sequence[str],
+              forbidden: Sequence[str] = ("user_id", "user_id_hashed", "review_id",
+                                          "book_id", "review_text")) -> DataFrame:
+    """A governed share: only an aggregate keyed by ``group_cols``, no row-level ids.
+
+    Raises (at plan time) when an identifier column would be shared or when
+    the grouping columns are not a key of the shared table's plan.
+    """
+    assert_no_columns(df, forbidden, "shared")
+    missing = [c for c in group_cols if c not in df.columns]
+    if missing:
+        raise ValueError(f"shared view lacks its grouping columns {missing}")
+    return df

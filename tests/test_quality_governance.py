@@ -150,3 +150,16 @@ def test_label_sentiment(spark):
                                    "doc_id long, quality int, toxic int")
     out = {r.doc_id: r.nlp_sentiment for r in X.label_sentiment(labels).collect()}
     assert out == {1: "neg", 2: "pos", 3: "neutral"}
+
+
+def test_retention_by_layer_and_share(spark):
+    root = scratch_path(spark, "test_ret")
+    df = spark.createDataFrame([("g", 1)], "genre string, n int")
+    t0 = dt.datetime(2024, 1, 1)
+    G.write_snapshot(df, root, now=t0)
+    G.write_snapshot(df, root, now=t0 + dt.timedelta(days=1))
+    out = G.apply_retention(spark, {"gold_mart": ("gold", root)}, now=t0 + dt.timedelta(days=9))
+    assert out == {"gold_mart": [0]}
+    assert G.shareable(df, ["genre"]) is df
+    with pytest.raises(ValueError):
+        G.shareable(df.withColumn("book_id", F.lit("1")), ["genre"])
