@@ -111,7 +111,8 @@ def write_snapshot(df: DataFrame, root: str, operation: str = "WRITE",
     """Append ``df`` as the next version; the row count comes from ``observe``.
 
     Data first, commit row second: a failed write leaves no commit, and
-    readers only see versions listed in the commit log.
+    readers only see versions listed in the commit log.  One writer per
+    table at a time (versions are numbered from the log).
     """
     spark = df.sparkSession
     version = latest_version(spark, root) + 1
@@ -185,8 +186,8 @@ def shareable(df: DataFrame, group_cols: Sequence[str],
                                           "book_id", "review_text")) -> DataFrame:
     """A governed share: only an aggregate keyed by ``group_cols``, no row-level ids.
 
-    Raises (at plan time) when an identifier column would be shared or when
-    the grouping columns are not a key of the shared table's plan.
+    Raises (at plan time) when an identifier column would be shared or the
+    grouping columns are missing.
     """
     assert_no_columns(df, forbidden, "shared")
     missing = [c for c in group_cols if c not in df.columns]
