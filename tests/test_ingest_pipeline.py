@@ -141,3 +141,23 @@ def test_full_run_and_erasure(spark, raw_catalogue, tmp_path):
     after = {r.book_id: r for r in spark.read.parquet(erased.silver("int_books_enriched")).collect()}
     assert after["1"].total_reviews == 3 and after["11"].total_reviews == 0
     assert G.latest_version(spark, layout.gold("mart_audiobook_candidates")) == 1
+
+
+def _ingest_in_batches(spark, root, rows, cuts):
+    src, spec = root / "src", None
+    spec = I.IngestSpec("books", str(src), str(root / "bronze"), str(root / "ck"))
+    start = 0
+    for i, end in enumerate([*cuts, len(rows)]):
+        write_jsonl(src, f"part{i}.json", rows[start:end])
+        I.ingest_incremental(spark, spec, f"b{i}")
+        start = end
+    assert I.ingest_incremental(spark, spec, "again").rows_added == 0
+    return sorted((r.book_id, r.title) for r in I.read_bronze(spark, spec.target).collect())
+
+
+def test_any_batching_gives_the_same_rows(spark, tmp_path):
+    from .conftest import book
+    rows = [book(str(i), f"t{i}") for i in range(12)]
+    one = _ingest_in_batches(spark, tmp_path / "one", rows, [])
+    three = _ingest_in_batches(spark, tmp_path / "three", rows, [2, 7])
+    assert one == three and len(one) == 12
