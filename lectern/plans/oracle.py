@@ -266,10 +266,12 @@ _q("long_texts", """SELECT doc_id, lang, CAST(length(text) AS INTEGER) AS text_l
 FROM documents WHERE text IS NOT NULL AND length(text) > 50""")
 _q("critical_nulls", """
 SELECT 'silver_books' AS layer,
-       count_if(book_id IS NULL OR average_rating IS NULL) AS null_rows FROM silver_items
+       CAST(count_if(book_id IS NULL OR average_rating IS NULL) AS BIGINT) AS null_rows
+FROM silver_items
 UNION ALL
 SELECT 'enriched' AS layer,
-       count_if(book_id IS NULL OR average_rating IS NULL) AS null_rows FROM enriched""",
+       CAST(count_if(book_id IS NULL OR average_rating IS NULL) AS BIGINT) AS null_rows
+FROM enriched""",
    "silver_items", "enriched")
 _q("silver_reviews", """SELECT review_id, book_id, user_id_hashed, rating, sentiment,
        review_date, review_year, CAST(NULL AS VARCHAR) AS review_text
@@ -329,9 +331,10 @@ FROM silver_items GROUP BY data_quality_flag""", "silver_items")
 _q("top_genres", f"""SELECT primary_genre, count(*) AS books FROM enriched
 WHERE data_quality_flag IN {_FLAGS}
 GROUP BY primary_genre ORDER BY books DESC, primary_genre ASC LIMIT 10""", "enriched")
-_q("genre_coverage", """SELECT count_if(primary_genre <> 'Uncategorised') AS books_with_genre,
+_q("genre_coverage", """SELECT CAST(count_if(primary_genre <> 'Uncategorised') AS BIGINT)
+           AS books_with_genre,
        count(*) AS total_books FROM enriched""", "enriched")
-_q("reviewed_items", """SELECT count_if(total_reviews > 0) AS reviewed_books,
+_q("reviewed_items", """SELECT CAST(count_if(total_reviews > 0) AS BIGINT) AS reviewed_books,
        count(*) AS total_books FROM enriched""", "enriched")
 
 _REVIEW_ORDER = ("shipped_at DESC NULLS LAST, o_part ASC NULLS FIRST, o_supp ASC NULLS FIRST, "
@@ -378,11 +381,11 @@ UNION ALL
  FROM genre_mart ORDER BY genre_rank, genre LIMIT 1)""", "candidates", "genre_mart")
 _q("layer_quality", """
 SELECT 'bronze_books' AS layer, count(*) AS total_records,
-       count_if(book_id IS NULL) AS null_ids FROM raw_items
+       CAST(count_if(book_id IS NULL) AS BIGINT) AS null_ids FROM raw_items
 UNION ALL
-SELECT 'silver_books', count(*), count_if(book_id IS NULL) FROM silver_items
+SELECT 'silver_books', count(*), CAST(count_if(book_id IS NULL) AS BIGINT) FROM silver_items
 UNION ALL
-SELECT 'gold_candidates', count(*), count_if(book_id IS NULL) FROM candidates""",
+SELECT 'gold_candidates', count(*), CAST(count_if(book_id IS NULL) AS BIGINT) FROM candidates""",
    "raw_items", "silver_items", "candidates")
 
 _q("hashed_users", """SELECT DISTINCT user_id, sha256(user_id) AS user_id_hashed

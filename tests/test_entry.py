@@ -14,6 +14,9 @@ from .conftest import SF_SMALL
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 ROWS_ONLY = {"snapshot_history"}
+# Spark simple type → DuckDB type name of the same values.
+DUCK_TYPE = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+             "date": "DATE", "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
 
 
 def test_entry_runs(spark):
@@ -53,6 +56,9 @@ def test_query_matches_oracle(spark, duck, name):
         return
     rel = duck.sql(E.oracle_sql()[name])
     assert sorted(rel.columns) == cols
+    stypes = {f.name: DUCK_TYPE.get(f.dataType.simpleString(), f.dataType.simpleString())
+              for f in sdf.schema.fields}
+    assert stypes == {c: str(t) for c, t in zip(rel.columns, rel.types)}
     idx = [rel.columns.index(c) for c in cols]
     drows = Counter(tuple(_norm(r[i]) for i in idx) for r in rel.fetchall())
     assert srows == drows
