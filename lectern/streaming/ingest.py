@@ -163,6 +163,26 @@ def ingest_incremental(spark: SparkSession, spec: IngestSpec,
                         batches=[p.get("batchId") for p in q.recentProgress])
 
 
+def mark_seen(spark: SparkSession, spec: IngestSpec) -> None:
+    """Record every file now in the folder as processed, loading nothing.
+
+    For adopting a folder whose current files were already bulk-loaded:
+    later ``ingest_incremental`` runs load only files that arrive afterwards.
+    (``ingest_incremental`` itself never needs this: its first run is the
+    bootstrap.)  The same stream runs into the same Parquet target with a
+    false predicate, not into a ``noop`` sink: the file sink numbers its
+    commit log by batch, and a batch committed elsewhere would leave a gap
+    that makes the Bronze table unreadable.
+    """
+    q = (stream_frame(spark, spec, "seed").filter(F.lit(False)).writeStream
+         .format("parquet").option("checkpointLocation", spec.checkpoint)
+         .partitionBy("_batch_id").outputMode("append")
+         .trigger(availableNow=True).start(spec.target))
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+
+
 def read_bronze(spark: SparkSession, target: str) -> DataFrame:
     """Bronze table across batches; columns added later are merged in."""
     return spark.read.option("mergeSchema", "true").parquet(target)

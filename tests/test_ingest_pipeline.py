@@ -161,3 +161,14 @@ def test_any_batching_gives_the_same_rows(spark, tmp_path):
     one = _ingest_in_batches(spark, tmp_path / "one", rows, [])
     three = _ingest_in_batches(spark, tmp_path / "three", rows, [2, 7])
     assert one == three and len(one) == 12
+
+
+def test_mark_seen_then_only_new_files(spark, tmp_path):
+    from .conftest import book
+    src = tmp_path / "src"
+    write_jsonl(src, "old.json", [book("1"), book("2")])
+    spec = I.IngestSpec("books", str(src), str(tmp_path / "bronze"), str(tmp_path / "ck"))
+    I.mark_seen(spark, spec)                    # Bronze holds no data files yet
+    write_jsonl(src, "new.json", [book("3")])
+    assert I.ingest_incremental(spark, spec, "b1").rows_added == 1
+    assert [r.book_id for r in I.read_bronze(spark, spec.target).collect()] == ["3"]
