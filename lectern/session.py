@@ -67,7 +67,7 @@ def materialize(df, label: str = "stage"):
     spark = df.sparkSession
     path = scratch_path(spark, "stage", label)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)   # schema known: no footer inference
 
 
 def run_concurrently(tasks: dict, max_workers: int = 4) -> dict:
