@@ -34,9 +34,20 @@ class Inputs:
     def __post_init__(self):
         if self.cfg is None:
             self.cfg = star_config()
+        self._schemas: dict = {}
 
     def table(self, name: str) -> DataFrame:
-        return star.table(self.spark, self.sf_dir, name)
+        """A fresh read of a base table; its schema is read once per query.
+
+        Fresh reads keep attribute ids distinct across branches (no self-join
+        de-duplication during analysis); the known schema skips footer reads.
+        """
+        path = f"{self.sf_dir.rstrip('/')}/{name}.parquet"
+        if name not in self._schemas:
+            df = self.spark.read.parquet(path)
+            self._schemas[name] = df.schema
+            return df
+        return self.spark.read.schema(self._schemas[name]).parquet(path)
 
     def _staged(self, layer: str, df: DataFrame, label: str) -> DataFrame:
         return materialize(df, label) if layer in self.stage else df
@@ -44,15 +55,15 @@ class Inputs:
     # Bronze-shaped raw tables
     @cached_property
     def raw_items(self) -> DataFrame:
-        return self._staged("bronze", star.raw_items(self.spark, self.sf_dir), "bronze_items")
+        return self._staged("bronze", star.raw_items(self.spark, self.sf_dir, self.table), "bronze_items")
 
     @cached_property
     def raw_reviews(self) -> DataFrame:
-        return self._staged("bronze", star.raw_reviews(self.spark, self.sf_dir), "bronze_reviews")
+        return self._staged("bronze", star.raw_reviews(self.spark, self.sf_dir, self.table), "bronze_reviews")
 
     @cached_property
     def raw_genres(self) -> DataFrame:
-        return self._staged("bronze", star.raw_genres(self.spark, self.sf_dir), "bronze_genres")
+        return self._staged("bronze", star.raw_genres(self.spark, self.sf_dir, self.table), "bronze_genres")
 
     # Silver
     @cached_property

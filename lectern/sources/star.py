@@ -42,15 +42,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _reader(spark: SparkSession, sf_dir: str, read=None):
+    """``read(name)``: the caller's shared table reader, else a fresh read."""
+    return read if read is not None else (lambda name: table(spark, sf_dir, name))
+
+
 def _batch_ts() -> "F.Column":
     # Fixed stamp: the star tables are one bootstrap batch.
     return F.lit("2024-01-01 00:00:00").cast("timestamp")
 
 
-def raw_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_size")
+def raw_items(spark: SparkSession, sf_dir: str, read=None) -> DataFrame:
+    read = _reader(spark, sf_dir, read)
+    part = read("part").select("p_partkey", "p_name", "p_type", "p_size")
     lines = (
-        table(spark, sf_dir, "lineitem")
+        read("lineitem")
         .groupBy("l_partkey")
         .agg(F.avg("l_quantity").alias("avg_q"),
              F.sum("l_quantity").alias("sum_q"),
@@ -79,14 +85,14 @@ def raw_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _lines_with_orders(spark: SparkSession, sf_dir: str, cols: list[str]) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+def _lines_with_orders(read, cols: list[str]) -> DataFrame:
+    lines = read("lineitem")
+    orders = read("orders").select("o_orderkey", "o_custkey")
     return lines.select(*cols).join(orders, lines.l_orderkey == orders.o_orderkey)
 
 
-def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    j = _lines_with_orders(spark, sf_dir, [
+def raw_reviews(spark: SparkSession, sf_dir: str, read=None) -> DataFrame:
+    j = _lines_with_orders(_reader(spark, sf_dir, read), [
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_shipdate"]).filter(F.col("l_partkey") % 10 != 0)
     rating = F.when(F.col("l_linenumber") == 7, F.lit(0)).otherwise(
@@ -117,14 +123,15 @@ def review_order() -> list:
             F.col("o_supp").asc(), F.col("o_qty").asc(), F.col("o_price").asc()]
 
 
-def raw_genres(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_genres(spark: SparkSession, sf_dir: str, read=None) -> DataFrame:
     """Wide genre counts: conditional aggregation, one partial-aggregated pass."""
-    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
-    lines = _lines_with_orders(spark, sf_dir, ["l_orderkey", "l_partkey"])
+    read = _reader(spark, sf_dir, read)
+    cust = read("customer").select("c_custkey", "c_mktsegment")
+    lines = _lines_with_orders(read, ["l_orderkey", "l_partkey"])
     seg = lines.join(cust, lines.o_custkey == cust.c_custkey)
     counts = seg.groupBy("l_partkey").agg(*[
         F.count_if(F.col("c_mktsegment") == s).alias(f"n_{s.lower()}") for s in SEGMENTS])
-    part = table(spark, sf_dir, "part").select("p_partkey").filter(F.col("p_partkey") % 7 != 0)
+    part = read("part").select("p_partkey").filter(F.col("p_partkey") % 7 != 0)
     j = part.join(counts, part.p_partkey == counts.l_partkey, "left")
     return j.select(
         F.col("p_partkey").cast("string").alias("book_id"),
