@@ -43,6 +43,13 @@ class IngestSpec:
     warn_below: int | None = None
     options: dict = field(default_factory=dict)   # extra JSON reader options
     sampling_ratio: float = 1.0                     # rows read to infer a schema
+    # Scale knobs: bound each micro-batch of a large backlog (availableNow
+    # splits it into several batches), and move processed files out of the
+    # landing folder so each run lists only new ones ("archive" needs
+    # archive_dir; "delete" removes them).  Off by default: files are left as is.
+    max_files_per_trigger: int | None = None
+    clean_source: str | None = None
+    archive_dir: str | None = None
 
 
 @dataclass
@@ -133,7 +140,14 @@ def _schema(spark: SparkSession, spec: IngestSpec) -> T.StructType:
 def stream_frame(spark: SparkSession, spec: IngestSpec, batch_id: str) -> DataFrame:
     """The streaming plan of one dataset (exposed for tests and ``explain``)."""
     schema = jsonl.with_corrupt_column(_schema(spark, spec))
-    raw = (spark.readStream.schema(schema)
+    reader = spark.readStream.schema(schema)
+    if spec.max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(spec.max_files_per_trigger))
+    if spec.clean_source:
+        reader = reader.option("cleanSource", spec.clean_source)
+        if spec.archive_dir:
+            reader = reader.option("sourceArchiveDir", spec.archive_dir)
+    raw = (reader
            .option("mode", "PERMISSIVE")
            .option("columnNameOfCorruptRecord", jsonl.CORRUPT)
            .option("pathGlobFilter", "*.json")

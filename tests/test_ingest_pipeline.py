@@ -172,3 +172,18 @@ def test_mark_seen_then_only_new_files(spark, tmp_path):
     write_jsonl(src, "new.json", [book("3")])
     assert I.ingest_incremental(spark, spec, "b1").rows_added == 1
     assert [r.book_id for r in I.read_bronze(spark, spec.target).collect()] == ["3"]
+
+
+def test_bounded_batches_and_archive(spark, tmp_path):
+    from .conftest import book
+    src = tmp_path / "land" / "books"
+    for i in range(4):
+        write_jsonl(src, f"p{i}.json", [book(str(2 * i)), book(str(2 * i + 1))])
+    spec = I.IngestSpec("books", str(src), str(tmp_path / "bronze"), str(tmp_path / "ck"),
+                        schema=None, max_files_per_trigger=1, clean_source="archive",
+                        archive_dir=str(tmp_path / "archive"))
+    r = I.ingest_incremental(spark, spec, "b1")
+    assert r.rows_added == 8 and len(r.batches) == 4          # one file per micro-batch
+    assert I.read_bronze(spark, spec.target).count() == 8
+    write_jsonl(src, "p9.json", [book("99")])
+    assert I.ingest_incremental(spark, spec, "b2").rows_added == 1
