@@ -25,7 +25,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 GOLD = frozenset({"enriched"})
-ALL = frozenset({"bronze", "enriched"})
 
 
 def register(name: str, stage: frozenset = frozenset()):

@@ -133,3 +133,10 @@ def test_primary_category_partial_aggregation(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Generate" not in plan            # no row explosion
     assert plan.count("partial_max") >= 1 or "Partial" in plan
+
+
+def test_dedup_is_idempotent(spark):
+    rows = [(str(i % 4), f"t{i}", "4", str(100 + i), "1", "300", [], [], T1) for i in range(20)]
+    once = clean.dedup(items(spark, rows), ["book_id"], clean.items_order_most_rated())
+    twice = clean.dedup(once, ["book_id"], clean.items_order_most_rated())
+    assert sorted(r.title for r in once.collect()) == sorted(r.title for r in twice.collect())

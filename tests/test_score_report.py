@@ -196,3 +196,17 @@ def test_top_genres_and_distribution(spark):
 def test_histogram_bound_covers_large_counts():
     assert DEFAULT.max_score() > 1.0
     assert score.histogram_bound(DEFAULT) == pytest.approx(DEFAULT.max_score() * 1e4, abs=2)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.integers(1, 5)),
+                min_size=1, max_size=60))
+def test_sentiment_shares_sum_to_100(spark, reviews):
+    from lectern.functions import scalar as S
+    df = spark.createDataFrame([(f"r{i}", b, r) for i, (b, r) in enumerate(reviews)],
+                               "review_id string, book_id string, rating int") \
+        .withColumn("sentiment", S.classify_rating("rating")) \
+        .withColumn("review_date", F.lit(None).cast("date"))
+    for r in enrich.review_metrics(df).collect():
+        total = r.positive_review_pct + r.neutral_review_pct + r.negative_review_pct
+        assert abs(total - 100) <= 0.02
