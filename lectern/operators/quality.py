@@ -105,21 +105,18 @@ def _union(parts: list[DataFrame], spark) -> DataFrame:
 
 
 def _counted(model: str, df: DataFrame, tests: Sequence[Test]) -> DataFrame:
-    """not_null + accepted_values of one table: one aggregate, then unpivoted."""
+    """not_null + accepted_values of one table: one aggregate, unpivoted by ``inline``."""
     exprs = []
     for i, t in enumerate(tests):
         c = F.col(t.column)
         cond = c.isNull() if t.kind == "not_null" else (c.isNotNull() & ~c.isin(*t.values))
         exprs.append(F.count_if(cond).alias(f"f{i}"))
-    wide = df.agg(*exprs)
-    meta = F.array(*[F.struct(F.lit(t.name).alias("test"), F.lit(t.kind).alias("kind"),
-                              F.lit(t.column).alias("column_name"),
+    rows = F.array(*[F.struct(F.lit(t.name).alias("test"), F.lit(t.kind).alias("kind"),
+                              F.lit(model).alias("model"), F.lit(t.column).alias("column_name"),
                               F.lit(t.severity).alias("severity"),
-                              F.col(f"f{i}").alias("failures"))
+                              F.col(f"f{i}").cast("bigint").alias("failures"))
                      for i, t in enumerate(tests)])
-    return (wide.select(F.explode(meta).alias("r"))
-            .select("r.test", "r.kind", F.lit(model).alias("model"), "r.column_name",
-                    "r.severity", F.col("r.failures").cast("bigint").alias("failures")))
+    return df.agg(*exprs).select(F.inline(rows))
 
 
 def run_tests(tables: Mapping[str, DataFrame], tests: Iterable[Test] | None = None,
