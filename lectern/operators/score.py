@@ -115,8 +115,8 @@ def with_ranks(df: DataFrame, score: str, groups: Sequence[str] = (),
                          *[c for c in table.columns if c not in keys])
     if broadcast_table:
         table = F.broadcast(table)
-    cond = [F.col(g) == F.col(f"_r_{g}") for g in groups]
-    cond.append(F.col(score).eqNullSafe(F.col(f"_r_{score}")))
+    # Null-safe on every key: a NULL group is its own partition, as in SQL RANK.
+    cond = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
     return df.join(table, cond).drop(*[f"_r_{k}" for k in keys])
 
 

@@ -210,3 +210,11 @@ def test_sentiment_shares_sum_to_100(spark, reviews):
     for r in enrich.review_metrics(df).collect():
         total = r.positive_review_pct + r.neutral_review_pct + r.negative_review_pct
         assert abs(total - 100) <= 0.02
+
+
+def test_null_group_is_ranked(spark):
+    df = spark.createDataFrame([("1", None, 0.5), ("2", None, 0.7), ("3", "g", 0.6)],
+                               "id string, g string, s double")
+    out = {r.id: (r.gr, r.ar) for r in
+           score.with_ranks(df, "s", ["g"], rank_col="gr", global_rank_col="ar").collect()}
+    assert out == {"1": (2, 3), "2": (1, 1), "3": (1, 2)}
