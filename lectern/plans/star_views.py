@@ -1,9 +1,12 @@
-"""The star-table inputs of every registered query, built once per (session, dir).
-
-``Inputs`` holds lazy DataFrames only (no caching, no actions): Bronze-shaped
-raw tables from the star adapter and the Silver/Gold layers derived from
-them.  Each registered query takes what it needs, so Catalyst prunes the rest
-and every query still reads the whole base tables it depends on.
+"""The star-table inputs of every registered query, built once per query call.
+
+``Inputs`` holds lazy DataFrames (no ``cache()``): Bronze-shaped raw tables
+from the star adapter and the Silver/Gold layers derived from them.  Each
+registered query takes what it needs, so Catalyst prunes the rest and every
+query still reads the whole base tables it depends on.  Layers named in
+``stage`` are the exception: they are written once (a Parquet table under
+``spark.checkpoint.dir``) when first used, because the query reads them in
+more than one branch.
 """
 
 from __future__ import annotations
@@ -55,15 +58,18 @@ class Inputs:
     # Bronze-shaped raw tables
     @cached_property
     def raw_items(self) -> DataFrame:
-        return self._staged("bronze", star.raw_items(self.spark, self.sf_dir, self.table), "bronze_items")
+        return self._staged("bronze", star.raw_items(self.spark, self.sf_dir, self.table),
+                            "bronze_items")
 
     @cached_property
     def raw_reviews(self) -> DataFrame:
-        return self._staged("bronze", star.raw_reviews(self.spark, self.sf_dir, self.table), "bronze_reviews")
+        return self._staged("bronze", star.raw_reviews(self.spark, self.sf_dir, self.table),
+                            "bronze_reviews")
 
     @cached_property
     def raw_genres(self) -> DataFrame:
-        return self._staged("bronze", star.raw_genres(self.spark, self.sf_dir, self.table), "bronze_genres")
+        return self._staged("bronze", star.raw_genres(self.spark, self.sf_dir, self.table),
+                            "bronze_genres")
 
     # Silver
     @cached_property
