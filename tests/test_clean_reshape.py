@@ -8,7 +8,6 @@ import random
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from lectern.operators import clean, reshape
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import functions as F
 
 from lectern.config import DEFAULT
 from lectern.operators import governance as G
