@@ -52,7 +52,7 @@ _BASE = {
           AND average_rating IS NOT NULL AND average_rating > 0""",
     "raw_reviews": """
         SELECT CAST(l_orderkey * 10 + l_linenumber AS VARCHAR) AS review_id,
-               CAST(l_partkey AS VARCHAR) AS book_id,
+               CASE WHEN l_partkey % 10 <> 0 THEN CAST(l_partkey AS VARCHAR) END AS book_id,
                CAST(o_custkey AS VARCHAR) AS user_id,
                CAST(CASE WHEN l_linenumber = 7 THEN 0
                          ELSE CAST(ceil(l_quantity / 10) AS INTEGER) END AS BIGINT) AS rating,
@@ -60,8 +60,7 @@ _BASE = {
                     ELSE strftime(l_shipdate, '%Y-%m-%d') END AS date_added,
                l_shipdate AS shipped_at, l_partkey AS o_part, l_suppkey AS o_supp,
                l_quantity AS o_qty, l_extendedprice AS o_price
-        FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-        WHERE l_partkey % 10 <> 0""",
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     "silver_reviews": """
         SELECT review_id, book_id, sha256(user_id) AS user_id_hashed,
                CAST(rating AS INTEGER) AS rating,
@@ -93,9 +92,9 @@ _BASE = {
     "raw_genres": """
         SELECT CAST(p_partkey AS VARCHAR) AS book_id,
                """ + ",\n               ".join(
-        f"CAST(nullif(n_{s}, 0) AS BIGINT) AS genre_{s}" for s in SEGMENTS) + """
-        FROM part LEFT JOIN seg_counts ON p_partkey = l_partkey
-        WHERE p_partkey % 7 <> 0""",
+        f"CAST(CASE WHEN p_partkey % 7 <> 0 THEN nullif(n_{s}, 0) END AS BIGINT) AS genre_{s}"
+        for s in SEGMENTS) + """
+        FROM part LEFT JOIN seg_counts ON p_partkey = l_partkey""",
     "genre_long": """
         SELECT book_id, genre_name, genre_count
         FROM raw_genres UNPIVOT INCLUDE NULLS

@@ -6,14 +6,15 @@ operator downstream runs unchanged on either input:
 
 * ``raw_items``   one row per part, numerics as *strings* like the raw feed,
                   ``authors``/``popular_shelves`` as arrays of structs;
-* ``raw_reviews`` one row per order line (a tenth of the items get none),
-                  ``review_id`` deliberately not unique;
-* ``raw_genres``  one row per part (a seventh get none), one count column per
-                  market segment, NULL when zero.
+* ``raw_reviews`` one row per order line, ``review_id`` deliberately not
+                  unique; the lines of a tenth of the parts carry a NULL
+                  ``book_id`` (invalid reviews), so those items have none;
+* ``raw_genres``  one row per part, one count column per market segment,
+                  NULL when zero, all NULL for a seventh of the parts.
 
-The modulo rules below shape *coverage* (items without reviews, without a
-genre row, unparseable dates, invalid ratings); every line of every table is
-still read and aggregated.
+The modulo rules below only shape *values* (dirty ids, NULL counts and pages,
+unparseable dates, invalid ratings) so every edge case occurs; no rule drops
+a row: every line of every table reaches Bronze and is aggregated.
 
 All three are lazy plans: lineitem is aggregated by part with partial (map
 side) aggregation and joined to orders/customer on their keys; nothing is
@@ -29,11 +30,13 @@ from pyspark.sql import functions as F
 #   num_pages = p_size * 20, NULL when p_size % 13 = 0
 #   average_rating = least(5.0, avg(l_quantity) / 6.0)
 #   ratings_count = sum(l_quantity); shelf = lower(p_type), NULL when p_partkey % 49 = 0
-#   reviews from lines with l_partkey % 10 <> 0
+#   review book_id NULL for lines with l_partkey % 10 = 0 (FIXTURES drops them;
+#   a NULL id keeps the row and gives the same items without reviews)
 #   review_id = l_orderkey * 10 + l_linenumber
 #   rating = 0 when l_linenumber = 7, else ceil(l_quantity / 10)
 #   date_added = l_shipdate as yyyy-MM-dd, text 'n/a' when l_suppkey % 11 = 0
-#   genre rows for parts with p_partkey % 7 <> 0; one column per c_mktsegment
+#   genre counts all NULL for parts with p_partkey % 7 = 0 (FIXTURES drops the
+#   row; all-NULL counts give the same shelf fallback); one column per c_mktsegment
 SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 BATCH = "star"
 
@@ -94,14 +97,14 @@ def _lines_with_orders(read, cols: list[str]) -> DataFrame:
 def raw_reviews(spark: SparkSession, sf_dir: str, read=None) -> DataFrame:
     j = _lines_with_orders(_reader(spark, sf_dir, read), [
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_shipdate"]).filter(F.col("l_partkey") % 10 != 0)
+        "l_extendedprice", "l_shipdate"])
     rating = F.when(F.col("l_linenumber") == 7, F.lit(0)).otherwise(
         F.ceil(F.col("l_quantity") / 10).cast("int"))
     date_txt = F.when(F.col("l_suppkey") % 11 == 0, F.lit("n/a")).otherwise(
         F.date_format("l_shipdate", "yyyy-MM-dd"))
     return j.select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string").alias("review_id"),
-        F.col("l_partkey").cast("string").alias("book_id"),
+        F.when(F.col("l_partkey") % 10 != 0, F.col("l_partkey").cast("string")).alias("book_id"),
         F.col("o_custkey").cast("string").alias("user_id"),
         rating.cast("bigint").alias("rating"),
         F.lit(None).cast("string").alias("review_text"),
@@ -131,12 +134,13 @@ def raw_genres(spark: SparkSession, sf_dir: str, read=None) -> DataFrame:
     seg = lines.join(cust, lines.o_custkey == cust.c_custkey)
     counts = seg.groupBy("l_partkey").agg(*[
         F.count_if(F.col("c_mktsegment") == s).alias(f"n_{s.lower()}") for s in SEGMENTS])
-    part = read("part").select("p_partkey").filter(F.col("p_partkey") % 7 != 0)
+    part = read("part").select("p_partkey")
     j = part.join(counts, part.p_partkey == counts.l_partkey, "left")
+    listed = F.col("p_partkey") % 7 != 0
     return j.select(
         F.col("p_partkey").cast("string").alias("book_id"),
-        *[F.nullif(F.col(f"n_{s.lower()}"), F.lit(0)).cast("bigint").alias(f"genre_{s.lower()}")
-          for s in SEGMENTS],
+        *[F.when(listed, F.nullif(F.col(f"n_{s.lower()}"), F.lit(0))).cast("bigint")
+          .alias(f"genre_{s.lower()}") for s in SEGMENTS],
         _batch_ts().alias("_ingestion_timestamp"),
         F.lit(BATCH).alias("_batch_id"),
     )
