@@ -134,6 +134,22 @@ def test_full_run_and_erasure(spark, raw_catalogue, tmp_path):
     assert cands["1"].audiobook_rank == 3
     assert cands["6"].length_category == "unknown"
 
+    # Analyst SQL over the registered layers equals the DataFrame reports.
+    from lectern.operators import report
+    from lectern.plans import analyst
+    analyst.register_layers(spark, layout)
+    gold = G.read_version(spark, layout.gold("mart_audiobook_candidates"))
+    mart = G.read_version(spark, layout.gold("mart_genre_performance"))
+    pairs = {"top_candidates": report.top_candidates(gold, 10),
+             "best_per_genre": report.best_per_genre(gold, DEFAULT.excluded_genres),
+             "genre_strategy": report.genre_strategy(mart)}
+    for name, df in pairs.items():
+        cols = sorted(df.columns)
+        assert sorted(map(tuple, analyst.run(spark, name).select(cols).collect())) == \
+            sorted(map(tuple, df.select(cols).collect())), name
+    lq = {r.layer: r.total_records for r in analyst.run(spark, "layer_quality").collect()}
+    assert lq == {"bronze_books": 14, "silver_books": 10, "gold_candidates": 7}
+
     h = hashlib.sha256(b"u1").hexdigest()
     erased = L.rebuild_after_erasure(spark, layout, [h])
     assert spark.read.parquet(erased.bronze("reviews")).filter("user_id = 'u1'").count() == 0
