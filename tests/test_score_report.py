@@ -218,3 +218,33 @@ def test_null_group_is_ranked(spark):
     out = {r.id: (r.gr, r.ar) for r in
            score.with_ranks(df, "s", ["g"], rank_col="gr", global_rank_col="ar").collect()}
     assert out == {"1": (2, 3), "2": (1, 1), "3": (1, 2)}
+
+
+def test_hot_keys_a_third_of_rows(spark):
+    """One book holds a third of the reviews; one (genre, score) pair a third of the items."""
+    n = 600
+    reviews = [(f"r{i}", "hot" if i % 3 == 0 else f"b{i % 50}", 1 + i % 5) for i in range(n)]
+    df = spark.createDataFrame(reviews, "review_id string, book_id string, rating int") \
+        .withColumn("sentiment", F.when(F.col("rating") >= 4, "positive")
+                    .when(F.col("rating") == 3, "neutral").otherwise("negative")) \
+        .withColumn("review_date", F.lit(None).cast("date")).repartition(6)
+    hot = [r for r in enrich.review_metrics(df).collect() if r.book_id == "hot"][0]
+    assert hot.total_reviews == n // 3
+    assert hot.avg_review_rating == round(sum(1 + i % 5 for i in range(0, n, 3)) / (n // 3), 2)
+
+    items = [(str(i), "g1" if i % 3 == 0 else f"g{i % 4}", 0.5 if i % 3 == 0 else (i % 7) / 10)
+             for i in range(n)]
+    sdf = spark.createDataFrame(items, "id string, g string, s double").repartition(6)
+    old = spark.conf.get("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes")
+    spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "1k")
+    try:
+        got = {r.id: (r.gr, r.ar) for r in
+               score.with_ranks(sdf, "s", ["g"], rank_col="gr", global_rank_col="ar").collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", old)
+    want = {}
+    for i, g, s in items:
+        gr = 1 + sum(1 for _, g2, s2 in items if g2 == g and s2 > s)
+        ar = 1 + sum(1 for _, _, s2 in items if s2 > s)
+        want[i] = (gr, ar)
+    assert got == want
