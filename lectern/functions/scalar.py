@@ -186,6 +186,11 @@ def first_result(array_col) -> Column:
     return F.get(_c(array_col), 0)
 
 
+def variant_field(variant_col, path: str, dtype: str) -> Column:
+    """Typed field of a VARIANT (``$.a.b``); a missing or mistyped value is NULL."""
+    return F.try_variant_get(_c(variant_col), path, dtype)
+
+
 def map_value(map_col, key: str) -> Column:
     """``map[key]`` with NULL for a missing key (``try_element_at``)."""
     return F.try_element_at(_c(map_col), F.lit(key))

@@ -50,6 +50,9 @@ class IngestSpec:
     max_files_per_trigger: int | None = None
     clean_source: str | None = None
     archive_dir: str | None = None
+    # S10 fallback for heavy schema drift: land each line whole as one VARIANT
+    # column (no inference, no flattening; read fields with try_variant_get).
+    variant_column: str | None = None
 
 
 @dataclass
@@ -139,8 +142,14 @@ def _schema(spark: SparkSession, spec: IngestSpec) -> T.StructType:
 
 def stream_frame(spark: SparkSession, spec: IngestSpec, batch_id: str) -> DataFrame:
     """The streaming plan of one dataset (exposed for tests and ``explain``)."""
-    schema = jsonl.with_corrupt_column(_schema(spark, spec))
+    if spec.variant_column:
+        schema = T.StructType([T.StructField(spec.variant_column, T.VariantType()),
+                               T.StructField(jsonl.CORRUPT, T.StringType())])
+    else:
+        schema = jsonl.with_corrupt_column(_schema(spark, spec))
     reader = spark.readStream.schema(schema)
+    if spec.variant_column:
+        reader = reader.option("singleVariantColumn", spec.variant_column)
     if spec.max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(spec.max_files_per_trigger))
     if spec.clean_source:
@@ -154,7 +163,7 @@ def stream_frame(spark: SparkSession, spec: IngestSpec, batch_id: str) -> DataFr
            .options(**spec.options)
            .json(spec.source)
            .filter(~F.col("_metadata.file_name").endswith(jsonl.SAMPLE_SUFFIX)))
-    shaped = jsonl.shape_bronze(raw, spec.struct_col, spec.key)
+    shaped = raw if spec.variant_column else jsonl.shape_bronze(raw, spec.struct_col, spec.key)
     return jsonl.add_audit_columns(shaped, batch_id)
 
 

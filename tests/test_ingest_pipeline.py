@@ -202,3 +202,20 @@ def test_bounded_batches_and_archive(spark, tmp_path):
     assert I.read_bronze(spark, spec.target).count() == 8
     write_jsonl(src, "p9.json", [book("99")])
     assert I.ingest_incremental(spark, spec, "b2").rows_added == 1
+
+
+def test_variant_landing_keeps_drifting_rows(spark, tmp_path):
+    from lectern.functions import scalar as S
+    src = tmp_path / "src"
+    write_jsonl(src, "a.json", [{"book_id": "1", "genres": {"fiction": 3}}],
+                raw_lines=["not json"])
+    write_jsonl(src, "b.json", [{"book_id": 2, "genres": "fiction", "extra": [1]}])
+    spec = I.IngestSpec("genres", str(src), str(tmp_path / "bronze"), str(tmp_path / "ck"),
+                        variant_column="raw")
+    assert I.ingest_incremental(spark, spec, "b1").rows_added == 3
+    df = I.read_bronze(spark, spec.target)
+    rows = sorted(df.select(S.variant_field("raw", "$.book_id", "string").alias("id"),
+                            S.variant_field("raw", "$.genres.fiction", "int").alias("f"),
+                            jsonl.CORRUPT).collect(), key=lambda r: str(r.id))
+    assert [(r.id, r.f) for r in rows] == [("1", 3), ("2", None), (None, None)]
+    assert rows[2][jsonl.CORRUPT] == "not json"
