@@ -446,8 +446,9 @@ def q_snapshot_history(i: Inputs) -> DataFrame:
     governance.write_snapshot(i.raw_reviews.select("review_id", "book_id", "user_id"),
                               bronze_root, "WRITE")
     governance.erase_and_commit(i.spark, bronze_root, V.SUBJECT_HASHES)
-    h1 = governance.history(i.spark, root).withColumn("table", F.lit("gold_candidates"))
-    h2 = governance.history(i.spark, bronze_root).withColumn("table", F.lit("bronze_reviews"))
+    h1 = governance.history(i.spark, root).withColumn("table_name", F.lit("gold_candidates"))
+    h2 = governance.history(i.spark, bronze_root).withColumn("table_name",
+                                                              F.lit("bronze_reviews"))
     return h1.unionByName(h2).drop("timestamp")
 
 

@@ -518,3 +518,15 @@ FROM events
 WHERE starts_with(event_type, 'c') AND ts > TIMESTAMP '2024-01-15 00:00:00'
 ORDER BY event_time DESC, "user" ASC""")
 _q("ingest_incremental", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
+_q("snapshot_history", f"""
+SELECT CAST(0 AS BIGINT) AS version, 'CREATE OR REPLACE' AS operation,
+       (SELECT count(*) FROM candidates) AS "rows", 'gold_candidates' AS table_name
+UNION ALL
+SELECT CAST(1 AS BIGINT), 'WRITE', (SELECT count(*) FROM candidates), 'gold_candidates'
+UNION ALL
+SELECT CAST(0 AS BIGINT), 'WRITE', (SELECT count(*) FROM raw_reviews), 'bronze_reviews'
+UNION ALL
+SELECT CAST(1 AS BIGINT), 'DELETE',
+       (SELECT count(*) FROM raw_reviews
+        WHERE sha256(user_id) IS NULL OR sha256(user_id) NOT IN {_SUBJECTS}), 'bronze_reviews'
+""", "candidates", "raw_reviews")
