@@ -21,9 +21,11 @@ from ..functions import scalar as S
 # Retention per layer in days (bronze 90, silver 30, gold 7).
 RETENTION_DAYS = {"bronze": 90, "silver": 30, "gold": 7}
 
-# Erasure lists up to this many hashes are inlined as an IN-set literal; a
-# longer list becomes a broadcast anti join (its size is known: len(list)).
+# Erasure lists up to INLINE_HASHES are inlined as an IN-set literal; up to
+# BROADCAST_HASHES (64-char hex each: ~100 MB) they are a broadcast anti join,
+# the size being known from len(list); beyond that a shuffled anti join.
 INLINE_HASHES = 10_000
+BROADCAST_HASHES = 1_000_000
 
 
 # --- G1 / G2 ----------------------------------------------------------------
@@ -34,16 +36,27 @@ def subject_lookup(df: DataFrame, hashes: Sequence[str], id_col: str = "user_id"
     return df.filter(S.hash_id(id_col, salt).isin(*hashes))
 
 
-def erase_subjects(df: DataFrame, hashes: Sequence[str], id_col: str = "user_id",
+def erase_subjects(df: DataFrame, hashes: Sequence[str] | DataFrame, id_col: str = "user_id",
                    salt: str | None = None) -> DataFrame:
-    """Every row except the subjects' (NULL ids are kept: they name nobody)."""
+    """Every row except the subjects' (NULL ids are kept: they name nobody).
+
+    ``hashes`` is a list (inlined or broadcast by its known size) or a
+    DataFrame with an ``_erase_hash`` column (a shuffled anti join; AQE may
+    still broadcast it when its measured size is small).
+    """
+    if isinstance(hashes, DataFrame):
+        return (df.withColumn("_h", S.hash_id(id_col, salt))
+                .join(hashes.select("_erase_hash"), F.col("_h") == F.col("_erase_hash"),
+                      "left_anti").drop("_h"))
     h = S.hash_id(id_col, salt)
     if len(hashes) <= INLINE_HASHES:
         return df.filter(h.isNull() | ~h.isin(*hashes))
     spark = df.sparkSession
     req = spark.createDataFrame([(x,) for x in hashes], "_erase_hash string")
+    if len(hashes) <= BROADCAST_HASHES:
+        req = F.broadcast(req)
     return (df.withColumn("_h", h)
-            .join(F.broadcast(req), F.col("_h") == F.col("_erase_hash"), "left_anti")
+            .join(req, F.col("_h") == F.col("_erase_hash"), "left_anti")
             .drop("_h"))
 
 

@@ -163,3 +163,9 @@ def test_retention_by_layer_and_share(spark):
     assert G.shareable(df, ["genre"]) is df
     with pytest.raises(ValueError):
         G.shareable(df.withColumn("book_id", F.lit("1")), ["genre"])
+
+
+def test_erasure_by_request_table(spark):
+    df = spark.createDataFrame([("r1", "b", "7", 5), ("r2", "b", "8", 4)], REVIEWS)
+    req = spark.createDataFrame([(hashlib.sha256(b"8").hexdigest(),)], "_erase_hash string")
+    assert [r.review_id for r in G.erase_subjects(df, req).collect()] == ["r1"]
