@@ -108,12 +108,17 @@ def rank_table(df: DataFrame, score: str, groups: Sequence[str] = (),
 def with_ranks(df: DataFrame, score: str, groups: Sequence[str] = (),
                rank_col: str = "rank", global_rank_col: str | None = None,
                broadcast_table: bool = False) -> DataFrame:
-    """Attach histogram ranks to every row (equi-join on groups + score)."""
+    """Attach histogram ranks to every row (equi-join on groups + score).
+
+    ``broadcast_table`` is honoured only without ``groups``: a score-only
+    histogram is bounded by the number of distinct rounded scores, a grouped
+    one grows with the number of groups and is left to AQE's measured choice.
+    """
     keys = [*groups, score]
     table = rank_table(df, score, groups, rank_col, global_rank_col)
     table = table.select(*[F.col(k).alias(f"_r_{k}") for k in keys],
                          *[c for c in table.columns if c not in keys])
-    if broadcast_table:
+    if broadcast_table and not groups:
         table = F.broadcast(table)
     # Null-safe on every key: a NULL group is its own partition, as in SQL RANK.
     cond = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
