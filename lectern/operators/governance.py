@@ -1,7 +1,7 @@
 """Privacy and compliance jobs on tables.
 
 Versioned tables are plain Parquet folders: ``<root>/data/snapshot_id=N/`` per
-version plus a commits log ``<root>/_commits/`` (one small Parquet file per
+version plus a commits log ``<root>/commit_log/`` (one small Parquet file per
 commit).  Reading "as of" a version is a partition filter, so Spark prunes
 every other version's files; retention drops whole partition folders.  The
 root should live on shared storage (e.g. under ``spark.checkpoint.dir``).
@@ -107,10 +107,10 @@ def _fs(spark: SparkSession, path: str):
 
 
 def _commits(spark: SparkSession, root: str) -> DataFrame:
-    fs, p = _fs(spark, f"{root}/_commits")
+    fs, p = _fs(spark, f"{root}/commit_log")
     if not fs.exists(p):
         return spark.createDataFrame([], COMMIT_SCHEMA)
-    return spark.read.schema(COMMIT_SCHEMA).parquet(f"{root}/_commits")
+    return spark.read.schema(COMMIT_SCHEMA).parquet(f"{root}/commit_log")
 
 
 def latest_version(spark: SparkSession, root: str) -> int:
@@ -136,7 +136,7 @@ def write_snapshot(df: DataFrame, root: str, operation: str = "WRITE",
     rows = int(obs.get.get("rows", 0))
     when = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     (spark.createDataFrame([(version, when, operation, rows)], COMMIT_SCHEMA)
-     .coalesce(1).write.mode("append").parquet(f"{root}/_commits"))
+     .coalesce(1).write.mode("append").parquet(f"{root}/commit_log"))
     return version
 
 
