@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -35,14 +34,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting one only when unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared store (HDFS, object
-    store) and is used as is.  Only a session without it (local tests) gets a
-    fresh folder under the system temp dir.
+    store) and is used as is.  A session without it gets a fresh folder under
+    ``spark.sql.warehouse.dir``, which driver and executors share as well; a
+    machine-local temp folder is never used.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = spark.sparkContext.getCheckpointDir()
     if not current:
-        current = tempfile.mkdtemp(prefix="lectern-ckpt-")
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        current = f"{warehouse}/_scratch/{uuid.uuid4().hex}"
         spark.conf.set("spark.checkpoint.dir", current)
         spark.sparkContext.setCheckpointDir(current)
     elif not spark.sparkContext.getCheckpointDir():
