@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,6 +67,28 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
+def _word_bytes() -> np.ndarray:
+    table = np.arange(256, dtype=np.uint8)
+    table[65:91] += 32
+    table[9:14] = 32
+    return table
+
+
+#: A-Z in lower case, ASCII white space as blanks; bytes of other characters as they are.
+WORD_BYTES = _word_bytes()
+
+
+def split_words(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Words of all texts (A-Z lower-cased, cut at ASCII white space) and the text that each is in."""
+    data, ends = text_buffer(column)
+    plain = pa.LargeStringArray.from_buffers(len(ends) - 1, pa.py_buffer(ends.astype(np.int64)),
+                                             pa.py_buffer(WORD_BYTES[data]))
+    lists = pc.split_pattern(plain, " ")
+    words, parent = lists.flatten(), pc.list_parent_indices(lists).to_numpy()
+    some = pc.greater(pc.binary_length(words), 0)
+    return words.filter(some), parent[some.to_numpy(zero_copy_only=False)]
+
+
 def sliced(batches: Iterator[pa.RecordBatch], text: str, most: int) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about ``most`` text bytes (a longer text comes alone)."""
     for batch in batches:

@@ -25,10 +25,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import names_free
+from .common import Scratch, names_free
 
 #: Bins of the rank at each of two steps, a power of two.
 BINS = 4096
+#: Per-source tables of at most so many rows are broadcast; larger ones are joined by source and salt.
+BROADCAST_SOURCES = 100_000
+SALTS = 32
 RESULTS = ("source_size", "target", "copies", "taken")
 
 
@@ -87,7 +90,10 @@ def mix(docs: DataFrame, size: Column, id_col: str = "doc_id", source_col: str =
         targets = targets.join(mass, F.col("__source").eqNullSafe(F.col("__m"))).drop("__m")
     else:
         targets = targets.withColumn("__mass", F.col("source_size").cast("double"))
-    rows = _ranked(sized, targets, float(max_copies))
+    work = Scratch(docs.sparkSession, "mixing")
+    targets = work.write(targets, "targets")
+    few = targets.count() <= BROADCAST_SOURCES
+    rows = _ranked(sized, targets, few, float(max_copies))
 
     # Step 1: the bin of the rank in which a source's residual target is met.
     open_size = F.when(F.col("__p") > 0, F.col("__size")).otherwise(F.lit(0))
@@ -96,17 +102,17 @@ def mix(docs: DataFrame, size: Column, id_col: str = "doc_id", source_col: str =
         F.max("target").alias("__target"))
     per_source = Window.partitionBy("__key")
     bins = bins.withColumn("__rest", F.col("__target") - F.sum("__sure").over(per_source))
-    first = _cut(bins, "__b1", F.lit(0)).select(
-        F.col("__k").alias("__k1"), F.col("__cut.bin").alias("__c1"), F.col("__cut.start").alias("__s1"),
-        F.col("__cut.rest").alias("__rest"))
-    rows = rows.join(first, F.col("__key").eqNullSafe(F.col("__k1")), "left").drop("__k1")
+    first = work.write(_cut(bins, "__b1", F.lit(0)).select(
+        "__source", F.col("__cut.bin").alias("__c1"), F.col("__cut.start").alias("__s1"),
+        F.col("__cut.rest").alias("__rest")), "first")
+    rows = _by_source(rows, first, few, "left")
 
     # Step 2: the same inside that bin.
     inner = rows.filter((F.col("__b1") == F.col("__c1")) & (F.col("__p") > 0)).groupBy("__key", "__b2").agg(
         F.sum("__size").alias("__n"), F.max("__s1").alias("__s"), F.max("__rest").alias("__rest"))
-    second = _cut(inner, "__b2", F.col("__s")).select(
-        F.col("__k").alias("__k2"), F.col("__cut.bin").alias("__c2"), F.col("__cut.start").alias("__s2"))
-    rows = rows.join(second, F.col("__key").eqNullSafe(F.col("__k2")), "left").drop("__k2")
+    second = work.write(_cut(inner, "__b2", F.col("__s")).select(
+        "__source", F.col("__cut.bin").alias("__c2"), F.col("__cut.start").alias("__s2")), "second")
+    rows = _by_source(rows, second, few, "left")
 
     # Step 3: rank only the rows of the part where the cut falls.
     split = (F.col("__p") > 0) & F.col("__c1").isNotNull() & (F.col("__b2") == F.col("__c2"))
@@ -122,9 +128,23 @@ def mix(docs: DataFrame, size: Column, id_col: str = "doc_id", source_col: str =
                         (F.col("copies") * F.col("__size")).cast("long").alias("taken"))
 
 
-def _ranked(rows: DataFrame, targets: DataFrame, most: float) -> DataFrame:
+def _by_source(rows: DataFrame, per: DataFrame, few: bool, how: str = "inner") -> DataFrame:
+    """``rows`` with the columns of a table that has one row per source at most.
+
+    A counted, small table is broadcast; a larger one is joined on source and salt, so a source with a third of
+    the rows is dealt over ``SALTS`` tasks.
+    """
+    if few:
+        return rows.join(F.broadcast(per), F.col("__key").eqNullSafe(F.col("__source")), how).drop("__source")
+    rows = rows.withColumn("__salt", F.floor(F.col("__u") * SALTS).cast("int"))
+    per = per.withColumn("__with", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    same = F.col("__key").eqNullSafe(F.col("__source")) & (F.col("__salt") == F.col("__with"))
+    return rows.join(per, same, how).drop("__source", "__salt", "__with")
+
+
+def _ranked(rows: DataFrame, targets: DataFrame, few: bool, most: float) -> DataFrame:
     """Rows with whole copies, inclusion probability, Pareto rank ``__z`` = Q / (1 + Q) and its bins."""
-    rows = rows.join(targets, F.col("__key").eqNullSafe(F.col("__source"))).drop("__source")
+    rows = _by_source(rows, targets, few)
     hope = F.when(F.col("__mass") > 0, F.col("target") / F.col("__mass") * F.col("__pref")).otherwise(F.lit(0.0))
     rows = rows.withColumn("__hope", F.least(hope, F.lit(most)))
     rows = rows.withColumn("__whole", F.floor("__hope")).withColumn("__p", F.col("__hope") - F.col("__whole"))
@@ -141,4 +161,4 @@ def _cut(bins: DataFrame, bin_col: str, start: Column) -> DataFrame:
     past = bins.withColumn("__end", start + F.sum("__n").over(upto)).filter(F.col("__end") > F.col("__rest"))
     found = F.struct(F.col(bin_col).alias("bin"), (F.col("__end") - F.col("__n")).alias("start"),
                      F.col("__rest").alias("rest"))
-    return past.groupBy(F.col("__key").alias("__k")).agg(F.min(found).alias("__cut"))
+    return past.groupBy(F.col("__key").alias("__source")).agg(F.min(found).alias("__cut"))

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact, mixing, shard
-from .common import Scratch, documents, words
+from . import exact, langid, mixing, packing, ppm, shard, simhash
+from .common import Scratch, documents, fold, words
 
 #: Production parameters of op 1.
 SHARDS = tuple(f"shard-{i:03d}" for i in range(64))
@@ -20,6 +20,23 @@ def op1_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard.assign_shards(documents(spark, sf_dir).select("doc_id"), ["doc_id"], SHARDS, SLOTS)
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents: 3-word shingles, at most 3 differing bits."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return simhash.near_duplicates(docs, shingle=3, radius=3).select("doc_id", "fingerprint", "component_id")
+
+
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from those that aren't held out."""
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang").withColumn("held_out", fold("doc_id", 2, 4))
+    return langid.identify(docs, ~F.col("held_out")).select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op4_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 2048 tokens."""
+    return packing.pack(documents(spark, sf_dir).select("doc_id", "text"), vocabulary="word_bpe_49k.json", capacity=2048)
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of identical texts over all documents."""
     docs = documents(spark, sf_dir)
@@ -27,6 +44,12 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op7_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents by a PPM model and by a unigram model of the training documents."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return ppm.score_texts(docs, fold("doc_id", 2, 7), columns=["doc_id"])
+
+
 def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mix of all sources: words taken of every document."""
     docs = documents(spark, sf_dir).select("doc_id", "source", words(F.col("text")).alias("size"))
@@ -35,7 +58,8 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_shard, op5_exact_dedup, op10_mix)}
+    f.__name__: f for f in (
+        op1_shard, op2_simhash, op3_language, op4_pack, op5_exact_dedup, op7_ppm, op10_mix)}
 
 
 def _sql_op1() -> str:
