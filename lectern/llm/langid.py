@@ -143,7 +143,7 @@ def _has_letter(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return found
 
 
-def _predict(text_col: str, references: tuple[tuple[str, bytes], ...]):
+def _predict(text_col: str, references: tuple[tuple[str, bytes], ...], keep_text: bool = False):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [name for name, _ in references]
         for batch in sliced(batches, text_col, 16 << 20):
@@ -160,7 +160,7 @@ def _predict(text_col: str, references: tuple[tuple[str, bytes], ...]):
                 odds = np.exp2(-np.minimum(gap, 1000)).sum(axis=0)
                 lang[known] = np.array(names, object)[best[known]]
                 score[known] = 1 / odds[known]
-            kept = [(f.name, batch.column(i)) for i, f in enumerate(batch.schema) if f.name != text_col]
+            kept = [(f.name, batch.column(i)) for i, f in enumerate(batch.schema) if keep_text or f.name != text_col]
             yield pa.RecordBatch.from_arrays([*[c for _, c in kept], pa.array(lang, pa.string()), pa.array(score)],
                                              [*[n for n, _ in kept], *RESULTS])
     return run
@@ -198,9 +198,6 @@ def identify(docs: DataFrame, learn_from: Column, id_col: str = "doc_id", text_c
     """
     model = references(docs.filter(learn_from), id_col, text_col, lang_col)
     docs = names_free(docs, *RESULTS)
-    if keep_text:
-        docs = docs.withColumn("__text", F.col(text_col))
-        text_col = "__text"
-    kept = [f for f in docs.schema.fields if f.name != text_col]
+    kept = [f for f in docs.schema.fields if keep_text or f.name != text_col]
     schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in kept], "lang_pred string, score double"])
-    return docs.mapInArrow(_predict(text_col, model), schema)
+    return docs.mapInArrow(_predict(text_col, model, keep_text), schema)

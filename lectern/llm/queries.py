@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact, langid, mixing, packing, ppm, shard, simhash
+from . import exact, fingerprints, langid, mixing, packing, ppm, repeats, secret_scan, shard, simhash
 from .common import Scratch, documents, fold, words
 
 #: Production parameters of op 1.
@@ -44,12 +44,34 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the bytes of strings of 400 bytes that occur more than once."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return repeats.remove_repeats(docs, length=400, keep_bytes=False).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op7_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of all documents by a PPM model and by a unigram model of the training documents."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
     return ppm.score_texts(docs, fold("doc_id", 2, 7), columns=["doc_id"])
 
 
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all documents."""
+    found = secret_scan.find_secrets(documents(spark, sf_dir).select("doc_id", "text"))
+    count = lambda n: F.size(F.filter("spans", lambda s: s["kind"] == n)).cast("long")
+    base = secret_scan.spelled(F.filter("spans", lambda s: s["kind"] < 3))
+    return found.select("doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
+                        F.sha2(F.encode(base, "UTF-8"), 256).alias("base_sha256"),
+                        secret_scan.spelled(F.col("spans")).alias("spans"))
+
+
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts."""
+    return fingerprints.fingerprint(documents(spark, sf_dir).select("doc_id", "text"), columns=["doc_id"])
+
+
 def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mix of all sources: words taken of every document."""
     docs = documents(spark, sf_dir).select("doc_id", "source", words(F.col("text")).alias("size"))
@@ -59,7 +81,8 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_shard, op2_simhash, op3_language, op4_pack, op5_exact_dedup, op7_ppm, op10_mix)}
+        op1_shard, op2_simhash, op3_language, op4_pack, op5_exact_dedup, op6_repeats, op7_ppm, op8_secrets,
+        op9_fingerprints, op10_mix)}
 
 
 def _sql_op1() -> str:
