@@ -37,7 +37,8 @@ COMMON = 1 << 20
 BLOCK = 4096
 END = 256
 SYMBOLS = 257
-SLICE = 8 << 20
+#: Bytes of text looked at together (counting holds some fifty bytes per byte of text).
+SLICE, COUNT_SLICE = 4 << 20, 1 << 20
 RESULTS = ("held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
@@ -69,13 +70,16 @@ def _count_contexts(text_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, counts = [], []
         emit = lambda: pa.RecordBatch.from_arrays([pa.array(x) for x in _merged(codes, counts)], ["code", "n"])
-        for batch in sliced(batches, text_col, SLICE):
+        for batch in sliced(batches, text_col, COUNT_SLICE):
             unique, n = np.unique(context_codes(*text_buffer(batch.column(text_col))), return_counts=True)
             codes.append(unique)
             counts.append(n)
-            if sum(map(len, codes)) > 2_000_000:
-                yield emit()
-                codes, counts = [], []
+            if sum(map(len, codes)) > 1_000_000:
+                merged = _merged(codes, counts)
+                codes, counts = [merged[0]], [merged[1]]
+                if len(merged[0]) > 500_000:
+                    yield emit()
+                    codes, counts = [], []
         if codes:
             yield emit()
     return run
@@ -83,7 +87,7 @@ def _count_contexts(text_col: str):
 
 def _count_words(text_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches, text_col, 2 * SLICE):
+        for batch in sliced(batches, text_col, SLICE):
             words, _ = split_words(batch.column(text_col))
             found = words.value_counts()
             yield pa.RecordBatch.from_arrays([found.field("values").cast(pa.string()), found.field("counts")], ["word", "n"])
