@@ -26,24 +26,23 @@ def _opt(df: DataFrame, name: str, dtype: str = "string") -> Column:
     return F.lit(None).cast(dtype)
 
 
-def row_tiebreak(df: DataFrame, exclude: Sequence[str] = ()) -> Column:
-    """Deterministic last-resort order: a 64-bit hash of every other column."""
-    cols = [F.col(f"`{c}`") for c in df.columns if c not in set(exclude)]
-    return F.xxhash64(*cols)
+#: Audit column with a hash of the raw record: narrow, the same when a file is landed again.
+ROW_HASH = "_row_hash"
 
 
-def dedup(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
-          tiebreak: bool = True) -> DataFrame:
+def row_tiebreak(df: DataFrame) -> list[Column]:
+    """Last-resort order of a table: its raw-record hash, where ingest has kept one."""
+    return [F.col(ROW_HASH).asc()] if ROW_HASH in df.columns else []
+
+
+def dedup(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """Keep one row per ``keys``: the first under ``order``.
 
-    ``order`` is a list of sort expressions.  With ``tiebreak`` a row hash is
-    appended, so the kept row does not depend on input order even when the
-    given ordering ties (a bootstrap batch shares one ingestion time).
+    ``order`` is a list of sort expressions; rows that tie in all of them are told apart by the raw-record hash
+    (a bootstrap batch shares one ingestion time), so the kept row does not depend on input order.  Only keys
+    and order columns are needed besides what the caller selects.
     """
-    full = list(order)
-    if tiebreak:
-        full.append(row_tiebreak(df).asc())
-    w = Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(*full)
+    w = Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(*order, *row_tiebreak(df))
     return (df.withColumn("_dedup_rn", F.row_number().over(w))
             .filter(F.col("_dedup_rn") == 1).drop("_dedup_rn"))
 
@@ -61,13 +60,12 @@ def dedup_by_metric(df: DataFrame, keys: Sequence[str], metric: Column,
 
 
 def items_order_latest() -> list[Column]:
-    return [F.col("_ingestion_timestamp").desc_nulls_last(),
-            S.clean_numeric("ratings_count", "bigint").desc_nulls_last()]
+    """Order of typed items: the latest, then the most rated."""
+    return [F.col("_ingestion_timestamp").desc_nulls_last(), F.col("ratings_count").desc_nulls_last()]
 
 
 def items_order_most_rated() -> list[Column]:
-    return [S.clean_numeric("ratings_count", "bigint").desc_nulls_last(),
-            F.col("_ingestion_timestamp").desc_nulls_last()]
+    return [F.col("ratings_count").desc_nulls_last(), F.col("_ingestion_timestamp").desc_nulls_last()]
 
 
 def typed_items(raw: DataFrame, cfg: ScoringConfig = DEFAULT) -> DataFrame:
@@ -85,6 +83,7 @@ def typed_items(raw: DataFrame, cfg: ScoringConfig = DEFAULT) -> DataFrame:
         S.first_field("popular_shelves", "name").alias("shelf_genre"),
         S.quality_flag(rc, cfg).alias("data_quality_flag"),
         _opt(raw, "_ingestion_timestamp", "timestamp").alias("_ingestion_timestamp"),
+        *[F.col(ROW_HASH) for c in raw.columns if c == ROW_HASH],
     )
 
 
@@ -97,11 +96,14 @@ def valid_items(typed: DataFrame) -> DataFrame:
 
 def silver_items(raw: DataFrame, cfg: ScoringConfig = DEFAULT,
                  order: Sequence[Column] | None = None) -> DataFrame:
-    """stg_books: dedup *then* validate (a kept invalid version drops the id)."""
-    d = dedup(raw.filter(F.col("book_id").isNotNull()), ["book_id"],
-              order if order is not None else items_order_latest())
-    return valid_items(typed_items(d, cfg)).withColumn(
-        "_silver_timestamp", F.current_timestamp())
+    """stg_books: dedup *then* validate (a kept invalid version drops the id).
+
+    Columns are typed and projected before the window, so it carries the columns of Silver and nothing else of the raw
+    record; ``order`` sorts typed rows.
+    """
+    typed = typed_items(raw.filter(F.col("book_id").isNotNull()), cfg)
+    kept = dedup(typed, ["book_id"], order if order is not None else items_order_latest())
+    return valid_items(kept).drop(ROW_HASH).withColumn("_silver_timestamp", F.current_timestamp())
 
 
 def valid_reviews(raw: DataFrame) -> DataFrame:

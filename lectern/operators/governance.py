@@ -1,9 +1,8 @@
 """Privacy and compliance jobs on tables.
 
-Versioned tables are plain Parquet folders: ``<root>/data/snapshot_id=N/`` per
-version plus a commits log ``<root>/commit_log/`` (one small Parquet file per
-commit).  Reading "as of" a version is a partition filter, so Spark prunes
-every other version's files; retention drops whole partition folders.  The
+Versions of a table are plain Parquet folders, ``<root>/data/snapshot_id=N/``, and a
+list of them, ``<root>/commit_log/``.  A version is read from its own folder;
+retention drops whole folders.  This is no table format: one writer at a time.  The
 root should live on shared storage (e.g. under ``spark.checkpoint.dir``).
 """
 
@@ -21,43 +20,41 @@ from ..functions import scalar as S
 # Retention per layer in days (bronze 90, silver 30, gold 7).
 RETENTION_DAYS = {"bronze": 90, "silver": 30, "gold": 7}
 
-# Erasure lists up to INLINE_HASHES are inlined as an IN-set literal; up to
-# BROADCAST_HASHES (64-char hex each: ~100 MB) they are a broadcast anti join,
-# the size being known from len(list); beyond that a shuffled anti join.
-INLINE_HASHES = 10_000
-BROADCAST_HASHES = 1_000_000
-
 
 # --- G1 / G2 ----------------------------------------------------------------
 
-def subject_lookup(df: DataFrame, hashes: Sequence[str], id_col: str = "user_id",
+def request_table(spark: SparkSession, hashes: Sequence[str | None] | DataFrame) -> DataFrame:
+    """``_erase_hash``: one lower-case hash per named subject.
+
+    ``hashes`` is a list or a DataFrame with that column.  A NULL names nobody and is left out; hashes
+    match whatever case they were written in.
+    """
+    if not isinstance(hashes, DataFrame):
+        hashes = spark.createDataFrame([(h,) for h in hashes], "_erase_hash string")
+    return (hashes.select(F.lower("_erase_hash").alias("_erase_hash"))
+            .filter(F.col("_erase_hash").isNotNull()).distinct())
+
+
+def _by_request(df: DataFrame, hashes, id_col: str, salt: str | None, how: str) -> DataFrame:
+    req = request_table(df.sparkSession, hashes)
+    return (df.withColumn("_h", S.hash_id(id_col, salt))
+            .join(req, F.col("_h") == F.col("_erase_hash"), how).drop("_h"))
+
+
+def subject_lookup(df: DataFrame, hashes: Sequence[str | None] | DataFrame, id_col: str = "user_id",
                    salt: str | None = None) -> DataFrame:
     """G1: rows of the given subjects, matched by the hash of the raw id."""
-    return df.filter(S.hash_id(id_col, salt).isin(*hashes))
+    return _by_request(df, hashes, id_col, salt, "left_semi")
 
 
-def erase_subjects(df: DataFrame, hashes: Sequence[str] | DataFrame, id_col: str = "user_id",
+def erase_subjects(df: DataFrame, hashes: Sequence[str | None] | DataFrame, id_col: str = "user_id",
                    salt: str | None = None) -> DataFrame:
-    """Every row except the subjects' (NULL ids are kept: they name nobody).
+    """Every row except the subjects' (rows with a NULL id are kept: they name nobody).
 
-    ``hashes`` is a list (inlined or broadcast by its known size) or a
-    DataFrame with an ``_erase_hash`` column (a shuffled anti join; AQE may
-    still broadcast it when its measured size is small).
+    One path for any number of requests: an anti join with the request table, which AQE broadcasts when
+    its measured size is small.
     """
-    if isinstance(hashes, DataFrame):
-        return (df.withColumn("_h", S.hash_id(id_col, salt))
-                .join(hashes.select("_erase_hash"), F.col("_h") == F.col("_erase_hash"),
-                      "left_anti").drop("_h"))
-    h = S.hash_id(id_col, salt)
-    if len(hashes) <= INLINE_HASHES:
-        return df.filter(h.isNull() | ~h.isin(*hashes))
-    spark = df.sparkSession
-    req = spark.createDataFrame([(x,) for x in hashes], "_erase_hash string")
-    if len(hashes) <= BROADCAST_HASHES:
-        req = F.broadcast(req)
-    return (df.withColumn("_h", h)
-            .join(req, F.col("_h") == F.col("_erase_hash"), "left_anti")
-            .drop("_h"))
+    return _by_request(df, hashes, id_col, salt, "left_anti")
 
 
 # --- F16 ------------------------------------------------------------------
@@ -79,16 +76,20 @@ def assert_no_columns(df: DataFrame, forbidden: Sequence[str], layer: str) -> Da
 
 # --- G5 ---------------------------------------------------------------------
 
-def audit_log(events: DataFrame, action_prefix: str, since: str,
-              props_schema: str = "k int") -> DataFrame:
-    """Who did what after ``since``: nested request fields, newest first."""
-    parsed = events.withColumn("request_params", F.from_json("props", props_schema))
-    return (parsed.filter(F.col("event_type").startswith(action_prefix)
-                          & (F.col("ts") > F.lit(since).cast("timestamp_ntz")))
-            .select(F.col("user_id").alias("user"), F.col("ts").alias("event_time"),
-                    F.col("event_type").alias("action_name"),
-                    F.col("request_params.k").alias("table_accessed"),
-                    F.col("value"))
+def audit_log(events: DataFrame, prefix: str, since: str, *, prefix_on: str = "table", user: str = "user_id",
+              time: str = "ts", action: str = "event_type", params: str = "props", schema: str = "k int",
+              table: str = "k", extra: Sequence[str] = ("value",)) -> DataFrame:
+    """Who did what after ``since``, newest first.
+
+    ``params`` is the JSON text of a request with the given ``schema``; ``table`` is the (nested, dotted) field that
+    names the table.  The prefix filters that name, or the action with ``prefix_on="action"``.
+    """
+    name = F.col(f"request_params.{table}")
+    parsed = events.withColumn("request_params", F.from_json(params, schema))
+    kept = F.col(action) if prefix_on == "action" else name.cast("string")
+    return (parsed.filter(kept.startswith(prefix) & (F.col(time) > F.lit(since).cast("timestamp_ntz")))
+            .select(F.col(user).alias("user"), F.col(time).alias("event_time"), F.col(action).alias("action_name"),
+                    name.alias("table_accessed"), *extra)
             .orderBy(F.col("event_time").desc(), F.col("user").asc()))
 
 
@@ -106,6 +107,13 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of this deployment, if it is there."""
+    fs, p = _fs(spark, path)
+    if fs.exists(p):
+        fs.delete(p, True)
+
+
 def _commits(spark: SparkSession, root: str) -> DataFrame:
     fs, p = _fs(spark, f"{root}/commit_log")
     if not fs.exists(p):
@@ -146,10 +154,15 @@ def history(spark: SparkSession, root: str) -> DataFrame:
 
 
 def read_version(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
-    """The table as of ``version`` (latest by default); a pruned partition read."""
+    """The table as of ``version`` (latest by default), read from its own folder with its own columns.
+
+    Raises for a version that was never written or that retention removed.
+    """
     v = latest_version(spark, root) if version is None else version
-    return (spark.read.option("basePath", f"{root}/data").parquet(f"{root}/data")
-            .filter(F.col("snapshot_id") == v).drop("snapshot_id"))
+    fs, p = _fs(spark, f"{root}/data/snapshot_id={v}/_SUCCESS")
+    if not fs.exists(p):
+        raise ValueError(f"no version {v} of {root}")
+    return spark.read.parquet(f"{root}/data/snapshot_id={v}")
 
 
 def erase_and_commit(spark: SparkSession, root: str, hashes: Sequence[str],
@@ -194,16 +207,27 @@ def apply_retention(spark: SparkSession, tables: dict[str, tuple[str, str]],
 
 # --- G10 ------------------------------------------------------------------
 
-def shareable(df: DataFrame, group_cols: Sequence[str],
-              forbidden: Sequence[str] = ("user_id", "user_id_hashed", "review_id",
-                                          "book_id", "review_text")) -> DataFrame:
-    """A governed share: only an aggregate keyed by ``group_cols``, no row-level ids.
+#: Aggregates that a share may hold.
+SHARED_AGGREGATES = {"count": F.count, "count_distinct": F.count_distinct, "sum": F.sum, "avg": F.avg,
+                     "min": F.min, "max": F.max}
+IDENTIFIERS = ("user_id", "user_id_hashed", "review_id", "book_id", "review_text")
+
 
-    Raises (at plan time) when an identifier column would be shared or the
-    grouping columns are missing.
+def share(df: DataFrame, group_cols: Sequence[str], aggregates: dict[str, tuple[str, str]],
+          forbidden: Sequence[str] = IDENTIFIERS, min_rows: int = 1) -> DataFrame:
+    """A governed share, built here: ``aggregates`` maps a result to (aggregate, column), per group.
+
+    Row-level data can't pass: only ``SHARED_AGGREGATES`` are computed, identifiers may be counted but not grouped by
+    or shown (min, max), and groups of fewer than ``min_rows`` rows are left out.
     """
-    assert_no_columns(df, forbidden, "shared")
     missing = [c for c in group_cols if c not in df.columns]
     if missing:
         raise ValueError(f"shared view lacks its grouping columns {missing}")
-    return df
+    shown = [*group_cols, *aggregates, *[c for f, c in aggregates.values() if f in ("min", "max", "sum", "avg")]]
+    leaked = [c for c in shown if c in forbidden]
+    unknown = [f for f, _ in aggregates.values() if f not in SHARED_AGGREGATES]
+    if leaked or unknown or not group_cols:
+        raise ValueError(f"not to be shared: {leaked or unknown or 'a table without groups'}")
+    out = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_rows"), *[
+        SHARED_AGGREGATES[f](c).alias(name) for name, (f, c) in aggregates.items()])
+    return out.filter(F.col("_rows") >= min_rows).drop("_rows")

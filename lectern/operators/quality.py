@@ -6,7 +6,8 @@ counts inside a *single* aggregate (one scan, partial aggregation); each
 ``unique`` test is one ``groupBy(col).count() > 1`` (map-side combined, so a
 hot value is one row per task before the shuffle); ``relationships`` is a
 ``left_anti`` join.  The result is a small DataFrame of failures per test;
-``gate`` raises on failed ``error`` tests and lets ``warn`` tests through.
+``gate`` raises on failed ``error`` tests and on tests that could not run, and
+lets ``warn`` tests through.
 """
 
 from __future__ import annotations
@@ -119,13 +120,25 @@ def _counted(model: str, df: DataFrame, tests: Sequence[Test]) -> DataFrame:
     return df.agg(*exprs).select(F.inline(rows))
 
 
+def _runnable(t: Test, tables: Mapping[str, DataFrame]) -> bool:
+    there = t.model in tables and t.column in tables[t.model].columns
+    return there and (t.to_model is None or (t.to_model in tables and t.to_column in tables[t.to_model].columns))
+
+
 def run_tests(tables: Mapping[str, DataFrame], tests: Iterable[Test] | None = None,
               kinds: Sequence[str] | None = None) -> DataFrame:
-    """Evaluate tests whose model is in ``tables``; one row per test."""
-    tests = [t for t in (tests or declared_tests())
-             if t.model in tables and (kinds is None or t.kind in kinds)]
+    """Evaluate ``tests`` (the declared suite by default); one row per test.
+
+    A test whose table or column isn't there is reported with status ``error`` and NULL failures, never
+    left out.
+    """
+    asked = [t for t in (tests if tests is not None else declared_tests()) if kinds is None or t.kind in kinds]
     spark = next(iter(tables.values())).sparkSession
+    tests = [t for t in asked if _runnable(t, tables)]
     parts: list[DataFrame] = []
+    unrun = [(t.name, t.kind, t.model, t.column, t.severity, None) for t in asked if not _runnable(t, tables)]
+    if unrun:
+        parts.append(spark.createDataFrame(unrun, REPORT_SCHEMA))
     by_model: dict[str, list[Test]] = {}
     for t in tests:
         if t.kind in ("not_null", "accepted_values"):
@@ -139,12 +152,12 @@ def run_tests(tables: Mapping[str, DataFrame], tests: Iterable[Test] | None = No
                    .agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
             parts.append(_row(t, dup.agg(F.count(F.lit(1)).alias("failures"))))
         elif t.kind == "relationships":
-            if t.to_model not in tables:
-                continue
-            orph = enrich.orphans(df, tables[t.to_model], t.column, t.to_column)
-            parts.append(_row(t, orph.agg(F.count(F.lit(1)).alias("failures"))))
+            # Children are counted per key first, so a hot key is one row per task in the join.
+            per_key = df.groupBy(t.column).agg(F.count(F.lit(1)).alias("_n"))
+            orph = enrich.orphans(per_key, tables[t.to_model], t.column, t.to_column)
+            parts.append(_row(t, orph.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("failures"))))
     return _union(parts, spark).withColumn(
-        "status", F.when(F.col("failures") == 0, "pass")
+        "status", F.when(F.col("failures").isNull(), "error").when(F.col("failures") == 0, "pass")
         .when(F.col("severity") == "warn", "warn").otherwise("fail"))
 
 
@@ -159,9 +172,10 @@ def gate(report: DataFrame) -> list[dict]:
     bounded by the suite, not by the data.
     """
     rows = [r.asDict() for r in report.collect()]
-    failed = [r for r in rows if r["status"] == "fail"]
+    failed = [r for r in rows if r["status"] in ("fail", "error")]
     if failed:
-        raise DataTestError("; ".join(f"{r['test']}: {r['failures']}" for r in failed))
+        raise DataTestError("; ".join(f"{r['test']}: {'not run' if r['failures'] is None else r['failures']}"
+                                      for r in failed))
     return rows
 
 

@@ -2,8 +2,8 @@
 
 Everything is an aggregate, a per-group top-1 or a bounded top-k.  No report
 orders a whole table: ``orderBy(...).limit(k)`` plans a ``TakeOrderedAndProject``
-(per-partition top-k, then a k-row merge) and the genre rank reuses the
-histogram rank of ``score``.
+(per-partition top-k, then a k-row merge); only aggregates with one row per
+genre or flag are sorted or ranked whole.
 """
 
 from __future__ import annotations
@@ -29,17 +29,14 @@ def _score_without_length(cfg: ScoringConfig) -> Column:
 
 
 def genre_performance(enriched: DataFrame, cfg: ScoringConfig = DEFAULT,
-                      excluded: Sequence[str] | None = None,
-                      items_unique: bool = True) -> DataFrame:
+                      excluded: Sequence[str] | None = None) -> DataFrame:
     """A2 + A3 + W5: genre mart (9 columns).  The average score omits length.
 
-    ``items_unique``: the enriched table is unique by ``book_id`` (de-duplicated
-    and tested by ``dq_unique``), so ``COUNT(DISTINCT book_id)`` equals
-    ``COUNT(book_id)`` and skips the distinct-aggregate expand and its extra
-    shuffle.  Pass False for inputs without that guarantee.
+    One aggregate per genre, then ``RANK`` over its rows: the window holds one row per genre, so it needs no
+    staging, no join and no second pass.
     """
     rows = SC.eligible_items(enriched, cfg, excluded)
-    books = F.count("book_id") if items_unique else F.count_distinct("book_id")
+    books = F.count_distinct("book_id")
     agg = rows.groupBy(F.col("primary_genre").alias("genre")).agg(
         books.alias("total_books"),
         F.round(F.avg("average_rating"), 2).alias("avg_rating"),
@@ -48,8 +45,12 @@ def genre_performance(enriched: DataFrame, cfg: ScoringConfig = DEFAULT,
         F.round(F.avg(F.col("negative_review_pct").cast("double")), 1).alias("avg_negative_pct"),
         F.round(F.avg(_score_without_length(cfg)), 4).alias("avg_weighted_score"),
     )
-    ranked = SC.with_ranks(agg, "avg_weighted_score", (), "genre_rank", broadcast_table=True)
-    return ranked.withColumn("_mart_timestamp", F.current_timestamp()).select(*GENRE_COLUMNS)
+    return _ranked(agg).withColumn("_mart_timestamp", F.current_timestamp()).select(*GENRE_COLUMNS)
+
+
+def _ranked(per_genre: DataFrame) -> DataFrame:
+    """``RANK`` over the rows of an aggregate (one per genre)."""
+    return per_genre.withColumn("genre_rank", F.rank().over(Window.orderBy(F.col("avg_weighted_score").desc())))
 
 
 def legacy_genre_summary(enriched: DataFrame, cfg: ScoringConfig) -> DataFrame:
@@ -63,12 +64,13 @@ def legacy_genre_summary(enriched: DataFrame, cfg: ScoringConfig) -> DataFrame:
         F.round(F.avg(proxy) * 100, 1).alias("positive_pct"),
         F.round(F.avg(_score_without_length(cfg)), 4).alias("avg_weighted_score"),
     )
-    return SC.with_ranks(agg, "avg_weighted_score", (), "genre_rank", broadcast_table=True)
+    return _ranked(agg)
 
 
 def quality_distribution(items: DataFrame) -> DataFrame:
-    """A4: items per confidence flag (order at read time: ``books`` desc)."""
-    return items.groupBy("data_quality_flag").agg(F.count(F.lit(1)).alias("books"))
+    """A4: items per confidence flag, most first (a sort of one row per flag)."""
+    return (items.groupBy("data_quality_flag").agg(F.count(F.lit(1)).alias("books"))
+            .orderBy(F.col("books").desc(), F.col("data_quality_flag").asc()))
 
 
 def top_genres(items: DataFrame, cfg: ScoringConfig = DEFAULT, n: int = 10) -> DataFrame:
@@ -120,10 +122,10 @@ def top_candidates(cands: DataFrame, n: int = 10) -> DataFrame:
 
 
 def genre_strategy(mart: DataFrame) -> DataFrame:
-    """L2: the genre report; callers order by ``genre_rank`` when showing it."""
+    """L2: the genre report in order of ``genre_rank`` (a sort of one row per genre)."""
     return mart.select("genre_rank", "genre", "total_books", "avg_rating",
                        S.thousands("total_ratings").alias("total_ratings"),
-                       F.col("avg_weighted_score").alias("avg_score"))
+                       F.col("avg_weighted_score").alias("avg_score")).orderBy("genre_rank", "genre")
 
 
 def recommendation(cands: DataFrame, mart: DataFrame) -> DataFrame:

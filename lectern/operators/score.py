@@ -9,7 +9,8 @@ task.  Here a rank is computed from a *histogram*: ``rank = 1 + rows with a
 strictly greater score``.  The score is rounded to ``digits`` decimals and
 bounded (``ScoringConfig.max_score``), so the global histogram has at most
 ``max_score * 10**digits + 1`` rows whatever the data size; only that small
-table is windowed and it is broadcast back with a proven bound.  Per-group
+table is windowed; AQE broadcasts it back by its measured size.  Scores that
+are not rounded get a histogram per range of scores (see ``_global_ranks``).  Per-group
 ranks use the (group, score) histogram, windowed per group: a hot group holds
 at most as many histogram rows as there are distinct scores, so one genre with
 a third of all items is still a small window partition.  Rows meet their ranks
@@ -19,7 +20,6 @@ measured size allows and otherwise splits skewed partitions.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -73,15 +73,31 @@ def score_items(df: DataFrame, cfg: ScoringConfig = DEFAULT) -> DataFrame:
     return df.withColumns(score_columns(cfg))
 
 
-def histogram_bound(cfg: ScoringConfig = DEFAULT, digits: int = 4) -> int:
-    """Most distinct rounded scores possible: the size bound of a global histogram."""
-    return int(math.ceil(cfg.max_score() * 10 ** digits)) + 1
+#: Scores of one range of this width share a window partition of a global rank.
+RANGES_PER_UNIT = 1000
 
 
-def _prior_rows(counts: str, score: str, groups: Sequence[str]) -> Column:
-    w = (Window.partitionBy(*groups) if groups else Window.partitionBy())
-    w = w.orderBy(F.col(score).desc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
-    return (F.coalesce(F.sum(counts).over(w), F.lit(0)) + 1).cast("int")
+def _running(counts: str, order: str, groups: Sequence[str]) -> Column:
+    """Sum of ``counts`` over rows with a greater ``order`` (all rows if ``groups`` is empty)."""
+    w = Window.partitionBy(*groups) if groups else Window.partitionBy()
+    w = w.orderBy(F.col(order).desc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum(counts).over(w), F.lit(0))
+
+
+def _global_ranks(hist: DataFrame, counts: str, score: str, rank_col: str) -> DataFrame:
+    """``hist`` with the rank of each score among all rows.
+
+    The histogram of an unrounded score is as long as the data, so it isn't windowed whole: scores are counted per
+    range of ``1 / RANGES_PER_UNIT``, a window over the ranges (their number is bounded by the score's
+    span) gives the rows above each, and a window inside each range the rest.
+    """
+    hist = hist.withColumn("_range", F.floor(F.col(score) * RANGES_PER_UNIT))
+    ranges = hist.groupBy(F.col("_range").alias("_of")).agg(F.sum(counts).alias("_in"))
+    ranges = ranges.withColumn("_above", _running("_in", "_of", ())).drop("_in")
+    hist = hist.withColumn("_within", _running(counts, score, ["_range"]))
+    hist = hist.join(ranges, F.col("_range").eqNullSafe(F.col("_of")))
+    return hist.withColumn(rank_col, (F.col("_above") + F.col("_within") + 1).cast("int")).drop(
+        "_range", "_of", "_above", "_within")
 
 
 def rank_table(df: DataFrame, score: str, groups: Sequence[str] = (),
@@ -93,33 +109,25 @@ def rank_table(df: DataFrame, score: str, groups: Sequence[str] = (),
     """
     hist = df.groupBy(*groups, score).agg(F.count(F.lit(1)).alias("_n"))
     if not groups:
-        return hist.withColumn(rank_col, _prior_rows("_n", score, ())).drop("_n")
-    hist = hist.withColumn(rank_col, _prior_rows("_n", score, groups))
+        return _global_ranks(hist, "_n", score, rank_col).drop("_n")
+    hist = hist.withColumn(rank_col, (_running("_n", score, groups) + 1).cast("int"))
     if global_rank_col:
-        glob = (hist.groupBy(score).agg(F.sum("_n").alias("_m"))
-                .withColumn(global_rank_col, _prior_rows("_m", score, ()))
-                .select(F.col(score).alias("_g_score"), global_rank_col))
-        # Bounded by the number of distinct rounded scores: safe to broadcast.
-        hist = (hist.join(F.broadcast(glob), F.col(score).eqNullSafe(F.col("_g_score")))
-                .drop("_g_score"))
+        scores = hist.groupBy(F.col(score).alias("_g_score")).agg(F.sum("_n").alias("_m"))
+        scores = _global_ranks(scores, "_m", "_g_score", global_rank_col).drop("_m")
+        hist = hist.join(scores, F.col(score).eqNullSafe(F.col("_g_score"))).drop("_g_score")
     return hist.drop("_n")
 
 
 def with_ranks(df: DataFrame, score: str, groups: Sequence[str] = (),
-               rank_col: str = "rank", global_rank_col: str | None = None,
-               broadcast_table: bool = False) -> DataFrame:
+               rank_col: str = "rank", global_rank_col: str | None = None) -> DataFrame:
     """Attach histogram ranks to every row (equi-join on groups + score).
 
-    ``broadcast_table`` is honoured only without ``groups``: a score-only
-    histogram is bounded by the number of distinct rounded scores, a grouped
-    one grows with the number of groups and is left to AQE's measured choice.
+    No side is forced to be broadcast: AQE does so where a histogram's measured size allows.
     """
     keys = [*groups, score]
     table = rank_table(df, score, groups, rank_col, global_rank_col)
     table = table.select(*[F.col(k).alias(f"_r_{k}") for k in keys],
                          *[c for c in table.columns if c not in keys])
-    if broadcast_table and not groups:
-        table = F.broadcast(table)
     # Null-safe on every key: a NULL group is its own partition, as in SQL RANK.
     cond = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
     return df.join(table, cond).drop(*[f"_r_{k}" for k in keys])
@@ -127,12 +135,8 @@ def with_ranks(df: DataFrame, score: str, groups: Sequence[str] = (),
 
 def global_rank(df: DataFrame, score: str = "weighted_score",
                 rank_col: str = "audiobook_rank") -> DataFrame:
-    """Global ``RANK`` by score desc.
-
-    The histogram is broadcast: for a score rounded to 4 dp it holds at most
-    ``histogram_bound(cfg)`` rows (14,579 for the default weights).
-    """
-    return with_ranks(df, score, (), rank_col, broadcast_table=True)
+    """Global ``RANK`` by score desc, for rounded and unrounded scores alike."""
+    return with_ranks(df, score, (), rank_col)
 
 
 def group_rank(df: DataFrame, group: str = "primary_genre", score: str = "weighted_score",
@@ -176,30 +180,21 @@ def strategy_ranks(enriched: DataFrame, presets: Mapping[str, ScoringConfig] | N
                    base: ScoringConfig = DEFAULT) -> DataFrame:
     """M4: every item scored and ranked under each weight preset.
 
-    Each eligible row is expanded to one row per preset (a bounded ``explode``
-    over the caller's presets, no join), scored with that preset's weights and
-    ranked per strategy through the histogram path: one scan for all presets.
+    The four score parts are computed once per row; only the weighted sums are
+    expanded to one row per preset (a bounded ``explode``, no join) and ranked
+    per strategy through the histogram path: one scan for all presets.
     """
     presets = dict(presets or PRESETS)
-    # One struct per preset, exploded in place: each row becomes len(presets)
-    # rows without a join; the weights travel as columns.
-    table = F.array(*[
-        F.struct(F.lit(name).alias("strategy"),
-                 F.lit(float(c.rating_weight)).alias("w_rating"),
-                 F.lit(float(c.popularity_weight)).alias("w_popularity"),
-                 F.lit(float(c.sentiment_weight)).alias("w_sentiment"),
-                 F.lit(float(c.length_weight)).alias("w_length"))
-        for name, c in presets.items()])
-    rows = (eligible_items(enriched, base)
-            .select("book_id", "primary_genre", "average_rating", "ratings_count",
-                    "positive_review_pct", "total_reviews", "num_pages",
-                    F.explode(table).alias("p"))
-            .select("*", "p.*").drop("p"))
     sent = S.sentiment_score("positive_review_pct", "total_reviews", "average_rating", base)
-    score = F.round(
-        F.col("average_rating") / 5.0 * F.col("w_rating")
-        + S.popularity("ratings_count", base) * F.col("w_popularity")
-        + sent * F.col("w_sentiment")
-        + S.length_score("num_pages") * F.col("w_length"), 4)
-    scored = rows.select("strategy", "book_id", "primary_genre", score.alias("weighted_score"))
+    parts = eligible_items(enriched, base).select(
+        "book_id", "primary_genre", (F.col("average_rating") / 5.0).alias("_rating"),
+        S.popularity("ratings_count", base).alias("_popularity"), sent.alias("_sentiment"),
+        S.length_score("num_pages").alias("_length"))
+    total = lambda c: F.round(
+        F.col("_rating") * float(c.rating_weight) + F.col("_popularity") * float(c.popularity_weight)
+        + F.col("_sentiment") * float(c.sentiment_weight) + F.col("_length") * float(c.length_weight), 4)
+    table = F.array(*[F.struct(F.lit(name).alias("strategy"), total(c).alias("weighted_score"))
+                      for name, c in presets.items()])
+    scored = parts.select("book_id", "primary_genre", F.explode(table).alias("p")).select(
+        "p.strategy", "book_id", "primary_genre", "p.weighted_score")
     return with_ranks(scored, "weighted_score", ["strategy"], rank_col="strategy_rank")

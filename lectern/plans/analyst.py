@@ -1,10 +1,8 @@
-"""Analyst SQL over the written layers (the reference's third entry point).
+"""Analyst queries over the written layers (the reference's third entry point).
 
 ``register_layers`` exposes a run's tables as temp views (no copy: each view
-is a Parquet scan of the written files); ``run`` executes the fixed analyst
-queries with ``spark.sql``.  They are the SQL twins of ``operators.report``
-(L1, L2, L5, W6) and go through the same Catalyst planning, so ORDER BY +
-LIMIT becomes a TakeOrdered and ROW_NUMBER() = 1 a partial group limit.
+is a Parquet scan of the written files); ``run`` applies the report functions
+(L1, L2, L5, W6) to the views.
 """
 
 from __future__ import annotations
@@ -12,40 +10,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..config import DEFAULT, ScoringConfig
-from ..operators import governance
+from ..operators import governance, report
 from ..streaming.ingest import read_bronze
 from .layers import Layout
 
-SQL = {
-    "top_candidates": """
-        SELECT audiobook_rank AS rank, book_id, title, primary_genre AS genre,
-               average_rating AS rating, format_number(ratings_count, 0) AS total_ratings,
-               num_pages, length_category, weighted_score AS score
-        FROM gold_audiobook_candidates
-        ORDER BY audiobook_rank, book_id
-        LIMIT 10""",
-    "best_per_genre": """
-        SELECT genre, book_id, title, rating, score FROM (
-            SELECT primary_genre AS genre, book_id, title, average_rating AS rating,
-                   weighted_score AS score,
-                   ROW_NUMBER() OVER (PARTITION BY primary_genre
-                                      ORDER BY weighted_score DESC, book_id) AS rn
-            FROM gold_audiobook_candidates
-            WHERE {exclusion})
-        WHERE rn = 1""",
-    "genre_strategy": """
-        SELECT genre_rank, genre, total_books, avg_rating,
-               format_number(total_ratings, 0) AS total_ratings,
-               avg_weighted_score AS avg_score
-        FROM gold_genre_summary""",
-    "layer_quality": """
-        SELECT 'bronze_books' AS layer, COUNT(*) AS total_records,
-               COUNT_IF(book_id IS NULL) AS null_ids FROM bronze_books
-        UNION ALL
-        SELECT 'silver_books', COUNT(*), COUNT_IF(book_id IS NULL) FROM silver_books
-        UNION ALL
-        SELECT 'gold_candidates', COUNT(*), COUNT_IF(book_id IS NULL)
-        FROM gold_audiobook_candidates""",
+#: Analyst queries: the report functions over the registered views.
+QUERIES = {
+    "top_candidates": lambda t, cfg: report.top_candidates(t("gold_audiobook_candidates"), 10),
+    "best_per_genre": lambda t, cfg: report.best_per_genre(t("gold_audiobook_candidates"), cfg.excluded_genres),
+    "genre_strategy": lambda t, cfg: report.genre_strategy(t("gold_genre_summary")),
+    "layer_quality": lambda t, cfg: report.layer_quality([
+        ("bronze_books", t("bronze_books")), ("silver_books", t("silver_books")),
+        ("gold_candidates", t("gold_audiobook_candidates"))]),
 }
 
 
@@ -66,7 +42,4 @@ def register_layers(spark: SparkSession, layout: Layout) -> list[str]:
 
 
 def run(spark: SparkSession, name: str, cfg: ScoringConfig = DEFAULT) -> DataFrame:
-    quoted = ", ".join("'" + g.replace("\\", "\\\\").replace("'", "\\'") + "'"
-                       for g in cfg.excluded_genres)
-    exclusion = f"primary_genre NOT IN ({quoted})" if quoted else "TRUE"
-    return spark.sql(SQL[name].format(exclusion=exclusion))
+    return QUERIES[name](spark.table, cfg)

@@ -100,8 +100,9 @@ def q_long_texts(i: Inputs) -> DataFrame:
 def q_critical_nulls(i: Inputs) -> DataFrame:
     """Rows with a NULL id or rating, per layer."""
     parts = [clean.critical_nulls(df).select(F.lit(name).alias("layer"), "null_rows")
-             for name, df in (("silver_books", i.silver_items), ("enriched", i.enriched))]
-    return parts[0].unionByName(parts[1])
+             for name, df in (("bronze_books", clean.typed_items(i.raw_items, i.cfg)),
+                              ("silver_books", i.silver_items), ("enriched", i.enriched))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 @register("silver_reviews")
@@ -181,7 +182,7 @@ def q_review_metrics(i: Inputs) -> DataFrame:
     return i.review_metrics
 
 
-@register("genre_performance", GOLD)
+@register("genre_performance")
 def q_genre_performance(i: Inputs) -> DataFrame:
     """The genre mart."""
     return drop_stamps(i.genre_mart)
@@ -223,6 +224,14 @@ def q_dedup_latest(i: Inputs) -> DataFrame:
     return clean.dedup(i.raw_reviews, ["review_id"], order).select(*DEDUP_OUT)
 
 
+@register("dedup_items")
+def q_dedup_items(i: Inputs) -> DataFrame:
+    """The latest version per item, ties by ratings and then by the raw-record hash."""
+    typed = clean.typed_items(i.raw_items, i.cfg)
+    return clean.dedup_latest(typed, ["book_id"], then=[F.col("ratings_count").desc_nulls_last()]).select(
+        "book_id", "title", "ratings_count", "average_rating")
+
+
 @register("dedup_by_metric")
 def q_dedup_by_metric(i: Inputs) -> DataFrame:
     """One review per id, the highest rating (then the W1 order)."""
@@ -256,7 +265,7 @@ def q_top_candidates(i: Inputs) -> DataFrame:
     return report.top_candidates(i.candidates, 10)
 
 
-@register("genre_strategy", GOLD)
+@register("genre_strategy")
 def q_genre_strategy(i: Inputs) -> DataFrame:
     """L2: the genre strategy report."""
     return report.genre_strategy(i.genre_mart)
@@ -345,7 +354,7 @@ def q_legacy_score(i: Inputs) -> DataFrame:
     return score.legacy_candidates(i.enriched, star_config(LEGACY3))
 
 
-@register("legacy_genre_summary", GOLD)
+@register("legacy_genre_summary")
 def q_legacy_genre_summary(i: Inputs) -> DataFrame:
     """M5: the older genre summary (only Uncategorised dropped)."""
     return report.legacy_genre_summary(i.enriched, star_config(LEGACY3))
@@ -395,24 +404,37 @@ def _dq(i: Inputs, kinds: tuple[str, ...]) -> DataFrame:
     return quality.run_tests(i.models, kinds=kinds)
 
 
-@register("dq_not_null", GOLD)
+@register("dq_not_null", GOLD | {"bronze"})
 def q_dq_not_null(i: Inputs) -> DataFrame:
     """Q1: the 32 not_null tests, failures per test."""
     return _dq(i, ("not_null",))
 
 
-@register("dq_unique", GOLD)
+@register("dq_unique", GOLD | {"bronze"})
 def q_dq_unique(i: Inputs) -> DataFrame:
     """Q2: the 6 unique tests (review_id duplicates are reported, by design)."""
     return _dq(i, ("unique",))
 
 
-@register("dq_accepted_values", GOLD)
+@register("dq_accepted_values", GOLD | {"bronze"})
 def q_dq_accepted_values(i: Inputs) -> DataFrame:
     """Q3: the 4 accepted_values tests."""
     return _dq(i, ("accepted_values",))
 
 
+@register("dq_domains")
+def q_dq_domains(i: Inputs) -> DataFrame:
+    """Q3 / Q4 on raw tables whose values do break the rules (languages, priorities, labels of documents)."""
+    tables = {n: i.table(n) for n in ("documents", "orders", "labels", "part", "lineitem")}
+    return quality.run_tests(tables, V.DOMAIN_TESTS)
+
+
+@register("dq_relationships", frozenset({"bronze"}))
+def q_dq_relationships(i: Inputs) -> DataFrame:
+    """Q4: reviews of items that Silver doesn't hold, counted per item before the join."""
+    return _dq(i, ("relationships",))
+
+
 # --- G: compliance -----------------------------------------------------------
 
 @register("subject_lookup")
@@ -422,6 +444,13 @@ def q_subject_lookup(i: Inputs) -> DataFrame:
         "review_id", "book_id", "user_id", "rating")
 
 
+@register("genre_versions")
+def q_genre_versions(i: Inputs) -> DataFrame:
+    """A3: COUNT DISTINCT items per shelf over all versions, next to the rows."""
+    typed = clean.typed_items(i.raw_items, i.cfg)
+    return typed.groupBy("shelf_genre").agg(F.count_distinct("book_id").alias("books"), F.count(F.lit(1)).alias("versions"))
+
+
 @register("subject_erasure")
 def q_subject_erasure(i: Inputs) -> DataFrame:
     """Bronze reviews without the erased subjects."""
@@ -432,7 +461,13 @@ def q_subject_erasure(i: Inputs) -> DataFrame:
 @register("audit_log")
 def q_audit_log(i: Inputs) -> DataFrame:
     """Actions with a prefix after a date, nested request field, newest first."""
-    return governance.audit_log(i.table("events"), V.AUDIT_PREFIX, V.AUDIT_SINCE)
+    return governance.audit_log(i.table("events"), V.AUDIT_PREFIX, V.AUDIT_SINCE, prefix_on="action")
+
+
+@register("audit_tables")
+def q_audit_tables(i: Inputs) -> DataFrame:
+    """Accesses to the tables whose (nested) name has a prefix, newest first."""
+    return governance.audit_log(i.table("events"), V.AUDIT_TABLES, V.AUDIT_SINCE)
 
 
 @register("snapshot_history", GOLD)
@@ -459,3 +494,24 @@ def q_ingest_incremental(i: Inputs) -> DataFrame:
     """Events landed as JSON files in two batches, ingested exactly once."""
     from ..streaming import events_ingest
     return events_ingest.ingest_events(i.spark, i.table("events"))
+
+
+@register("ingest_compressed")
+def q_ingest_compressed(i: Inputs) -> DataFrame:
+    """The same from gzip files."""
+    from ..streaming import events_ingest
+    return events_ingest.ingest_events(i.spark, i.table("events"), compression="gzip")
+
+
+@register("ingest_evolving")
+def q_ingest_evolving(i: Inputs) -> DataFrame:
+    """A column that only the second landing has appears with it (NULL before)."""
+    from ..streaming import events_ingest
+    return events_ingest.ingest_events(i.spark, i.table("events"), later_column="props")
+
+
+@register("subject_erasure_rebuild")
+def q_subject_erasure_rebuild(i: Inputs) -> DataFrame:
+    """Silver reviews after an erasure; a request that names nobody erases nothing."""
+    kept = governance.erase_subjects(i.raw_reviews, [*V.SUBJECT_HASHES, None])
+    return drop_stamps(clean.silver_reviews(kept))

@@ -3,8 +3,9 @@
 Each layer is written once and the next layer reads the written table (the
 lineage is cut at every layer, a lost executor re-reads files).  Counts come
 from ``observe`` during the writes; contracts are checked on the plan before
-a write starts; the 43 declared tests run on the written tables and gate the
-run.  Gold tables are versioned (``governance.write_snapshot``).
+a write starts.  The declared tests of Bronze and Silver run before the marts
+are built, those of the marts on staged marts before they are published: a
+failing suite leaves Gold as it was.
 """
 
 from __future__ import annotations
@@ -16,32 +17,57 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..config import DEFAULT, ScoringConfig
 from ..operators import clean, enrich, governance, quality, report, reshape, score
-from ..session import run_concurrently
+from ..session import run_concurrently, scratch_path
 from ..sources import jsonl
-from ..streaming.ingest import IngestResult, IngestSpec, read_bronze, run_plan
+from ..streaming.ingest import IngestResult, IngestSpec, ingest_incremental, read_bronze, run_plan
 
 DATASETS = ("books", "reviews", "genres", "authors", "series")
-# Type hints for the raw reviews feed.
-HINTS = {"reviews": "review_id STRING, book_id STRING, user_id STRING, "
-                    "review_text STRING, date_added STRING"}
+# The genres of the raw feed, and the fields of each dataset.
+GENRES = ("children", "comics, graphic", "fantasy, paranormal", "fiction", "history, historical fiction, biography",
+          "mystery, thriller, crime", "non-fiction", "poetry", "romance", "young-adult")
+
+
+def genre_schema(names: Sequence[str]) -> str:
+    return "book_id STRING, genres STRUCT<" + ", ".join(f"`{n}`: BIGINT" for n in names) + ">"
+
+
+SCHEMAS = {
+    "books": "book_id STRING, title STRING, average_rating STRING, ratings_count STRING, "
+             "text_reviews_count STRING, num_pages STRING, authors ARRAY<STRUCT<author_id: STRING, role: STRING>>, "
+             "popular_shelves ARRAY<STRUCT<count: STRING, name: STRING>>, language_code STRING, publisher STRING, "
+             "format STRING, description STRING, isbn STRING, isbn13 STRING",
+    "reviews": "review_id STRING, book_id STRING, user_id STRING, rating BIGINT, review_text STRING, date_added STRING",
+    "genres": genre_schema(GENRES),
+    "authors": "author_id STRING, name STRING, average_rating STRING, ratings_count STRING, text_reviews_count STRING",
+    "series": "series_id STRING, title STRING, description STRING, note STRING",
+}
 
 
 @dataclass
 class Layout:
     """Folder layout of one deployment (all on shared storage).
 
-    ``bronze_override`` points a dataset at another Bronze folder (used after
-    an erasure, which writes the cleaned Bronze as a new folder).
+    A dataset's Bronze table has generations: an erasure streams the raw files into a new one and removes the old.
+    The current one is the highest that was marked complete.  ``schemas``: fields per dataset (None: inferred);
+    ``exclude``: file-name suffix that ingest leaves out.
     """
     raw: str
     root: str
-    bronze_override: dict = field(default_factory=dict)
+    schemas: dict = field(default_factory=lambda: dict(SCHEMAS))
+    exclude: str | None = None
+
+    def generation(self, name: str) -> int:
+        spark = SparkSession.getActiveSession()
+        fs, p = governance._fs(spark, f"{self.root}/bronze/_generations/{name}")
+        return max([int(f.getPath().getName()) for f in fs.listStatus(p)], default=0) if fs.exists(p) else 0
 
-    def bronze(self, name: str) -> str:
-        return self.bronze_override.get(name, f"{self.root}/bronze/{name}")
+    def bronze(self, name: str, generation: int | None = None) -> str:
+        g = self.generation(name) if generation is None else generation
+        return f"{self.root}/bronze/{name}" + (f"__g{g}" if g else "")
 
-    def checkpoint(self, name: str) -> str:
-        return f"{self.root}/bronze/_checkpoints/{name}"
+    def checkpoint(self, name: str, generation: int | None = None) -> str:
+        g = self.generation(name) if generation is None else generation
+        return f"{self.root}/bronze/_checkpoints/{name}" + (f"__g{g}" if g else "")
 
     def silver(self, name: str) -> str:
         return f"{self.root}/silver/{name}"
@@ -49,6 +75,11 @@ class Layout:
     def gold(self, name: str) -> str:
         return f"{self.root}/gold/{name}"
 
+    @property
+    def requests(self) -> str:
+        """Table of all erased subjects (``_erase_hash``)."""
+        return f"{self.root}/erase_requests"
+
 
 @dataclass
 class RunReport:
@@ -58,14 +89,18 @@ class RunReport:
     tests: list[dict] = field(default_factory=list)
 
 
+def _spec(spark: SparkSession, layout: Layout, name: str, generation: int | None = None) -> IngestSpec:
+    fs, p = governance._fs(spark, layout.requests)
+    return IngestSpec(name, f"{layout.raw}/{name}", layout.bronze(name, generation), layout.checkpoint(name, generation),
+                      schema=layout.schemas.get(name), exclude=layout.exclude,
+                      erase_requests=layout.requests if name == "reviews" and fs.exists(p) else None,
+                      warn_below=jsonl.REVIEWS_WARN_BELOW if name == "reviews" else None)
+
+
 def ingest_bronze(spark: SparkSession, layout: Layout, datasets: Sequence[str] = DATASETS,
                   batch_id: str | None = None) -> list[IngestResult]:
     """Every dataset through the incremental ingest; failures are reported."""
-    specs = [IngestSpec(name, f"{layout.raw}/{name}", layout.bronze(name), layout.checkpoint(name),
-                        hints=HINTS.get(name),
-                        warn_below=jsonl.REVIEWS_WARN_BELOW if name == "reviews" else None)
-             for name in datasets]
-    return run_plan(spark, specs, batch_id)
+    return run_plan(spark, [_spec(spark, layout, name) for name in datasets], batch_id)
 
 
 def _written(results: dict) -> dict:
@@ -104,24 +139,33 @@ def build_silver(spark: SparkSession, layout: Layout, cfg: ScoringConfig = DEFAU
     return counts
 
 
-def build_gold(spark: SparkSession, layout: Layout, cfg: ScoringConfig = DEFAULT) -> dict[str, int]:
-    """Both marts from the enriched table, written side by side, each as a new version."""
+def stage_marts(spark: SparkSession, layout: Layout, cfg: ScoringConfig = DEFAULT) -> dict[str, DataFrame]:
+    """Both marts from the enriched table, written to the scratch folder and read back; Gold isn't touched."""
     enriched = spark.read.parquet(layout.silver("int_books_enriched"))
-    cands = governance.assert_no_columns(
-        quality.enforce_contract(score.candidates(enriched, cfg), "mart_audiobook_candidates"),
-        ["user_id", "user_id_hashed"], "gold")
-    mart = quality.enforce_contract(report.genre_performance(enriched, cfg),
-                                    "mart_genre_performance")
-    return _written(run_concurrently({
-        "mart_audiobook_candidates": lambda: governance.write_snapshot(
-            cands, layout.gold("mart_audiobook_candidates")),
-        "mart_genre_performance": lambda: governance.write_snapshot(
-            mart, layout.gold("mart_genre_performance")),
-    }))
+    marts = {
+        "mart_audiobook_candidates": governance.assert_no_columns(
+            quality.enforce_contract(score.candidates(enriched, cfg), "mart_audiobook_candidates"),
+            ["user_id", "user_id_hashed"], "gold"),
+        "mart_genre_performance": quality.enforce_contract(report.genre_performance(enriched, cfg),
+                                                           "mart_genre_performance"),
+    }
+    paths = {name: scratch_path(spark, "marts", name) for name in marts}
+    _written(run_concurrently({name: (lambda name=name: marts[name].write.parquet(paths[name])) for name in marts}))
+    return {name: spark.read.schema(marts[name].schema).parquet(paths[name]) for name in marts}
+
+
+def publish(layout: Layout, marts: dict[str, DataFrame]) -> dict[str, int]:
+    """The staged marts as new Gold versions, written side by side."""
+    return _written(run_concurrently({name: (lambda name=name: governance.write_snapshot(marts[name], layout.gold(name)))
+                                      for name in marts}))
+
+
+def build_gold(spark: SparkSession, layout: Layout, cfg: ScoringConfig = DEFAULT) -> dict[str, int]:
+    return publish(layout, stage_marts(spark, layout, cfg))
 
 
 def model_tables(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
-    """Every tested model, read from the written layers."""
+    """Every tested model of Bronze and Silver, read from the written layers."""
     return {
         "bronze_books": read_bronze(spark, layout.bronze("books")),
         "bronze_reviews": read_bronze(spark, layout.bronze("reviews")),
@@ -130,40 +174,55 @@ def model_tables(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
         "stg_reviews": spark.read.parquet(layout.silver("stg_reviews")),
         "stg_genres": spark.read.parquet(layout.silver("stg_genres")),
         "int_books_enriched": spark.read.parquet(layout.silver("int_books_enriched")),
-        "mart_audiobook_candidates": governance.read_version(
-            spark, layout.gold("mart_audiobook_candidates")),
-        "mart_genre_performance": governance.read_version(
-            spark, layout.gold("mart_genre_performance")),
     }
 
 
 def run_all(spark: SparkSession, layout: Layout, cfg: ScoringConfig = DEFAULT,
-            gate: bool = True, batch_id: str | None = None) -> RunReport:
-    """M6: ingest → Silver → Gold → tests; raises on a failed ``error`` test."""
+            gate: bool = True, batch_id: str | None = None,
+            tests: Sequence[quality.Test] | None = None) -> RunReport:
+    """M6: ingest → Silver → tests → marts staged → tests → Gold published.
+
+    With ``gate`` a failed ``error`` test, or one that could not run, raises before anything is published.
+    """
     rep = RunReport()
     rep.bronze = ingest_bronze(spark, layout, batch_id=batch_id)
     failed = [r for r in rep.bronze if r.status == "error" and r.name in ("books", "reviews", "genres")]
     if failed:
         raise RuntimeError(f"bronze ingest failed: {[(r.name, r.error) for r in failed]}")
     rep.counts = build_silver(spark, layout, cfg)
-    rep.versions = build_gold(spark, layout, cfg)
-    report_df = quality.run_tests(model_tables(spark, layout))
-    rep.tests = quality.gate(report_df) if gate else [r.asDict() for r in report_df.collect()]
+    suite = list(tests if tests is not None else quality.declared_tests())
+    marts = [t for t in suite if t.model.startswith("mart_")]
+
+    def check(tables: dict[str, DataFrame], part: list[quality.Test]) -> None:
+        report_df = quality.run_tests(tables, part)
+        rep.tests += quality.gate(report_df) if gate else [r.asDict() for r in report_df.collect()]
+
+    check(model_tables(spark, layout), [t for t in suite if t not in marts])
+    staged = stage_marts(spark, layout, cfg)
+    check(staged, marts)
+    rep.versions = publish(layout, staged)
     return rep
 
 
-def rebuild_after_erasure(spark: SparkSession, layout: Layout, hashes: Sequence[str],
-                          cfg: ScoringConfig = DEFAULT, version: str = "erased") -> Layout:
-    """G2 + G3: Bronze reviews without the subjects, then Silver and Gold rebuilt.
+def rebuild_after_erasure(spark: SparkSession, layout: Layout, hashes: Sequence[str | None],
+                          cfg: ScoringConfig = DEFAULT) -> Layout:
+    """G2 + G3: the subjects leave Bronze, Silver and Gold for good.
 
-    Parquet has no row delete, so the cleaned Bronze is written as a new
-    folder and the returned layout points at it; the old folder (and old Gold
-    versions) still hold the rows until retention removes them (G9).
+    The hashes join the request table, which every later ingest applies, so a subject doesn't come back with
+    a new file.  Bronze reviews are streamed again from the raw files into a fresh generation (own folder, own checkpoint);
+    when it is complete it becomes the current one and the old one is deleted.  Then Silver and Gold are rebuilt.
+    Raw files hold the subjects until the landing folder itself is cleaned.
     """
-    target = f"{layout.root}/bronze/reviews__{version}"
-    kept = governance.erase_subjects(read_bronze(spark, layout.bronze("reviews")), hashes)
-    kept.write.mode("overwrite").partitionBy("_batch_id").parquet(target)
-    erased = Layout(layout.raw, layout.root, {**layout.bronze_override, "reviews": target})
-    build_silver(spark, erased, cfg)
-    build_gold(spark, erased, cfg)
-    return erased
+    governance.request_table(spark, hashes).write.mode("append").parquet(layout.requests)
+    old = layout.generation("reviews")
+    spec = _spec(spark, layout, "reviews", old + 1)
+    for path in (spec.target, spec.checkpoint):  # what a failed attempt has left
+        governance.remove(spark, path)
+    ingest_incremental(spark, spec)
+    fs, p = governance._fs(spark, f"{layout.root}/bronze/_generations/reviews/{old + 1}")
+    fs.create(p, True).close()
+    for path in (layout.bronze("reviews", old), layout.checkpoint("reviews", old)):
+        governance.remove(spark, path)
+    build_silver(spark, layout, cfg)
+    build_gold(spark, layout, cfg)
+    return layout

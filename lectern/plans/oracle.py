@@ -27,29 +27,46 @@ GENRE_COLS = [f"genre_{s}" for s in SEGMENTS]
 
 _BASE = {
     "line_agg": """
-        SELECT l_partkey, avg(l_quantity) AS avg_q, sum(l_quantity) AS sum_q,
-               count(*) AS n_lines, min(l_suppkey) AS min_supp
-        FROM lineitem GROUP BY l_partkey""",
+        SELECT l_partkey, l_suppkey, false AS newest, sum(l_quantity) AS sum_q, count(*) AS n_lines
+        FROM lineitem GROUP BY l_partkey, l_suppkey
+        UNION ALL
+        SELECT l_partkey, min(l_suppkey), true, sum(l_quantity), count(*) FROM lineitem GROUP BY l_partkey""",
+    "item_versions": """
+        SELECT part.*, l_suppkey, coalesce(newest, true) AS newest, sum_q, n_lines
+        FROM part LEFT JOIN line_agg ON p_partkey = l_partkey""",
     "raw_items": """
-        SELECT CAST(p_partkey AS VARCHAR) AS book_id, p_name AS title,
-               CASE WHEN min_supp IS NOT NULL
-                    THEN [{'author_id': CAST(min_supp AS VARCHAR)}] END AS authors,
+        SELECT CAST(p_partkey AS VARCHAR) AS book_id,
+               CASE WHEN newest AND p_partkey % 17 = 0 THEN NULL ELSE p_name END AS title,
+               CASE WHEN l_suppkey IS NULL OR (newest AND p_partkey % 29 = 0) THEN []
+                    ELSE [{'author_id': CAST(l_suppkey AS VARCHAR)}] END AS authors,
                CASE WHEN p_partkey % 49 <> 0 THEN lower(p_type) END AS shelf,
-               least(CAST(5.0 AS DOUBLE), avg_q / CAST(6.0 AS DOUBLE)) AS average_rating,
-               CAST(sum_q AS BIGINT) AS ratings_count,
-               CAST(n_lines AS BIGINT) AS text_reviews_count,
-               CAST(CASE WHEN p_size % 13 <> 0 THEN p_size * 20 END AS INTEGER) AS num_pages
-        FROM part LEFT JOIN line_agg ON p_partkey = l_partkey""",
-    "silver_items": """
-        SELECT book_id, title, authors[1].author_id AS primary_author_id,
-               average_rating, ratings_count, text_reviews_count, num_pages,
-               shelf AS shelf_genre,
-               CASE WHEN ratings_count >= 900 THEN 'high_confidence'
-                    WHEN ratings_count >= 600 THEN 'medium_confidence'
+               CASE WHEN newest AND p_partkey % 19 = 0 THEN '0'
+                    WHEN newest AND p_partkey % 23 = 0 THEN 'not rated'
+                    ELSE CAST(least(CAST(5.0 AS DOUBLE), sum_q / n_lines / CAST(6.0 AS DOUBLE)) AS VARCHAR)
+               END AS average_rating,
+               CAST(CAST(sum_q AS BIGINT) AS VARCHAR) AS ratings_count,
+               CAST(n_lines AS VARCHAR) AS text_reviews_count,
+               CASE WHEN p_size % 13 <> 0 THEN CAST(p_size * 20 AS VARCHAR)
+                    WHEN p_partkey % 2 = 0 THEN 'n/a' END AS num_pages,
+               CASE WHEN newest AND p_partkey % 5 <> 0 THEN DATE '2024-01-01' ELSE DATE '2023-06-01' END AS ingested,
+               CASE WHEN newest THEN 0 ELSE l_suppkey END AS row_hash
+        FROM item_versions""",
+    "typed_items": """
+        SELECT book_id, title, CASE WHEN len(authors) > 0 THEN authors[1].author_id END AS primary_author_id,
+               TRY_CAST(average_rating AS DOUBLE) AS average_rating,
+               TRY_CAST(ratings_count AS BIGINT) AS ratings_count,
+               TRY_CAST(text_reviews_count AS BIGINT) AS text_reviews_count,
+               TRY_CAST(num_pages AS INTEGER) AS num_pages, shelf AS shelf_genre, ingested, row_hash,
+               CASE WHEN TRY_CAST(ratings_count AS BIGINT) >= 900 THEN 'high_confidence'
+                    WHEN TRY_CAST(ratings_count AS BIGINT) >= 600 THEN 'medium_confidence'
                     ELSE 'low_confidence' END AS data_quality_flag
-        FROM raw_items
-        WHERE book_id IS NOT NULL AND title IS NOT NULL
-          AND average_rating IS NOT NULL AND average_rating > 0""",
+        FROM raw_items""",
+    "latest_items": """
+        SELECT * FROM typed_items QUALIFY row_number() OVER (
+            PARTITION BY book_id ORDER BY ingested DESC NULLS LAST, ratings_count DESC NULLS LAST, row_hash) = 1""",
+    "silver_items": """
+        SELECT * EXCLUDE (ingested, row_hash) FROM latest_items
+        WHERE title IS NOT NULL AND average_rating > 0""",
     "raw_reviews": """
         SELECT CAST(l_orderkey * 10 + l_linenumber AS VARCHAR) AS review_id,
                CASE WHEN l_partkey % 10 <> 0 THEN CAST(l_partkey AS VARCHAR) END AS book_id,
@@ -248,15 +265,11 @@ _FLAGS = "('high_confidence', 'medium_confidence')"
 _EXCLUDED = "('household', 'Uncategorised')"
 
 _q("typed_items", """SELECT book_id, average_rating, ratings_count, text_reviews_count, num_pages
-FROM raw_items""", "raw_items")
-_q("primary_contributor", """SELECT book_id, authors[1].author_id AS primary_author_id,
-       shelf AS shelf_genre FROM raw_items""", "raw_items")
-_q("quality_flag", """SELECT book_id, ratings_count,
-       CASE WHEN ratings_count >= 900 THEN 'high_confidence'
-            WHEN ratings_count >= 600 THEN 'medium_confidence'
-            ELSE 'low_confidence' END AS data_quality_flag
-FROM raw_items""", "raw_items")
-_q("valid_items", "SELECT book_id, title, average_rating FROM silver_items", "silver_items")
+FROM typed_items""", "typed_items")
+_q("primary_contributor", "SELECT book_id, primary_author_id, shelf_genre FROM typed_items", "typed_items")
+_q("quality_flag", "SELECT book_id, ratings_count, data_quality_flag FROM typed_items", "typed_items")
+_q("valid_items", """SELECT book_id, title, average_rating FROM typed_items
+WHERE book_id IS NOT NULL AND title IS NOT NULL AND average_rating > 0""", "typed_items")
 _q("valid_reviews", """SELECT review_id, book_id, rating, date_added FROM raw_reviews
 WHERE review_id IS NOT NULL AND book_id IS NOT NULL AND rating BETWEEN 1 AND 5""",
    "raw_reviews")
@@ -264,6 +277,10 @@ _q("eligible_items", "SELECT book_id, primary_genre, data_quality_flag FROM elig
 _q("long_texts", """SELECT doc_id, lang, CAST(length(text) AS INTEGER) AS text_length
 FROM documents WHERE text IS NOT NULL AND length(text) > 50""")
 _q("critical_nulls", """
+SELECT 'bronze_books' AS layer,
+       CAST(count_if(book_id IS NULL OR average_rating IS NULL) AS BIGINT) AS null_rows
+FROM typed_items
+UNION ALL
 SELECT 'silver_books' AS layer,
        CAST(count_if(book_id IS NULL OR average_rating IS NULL) AS BIGINT) AS null_rows
 FROM silver_items
@@ -271,7 +288,7 @@ UNION ALL
 SELECT 'enriched' AS layer,
        CAST(count_if(book_id IS NULL OR average_rating IS NULL) AS BIGINT) AS null_rows
 FROM enriched""",
-   "silver_items", "enriched")
+   "typed_items", "silver_items", "enriched")
 _q("silver_reviews", """SELECT review_id, book_id, user_id_hashed, rating, sentiment,
        review_date, review_year, CAST(NULL AS VARCHAR) AS review_text
 FROM silver_reviews""", "silver_reviews")
@@ -342,6 +359,7 @@ _q("dedup_latest", f"""
 SELECT review_id, book_id, user_id, rating, date_added FROM (
   SELECT *, row_number() OVER (PARTITION BY review_id ORDER BY {_REVIEW_ORDER}) AS rn
   FROM raw_reviews) WHERE rn = 1""", "raw_reviews")
+_q("dedup_items", """SELECT book_id, title, ratings_count, average_rating FROM latest_items""", "latest_items")
 _q("dedup_by_metric", f"""
 SELECT review_id, book_id, user_id, rating, date_added FROM (
   SELECT *, row_number() OVER (PARTITION BY review_id
@@ -501,6 +519,36 @@ def _dq_sql(kind: str) -> str:
     return with_ctes(body, *{_MODEL_CTE[t.model] for t in Q.declared_tests() if t.kind == kind})
 
 
+def _domain_sql() -> str:
+    from .star_views import DOMAIN_TESTS
+    rows = []
+    for t in DOMAIN_TESTS:
+        if t.kind == "accepted_values":
+            vals = ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in t.values)
+            bad = f"{t.column} IS NOT NULL AND {t.column} NOT IN ({vals})"
+        else:
+            bad = f"{t.column} IS NOT NULL AND {t.column} NOT IN (SELECT {t.to_column} FROM {t.to_model})"
+        rows.append(f"SELECT '{t.name}' AS test, '{t.kind}' AS kind, '{t.model}' AS model, '{t.column}' AS column_name, "
+                    f"'{t.severity}' AS severity, (SELECT count(*) FROM {t.model} WHERE {bad}) AS failures")
+    return ("SELECT *, CASE WHEN failures = 0 THEN 'pass' WHEN severity = 'warn' THEN 'warn' ELSE 'fail' END AS status "
+            "FROM (" + " UNION ALL ".join(rows) + ")")
+
+
+SQL["dq_domains"] = _domain_sql()
+_q("dq_relationships", """
+SELECT 'relationships_stg_reviews_book_id' AS test, 'relationships' AS kind, 'stg_reviews' AS model,
+       'book_id' AS column_name, 'warn' AS severity, failures,
+       CASE WHEN failures = 0 THEN 'pass' ELSE 'warn' END AS status
+FROM (SELECT count(*) AS failures FROM silver_reviews r
+      WHERE NOT EXISTS (SELECT 1 FROM silver_items b WHERE b.book_id = r.book_id))""", "silver_reviews", "silver_items")
+_q("genre_versions", """SELECT shelf_genre, count(DISTINCT book_id) AS books, count(*) AS versions
+FROM typed_items GROUP BY shelf_genre""", "typed_items")
+_q("audit_tables", """
+SELECT user_id AS "user", ts AS event_time, event_type AS action_name,
+       CAST(json_extract(props, '$.k') AS INTEGER) AS table_accessed, value
+FROM events
+WHERE starts_with(CAST(CAST(json_extract(props, '$.k') AS INTEGER) AS VARCHAR), '1')
+  AND ts > TIMESTAMP '2024-01-15 00:00:00'""")
 SQL["dq_not_null"] = _dq_sql("not_null")
 SQL["dq_unique"] = _dq_sql("unique")
 SQL["dq_accepted_values"] = _dq_sql("accepted_values")
@@ -518,6 +566,12 @@ FROM events
 WHERE starts_with(event_type, 'c') AND ts > TIMESTAMP '2024-01-15 00:00:00'
 ORDER BY event_time DESC, "user" ASC""")
 _q("ingest_incremental", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
+_q("ingest_compressed", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
+_q("ingest_evolving", """SELECT event_id, ts, user_id, event_type, value,
+       CASE WHEN event_type IN ('view', 'click') THEN NULL ELSE props END AS props FROM events""")
+_q("subject_erasure_rebuild", f"""SELECT review_id, book_id, user_id_hashed, rating, sentiment,
+       review_date, review_year, CAST(NULL AS VARCHAR) AS review_text
+FROM silver_reviews WHERE user_id_hashed IS NULL OR user_id_hashed NOT IN {_SUBJECTS}""", "silver_reviews")
 _q("snapshot_history", f"""
 SELECT CAST(0 AS BIGINT) AS version, 'CREATE OR REPLACE' AS operation,
        (SELECT count(*) FROM candidates) AS "rows", 'gold_candidates' AS table_name

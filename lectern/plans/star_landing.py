@@ -12,6 +12,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from ..sources import jsonl, star
+from . import layers
 
 # Raw genre field names: the segment name, with a comma-and-space or a hyphen
 # in two of them, as in the raw feed's struct.
@@ -19,10 +20,13 @@ RAW_GENRE_NAMES = {"automobile": "automobile, transport", "building": "building"
                    "furniture": "furniture-home", "household": "household",
                    "machinery": "machinery"}
 
+#: Fields of the landed datasets.
+SCHEMAS = {**layers.SCHEMAS, "genres": layers.genre_schema(list(RAW_GENRE_NAMES.values()))}
+
 
 def land(spark: SparkSession, sf_dir: str, raw_root: str) -> dict[str, int]:
     """Write ``books``, ``reviews``, ``genres`` (plus tiny ``authors``/``series``)."""
-    items = star.raw_items(spark, sf_dir).drop("_ingestion_timestamp", "_source_file", "_batch_id")
+    items = star.raw_items(spark, sf_dir).drop("_ingestion_timestamp", "_source_file", "_batch_id", "_row_hash")
     reviews = star.raw_reviews(spark, sf_dir).select(
         "review_id", "book_id", "user_id", "rating", "review_text", "date_added")
     g = star.raw_genres(spark, sf_dir)

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..config import ScoringConfig, star_config
 from ..session import materialize
-from ..operators import clean, enrich, report, reshape, score
+from ..operators import clean, enrich, quality, report, reshape, score
 from ..sources import star
 
 
@@ -133,4 +133,12 @@ ORACLE_PATTERNS = {"mentions_narrator": "the", "mentions_pacing": "tion",
 # Erasure request: the subjects are users 7 and 42, named only by their hash.
 SUBJECT_HASHES = tuple(hashlib.sha256(u.encode()).hexdigest() for u in ("7", "42"))
 AUDIT_PREFIX = "c"
+AUDIT_TABLES = "1"
+# Rules that the driver's raw tables break (three of five languages are not allowed, and so on).
+DOMAIN_TESTS = (
+    quality.Test("accepted_values", "documents", "lang", ("en", "fr")),
+    quality.Test("accepted_values", "orders", "o_orderstatus", ("F", "O")),
+    quality.Test("accepted_values", "labels", "toxic", (0,)),
+    quality.Test("relationships", "lineitem", "l_suppkey", (), "part", "p_size", "warn"),
+)
 AUDIT_SINCE = "2024-01-15 00:00:00"

@@ -15,10 +15,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Characters replaced in column names (runs become one '_'),
-# the corrupt-record column, files left out of ingest, row gates.
+# the corrupt-record column, the suffix of sample files, row gates.
 BAD_NAME_CHARS = r"[ ,;{}()\n\t=]+"
 CORRUPT = "_corrupt_record"
 SAMPLE_SUFFIX = "sample.json"
+#: The line as it was read, so that fields a schema doesn't know survive, and its hash.
+RAW = "_raw_record"
+ROW_HASH = "_row_hash"
 MIN_ROWS = 100
 REVIEWS_WARN_BELOW = 1_000_000
 
@@ -60,11 +63,12 @@ def shape_bronze(df: DataFrame, struct_col: str = "genres", key: str = "book_id"
 
 
 def add_audit_columns(df: DataFrame, batch_id: str, source_file: Column | None = None) -> DataFrame:
-    """Ingestion time, source file (``_metadata.file_path``) and batch id."""
-    src = source_file if source_file is not None else F.col("_metadata.file_path")
+    """Ingestion time, source file (kept by ``parse_lines``, else ``_metadata.file_path``) and batch id."""
+    if source_file is None:
+        source_file = F.col("_source_file" if "_source_file" in df.columns else "_metadata.file_path")
     return df.withColumns({
         "_ingestion_timestamp": F.current_timestamp(),
-        "_source_file": src,
+        "_source_file": source_file,
         "_batch_id": F.lit(batch_id),
     })
 
@@ -92,28 +96,47 @@ def with_corrupt_column(schema: T.StructType) -> T.StructType:
     return T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
 
 
+def keep_files(df: DataFrame, exclude: str | None = None) -> DataFrame:
+    """The one file filter of inventory and load: every file (of any suffix, compressed or not) but those whose
+    name ends with ``exclude``.  Inference reads all files: at worst it finds a column too many."""
+    name = F.col("path") if "path" in df.columns else F.col("_metadata.file_name")
+    return df if exclude is None else df.filter(~name.endswith(exclude))
+
+
+def infer_schema(spark: SparkSession, path: str, hints: str | None = None, sampling_ratio: float = 1.0) -> T.StructType:
+    """Schema of all files of a folder, with hints."""
+    inferred = (spark.read.option("samplingRatio", str(sampling_ratio))
+                .option("columnNameOfCorruptRecord", CORRUPT).json(path).schema)
+    return merge_hints(T.StructType([f for f in inferred.fields if f.name != CORRUPT]), hints, spark)
+
+
+def parse_lines(lines: DataFrame, schema: T.StructType, options: Mapping[str, str] | None = None,
+                keep_raw: bool = True) -> DataFrame:
+    """Text lines (``value`` and file metadata) → columns of ``schema``, PERMISSIVE.
+
+    ``_corrupt_record`` holds lines that don't parse, ``_raw_record`` every line as it was (fields outside
+    the schema, at any depth, survive there), ``_row_hash`` its hash and ``_source_file`` its file.  Blank lines are no records.
+    """
+    parser = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, **(options or {})}
+    rows = lines.filter(F.trim("value") != "").select(
+        F.from_json("value", with_corrupt_column(schema), parser).alias("_parsed"), F.col("value").alias(RAW),
+        F.xxhash64("value").alias(ROW_HASH), F.col("_metadata.file_path").alias("_source_file"))
+    raw = [RAW] if keep_raw else []
+    return rows.select("_parsed.*", *raw, ROW_HASH, "_source_file")
+
+
 def read_json_lines(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
-                    hints: str | None = None, exclude_samples: bool = True) -> DataFrame:
-    """One JSON document per line, PERMISSIVE, bad lines kept in ``_corrupt_record``.
+                    hints: str | None = None, exclude: str | None = None) -> DataFrame:
+    """One JSON document per line of every file, PERMISSIVE, bad lines kept in ``_corrupt_record``.
 
-    Without a schema the folder is inferred once (sampling is Spark's), then
-    hints are merged and the corrupt-record column declared, and the data is
-    read with that explicit schema.
+    Without a schema the folder is inferred once, then hints are merged and the
+    corrupt-record column declared, and the data is read with that explicit schema.
     """
-    reader = (spark.read.option("mode", "PERMISSIVE").option("multiLine", "false")
-              .option("columnNameOfCorruptRecord", CORRUPT))
-    if exclude_samples:
-        reader = reader.option("pathGlobFilter", "*.json")
     if schema is None:
-        inferred = reader.json(path).schema
-        schema = merge_hints(T.StructType([f for f in inferred.fields if f.name != CORRUPT]),
-                             hints, spark)
+        schema = infer_schema(spark, path, hints)
     elif isinstance(schema, str):
         schema = parse_ddl(spark, schema)
-    df = reader.schema(with_corrupt_column(schema)).json(path)
-    if exclude_samples:
-        df = df.filter(~F.col("_metadata.file_name").endswith(SAMPLE_SUFFIX))
-    return df
+    return parse_lines(keep_files(spark.read.text(path), exclude), schema)
 
 
 def rejected_records(df: DataFrame, source_col: str = "_source_file") -> DataFrame:
@@ -127,17 +150,15 @@ def rejected_records(df: DataFrame, source_col: str = "_source_file") -> DataFra
             .groupBy(src.alias("source_file")).agg(F.count(F.lit(1)).alias("rejected")))
 
 
-def raw_inventory(spark: SparkSession, datasets: Mapping[str, str]) -> DataFrame:
-    """Files and bytes per dataset, ``*sample.json`` excluded.
+def raw_inventory(spark: SparkSession, datasets: Mapping[str, str], exclude: str | None = None) -> DataFrame:
+    """Files and bytes per dataset, of the files that ingest reads with the same ``exclude``.
 
     ``binaryFile`` with only ``path``/``length`` selected: the file contents
     are pruned and never read.
     """
     parts = []
     for name, path in datasets.items():
-        files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-                 .load(path).select("path", "length")
-                 .filter(~F.col("path").endswith(SAMPLE_SUFFIX)))
+        files = keep_files(spark.read.format("binaryFile").load(path).select("path", "length"), exclude)
         parts.append(files.agg(F.count(F.lit(1)).alias("files"),
                                F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))
                      .select(F.lit(name).alias("dataset"), "files", "bytes"))
@@ -178,3 +199,19 @@ def register(df: DataFrame, name: str) -> DataFrame:
     """Expose a table to SQL by name without copying it."""
     df.createOrReplaceTempView(name)
     return df
+
+
+def register_tables(spark: SparkSession, tables: Mapping[str, DataFrame], database: str = "default") -> list[dict]:
+    """Save each table in the session catalog and count it back; an error is reported per table.
+
+    Returns ``{"table", "rows", "error"}`` for each; the other tables are saved whatever one of them does.
+    """
+    report = []
+    for name, df in tables.items():
+        full = f"{database}.{name}"
+        try:
+            df.write.mode("overwrite").saveAsTable(full)
+            report.append({"table": full, "rows": spark.table(full).count(), "error": None})
+        except Exception as e:  # noqa: BLE001 - reported to the caller
+            report.append({"table": full, "rows": 0, "error": f"{type(e).__name__}: {str(e)[:300]}"})
+    return report

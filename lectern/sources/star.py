@@ -4,8 +4,11 @@ The driver ships TPC-H-like tables, not catalogue JSON.  These functions map
 them onto the same raw (Bronze) shapes the JSON ingest produces, so every
 operator downstream runs unchanged on either input:
 
-* ``raw_items``   one row per part, numerics as *strings* like the raw feed,
-                  ``authors``/``popular_shelves`` as arrays of structs;
+* ``raw_items``   several versions per part, numerics as *strings* like the raw
+                  feed, ``authors``/``popular_shelves`` as arrays of structs: the
+                  newest sums up all order lines, older ones (one per supplier)
+                  theirs; some newest versions are dirty (no title, rating 0,
+                  text for a number, no author), some tie with older ones;
 * ``raw_reviews`` one row per order line, ``review_id`` deliberately not
                   unique; the lines of a tenth of the parts carry a NULL
                   ``book_id`` (invalid reviews), so those items have none;
@@ -28,6 +31,12 @@ from pyspark.sql import functions as F
 
 # Fixed values of the star mapping (FIXTURES.md §2):
 #   num_pages = p_size * 20, NULL when p_size % 13 = 0
+#   items: per part a newest version over all its lines (2024-01-01; 2023-06-01, as
+#   the older ones, when p_partkey % 5 = 0) and one older version per supplier over
+#   that supplier's lines; _row_hash = 0 for the newest, else l_suppkey
+#   newest version only: title NULL when p_partkey % 17 = 0, average_rating '0' when
+#   % 19 = 0 and 'not rated' when % 23 = 0, no authors when % 29 = 0; num_pages 'n/a'
+#   instead of NULL when p_partkey is even
 #   average_rating = least(5.0, avg(l_quantity) / 6.0)
 #   ratings_count = sum(l_quantity); shelf = lower(p_type), NULL when p_partkey % 49 = 0
 #   review book_id NULL for lines with l_partkey % 10 = 0 (FIXTURES drops them;
@@ -56,35 +65,41 @@ def _batch_ts() -> "F.Column":
 
 
 def raw_items(spark: SparkSession, sf_dir: str, read=None) -> DataFrame:
+    """All versions of all parts.  ``lineitem`` is added up once per part and supplier; both kinds of version use that."""
     read = _reader(spark, sf_dir, read)
     part = read("part").select("p_partkey", "p_name", "p_type", "p_size")
-    lines = (
-        read("lineitem")
-        .groupBy("l_partkey")
-        .agg(F.avg("l_quantity").alias("avg_q"),
-             F.sum("l_quantity").alias("sum_q"),
-             F.count(F.lit(1)).alias("n_lines"),
-             F.min("l_suppkey").alias("min_supp"))
-    )
-    j = part.join(lines, part.p_partkey == lines.l_partkey, "left")
-    rating = F.least(F.lit(5.0), F.col("avg_q") / 6.0)
-    pages = F.when(F.col("p_size") % 13 != 0, F.col("p_size") * 20)
-    shelf = F.when(F.col("p_partkey") % 49 != 0, F.lower("p_type"))
-    return j.select(
-        F.col("p_partkey").cast("string").alias("book_id"),
-        F.col("p_name").alias("title"),
-        F.when(F.col("min_supp").isNotNull(),
-               F.array(F.struct(F.col("min_supp").cast("string").alias("author_id"))))
+    per_supplier = read("lineitem").groupBy("l_partkey", "l_suppkey").agg(
+        F.sum("l_quantity").alias("sum_q"), F.count(F.lit(1)).alias("n_lines"))
+    old = per_supplier.select("l_partkey", F.struct(
+        F.lit(False).alias("newest"), F.col("l_suppkey").alias("supp"), "sum_q", "n_lines").alias("v"))
+    newest = per_supplier.groupBy("l_partkey").agg(F.struct(
+        F.lit(True).alias("newest"), F.min("l_suppkey").alias("supp"), F.sum("sum_q").alias("sum_q"),
+        F.sum("n_lines").alias("n_lines")).alias("v"))
+    old_rows = part.join(old, part.p_partkey == old.l_partkey)
+    new_rows = part.join(newest, part.p_partkey == newest.l_partkey, "left")  # a part without lines has one version
+    rows = old_rows.unionByName(new_rows)
+    key, is_new = F.col("p_partkey"), F.coalesce("v.newest", F.lit(True))
+    rating = F.least(F.lit(5.0), F.col("v.sum_q") / F.col("v.n_lines") / 6.0).cast("string")
+    rating = F.when(is_new & (key % 19 == 0), "0").when(is_new & (key % 23 == 0), "not rated").otherwise(rating)
+    pages = F.when(F.col("p_size") % 13 != 0, (F.col("p_size") * 20).cast("string")).when(key % 2 == 0, "n/a")
+    shelf = F.when(key % 49 != 0, F.lower("p_type"))
+    author = F.when(~(is_new & (key % 29 == 0)), F.col("v.supp").cast("string"))
+    stamp = F.when(is_new & (key % 5 != 0), F.lit("2024-01-01 00:00:00")).otherwise(F.lit("2023-06-01 00:00:00"))
+    return rows.select(
+        key.cast("string").alias("book_id"),
+        F.when(~(is_new & (key % 17 == 0)), F.col("p_name")).alias("title"),
+        F.when(author.isNotNull(), F.array(F.struct(author.alias("author_id"))))
         .otherwise(F.array().cast("array<struct<author_id:string>>")).alias("authors"),
         F.when(shelf.isNotNull(), F.array(F.struct(shelf.alias("name"))))
         .otherwise(F.array().cast("array<struct<name:string>>")).alias("popular_shelves"),
-        rating.cast("string").alias("average_rating"),
-        F.col("sum_q").cast("bigint").cast("string").alias("ratings_count"),
-        F.col("n_lines").cast("string").alias("text_reviews_count"),
-        pages.cast("string").alias("num_pages"),
-        _batch_ts().alias("_ingestion_timestamp"),
+        rating.alias("average_rating"),
+        F.col("v.sum_q").cast("bigint").cast("string").alias("ratings_count"),
+        F.col("v.n_lines").cast("string").alias("text_reviews_count"),
+        pages.alias("num_pages"),
+        stamp.cast("timestamp").alias("_ingestion_timestamp"),
         F.lit(f"{sf_dir.rstrip('/')}/part.parquet").alias("_source_file"),
         F.lit(BATCH).alias("_batch_id"),
+        F.when(is_new, F.lit(0).cast("long")).otherwise(F.col("v.supp").cast("long")).alias("_row_hash"),
     )
 
 

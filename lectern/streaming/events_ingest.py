@@ -21,23 +21,35 @@ FIRST_BATCH_TYPES = ("view", "click")
 TS_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 
-def land_json(df: DataFrame, folder: str) -> None:
+COLUMNS = ("event_id", "ts", "user_id", "event_type", "value", "props")
+
+
+def land_json(df: DataFrame, folder: str, compression: str = "none") -> None:
     """Append ``df`` to a landing folder as new JSON-lines files."""
-    df.write.mode("append").options(**TS_OPTIONS).json(folder)
+    df.write.mode("append").options(**TS_OPTIONS).option("compression", compression).json(folder)
+
+
+def _halves(events: DataFrame) -> tuple[DataFrame, DataFrame]:
+    first = F.coalesce(F.col("event_type").isin(*FIRST_BATCH_TYPES), F.lit(False))
+    return events.filter(first), events.filter(~first)
+
 
+def ingest_events(spark: SparkSession, events: DataFrame, compression: str = "none",
+                  later_column: str | None = None) -> DataFrame:
+    """Two landings of all events, an ingest after each, and a third run that must add nothing.
 
-def ingest_events(spark: SparkSession, events: DataFrame) -> DataFrame:
+    ``later_column`` is left out of the first landing; then the schema is inferred at each run (with the type of the
+    timestamp as a hint) instead of given, and the column has to appear with the second batch.
+    """
     root = scratch_path(spark, "ingest_events")
     spec = IngestSpec("events", f"{root}/raw", f"{root}/bronze", f"{root}/_checkpoint",
-                      schema=EVENT_SCHEMA, key="event_id", options=TS_OPTIONS)
-    first = F.col("event_type").isin(*FIRST_BATCH_TYPES)
-    land_json(events.filter(first), spec.source)
-    r1 = ingest_incremental(spark, spec, "batch_1")
-    land_json(events.filter(~first | F.col("event_type").isNull()), spec.source)
-    r2 = ingest_incremental(spark, spec, "batch_2")
-    r3 = ingest_incremental(spark, spec, "batch_3")
-    if r3.rows_added:
-        raise RuntimeError(f"re-run ingested {r3.rows_added} rows twice")
-    del r1, r2
-    return read_bronze(spark, spec.target).select(
-        "event_id", "ts", "user_id", "event_type", "value", "props")
+                      schema=None if later_column else EVENT_SCHEMA, hints="ts TIMESTAMP_NTZ", key="event_id",
+                      options=TS_OPTIONS)
+    first, rest = _halves(events)
+    land_json(first.drop(later_column) if later_column else first, spec.source, compression)
+    ingest_incremental(spark, spec, "batch_1")
+    land_json(rest, spec.source, compression)
+    ingest_incremental(spark, spec, "batch_2")
+    if added := ingest_incremental(spark, spec, "batch_3").rows_added:
+        raise RuntimeError(f"re-run ingested {added} rows twice")
+    return read_bronze(spark, spec.target).select(*COLUMNS)

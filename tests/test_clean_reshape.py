@@ -8,6 +8,7 @@ import random
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from lectern.operators import clean, reshape
 
@@ -45,16 +46,28 @@ def test_dedup_independent_of_input_order(spark):
     rnd = random.Random(7)
     rows = [(str(rnd.randint(1, 5)), f"t{i}", "4", "100", "1", "300", [], [], T1)
             for i in range(60)]
-    a = {(r.book_id, r.title) for r in clean.dedup(items(spark, rows), ["book_id"], []).collect()}
+    hashed = lambda: items(spark, rows).withColumn("_row_hash", F.xxhash64("title"))
+    order = clean.items_order_latest()
+    a = {(r.book_id, r.title) for r in clean.dedup(hashed(), ["book_id"], order).collect()}
     rnd.shuffle(rows)
-    b = {(r.book_id, r.title)
-         for r in clean.dedup(items(spark, rows).repartition(5), ["book_id"], []).collect()}
+    b = {(r.book_id, r.title) for r in clean.dedup(hashed().repartition(5), ["book_id"], order).collect()}
     assert a == b and len(a) == 5
 
 
+def test_dedup_reads_only_keys_order_and_what_is_selected(spark, tmp_path):
+    wide = items(spark, [("1", "t", "4", "1", "1", "1", [], [], T1), ("1", "u", "4", "2", "1", "1", [], [], T1)])
+    wide = wide.withColumns({"_row_hash": F.xxhash64("title"), "description": F.lit("long"),
+                             "tags": F.create_map(F.lit("a"), F.lit(1))})    # a MAP column is no obstacle
+    wide.write.parquet(str(tmp_path / "wide"))
+    df = clean.dedup_latest(spark.read.parquet(str(tmp_path / "wide")), ["book_id"]).select("book_id", "title")
+    scan = [x for x in df._jdf.queryExecution().executedPlan().toString().splitlines() if "ReadSchema" in x]
+    assert df.count() == 1 and len(scan) == 1
+    assert not any(c in scan[0] for c in ("description", "tags", "text_reviews_count", "authors"))
+    assert clean.dedup_latest(spark.read.parquet(str(tmp_path / "wide")), ["book_id"]).select("tags").count() == 1
+
+
 def test_dedup_plans_partial_group_limit(spark):
-    df = clean.dedup(items(spark, [("1", "t", "4", "1", "1", "1", [], [], T1)]),
-                     ["book_id"], clean.items_order_latest())
+    df = clean.silver_items(items(spark, [("1", "t", "4", "1", "1", "1", [], [], T1)]))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
 
@@ -136,6 +149,6 @@ def test_primary_category_partial_aggregation(spark):
 
 def test_dedup_is_idempotent(spark):
     rows = [(str(i % 4), f"t{i}", "4", str(100 + i), "1", "300", [], [], T1) for i in range(20)]
-    once = clean.dedup(items(spark, rows), ["book_id"], clean.items_order_most_rated())
+    once = clean.dedup(clean.typed_items(items(spark, rows)), ["book_id"], clean.items_order_most_rated())
     twice = clean.dedup(once, ["book_id"], clean.items_order_most_rated())
     assert sorted(r.title for r in once.collect()) == sorted(r.title for r in twice.collect())

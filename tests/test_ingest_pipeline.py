@@ -2,22 +2,29 @@
 
 from __future__ import annotations
 
+import gzip
 import hashlib
+import json
+import os
+from pathlib import Path
 
+import pytest
 
 from lectern.config import DEFAULT
 from lectern.operators import governance as G
+from lectern.operators import quality
 from lectern.plans import layers as L
 from lectern.sources import jsonl
 from lectern.streaming import ingest as I
 
-from .conftest import add_second_batch, write_jsonl
+from .conftest import add_second_batch, review, write_jsonl
 
 
 def test_read_json_lines_permissive_and_samples(spark, raw_catalogue, tmp_path):
-    df = jsonl.read_json_lines(spark, str(raw_catalogue / "books"))
+    assert jsonl.read_json_lines(spark, str(raw_catalogue / "books")).filter("title = 'Sample'").count() == 1
+    df = jsonl.read_json_lines(spark, str(raw_catalogue / "books"), exclude=jsonl.SAMPLE_SUFFIX)
     assert jsonl.CORRUPT in df.columns
-    assert df.filter("title = 'Sample'").count() == 0            # *sample.json left out
+    assert df.filter("title = 'Sample'").count() == 0            # left out as asked
     # Rejected lines are counted on the written Bronze table (Spark refuses a
     # raw-JSON query that reads only the corrupt-record column).
     bronze = str(tmp_path / "bronze")
@@ -49,9 +56,10 @@ def test_flatten_and_clean_names(spark):
 
 
 def test_inventory_excludes_samples(spark, raw_catalogue):
+    folders = {"books": str(raw_catalogue / "books"), "genres": str(raw_catalogue / "genres")}
+    assert {r.dataset: r.files for r in jsonl.raw_inventory(spark, folders).collect()} == {"books": 2, "genres": 1}
     inv = {r.dataset: (r.files, r.bytes) for r in
-           jsonl.raw_inventory(spark, {"books": str(raw_catalogue / "books"),
-                                       "genres": str(raw_catalogue / "genres")}).collect()}
+           jsonl.raw_inventory(spark, folders, exclude=jsonl.SAMPLE_SUFFIX).collect()}
     assert inv["books"][0] == 1 and inv["genres"][0] == 1 and inv["books"][1] > 0
 
 
@@ -66,7 +74,7 @@ def test_write_counted_and_gate(spark, tmp_path):
 
 def test_incremental_exactly_once_new_columns_and_flatten(spark, raw_catalogue, tmp_path):
     spec = I.IngestSpec("books", str(raw_catalogue / "books"), str(tmp_path / "bronze_books"),
-                        str(tmp_path / "ck_books"))
+                        str(tmp_path / "ck_books"), exclude=jsonl.SAMPLE_SUFFIX)
     r1 = I.ingest_incremental(spark, spec, "b1")
     assert r1.rows_added == 14                       # 13 books + 1 corrupt line, no sample
     assert I.ingest_incremental(spark, spec, "b2").rows_added == 0
@@ -93,13 +101,12 @@ def test_plan_records_failures(spark, raw_catalogue, tmp_path):
              I.IngestSpec("missing", str(tmp_path / "nope"), str(tmp_path / "m"),
                           str(tmp_path / "cm"))]
     res = {r.name: r for r in I.run_plan(spark, specs, "b1")}
-    assert res["books"].total_rows == 14 and res["books"].status == "fail" or \
-        res["books"].status == "pass"
+    assert res["books"].total_rows == 15 and res["books"].status == "fail"      # below the row gate
     assert res["missing"].status == "error" and res["missing"].error
 
 
 def test_full_run_and_erasure(spark, raw_catalogue, tmp_path):
-    layout = L.Layout(str(raw_catalogue), str(tmp_path / "lake"))
+    layout = L.Layout(str(raw_catalogue), str(tmp_path / "lake"), exclude=jsonl.SAMPLE_SUFFIX)
     rep = L.run_all(spark, layout, DEFAULT, gate=False, batch_id="b1")
     assert {r.name: r.status for r in rep.bronze}["reviews"] in ("warn", "fail")
     tests = {r["test"]: r for r in rep.tests}
@@ -150,12 +157,78 @@ def test_full_run_and_erasure(spark, raw_catalogue, tmp_path):
     lq = {r.layer: r.total_records for r in analyst.run(spark, "layer_quality").collect()}
     assert lq == {"bronze_books": 14, "silver_books": 10, "gold_candidates": 7}
 
+    # An erasure lasts: not in Bronze, not after a new file with the subject, with the layout as it was.
     h = hashlib.sha256(b"u1").hexdigest()
-    erased = L.rebuild_after_erasure(spark, layout, [h])
-    assert spark.read.parquet(erased.bronze("reviews")).filter("user_id = 'u1'").count() == 0
-    after = {r.book_id: r for r in spark.read.parquet(erased.silver("int_books_enriched")).collect()}
+    old = layout.bronze("reviews")
+    L.rebuild_after_erasure(spark, layout, [h.upper(), None])
+    assert layout.bronze("reviews") != old and not Path(old).exists()
+    assert I.read_bronze(spark, layout.bronze("reviews")).filter("user_id = 'u1'").count() == 0
+    after = {r.book_id: r for r in spark.read.parquet(layout.silver("int_books_enriched")).collect()}
     assert after["1"].total_reviews == 3 and after["11"].total_reviews == 0
     assert G.latest_version(spark, layout.gold("mart_audiobook_candidates")) == 1
+    write_jsonl(raw_catalogue / "reviews", "part3.json", [review("r20", "1", "u1", 1), review("r21", "1", "u21", 5)])
+    again = L.Layout(str(raw_catalogue), str(tmp_path / "lake"), exclude=jsonl.SAMPLE_SUFFIX)
+    L.run_all(spark, again, DEFAULT, gate=False, batch_id="b2")
+    bronze = I.read_bronze(spark, again.bronze("reviews"))
+    assert bronze.filter("user_id = 'u1'").count() == 0 and bronze.filter("review_id = 'r21'").count() == 1
+    left = {r.review_id for r in bronze.collect()}
+    assert left == {"r2", "r3", "r4", "r6", "r7", "r8", "r9", "r11", "r21"}
+    assert spark.read.parquet(again.silver("stg_reviews")).filter(f"user_id_hashed = '{h}'").count() == 0
+
+
+def test_a_failing_suite_leaves_gold_as_it_was(spark, raw_catalogue, tmp_path):
+    layout = L.Layout(str(raw_catalogue), str(tmp_path / "lake"), exclude=jsonl.SAMPLE_SUFFIX)
+    with pytest.raises(quality.DataTestError, match="unique_stg_reviews_review_id"):
+        L.run_all(spark, layout)                                  # gate=True
+    assert not Path(layout.gold("mart_genre_performance")).exists()
+    fine = [t for t in quality.declared_tests() if t.model != "stg_reviews" and not t.model.startswith("bronze")]
+    assert L.run_all(spark, layout, tests=fine).versions == {"mart_audiobook_candidates": 0, "mart_genre_performance": 0}
+    bad_mart = [*fine, quality.Test("accepted_values", "mart_genre_performance", "genre", ("nothing",))]
+    with pytest.raises(quality.DataTestError):
+        L.run_all(spark, layout, tests=bad_mart)
+    assert G.latest_version(spark, layout.gold("mart_genre_performance")) == 0
+    with pytest.raises(quality.DataTestError, match="not run"):
+        L.run_all(spark, layout, tests=[*fine, quality.Test("not_null", "mart_missing", "x")])
+
+
+def test_compressed_and_oddly_named_files_are_read(spark, tmp_path):
+    src = tmp_path / "src"
+    write_jsonl(src, "a.json", [{"id": 1}])
+    write_jsonl(src, "c.ndjson", [{"id": 7}])
+    with gzip.open(src / "b.json.gz", "wt") as f:
+        f.write("".join(json.dumps({"id": i}) + "\n" for i in range(2, 7)))
+    assert sorted(r.id for r in jsonl.read_json_lines(spark, str(src)).collect()) == list(range(1, 8))
+    spec = I.IngestSpec("x", str(src), str(tmp_path / "b"), str(tmp_path / "ck"), key="id")
+    assert I.ingest_incremental(spark, spec, "b1").rows_added == 7
+    assert jsonl.raw_inventory(spark, {"x": str(src)}).first().files == 3
+
+
+def test_no_new_field_is_lost(spark, tmp_path):
+    """An old-looking file with a new column, a new field inside an array of structs, and a fixed schema."""
+    src = tmp_path / "src"
+    write_jsonl(src, "a.json", [{"id": "1", "authors": [{"author_id": "x"}], "n": 5}])
+    spec = I.IngestSpec("x", str(src), str(tmp_path / "b"), str(tmp_path / "ck"), key="id")
+    I.ingest_incremental(spark, spec, "b1")
+    late = write_jsonl(src, "z.json", [{"id": "2", "authors": [{"author_id": "y", "role": "editor"}], "edition": "2nd", "n": 1.5}])
+    os.utime(late, (1, 1))                                        # written long ago, renamed into the folder now
+    I.ingest_incremental(spark, spec, "b2")
+    row = I.read_bronze(spark, spec.target).filter("id = '2'").first()
+    assert row.edition == "2nd" and row.authors[0].role == "editor"
+    assert dict(I.read_bronze(spark, spec.target).dtypes)["n"] == "bigint"        # a known leaf keeps its type
+    assert json.loads(row[jsonl.RAW])["n"] == 1.5                                # and the value survives
+    fixed = I.IngestSpec("x", str(src), str(tmp_path / "b2"), str(tmp_path / "ck2"), key="id", schema="id STRING")
+    I.ingest_incremental(spark, fixed, "b1")
+    raw = {r.id: json.loads(r[jsonl.RAW]) for r in I.read_bronze(spark, fixed.target).collect()}
+    assert raw["2"]["authors"][0]["role"] == "editor" and raw["2"]["edition"] == "2nd"
+
+
+def test_tables_are_registered_counted_and_errors_reported(spark):
+    good = spark.range(5)
+    bad = spark.range(1).selectExpr("raise_error('no') AS x")
+    report = {r["table"]: r for r in jsonl.register_tables(spark, {"t_good": good, "t_bad": bad, "t_last": good})}
+    assert report["default.t_good"]["rows"] == report["default.t_last"]["rows"] == 5
+    assert report["default.t_bad"]["error"] and report["default.t_good"]["error"] is None
+    assert spark.sql("SELECT count(*) FROM t_good").first()[0] == 5
 
 
 def _ingest_in_batches(spark, root, rows, cuts):
