@@ -77,8 +77,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.struct(*[F.col(c) for c in free]).alias("__row_of"), F.col(id_col).alias("__id"), sha.alias("__sha"),
         hit_text.alias("__text"), "__file", "__row", "__digest", "__keep_id", "__n", "__stays"), "marked")
     hits = marked.filter(F.col("__n") > 1)
-    unlike = (hits.groupBy("__digest").agg(F.min("__text").alias("a"), F.max("__text").alias("b"))
-              .filter(F.col("a") != F.col("b")).select("__digest"))
+    unlike = hits.groupBy("__digest").agg(F.min("__text").alias("a"), F.max("__text").alias("b"))
+    unlike = work.write(unlike.filter(F.col("a") != F.col("b")).select("__digest"), "unlike")
     work.drop("input")
 
     # Digests that two texts share: split by the text itself.

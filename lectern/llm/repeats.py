@@ -271,7 +271,8 @@ def repeated_spans(docs: DataFrame, work: Scratch, text_col: str = "text", lengt
     """Spans of repeated windows (``__k1, __k2, start, end``, overlapping), and the texts they may be in."""
     texts = keyed(docs, text_col).select("__k1", "__k2", F.coalesce(text_col, F.lit("")).alias("__text"))
     units = texts.filter(F.octet_length("__text") >= length).mapInArrow(_units(length), UNITS)
-    again = units.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).select("gram")
+    # Written first, so that the join's sides are both plain shuffles, which AQE can split at a common anchor.
+    again = work.write(units.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).select("gram"), "again")
     tied = work.write(units.join(again, "gram"), "tied")
 
     member = F.struct("__k1", "__k2", "first", "last", "place")
@@ -297,7 +298,7 @@ def repeated_spans(docs: DataFrame, work: Scratch, text_col: str = "text", lengt
     dealt = rows.filter(F.col("m") == 1).join(equal, ["c1", "c2"]).select(
         "__k1", "__k2", "start", (F.col("start") + length).alias("end"))
     spans = work.write(copied.unionByName(sorted_).unionByName(dealt), "spans")
-    work.drop("tied", "classes", "units")
+    work.drop("again", "tied", "classes", "units")
     return spans, bodies
 
 
