@@ -8,7 +8,7 @@ nothing reads module globals, so two configs can run side by side in one plan
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 # Fixed values that must equal the reference for identical results.
 # Score weights (rating, popularity, sentiment, length): 0.35, 0.25, 0.25, 0.15
@@ -46,27 +46,11 @@ class ScoringConfig:
     # False = three-part model: sentiment is always the rating proxy.
     use_review_sentiment: bool = True
     name: str = "default"
-    extra: dict = field(default_factory=dict, compare=False, hash=False)
-
-    @property
-    def weights(self) -> tuple[float, float, float, float]:
-        return (self.rating_weight, self.popularity_weight,
-                self.sentiment_weight, self.length_weight)
 
     @property
     def max_log_ratings(self) -> float:
         return math.log(self.popularity_ceiling + 1)
 
-    def max_score(self) -> float:
-        """Upper bound of ``weighted_score`` for any bigint ratings_count.
-
-        Each part is at most 1 except popularity, which is at most
-        ln(2**63) / ln(ceiling + 1).  Used to bound rank histograms.
-        """
-        pop_max = math.log(2.0 ** 63) / self.max_log_ratings
-        return (self.rating_weight + self.popularity_weight * pop_max
-                + self.sentiment_weight + self.length_weight)
-
     def with_(self, **kw) -> "ScoringConfig":
         return replace(self, **kw)
 

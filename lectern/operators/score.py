@@ -6,16 +6,15 @@ Ranking without a single-partition window
 -----------------------------------------
 ``RANK() OVER (ORDER BY score DESC)`` with no partition sends every row to one
 task.  Here a rank is computed from a *histogram*: ``rank = 1 + rows with a
-strictly greater score``.  The score is rounded to ``digits`` decimals and
-bounded (``ScoringConfig.max_score``), so the global histogram has at most
-``max_score * 10**digits + 1`` rows whatever the data size; only that small
-table is windowed; AQE broadcasts it back by its measured size.  Scores that
-are not rounded get a histogram per range of scores (see ``_global_ranks``).  Per-group
-ranks use the (group, score) histogram, windowed per group: a hot group holds
-at most as many histogram rows as there are distinct scores, so one genre with
-a third of all items is still a small window partition.  Rows meet their ranks
-through one equi-join on (group, score); AQE broadcasts the histogram when its
-measured size allows and otherwise splits skewed partitions.
+strictly greater score``.  The histogram is aggregated map-side and windowed by
+ranges of scores (see ``_global_ranks``), so neither rounded scores, which have
+few distinct values, nor unrounded ones, which have as many as rows, meet in
+one task.  Per-group ranks use the (group, score) histogram, windowed per
+group: a hot group holds at most as many histogram rows as there are distinct
+scores, so one genre with a third of all items is still a small window
+partition.  Rows meet their ranks through one equi-join on (group, score); AQE
+broadcasts the histogram when its measured size allows and otherwise splits
+skewed partitions.
 """
 
 from __future__ import annotations
@@ -53,15 +52,12 @@ def score_columns(cfg: ScoringConfig = DEFAULT) -> dict[str, Column]:
     sent = S.sentiment_score("positive_review_pct", "total_reviews", "average_rating", cfg)
     length = S.length_score("num_pages")
     r, p, s, ln = S.score_parts("average_rating", "ratings_count", sent, length, cfg)
-    total = r + p + s
-    if cfg.length_weight:
-        total = total + ln
     return {
         "popularity_score": S.popularity("ratings_count", cfg),
         "sentiment_score": sent,
         "length_score": length,
         "length_category": S.length_category("num_pages"),
-        "weighted_score": F.round(total, 4),
+        "weighted_score": S.weighted_score("average_rating", "ratings_count", sent, length, cfg),
         "rating_contribution": F.round(r, 4),
         "popularity_contribution": F.round(p, 4),
         "sentiment_contribution": F.round(s, 4),

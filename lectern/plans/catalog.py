@@ -364,9 +364,8 @@ def q_legacy_genre_summary(i: Inputs) -> DataFrame:
 def q_masked_ids(i: Inputs) -> DataFrame:
     """F16: tail mask for the analyst role, clear text otherwise."""
     c = i.table("customer").select("c_custkey", "c_name")
-    return c.select("c_custkey",
-                    S.mask_tail("c_name", True).alias("analyst_view"),
-                    S.mask_tail("c_name", False).alias("engineer_view"))
+    both = governance.masked(governance.masked(c, "c_name", True, "analyst_view"), "c_name", False, "engineer_view")
+    return both.drop("c_name")
 
 
 @register("text_signals")

@@ -25,6 +25,19 @@ def R(expr: str, digits: int) -> str:
 SEGMENTS = ("automobile", "building", "furniture", "household", "machinery")
 GENRE_COLS = [f"genre_{s}" for s in SEGMENTS]
 
+# The page bands of SURVEY §1.5-1 (the first match wins), as length_score and length_category.
+_BANDS = ((200, 400, 1.0, "ideal"), (400, 600, 0.8, "good"), (100, 200, 0.6, "short"), (600, 800, 0.4, "long"))
+
+
+def _banded(unknown: str, values: list[str], other: str) -> str:
+    whens = " ".join(f"WHEN num_pages BETWEEN {lo} AND {hi} THEN {v}" for (lo, hi, *_), v in zip(_BANDS, values))
+    return f"CASE WHEN num_pages IS NULL THEN {unknown} {whens} ELSE {other} END"
+
+
+LENGTH_BANDS = (
+    _banded("CAST(0.5 AS DOUBLE)", [f"CAST({b[2]} AS DOUBLE)" for b in _BANDS], "CAST(0.2 AS DOUBLE)") + " AS length_score, "
+    + _banded("'unknown'", [f"'{b[3]}'" for b in _BANDS], "'very_long'") + " AS length_category")
+
 _BASE = {
     "line_agg": """
         SELECT l_partkey, l_suppkey, false AS newest, sum(l_quantity) AS sum_q, count(*) AS n_lines
@@ -148,18 +161,7 @@ _BASE = {
                     WHEN average_rating >= 4.0 THEN CAST(1.0 AS DOUBLE)
                     WHEN average_rating >= 3.0 THEN CAST(0.5 AS DOUBLE)
                     ELSE CAST(0.0 AS DOUBLE) END AS sentiment_score,
-               CASE WHEN num_pages IS NULL THEN CAST(0.5 AS DOUBLE)
-                    WHEN num_pages BETWEEN 200 AND 400 THEN CAST(1.0 AS DOUBLE)
-                    WHEN num_pages BETWEEN 400 AND 600 THEN CAST(0.8 AS DOUBLE)
-                    WHEN num_pages BETWEEN 100 AND 200 THEN CAST(0.6 AS DOUBLE)
-                    WHEN num_pages BETWEEN 600 AND 800 THEN CAST(0.4 AS DOUBLE)
-                    ELSE CAST(0.2 AS DOUBLE) END AS length_score,
-               CASE WHEN num_pages IS NULL THEN 'unknown'
-                    WHEN num_pages BETWEEN 200 AND 400 THEN 'ideal'
-                    WHEN num_pages BETWEEN 400 AND 600 THEN 'good'
-                    WHEN num_pages BETWEEN 100 AND 200 THEN 'short'
-                    WHEN num_pages BETWEEN 600 AND 800 THEN 'long'
-                    ELSE 'very_long' END AS length_category
+               """ + LENGTH_BANDS + """
         FROM eligible""",
     "weighted": """
         SELECT *,
@@ -425,20 +427,7 @@ _q("sentiment_score", """SELECT book_id, total_reviews, positive_review_pct, ave
             WHEN average_rating >= 3.0 THEN CAST(0.5 AS DOUBLE)
             ELSE CAST(0.0 AS DOUBLE) END AS sentiment_score
 FROM enriched""", "enriched")
-_q("length_score", """SELECT book_id, num_pages,
-       CASE WHEN num_pages IS NULL THEN CAST(0.5 AS DOUBLE)
-            WHEN num_pages BETWEEN 200 AND 400 THEN CAST(1.0 AS DOUBLE)
-            WHEN num_pages BETWEEN 400 AND 600 THEN CAST(0.8 AS DOUBLE)
-            WHEN num_pages BETWEEN 100 AND 200 THEN CAST(0.6 AS DOUBLE)
-            WHEN num_pages BETWEEN 600 AND 800 THEN CAST(0.4 AS DOUBLE)
-            ELSE CAST(0.2 AS DOUBLE) END AS length_score,
-       CASE WHEN num_pages IS NULL THEN 'unknown'
-            WHEN num_pages BETWEEN 200 AND 400 THEN 'ideal'
-            WHEN num_pages BETWEEN 400 AND 600 THEN 'good'
-            WHEN num_pages BETWEEN 100 AND 200 THEN 'short'
-            WHEN num_pages BETWEEN 600 AND 800 THEN 'long'
-            ELSE 'very_long' END AS length_category
-FROM silver_items""", "silver_items")
+_q("length_score", f"SELECT book_id, num_pages, {LENGTH_BANDS} FROM silver_items", "silver_items")
 _q("weighted_score", "SELECT book_id, weighted_score FROM weighted", "weighted")
 _q("score_breakdown", """SELECT book_id, weighted_score,
        """ + R("average_rating / CAST(5.0 AS DOUBLE) * CAST(0.35 AS DOUBLE)", 4)

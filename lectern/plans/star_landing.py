@@ -8,7 +8,7 @@ to flatten and clean them.  Every row of the star mapping is landed.
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources import jsonl, star
@@ -24,11 +24,26 @@ RAW_GENRE_NAMES = {"automobile": "automobile, transport", "building": "building"
 SCHEMAS = {**layers.SCHEMAS, "genres": layers.genre_schema(list(RAW_GENRE_NAMES.values()))}
 
 
+#: Characters of a document that a landed review or description carries.
+TEXT_CHARS = 400
+
+
+def _with_text(df: DataFrame, docs: DataFrame, number: Column, column: str, docs_count: int) -> DataFrame:
+    """``df`` with the start of the document whose id is ``number`` modulo their count as ``column``."""
+    numbered = df.withColumn("_doc", F.pmod(number.cast("long"), F.lit(docs_count)))
+    texts = docs.select(F.col("doc_id").alias("_doc"), F.substring("text", 1, TEXT_CHARS).alias(column))
+    return numbered.drop(column).join(texts, "_doc", "left").drop("_doc")
+
+
 def land(spark: SparkSession, sf_dir: str, raw_root: str) -> dict[str, int]:
-    """Write ``books``, ``reviews``, ``genres`` (plus tiny ``authors``/``series``)."""
+    """Write ``books``, ``reviews``, ``genres`` (plus tiny ``authors``/``series``), with texts of realistic length."""
+    docs = star.table(spark, sf_dir, "documents")
+    docs_count = docs.count()
     items = star.raw_items(spark, sf_dir).drop("_ingestion_timestamp", "_source_file", "_batch_id", "_row_hash")
+    items = _with_text(items, docs, F.col("book_id"), "description", docs_count)
     reviews = star.raw_reviews(spark, sf_dir).select(
         "review_id", "book_id", "user_id", "rating", "review_text", "date_added")
+    reviews = _with_text(reviews, docs, F.col("review_id"), "review_text", docs_count)
     g = star.raw_genres(spark, sf_dir)
     genres = g.select("book_id", F.struct(*[
         F.col(f"genre_{k}").alias(v) for k, v in RAW_GENRE_NAMES.items()]).alias("genres"))

@@ -21,7 +21,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", os.environ.get("LECTERN_DRIVER_MEMORY", "16g"))
+        .config("spark.driver.memory", os.environ.get("LECTERN_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     spark = builder.getOrCreate()
@@ -51,10 +51,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
+#: This process's part of the scratch folder.
+RUN = uuid.uuid4().hex
+
+
 def scratch_path(spark: SparkSession, *parts: str) -> str:
-    """A fresh folder name under the shared checkpoint folder."""
+    """A fresh folder name under the shared checkpoint folder, in this run's part of it."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return "/".join([base, "lectern", *parts, uuid.uuid4().hex])
+    return "/".join([base, "lectern", RUN, *parts, uuid.uuid4().hex])
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete everything this run has staged; call it when no DataFrame that reads it is needed any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{ensure_checkpoint_dir(spark).rstrip('/')}/lectern/{RUN}")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df, label: str = "stage"):

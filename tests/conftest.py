@@ -29,6 +29,8 @@ def spark(tmp_path_factory):
     from lectern.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(s)
     yield s
+    from lectern.session import clear_scratch
+    clear_scratch(s)
 
 
 def write_jsonl(folder: Path, name: str, rows: list, raw_lines: list[str] = ()) -> Path:

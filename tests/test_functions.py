@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import hashlib
 import math
 
@@ -126,3 +128,30 @@ def test_annotator_extraction(spark):
 def test_strip_prefix(spark):
     assert one(spark, S.strip_prefix("g", "genre_"), "g string",
                [("genre_fiction",), ("fiction_genre_x",)]) == ["fiction", "fiction_genre_x"]
+
+
+def test_scratch_falls_back_to_the_warehouse_and_is_cleared(spark, tmp_path):
+    """Without spark.checkpoint.dir the scratch folder is in the warehouse, never in a machine's temp folder."""
+    from types import SimpleNamespace
+
+    from lectern import session
+
+    class Conf(dict):
+        def set(self, k, v):
+            self[k] = v
+
+    made = []
+    context = SimpleNamespace(getCheckpointDir=lambda: None, setCheckpointDir=made.append)
+    bare = SimpleNamespace(conf=Conf({"spark.sql.warehouse.dir": "hdfs://shared/warehouse"}), sparkContext=context)
+    first = session.scratch_path(bare, "x")
+    assert first.startswith("hdfs://shared/warehouse/_scratch/") and made == [bare.conf["spark.checkpoint.dir"]]
+    assert session.scratch_path(bare, "x").startswith(made[0]) and session.scratch_path(bare, "x") != first
+    given = SimpleNamespace(conf=Conf({"spark.checkpoint.dir": "hdfs://own"}), sparkContext=context)
+    assert session.scratch_path(given).startswith("hdfs://own/lectern/")
+    for source in Path(session.__file__).parent.rglob("*.py"):
+        assert "tempfile" not in source.read_text()
+    staged = session.materialize(spark.range(3), "t")
+    folder = Path(staged.inputFiles()[0].removeprefix("file://"))
+    assert folder.exists()
+    session.clear_scratch(spark)
+    assert not folder.exists()
