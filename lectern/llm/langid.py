@@ -131,7 +131,7 @@ def phrases(data: np.ndarray, ends: np.ndarray, parser: np.ndarray) -> np.ndarra
         count[:n] += found & 3
         state[:n] = found >> 2
     count += state > 0
-    return np.bincount(lanes.text, weights=count, minlength=len(ends) - 1)
+    return np.bincount(lanes.text, weights=count, minlength=len(ends) - 1).astype(float)
 
 
 def _has_letter(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -146,7 +146,7 @@ def _has_letter(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
 def _predict(text_col: str, references: tuple[tuple[str, bytes], ...], keep_text: bool = False):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [name for name, _ in references]
-        for batch in sliced(batches, text_col, 16 << 20):
+        for batch in sliced(batches, text_col, 8 << 20):
             data, ends = text_buffer(batch.column(text_col))
             known = _has_letter(data, ends)
             lang, score = np.full(len(known), "und", object), np.zeros(len(known))

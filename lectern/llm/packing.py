@@ -33,8 +33,8 @@ from .common import Scratch, names_free, sliced, split_words
 VOCABULARY = "word_bpe_49k.json"
 CAPACITY = 2048
 #: Words of which a Python worker remembers the ids, in each of two generations.
-REMEMBERED = 500_000
-SLICE = 16 << 20
+REMEMBERED = 250_000
+SLICE = 4 << 20
 RESULTS = ("piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 

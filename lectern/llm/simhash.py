@@ -68,7 +68,7 @@ def fingerprint(text: bytes, shingle: int = 3, step: int = 65_536) -> int:
 
 def _fingerprints(text_col: str, shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches, text_col, 16 << 20):
+        for batch in sliced(batches, text_col, 4 << 20):
             data, ends = text_buffer(batch.column(text_col))
             raw = data.tobytes()
             found = np.fromiter((fingerprint(raw[ends[i]:ends[i + 1]], shingle) for i in range(len(ends) - 1)),
