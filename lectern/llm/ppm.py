@@ -158,7 +158,7 @@ def log_probabilities(data: np.ndarray, ends: np.ndarray, model: Trie) -> np.nda
         total[:n] += logp[at * SYMBOLS + c]
         state[:n] = step[at * 256 + c]
     scores = np.bincount(lanes.text, weights=total + np.where(lanes.last, logp[state * SYMBOLS + END], 0),
-                         minlength=len(ends) - 1)
+                         minlength=len(ends) - 1).astype(float)
     scores[np.diff(ends) == 0] = logp[END]  # an empty text has no block
     return scores
 
@@ -199,7 +199,7 @@ def _score(id_cols: list[str], text_col: str, model, common):
             hit = place >= 0
             tokens = np.bincount(parent, minlength=n) + 1
             known = np.bincount(parent[hit], minlength=n)
-            sums = np.bincount(parent[hit], weights=gain[place[hit]], minlength=n)
+            sums = np.bincount(parent[hit], weights=gain[place[hit]], minlength=n).astype(float)
             rare = words.filter(pa.array(~hit))
             cuts = np.concatenate([[0], np.cumsum(np.bincount(parent[~hit], minlength=n))]).astype(np.int32)
             rare = pa.ListArray.from_arrays(pa.array(cuts), rare.cast(pa.string()))

@@ -5,7 +5,7 @@ those are read by two Markov models of characters, one of random strings and one
 and reported if the log-likelihood ratio is high, in sum and per character.
 
 The models are trained from labelled samples.  By default the table labels itself: what the patterns found is random, the
-words of other places are ordinary.  The samples are bounded (``SAMPLE_VALUES`` distinct values with the smallest MD5, the
+words that documents share outside of them are ordinary.  The samples are bounded (``SAMPLE_VALUES`` distinct values with the smallest MD5, the
 words of about ``SAMPLE_DOCS`` documents with the smallest draw); everything else covers all rows.  A model is a table of
 ``len(ALPHABET) + 1`` squared transitions, whatever the input.
 
@@ -35,6 +35,7 @@ CANDIDATE = r"([A-Za-z0-9+/=_-]{16,})"
 ORDINARY = r"([A-Za-z][A-Za-z0-9_-]{5,})"
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/=_-"
 WIDTH = len(ALPHABET) + 1
+BACKOFF = 8.0
 SAMPLE_VALUES = 20_000
 SAMPLE_DOCS = 2_000
 #: Least log-likelihood ratio in nats, in sum and per transition.
@@ -93,7 +94,7 @@ def scan(docs: DataFrame, text_col: str) -> DataFrame:
 
 
 def labelled_sample(docs: DataFrame, scanned: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``value, random``: distinct strings that the patterns found, and distinct words of other places."""
+    """``value, random``: distinct strings that the patterns found, and distinct words that documents share."""
     known = scanned.select(F.explode(F.concat("__assign", "__access", "__hex")).alias("s")).select(
         F.col("s.value").alias("value")).distinct().orderBy(F.md5("value")).limit(SAMPLE_VALUES)
     n = max(1, docs.count())
@@ -102,7 +103,9 @@ def labelled_sample(docs: DataFrame, scanned: DataFrame, id_col: str, text_col:
     plain = some
     for pattern in (ASSIGN, ACCESS, HEX):
         plain = plain.withColumn("t", F.regexp_replace("t", pattern, " "))
-    usual = plain.select(F.explode(F.regexp_extract_all("t", F.lit(ORDINARY), F.lit(1))).alias("value")).distinct()
+    # An identifier is ordinary if two documents of the sample have it (a secret is in one, as a rule).
+    usual = plain.select(F.explode(F.array_distinct(F.regexp_extract_all("t", F.lit(ORDINARY), F.lit(1)))).alias("value"))
+    usual = usual.groupBy("value").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).select("value")
     usual = usual.orderBy(F.md5("value")).limit(SAMPLE_VALUES)
     return known.withColumn("random", F.lit(True)).unionByName(usual.withColumn("random", F.lit(False)))
 
@@ -120,22 +123,32 @@ def transitions(value: Column) -> Column:
                       lambda a, b: a * WIDTH + b)
 
 
+def _model(counts: dict[int, int], spread: float) -> list[float]:
+    """Probability of each transition.  A character's successors are smoothed by ``BACKOFF`` observations of how often
+    characters are successors at all; that by one half of each, mixed with the uniform distribution by ``spread``."""
+    total, follows, starts = sum(counts.values()), [0.5] * WIDTH, [0] * WIDTH
+    for t, n in counts.items():
+        starts[t // WIDTH] += n
+        follows[t % WIDTH] += n
+    follows = [(1 - spread) * f / (total + WIDTH / 2) + spread / WIDTH for f in follows]
+    return [(counts.get(a * WIDTH + b, 0) + BACKOFF * follows[b]) / (starts[a] + BACKOFF)
+            for a in range(WIDTH) for b in range(WIDTH)]
+
+
 def train(sample: DataFrame) -> list[float]:
-    """Log-likelihood ratio (random over ordinary) of each transition, from ``value, random``.
+    """Log-likelihood ratio (random over ordinary) of each transition, from ``value, random``.  Without an ordinary string
+    there is nothing to tell random ones from, and every ratio is 0.
 
-    Transitions are counted with one added; the random model is mixed half and half with the uniform one, as random
-    strings of the sample may use fewer characters than random strings do.  Without a labelled string a
-    model is uniform.
+    The random model is spread half way to the uniform distribution, as random strings of the sample may use fewer
+    characters than random strings do; without any it is uniform.
     """
     rows = sample.filter(F.length("value") > 1).select("random", F.explode(transitions(F.col("value"))).alias("t"))
-    counts = {(r["random"], r["t"]): r["n"] for r in rows.groupBy("random", "t").agg(F.count(F.lit(1)).alias("n")).collect()}
-    ratio = [0.0] * (WIDTH * WIDTH)
-    for a in range(WIDTH):
-        total = {k: sum(counts.get((k, a * WIDTH + b), 0) for b in range(WIDTH)) for k in (True, False)}
-        for b in range(WIDTH):
-            p = {k: (counts.get((k, a * WIDTH + b), 0) + 1) / (total[k] + WIDTH) for k in (True, False)}
-            ratio[a * WIDTH + b] = math.log((p[True] + 1 / WIDTH) / 2) - math.log(p[False])
-    return ratio
+    counts: dict[bool, dict[int, int]] = {True: {}, False: {}}
+    for r in rows.groupBy("random", "t").agg(F.count(F.lit(1)).alias("n")).collect():
+        counts[r["random"]][r["t"]] = r["n"]
+    if not counts[False]:
+        return [0.0] * (WIDTH * WIDTH)
+    return [math.log(p) - math.log(q) for p, q in zip(_model(counts[True], 0.5), _model(counts[False], 0.0), strict=True)]
 
 
 def likelihood_ratio(value: Column, ratio: list[float]) -> Column:

@@ -19,7 +19,7 @@ def test_equal_substrings_share_interior_names(rng):
     body = prose(rng, 400)
     a, b = set(names_of("abc " + body).tolist()), set(names_of("Some other words, " + body + " end").tolist())
     assert len(a & b) > 0.9 * min(len(a), len(b))
-    assert len(a & set(names_of(prose(rng, 400)).tolist())) < 0.1 * len(a)
+    assert len(a & set(names_of(prose(rng, 400)).tolist())) < 0.2 * len(a)  # of words made of ten syllables
 
 
 def test_tosses_keep_neighbours_different(rng):

@@ -57,7 +57,9 @@ def test_plan_places_every_piece_once(rng):
         for k, n in used.items():
             total[k] += n * bins
     assert total == counts
-    assert sum(b for _, b in plan) <= 1.02 * sum(k * n for k, n in counts.items()) / 100 + 2
+    # Bins that no packing can do without: all room, or one for each piece of over half a bin.
+    least = max(sum(k * n for k, n in counts.items()) / 100, sum(n for k, n in counts.items() if k > 50))
+    assert sum(b for _, b in plan) <= 1.04 * least + 2
     assert packing.plan({}) == []
 
 

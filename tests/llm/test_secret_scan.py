@@ -3,9 +3,10 @@ from __future__ import annotations
 import re
 
 from lectern.llm import secret_scan as S
+from lectern.llm.common import documents
 from pyspark.sql import functions as F
 
-from .conftest import as_rows, prose
+from .conftest import as_rows
 
 ASSIGN = re.compile(r"""([pP][aA][sS][sS][wW][oO][rR][dD]|(?i:passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ALNUM = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
@@ -44,26 +45,31 @@ def test_base_spans_equal_regular_expressions(spark, rng):
 
 
 def test_markov_models_find_keys_without_a_pattern(spark, rng):
-    planted = ["ghp_" + draw(rng, 36) for _ in range(20)] + [draw(rng, 43) for _ in range(20)]
-    words = ["internationalization", "thingstionherenatly", "wonderful_identifier_name", "someLongCamelCaseName", "and", "ordinary"]
-    clean = [" ".join(rng.choices(words, k=40)) for _ in range(100)]
-    secret = [" ".join(rng.choices(words, k=10)) + f" {p} " + " ".join(rng.choices(words, k=10)) for p in planted]
-    known = [f"password={draw(rng, 20)} x AKIA{draw(rng, 16, ALNUM[26:])}" for _ in range(100)]
-    df = spark.createDataFrame(list(enumerate(clean + secret + known)), "doc_id long, text string")
+    """Trained by the driver's documents, on keys planted in some of them."""
+    docs = documents(spark, "/root/testdata/sf0.01").select("doc_id", "text")
+    planted = {i: rng.choice([f"ghp_{draw(rng, 36)}", draw(rng, 43), f"sk-{draw(rng, 48)}"]) for i in range(0, 1000, 20)}
+    known = spark.createDataFrame([(5000 + i, f"password={draw(rng, 20)} x AKIA{draw(rng, 16, ALNUM[26:])}") for i in range(60)],
+                                  docs.schema)
+    keys = spark.createDataFrame(list(planted.items()), "doc_id long, key string")
+    rows = docs.join(keys, "doc_id", "left").withColumn("text", F.concat_ws(" ", "text", "key")).drop("key").union(known)
+    texts = dict(as_rows(rows, "doc_id", "text"))
     found = {}
-    for r in S.find_secrets(df).collect():
-        found[r["doc_id"]] = [(s["start"], s["end"]) for s in r["spans"] if s["kind"] == 3]
-    assert all(not found[i] for i in range(100))
-    hits = sum(found[100 + i] == [(secret[i].index(p), secret[i].index(p) + len(p))] for i, p in enumerate(planted))
-    assert hits >= 38
+    for r in S.find_secrets(rows).collect():
+        found[r["doc_id"]] = [texts[r["doc_id"]][s["start"]:s["end"]] for s in r["spans"] if s["kind"] == 3]
+    assert sum(planted[i] in found[i] for i in planted) >= 0.95 * len(planted)
+    clean = [i for i in found if i not in planted]
+    assert sum(bool(found[i]) for i in clean) <= 0.005 * len(clean)
 
 
 def test_labelled_sample_may_be_given(spark, rng):
-    sample = spark.createDataFrame([(draw(rng, 30), True) for _ in range(200)] + [(w, False) for w in
-                                   prose(rng, 300).split()] + [("a", True), ("", False)], "value string, random boolean")
-    df = spark.createDataFrame([(1, "see " + draw(rng, 40) + " there"), (2, "see " + "thetheoring" * 4)], "doc_id long, text string")
+    words = documents(spark, "/root/testdata/sf0.01").select(F.explode(F.split("text", "[^A-Za-z]+")).alias("value")).distinct()
+    sample = words.withColumn("random", F.lit(False)).union(spark.createDataFrame(
+        [(draw(rng, 30), True) for _ in range(300)] + [("a", True), ("", False)], "value string, random boolean"))
+    df = spark.createDataFrame([(1, "see " + draw(rng, 40) + " there"), (2, "see " + "thering" * 4)], "doc_id long, text string")
     kinds = {r["doc_id"]: [s["kind"] for s in r["spans"]] for r in S.find_secrets(df, sample=sample).collect()}
     assert kinds == {1: [3], 2: []}
+    untaught = S.find_secrets(df, sample=sample.filter("random"))
+    assert not any(r["spans"] for r in untaught.collect())
 
 
 def test_spelling_empty_table_and_no_python(spark):
