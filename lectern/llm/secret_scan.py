@@ -2,7 +2,7 @@
 
 Patterns find assignments, access keys and hex strings.  The method adds spans: strings of ``CANDIDATE`` characters outside
 those are read by two Markov models of characters, one of random strings and one of ordinary identifiers,
-and reported if the log-likelihood ratio is high, in sum and per character.
+and reported if the log-likelihood ratio is high, in sum and per character.  Plain numbers (cards, phones) are no keys.
 
 The models are trained from labelled samples.  By default the table labels itself: what the patterns found is random, the
 words that documents share outside of them are ordinary.  The samples are bounded (``SAMPLE_VALUES`` distinct values with the smallest MD5, the
@@ -170,7 +170,7 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     scanned = work.write(scan(docs, text_col), "scanned")
     ratio = train(labelled_sample(docs, scanned, id_col, text_col) if sample is None else sample)
     score = lambda c: likelihood_ratio(c["value"], ratio)
-    secret = lambda c: (score(c) >= LEAST_SUM) & (score(c) >= LEAST_MEAN * (F.length(c["value"]) - 1))
+    secret = lambda c: c["value"].rlike("[A-Za-z]") & (score(c) >= LEAST_SUM) & (score(c) >= LEAST_MEAN * (F.length(c["value"]) - 1))
     rows = scanned.withColumn("__random", F.when(F.size("__cand") > 0, F.filter("__cand", secret)).otherwise(F.col("__cand")))
     spans = F.concat(*[_of_kind(f"__{kind}", n) for n, kind in enumerate(KINDS)])
     spans = F.transform(F.array_sort(spans), lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"),
