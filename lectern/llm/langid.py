@@ -177,7 +177,7 @@ def references(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = rows.select(F.col(lang_col).alias("lang"), F.substring(text_col, 1, ROW_CHARS).alias("text"),
                        uniform(id_col, "reference:").alias("draw"))
     counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    thin = rows.join(F.broadcast(counts), "lang").filter(F.col("draw") < 4 * SAMPLE_ROWS / F.col("n"))
+    thin = rows.join(counts, "lang").filter(F.col("draw") < 4 * SAMPLE_ROWS / F.col("n"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "text"))
     sample = thin.withColumn("rank", rank).filter(F.col("rank") <= SAMPLE_ROWS).orderBy("lang", "rank").collect()
     joined: dict[str, bytes] = {}

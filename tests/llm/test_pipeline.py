@@ -58,3 +58,12 @@ def test_all_queries_are_registered():
     numbers = sorted(int(k[2:].split("_")[0]) for k in queries.QUERIES)
     assert numbers == list(range(1, 11)) and set(queries.SQL) <= set(queries.QUERIES)
     assert [n for n, _ in C.STAGES] == ["language_id", "exact_dedup", "near_dedup", "mix_sources", "pack_sequences"]
+
+
+def test_every_query_on_an_empty_table_and_on_null_rows(spark, tmp_path):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    for name, rows in (("empty", []), ("nulls", [(None, None, None, None, None)] * 2 + [(1, None, None, None, None)])):
+        spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / name / "documents.parquet"))
+        for key, query in {**queries.QUERIES, "pipeline": C.run}.items():
+            got = query(spark, str(tmp_path / name)).count()
+            assert got == (0 if key == "pipeline" else len(rows)), (name, key)
