@@ -29,7 +29,7 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 #: space is set aside ahead of use (4 MB a store otherwise), and a commit writes changes, not whole files.
 STATE = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB,
          "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-         "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+         "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "128",
          "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
          "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true"}
 RESULTS = ("keep_id", "group_size", "kept", "text_sha256")
@@ -72,10 +72,14 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     columns = columns or docs.columns
     free = names_free(docs.select(*columns), *RESULTS).columns
     sha = F.lower(F.hex(F.col("__digest"))) if digest is sha256 else F.sha2(F.encode(text, "UTF-8"), 256)
-    hit_text = F.when(F.col("__n") > 1, text)
+    # The bytes to compare: already in the row if the text is returned, else taken along for hits alone.
+    has_text = text_col in free
+    hit_text = F.lit(None).cast("string") if has_text else F.when(F.col("__n") > 1, text)
     marked = work.write(rows.join(marks, ["__file", "__row"]).select(
         F.struct(*[F.col(c) for c in free]).alias("__row_of"), F.col(id_col).alias("__id"), sha.alias("__sha"),
         hit_text.alias("__text"), "__file", "__row", "__digest", "__keep_id", "__n", "__stays"), "marked")
+    if has_text:
+        marked = marked.withColumn("__text", F.coalesce(F.col("__row_of").getField(text_col), F.lit("")))
     hits = marked.filter(F.col("__n") > 1)
     unlike = hits.groupBy("__digest").agg(F.min("__text").alias("a"), F.max("__text").alias("b"))
     unlike = work.write(unlike.filter(F.col("a") != F.col("b")).select("__digest"), "unlike")

@@ -5,9 +5,9 @@ those are read by two Markov models of characters, one of random strings and one
 and reported if the log-likelihood ratio is high, in sum and per character.  Plain numbers (cards, phones) are no keys.
 
 The models are trained from labelled samples.  By default the table labels itself: what the patterns found is random, the
-words that documents share outside of them are ordinary.  The samples are bounded (``SAMPLE_VALUES`` distinct values with the smallest MD5, the
-words of about ``SAMPLE_DOCS`` documents with the smallest draw); everything else covers all rows.  A model is a table of
-``len(ALPHABET) + 1`` squared transitions, whatever the input.
+words that documents share outside of them are ordinary.  The samples are bounded (``SAMPLE_VALUES`` distinct values with
+the smallest MD5, the words of about ``SAMPLE_DOCS`` documents with the smallest draw); everything else covers all rows.
+A model is a table of ``len(ALPHABET) + 1`` squared transitions, whatever the input.
 
 Every text is scanned once: the spans with their strings are written to the shared folder, and the sample, the models and
 the decision read those.  Positions come from splitting at the matches: a match starts after all gaps and
@@ -169,8 +169,11 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     docs = names_free(docs, *RESULTS)
     scanned = work.write(scan(docs, text_col), "scanned")
     ratio = train(labelled_sample(docs, scanned, id_col, text_col) if sample is None else sample)
-    score = lambda c: likelihood_ratio(c["value"], ratio)
-    secret = lambda c: c["value"].rlike("[A-Za-z]") & (score(c) >= LEAST_SUM) & (score(c) >= LEAST_MEAN * (F.length(c["value"]) - 1))
+
+    def secret(c: Column) -> Column:
+        score, steps = likelihood_ratio(c["value"], ratio), F.length(c["value"]) - 1
+        return c["value"].rlike("[A-Za-z]") & (score >= F.greatest(F.lit(LEAST_SUM), LEAST_MEAN * steps))
+
     rows = scanned.withColumn("__random", F.when(F.size("__cand") > 0, F.filter("__cand", secret)).otherwise(F.col("__cand")))
     spans = F.concat(*[_of_kind(f"__{kind}", n) for n, kind in enumerate(KINDS)])
     spans = F.transform(F.array_sort(spans), lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"),

@@ -99,8 +99,9 @@ def bit_planes(rows: np.ndarray) -> np.ndarray:
 def within(queries: np.ndarray, rows: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """Which queries have a row in reach, and per such query the bit set of rows within ``radius`` bits.
 
-    If both are the same array, a row isn't held against itself.  A distance is counted in ``radius.bit_length()`` counter words that start so high that the carry out
-    of the last one says "beyond the radius".
+    If both are the same array, a row isn't held against itself.  A distance is counted in
+    ``radius.bit_length()`` counter words that start so high that the carry out of the last one says
+    "beyond the radius".
     """
     planes, alive = bit_planes(rows), np.arange(len(queries))
     beyond = np.zeros((len(queries), planes.shape[1]), np.uint64)
