@@ -128,14 +128,14 @@ def genre_strategy(mart: DataFrame) -> DataFrame:
                        F.col("avg_weighted_score").alias("avg_score")).orderBy("genre_rank", "genre")
 
 
-def recommendation(cands: DataFrame, mart: DataFrame) -> DataFrame:
-    """L3: the top item and the top genre, one row each (two bounded top-1s)."""
-    item = (cands.orderBy(F.col("audiobook_rank").asc(), F.col("book_id").asc()).limit(1)
+def recommendation(items: DataFrame, mart: DataFrame) -> DataFrame:
+    """L3: the top item and the top genre, one row each: two bounded top-1s by score, no rank of all rows."""
+    item = (items.orderBy(F.col("weighted_score").desc_nulls_last(), F.col("book_id").asc()).limit(1)
             .select(F.lit("top_item").alias("kind"), F.col("title").alias("name"),
                     F.col("primary_genre").alias("genre"),
                     F.col("weighted_score").alias("score"),
                     F.col("ratings_count").alias("ratings")))
-    genre = (mart.orderBy(F.col("genre_rank").asc(), F.col("genre").asc()).limit(1)
+    genre = (mart.orderBy(F.col("avg_weighted_score").desc_nulls_last(), F.col("genre").asc()).limit(1)
              .select(F.lit("top_genre").alias("kind"), F.col("genre").alias("name"),
                      F.col("genre").alias("genre"),
                      F.col("avg_weighted_score").alias("score"),

@@ -274,7 +274,7 @@ def q_genre_strategy(i: Inputs) -> DataFrame:
 @register("recommendation", GOLD)
 def q_recommendation(i: Inputs) -> DataFrame:
     """L3: top item and top genre."""
-    return report.recommendation(i.candidates, i.genre_mart)
+    return report.recommendation(i.scored, i.genre_mart)
 
 
 @register("layer_quality", GOLD)

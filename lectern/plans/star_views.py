@@ -55,6 +55,13 @@ class Inputs:
     def _staged(self, layer: str, df: DataFrame, label: str) -> DataFrame:
         return materialize(df, label) if layer in self.stage else df
 
+    @cached_property
+    def lines(self) -> DataFrame | None:
+        """The joined order lines, written once for both tables that read them, where Bronze is staged."""
+        if "bronze" not in self.stage:
+            return None
+        return materialize(star.lines_with_orders(self.spark, self.sf_dir, self.table), "lines")
+
     # Bronze-shaped raw tables
     @cached_property
     def raw_items(self) -> DataFrame:
@@ -63,12 +70,12 @@ class Inputs:
 
     @cached_property
     def raw_reviews(self) -> DataFrame:
-        return self._staged("bronze", star.raw_reviews(self.spark, self.sf_dir, self.table),
+        return self._staged("bronze", star.raw_reviews(self.spark, self.sf_dir, self.table, self.lines),
                             "bronze_reviews")
 
     @cached_property
     def raw_genres(self) -> DataFrame:
-        return self._staged("bronze", star.raw_genres(self.spark, self.sf_dir, self.table),
+        return self._staged("bronze", star.raw_genres(self.spark, self.sf_dir, self.table, self.lines),
                             "bronze_genres")
 
     # Silver

@@ -103,16 +103,18 @@ def raw_items(spark: SparkSession, sf_dir: str, read=None) -> DataFrame:
     )
 
 
-def _lines_with_orders(read, cols: list[str]) -> DataFrame:
-    lines = read("lineitem")
-    orders = read("orders").select("o_orderkey", "o_custkey")
-    return lines.select(*cols).join(orders, lines.l_orderkey == orders.o_orderkey)
+LINE_COLUMNS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate")
 
 
-def raw_reviews(spark: SparkSession, sf_dir: str, read=None) -> DataFrame:
-    j = _lines_with_orders(_reader(spark, sf_dir, read), [
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_shipdate"])
+def lines_with_orders(spark: SparkSession, sf_dir: str, read=None) -> DataFrame:
+    """Order lines with their customer; reviews and genre counts are both made from it."""
+    read = _reader(spark, sf_dir, read)
+    lines, orders = read("lineitem").select(*LINE_COLUMNS), read("orders").select("o_orderkey", "o_custkey")
+    return lines.join(orders, lines.l_orderkey == orders.o_orderkey).drop("o_orderkey")
+
+
+def raw_reviews(spark: SparkSession, sf_dir: str, read=None, lines: DataFrame | None = None) -> DataFrame:
+    j = lines if lines is not None else lines_with_orders(spark, sf_dir, read)
     rating = F.when(F.col("l_linenumber") == 7, F.lit(0)).otherwise(
         F.ceil(F.col("l_quantity") / 10).cast("int"))
     date_txt = F.when(F.col("l_suppkey") % 11 == 0, F.lit("n/a")).otherwise(
@@ -141,11 +143,11 @@ def review_order() -> list:
             F.col("o_supp").asc(), F.col("o_qty").asc(), F.col("o_price").asc()]
 
 
-def raw_genres(spark: SparkSession, sf_dir: str, read=None) -> DataFrame:
+def raw_genres(spark: SparkSession, sf_dir: str, read=None, lines: DataFrame | None = None) -> DataFrame:
     """Wide genre counts: conditional aggregation, one partial-aggregated pass."""
     read = _reader(spark, sf_dir, read)
     cust = read("customer").select("c_custkey", "c_mktsegment")
-    lines = _lines_with_orders(read, ["l_orderkey", "l_partkey"])
+    lines = lines if lines is not None else lines_with_orders(spark, sf_dir, read)
     seg = lines.join(cust, lines.o_custkey == cust.c_custkey)
     counts = seg.groupBy("l_partkey").agg(*[
         F.count_if(F.col("c_mktsegment") == s).alias(f"n_{s.lower()}") for s in SEGMENTS])
