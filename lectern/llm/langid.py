@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import names_free, sliced, text_buffer
+from .common import Scratch, names_free, sliced, text_buffer
 from .lanes import Lanes
 from .mixing import uniform
 
@@ -35,6 +35,8 @@ SAMPLE_ROWS = 64
 ROW_CHARS = 2048
 REFERENCE_BYTES = 32_768
 BLOCK = 4096
+#: A table of at most so many languages is broadcast.
+BROADCAST_LANGUAGES = 10_000
 #: Byte classes of the automata: the commonest bytes of the references, and one for all others.
 CLASSES = 64
 RESULTS = ("lang_pred", "score")
@@ -176,7 +178,10 @@ def references(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = labelled.filter(F.col(lang_col).isNotNull() & F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)))
     rows = rows.select(F.col(lang_col).alias("lang"), F.substring(text_col, 1, ROW_CHARS).alias("text"),
                        uniform(id_col, "reference:").alias("draw"))
-    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    work = Scratch(labelled.sparkSession, "langid")
+    counts = work.write(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "counts")
+    if counts.count() <= BROADCAST_LANGUAGES:  # else the join deals rows by language
+        counts = F.broadcast(counts)
     thin = rows.join(counts, "lang").filter(F.col("draw") < 4 * SAMPLE_ROWS / F.col("n"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "text"))
     sample = thin.withColumn("rank", rank).filter(F.col("rank") <= SAMPLE_ROWS).orderBy("lang", "rank").collect()
