@@ -281,7 +281,7 @@ def repeated_spans(docs: DataFrame, work: Scratch, text_col: str = "text", lengt
     copied = tied.join(classes.filter(F.col("m") > 1).select("gram", "unit"), ["gram", "unit"]).select(
         "__k1", "__k2", F.col("first").alias("start"), (F.col("last") + length).alias("end")).distinct()
 
-    kinds = classes.groupBy("gram").agg(F.count(F.lit(1)).alias("kinds")).filter(F.col("kinds") > 1)
+    kinds = work.write(classes.groupBy("gram").agg(F.count(F.lit(1)).alias("kinds")).filter(F.col("kinds") > 1), "kinds")
     wanted = classes.join(kinds, "gram").select("one.*", "gram", "m", "kinds")
     wanted = wanted.groupBy("__k1", "__k2").agg(
         F.collect_list(F.struct("gram", "first", "last", "place", "m", "kinds")).alias("units"))
@@ -298,7 +298,7 @@ def repeated_spans(docs: DataFrame, work: Scratch, text_col: str = "text", lengt
     dealt = rows.filter(F.col("m") == 1).join(equal, ["c1", "c2"]).select(
         "__k1", "__k2", "start", (F.col("start") + length).alias("end"))
     spans = work.write(copied.unionByName(sorted_).unionByName(dealt), "spans")
-    work.drop("again", "tied", "classes", "units")
+    work.drop("again", "tied", "classes", "kinds", "units")
     return spans, bodies
 
 
