@@ -18,7 +18,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from ..config import ScoringConfig, star_config
-from ..session import materialize
+from ..session import materialize, run_concurrently
 from ..operators import clean, enrich, quality, report, reshape, score
 from ..sources import star
 
@@ -122,6 +122,11 @@ class Inputs:
     @cached_property
     def models(self) -> dict[str, DataFrame]:
         """Every tested model of the reference, built from the star tables."""
+        if "bronze" in self.stage:  # independent writes, side by side
+            self.lines  # noqa: B018 - read by two of them
+            done = run_concurrently({n: (lambda n=n: getattr(self, n)) for n in ("raw_items", "raw_reviews", "raw_genres")})
+            for failed in (e for e in done.values() if isinstance(e, Exception)):
+                raise failed
         return {
             "bronze_books": self.raw_items, "bronze_reviews": self.raw_reviews,
             "bronze_genres": self.raw_genres, "stg_books": self.silver_items,
