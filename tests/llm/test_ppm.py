@@ -104,3 +104,19 @@ def test_nothing_to_learn_from_and_empty_table(spark):
     assert out[1]["score"] == pytest.approx(-3 * math.log10(257)) and out[2]["score"] == pytest.approx(-math.log10(257))
     assert (out[1]["n_tokens"], out[1]["n_known"], out[1]["train_tokens"], out[1]["base_score"]) == (2, 0, 0, 0)
     assert ppm.score_texts(df.limit(0), F.lit(True)).count() == 0
+
+
+@pytest.mark.parametrize("at_once", [1 << 20, 300, 0])
+def test_contexts_seen_once_in_a_large_table_count(spark, rng, monkeypatch, at_once):
+    """More training symbols than any share of them allows a rare context; held codes and joined ones."""
+    monkeypatch.setattr(ppm, "HELD", at_once, raising=False)
+    texts = [prose(rng, 60) for _ in range(120)] + ["rare words: zyzzyva qoph", "\u4e2d\u6587 rare", None, ""]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(500 + i, t) for i, t in enumerate(texts[-6:])]
+    training = [t for d, t in rows if not held(d)]
+    assert sum(len((t or "").encode()) + 1 for t in training) > 2 * 16_384
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    model, got = contexts(training, math.inf), ppm.score_texts(df, fold("doc_id", 2, 7), columns=["doc_id", "text"])
+    out = got.filter("doc_id >= 110").collect()
+    assert any(r["held_out"] for r in out) and len(out) == 20
+    for r in out:
+        assert r["score"] == pytest.approx(slow_score(r["text"], model), rel=1e-6)
