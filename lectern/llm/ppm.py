@@ -16,7 +16,7 @@ Scoring: the ``HELD`` codes most frequent in all texts are broadcast with their
 text is read; the others go, counted per document, through a join on the code.  No code that is joined stands at
 more than about one in ``HELD`` of all symbols, so no key of the join is hot.
 
-Base: the add-one unigram score over words.  Words that make up at least one in ``COMMON`` of all training tokens (at
+Base: the add-one unigram score over words.  Words of at most ``SHORT`` bytes that make up at least one in ``COMMON`` of all training tokens (at
 most ``COMMON`` of them) are looked up where a text is read; the others go through a join on the word, so
 every count is exact and no vocabulary is collected.
 """
@@ -39,6 +39,8 @@ TAIL = 3
 SHARE = float("inf")
 HELD = 1 << 20
 COMMON = 1 << 20
+#: Bytes of the longest word that is collected and broadcast.
+SHORT = 64
 #: Symbols looked at together (some hundred bytes each), codes of whole groups together.
 BLOCK, TOGETHER = 1 << 20, 1 << 19
 END = 256
@@ -364,7 +366,7 @@ def score_texts(docs: DataFrame, held_out: Column, text_col: str = "text", colum
     texts = training.count()
     of = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("kinds")).first()
     tokens, kinds = of["n"] + texts, of["kinds"] + (texts > 0)
-    common = collected(counts.filter(F.col("n") * COMMON >= tokens).select("word", "n"))
+    common = collected(counts.filter((F.col("n") * COMMON >= tokens) & (F.octet_length("word") <= SHORT)).select("word", "n"))
     common = spark.sparkContext.broadcast((common[0], common[1].to_numpy()))
     aside = F.coalesce("held_out", F.lit(True)).cast("long").alias("aside")
     held, others = split_model(train(rows.select("__text", aside), "__text", work))

@@ -120,3 +120,19 @@ def test_contexts_seen_once_in_a_large_table_count(spark, rng, monkeypatch, at_o
     assert any(r["held_out"] for r in out) and len(out) == 20
     for r in out:
         assert r["score"] == pytest.approx(slow_score(r["text"], model), rel=1e-6)
+
+
+def test_long_words_are_not_collected(spark, monkeypatch):
+    """Unspaced texts: their words go through the join, with the same scores."""
+    broadcast, real = [], ppm._score
+    monkeypatch.setattr(ppm, "_score", lambda ids, text, model, common: broadcast.append(common.value[0]) or real(
+        ids, text, model, common))
+    edge, over = "e" * 64, "\u4e2d" * 22  # 64 and 66 bytes
+    texts = ["a " + edge, over, "x" * 5000, f"{over} {over} a", "y" * 5000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = ppm.score_texts(df, F.col("doc_id") == 4, columns=["doc_id", "text"]).collect()
+    assert sorted(map(str, broadcast[0])) == ["a", edge]
+    counts = Counter(w for t in texts[:4] for w in [*t.encode().split(), None])
+    for r in out:
+        tokens, known, _, base = slow_base(r["text"], counts)
+        assert (r["n_tokens"], r["n_known"]) == (tokens, known) and r["base_score"] == pytest.approx(base, rel=1e-9)
