@@ -223,15 +223,8 @@ def links(prints: DataFrame, radius: int = 3, block: int = BLOCK) -> DataFrame:
     return dealt.mapInArrow(_compare(radius), "u long, v long")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
-                    radius: int = 3) -> DataFrame:
-    """``docs`` without its text, with ``fingerprint`` (16 hex digits) and ``component_id``.
-
-    ``component_id`` is the smallest id among the documents that links reach, the own one included; null
-    only if all their ids are null.  Null and empty texts have fingerprint 0 and are linked like any
-    other.  Input columns of the two result names are replaced; repeated rows stay repeated; an empty
-    table gives an empty result.
-    """
+def _linked(docs: DataFrame, id_col: str, text_col: str, shingle: int, radius: int) -> DataFrame:
+    """As ``near_duplicates``, with ``__root``: the fingerprint that names the component."""
     work = Scratch(docs.sparkSession, "simhash")
     prints = work.write(with_fingerprints(names_free(docs, "fingerprint", "component_id"), text_col, shingle), "prints")
     per = prints.groupBy("__fp").agg(F.min(id_col).alias("__id"))
@@ -240,10 +233,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "__fp", "__id", F.coalesce("root", "__fp").alias("__root"))
     grouped = work.write(grouped, "groups")
     smallest = grouped.groupBy("__root").agg(F.min("__id").alias("component_id"))
-    classes = grouped.select("__fp", "__root").join(smallest, "__root").drop("__root")
+    classes = grouped.select("__fp", "__root").join(smallest, "__root")
     return prints.join(classes, "__fp").select(
         *[c for c in prints.columns if c != "__fp"],
-        F.lower(F.lpad(F.hex("__fp"), 16, "0")).alias("fingerprint"), "component_id")
+        F.lower(F.lpad(F.hex("__fp"), 16, "0")).alias("fingerprint"), "component_id", "__root")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
+                    radius: int = 3) -> DataFrame:
+    """``docs`` without its text, with ``fingerprint`` (16 hex digits) and ``component_id``.
+
+    ``component_id`` is the smallest id among the documents that links reach, the own one included; null
+    only if all their ids are null.  Null and empty texts have fingerprint 0 and are linked like any
+    other.  Input columns of the two result names are replaced; repeated rows stay repeated; an empty
+    table gives an empty result.
+    """
+    return _linked(docs, id_col, text_col, shingle, radius).drop("__root")
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
@@ -253,14 +258,13 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     Ids that tie are told apart by a hash of the text; of rows equal in both one stays.
     """
     body = F.xxhash64(F.coalesce(text_col, F.lit("")))
-    found = near_duplicates(docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"),
-                                        body.alias("__body")), "__id", "__text", shingle, radius)
-    # Null ids come last: a component_id of null means that all ids of the group are null.
-    first = F.min(F.struct(F.col("__id").isNull().alias("none"), F.col("__id").alias("id"), F.col("__body").alias("body"),
-                           F.col("fingerprint")))
-    group = F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("fp"), F.col("fingerprint")))
-    stays = found.groupBy(group.alias("g")).agg(first.alias("k")).select(
-        F.col("k.id").alias("__id"), F.col("k.body").alias("__body")).distinct()
+    found = _linked(docs.select(F.col(id_col).alias("__row_id"), F.col(text_col).alias("__text"), body.alias("__body")),
+                    "__row_id", "__text", shingle, radius)
+    # Ids need not be unique or there: a group is what links connect, whatever its ids.  Null ids come last.
+    first = F.min(F.struct(F.col("__row_id").isNull().alias("none"), F.col("__row_id").alias("id"),
+                           F.col("__body").alias("body")))
+    stays = found.groupBy("__root").agg(first.alias("k")).select(
+        F.col("k.id").alias("__id"), F.col("k.body").alias("__body"))
     rows = docs.withColumns({"__body": body})
     kept = rows.join(stays, rows["__body"].eqNullSafe(stays["__body"]) & rows[id_col].eqNullSafe(stays["__id"]), "left_semi")
     return kept.dropDuplicates([id_col, "__body"]).drop("__body")

@@ -94,6 +94,36 @@ def test_one_of_each_group_stays(spark, rng):
     assert {r["doc_id"] for r in kept.collect()} == {c for *_, c in brute(rows)}
 
 
+def close_copies(rng, n):
+    """Texts with different fingerprints, all at most 3 bits from the first."""
+    words, found = prose(rng, 900).split(), {}
+    first = slow_fingerprint(" ".join(words))
+    found[first] = " ".join(words)
+    while len(found) < n:
+        edit = list(words)
+        edit[rng.randrange(len(edit))] = prose(rng, 1)
+        p = slow_fingerprint(" ".join(edit))
+        if (p ^ first).bit_count() <= 3:
+            found[p] = " ".join(edit)
+    return list(found.values())
+
+
+def test_rows_that_share_an_id_are_no_group(spark, rng):
+    alone, near = [prose(rng, 80) for _ in range(6)], close_copies(rng, 4)
+    rows = [(0, t) for t in alone] + [(0, near[0]), (5, near[1]), (0, near[2]), (7, near[3])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = as_rows(simhash.drop_near_duplicates(df), "doc_id", "text")
+    assert {d for d, _ in kept} == {0} and {t for _, t in kept} >= set(alone)
+    assert len(kept) == 7 and len({t for _, t in kept} & {near[0], near[2]}) == 1
+
+
+def test_near_texts_without_ids_are_one_group(spark, rng):
+    near, alone = close_copies(rng, 4), prose(rng, 80)
+    df = spark.createDataFrame([(None, t) for t in [*near, alone]], "doc_id long, text string")
+    kept = [t for _, t in as_rows(simhash.drop_near_duplicates(df), "doc_id", "text")]
+    assert len(kept) == 2 and alone in kept and len(set(kept) & set(near)) == 1
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert simhash.near_duplicates(df).count() == 0 and simhash.drop_near_duplicates(df).count() == 0
