@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact, fingerprints, langid, mixing, packing, ppm, repeats, secret_scan, shard, simhash
+from . import align, exact, fingerprints, langid, mixing, packing, phrases, ppm, repeats, secret_scan, shard, simhash
 from .common import Scratch, documents, fold, words
 
 #: Production parameters of op 1.
@@ -79,10 +79,22 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, F.col("size")).select("doc_id", "size", "source_size", "target", "copies", "taken")
 
 
+def op12_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of all documents by two vocabularies, aligned, and how frequent their linked pairs are."""
+    found = align.align(documents(spark, sf_dir).select("doc_id", "text"), vocabulary_a="byte_bpe_50k.json",
+                        vocabulary_b="piece_bpe_32k.model")
+    return found.select("doc_id", *align.RESULTS)
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 best collocations of two or three words of each language."""
+    return phrases.top_collocations(documents(spark, sf_dir).select("lang", "text"), least=10, cover=50, limit=2000)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_shard, op2_simhash, op3_language, op4_pack, op5_exact_dedup, op6_repeats, op7_ppm, op8_secrets,
-        op9_fingerprints, op10_mix)}
+        op9_fingerprints, op10_mix, op12_align, op13_collocations)}
 
 
 def _sql_op1() -> str:
@@ -141,4 +153,39 @@ cut AS (SELECT *, (whole + CASE WHEN p > 0 AND before + size / 2.0::DOUBLE <= re
         FROM running)
 SELECT doc_id, size, source_size, target, copies, (copies * size)::BIGINT AS taken FROM cut"""
 
-SQL: dict[str, str] = {"op1_shard": _sql_op1(), "op5_exact_dedup": SQL_OP5, "op10_mix": SQL_OP10}
+SQL_OP13 = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+numbered AS (SELECT lang, row_number() OVER () AS id, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+worded AS (SELECT lang, id, unnest(w) AS x, generate_subscripts(w, 1) AS i FROM numbered),
+next AS (SELECT lang, x, lead(x) OVER run AS y, lead(x, 2) OVER run AS z FROM worded WINDOW run AS (PARTITION BY id ORDER BY i)),
+grams AS (
+  SELECT lang, 1 AS k, x AS phrase FROM next
+  UNION ALL SELECT lang, 2, x || ' ' || y FROM next WHERE y IS NOT NULL
+  UNION ALL SELECT lang, 3, x || ' ' || y || ' ' || z FROM next WHERE z IS NOT NULL),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL),
+sizes AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+candidates AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND f >= 10),
+cuts AS (
+  SELECT *, 1 AS cut, w[1] AS x, array_to_string(w[2:], ' ') AS y FROM candidates
+  UNION ALL SELECT *, 2, w[1] || ' ' || w[2], w[3] FROM candidates WHERE k = 3),
+rated AS (
+  SELECT c.*, l.f AS l, r.f AS r, (1000000::HUGEINT * c.a * c.a // (l.f::HUGEINT * r.f))::BIGINT AS score
+  FROM cuts c JOIN f l ON l.lang = c.lang AND l.phrase = c.x AND l.k = c.cut
+  JOIN f r ON r.lang = c.lang AND r.phrase = c.y AND r.k = c.k - c.cut),
+lowest AS (SELECT * FROM rated QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inside AS (
+  SELECT lang, part, max(a) AS f FROM (
+    SELECT lang, a, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS part FROM candidates WHERE k = 3)
+  GROUP BY ALL),
+kept AS (
+  SELECT b.* FROM lowest b LEFT JOIN inside i ON b.lang = i.lang AND b.phrase = i.part
+  WHERE i.f IS NULL OR 100 * i.f < 50 * b.a)
+SELECT lang, row_number() OVER best AS rank, phrase, a, l, r, n, score
+FROM kept JOIN sizes USING (lang) WINDOW best AS (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)
+QUALIFY rank <= 2000"""
+
+SQL: dict[str, str] = {"op1_shard": _sql_op1(), "op5_exact_dedup": SQL_OP5, "op10_mix": SQL_OP10,
+                       "op13_collocations": SQL_OP13}
