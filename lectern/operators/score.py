@@ -6,13 +6,11 @@ Ranking without a single-partition window
 -----------------------------------------
 ``RANK() OVER (ORDER BY score DESC)`` with no partition sends every row to one
 task.  Here a rank is computed from a *histogram*: ``rank = 1 + rows with a
-strictly greater score``.  The histogram is aggregated map-side and windowed by
-ranges of scores (see ``_global_ranks``), so neither rounded scores, which have
-few distinct values, nor unrounded ones, which have as many as rows, meet in
-one task.  Per-group ranks use the (group, score) histogram, windowed per
-group: a hot group holds at most as many histogram rows as there are distinct
-scores, so one genre with a third of all items is still a small window
-partition.  Rows meet their ranks through one equi-join on (group, score); AQE
+strictly greater score``.  The histogram is aggregated map-side and
+range-partitioned by group and score (see ``_ranks``), so neither rounded scores,
+which have few distinct values, nor unrounded ones, which have as many as rows,
+meet in one task, whatever their spread; nor does one genre with a third of all
+items.  Rows meet their ranks through one equi-join on (group, score); AQE
 broadcasts the histogram when its measured size allows and otherwise splits
 skewed partitions.
 """
@@ -26,6 +24,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT, PRESETS, ScoringConfig
 from ..functions import scalar as S
+from ..session import materialize
 
 CANDIDATE_COLUMNS = (
     "audiobook_rank", "genre_rank", "book_id", "title", "primary_author_id",
@@ -69,49 +68,50 @@ def score_items(df: DataFrame, cfg: ScoringConfig = DEFAULT) -> DataFrame:
     return df.withColumns(score_columns(cfg))
 
 
-#: Scores of one range of this width share a window partition of a global rank.
-RANGES_PER_UNIT = 1000
-
-
-def _running(counts: str, order: str, groups: Sequence[str]) -> Column:
-    """Sum of ``counts`` over rows with a greater ``order`` (all rows if ``groups`` is empty)."""
-    w = Window.partitionBy(*groups) if groups else Window.partitionBy()
-    w = w.orderBy(F.col(order).desc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+def _running(counts: str, order: Column, groups: Sequence[str]) -> Column:
+    """Sum of ``counts`` over the rows before (all rows if ``groups`` is empty)."""
+    w = Window.partitionBy(*groups).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     return F.coalesce(F.sum(counts).over(w), F.lit(0))
 
 
-def _global_ranks(hist: DataFrame, counts: str, score: str, rank_col: str) -> DataFrame:
-    """``hist`` with the rank of each score among all rows.
+def _ranks(hist: DataFrame, counts: str, groups: Sequence[str], score: str, rank_col: str,
+           ranges: int | None = None) -> DataFrame:
+    """``hist`` (one row per group and score) with the rank of each score within its group.
 
-    The histogram of an unrounded score is as long as the data, so it isn't windowed whole: scores are counted per
-    range of ``1 / RANGES_PER_UNIT``, a window over the ranges (their number is bounded by the score's
-    span) gives the rows above each, and a window inside each range the rest.
+    The histogram of an unrounded score is as long as the data and one group may hold most of it, so neither is
+    windowed whole.  Rows are range-partitioned by group and score, which Spark does by quantiles of a sample: ranges
+    hold equally many rows whatever the scores' spread.  The ranges are written once (their numbers must be the same for
+    both reads); sums per range and group, a small table, give by prefix sums what lies above each range, a
+    window inside each range the rest.
     """
-    hist = hist.withColumn("_range", F.floor(F.col(score) * RANGES_PER_UNIT))
-    ranges = hist.groupBy(F.col("_range").alias("_of")).agg(F.sum(counts).alias("_in"))
-    ranges = ranges.withColumn("_above", _running("_in", "_of", ())).drop("_in")
-    hist = hist.withColumn("_within", _running(counts, score, ["_range"]))
-    hist = hist.join(ranges, F.col("_range").eqNullSafe(F.col("_of")))
-    return hist.withColumn(rank_col, (F.col("_above") + F.col("_within") + 1).cast("int")).drop(
-        "_range", "_of", "_above", "_within")
-
-
-def rank_table(df: DataFrame, score: str, groups: Sequence[str] = (),
-               rank_col: str = "rank", global_rank_col: str | None = None) -> DataFrame:
+    order = F.col(score).desc_nulls_last()
+    by = [*[F.col(g) for g in groups], order]
+    parts = hist.repartitionByRange(ranges, *by) if ranges else hist.repartitionByRange(*by)
+    parts = materialize(parts.withColumn("_range", F.spark_partition_id()), "ranges")
+    sums = parts.groupBy("_range", *groups).agg(F.sum(counts).alias("_in"))
+    sums = sums.withColumn("_above", _running("_in", F.col("_range"), groups)).select(
+        "_above", *[F.col(k).alias(f"_of_{k}") for k in ("_range", *groups)])
+    parts = parts.withColumn("_within", _running(counts, order, ["_range", *groups]))
+    same = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in ("_range", *groups)]
+    return parts.join(sums, same).withColumn(rank_col, (F.col("_above") + F.col("_within") + 1).cast("int")).select(
+        *hist.columns, rank_col)
+
+
+def rank_table(df: DataFrame, score: str, groups: Sequence[str] = (), rank_col: str = "rank",
+               global_rank_col: str | None = None, ranges: int | None = None) -> DataFrame:
     """Histogram of (groups, score) with ``RANK`` columns, one row per distinct pair.
 
     ``rank_col`` ranks within ``groups``; ``global_rank_col`` (optional) ranks
-    over all rows.  Both equal SQL ``RANK() ... ORDER BY score DESC``.
+    over all rows.  Both equal SQL ``RANK() ... ORDER BY score DESC``.  ``ranges`` fixes the number of
+    range partitions (default: by size, AQE).
     """
     hist = df.groupBy(*groups, score).agg(F.count(F.lit(1)).alias("_n"))
-    if not groups:
-        return _global_ranks(hist, "_n", score, rank_col).drop("_n")
-    hist = hist.withColumn(rank_col, (_running("_n", score, groups) + 1).cast("int"))
-    if global_rank_col:
-        scores = hist.groupBy(F.col(score).alias("_g_score")).agg(F.sum("_n").alias("_m"))
-        scores = _global_ranks(scores, "_m", "_g_score", global_rank_col).drop("_m")
-        hist = hist.join(scores, F.col(score).eqNullSafe(F.col("_g_score"))).drop("_g_score")
-    return hist.drop("_n")
+    ranked = _ranks(hist, "_n", groups, score, rank_col, ranges)
+    if groups and global_rank_col:
+        scores = ranked.groupBy(F.col(score).alias("_g_score")).agg(F.sum("_n").alias("_m"))
+        scores = _ranks(scores, "_m", (), "_g_score", global_rank_col, ranges).drop("_m")
+        ranked = ranked.join(scores, F.col(score).eqNullSafe(F.col("_g_score"))).drop("_g_score")
+    return ranked.drop("_n")
 
 
 def with_ranks(df: DataFrame, score: str, groups: Sequence[str] = (),
@@ -131,7 +131,7 @@ def with_ranks(df: DataFrame, score: str, groups: Sequence[str] = (),
 
 def global_rank(df: DataFrame, score: str = "weighted_score",
                 rank_col: str = "audiobook_rank") -> DataFrame:
-    """Global ``RANK`` by score desc, for rounded and unrounded scores alike."""
+    """Global ``RANK`` by score desc, for rounded and unrounded scores alike, of any spread."""
     return with_ranks(df, score, (), rank_col)
 
 

@@ -245,6 +245,14 @@ def q_global_rank(i: Inputs) -> DataFrame:
     return score.global_rank(i.scored.select("book_id", "weighted_score"))
 
 
+@register("global_rank_unrounded")
+def q_global_rank_unrounded(i: Inputs) -> DataFrame:
+    """Global RANK of every order line by its unrounded revenue."""
+    lines = i.table("lineitem").select("l_orderkey", "l_linenumber", (
+        F.col("l_extendedprice").cast("double") * (F.lit(1.0) - F.col("l_discount").cast("double"))).alias("revenue"))
+    return score.global_rank(lines, "revenue", "revenue_rank")
+
+
 @register("genre_rank", GOLD)
 def q_genre_rank(i: Inputs) -> DataFrame:
     """RANK within genre by score."""
@@ -509,8 +517,23 @@ def q_ingest_evolving(i: Inputs) -> DataFrame:
     return events_ingest.ingest_events(i.spark, i.table("events"), later_column="props")
 
 
+@register("ingest_rescue")
+def q_ingest_rescue(i: Inputs) -> DataFrame:
+    """What a schema misses, at any depth, is kept; lines that conform have nothing there."""
+    from ..streaming import events_ingest
+    return events_ingest.ingest_rescue(i.spark, i.table("events"))
+
+
+@register("rejected_lines")
+def q_rejected_lines(i: Inputs) -> DataFrame:
+    """Lines that are no JSON, have a value of another type or an unknown field, per landing."""
+    from ..streaming import events_ingest
+    return events_ingest.rejected_lines(i.spark, i.table("events"))
+
+
 @register("subject_erasure_rebuild")
 def q_subject_erasure_rebuild(i: Inputs) -> DataFrame:
-    """Silver reviews after an erasure; a request that names nobody erases nothing."""
-    kept = governance.erase_subjects(i.raw_reviews, [*V.SUBJECT_HASHES, None])
-    return drop_stamps(clean.silver_reviews(kept))
+    """Silver reviews after the erasure of subjects from an ingested lake whose landed reviews are gone."""
+    from . import star_landing
+    layout = star_landing.erased_lake(i.spark, i.raw_items, i.raw_reviews, i.raw_genres, [*V.SUBJECT_HASHES, None], i.cfg)
+    return drop_stamps(i.spark.read.parquet(layout.silver("stg_reviews")))

@@ -19,7 +19,8 @@ from ..config import DEFAULT, ScoringConfig
 from ..operators import clean, enrich, governance, quality, report, reshape, score
 from ..session import run_concurrently, scratch_path
 from ..sources import jsonl
-from ..streaming.ingest import IngestResult, IngestSpec, ingest_incremental, read_bronze, run_plan
+from ..streaming import erasure
+from ..streaming.ingest import IngestResult, IngestSpec, read_bronze, run_plan
 
 DATASETS = ("books", "reviews", "genres", "authors", "series")
 # The genres of the raw feed, and the fields of each dataset.
@@ -47,27 +48,18 @@ SCHEMAS = {
 class Layout:
     """Folder layout of one deployment (all on shared storage).
 
-    A dataset's Bronze table has generations: an erasure streams the raw files into a new one and removes the old.
-    The current one is the highest that was marked complete.  ``schemas``: fields per dataset (None: inferred);
-    ``exclude``: file-name suffix that ingest leaves out.
+    ``schemas``: fields per dataset (None: inferred); ``exclude``: file-name suffix that ingest leaves out.
     """
     raw: str
     root: str
     schemas: dict = field(default_factory=lambda: dict(SCHEMAS))
     exclude: str | None = None
 
-    def generation(self, name: str) -> int:
-        spark = SparkSession.getActiveSession()
-        fs, p = governance._fs(spark, f"{self.root}/bronze/_generations/{name}")
-        return max([int(f.getPath().getName()) for f in fs.listStatus(p)], default=0) if fs.exists(p) else 0
+    def bronze(self, name: str) -> str:
+        return f"{self.root}/bronze/{name}"
 
-    def bronze(self, name: str, generation: int | None = None) -> str:
-        g = self.generation(name) if generation is None else generation
-        return f"{self.root}/bronze/{name}" + (f"__g{g}" if g else "")
-
-    def checkpoint(self, name: str, generation: int | None = None) -> str:
-        g = self.generation(name) if generation is None else generation
-        return f"{self.root}/bronze/_checkpoints/{name}" + (f"__g{g}" if g else "")
+    def checkpoint(self, name: str) -> str:
+        return f"{self.root}/bronze/_checkpoints/{name}"
 
     def silver(self, name: str) -> str:
         return f"{self.root}/silver/{name}"
@@ -87,12 +79,13 @@ class RunReport:
     counts: dict[str, int] = field(default_factory=dict)
     versions: dict[str, int] = field(default_factory=dict)
     tests: list[dict] = field(default_factory=list)
+    erased: erasure.Erased | None = None
 
 
-def _spec(spark: SparkSession, layout: Layout, name: str, generation: int | None = None) -> IngestSpec:
+def _spec(spark: SparkSession, layout: Layout, name: str) -> IngestSpec:
     fs, p = governance._fs(spark, layout.requests)
-    return IngestSpec(name, f"{layout.raw}/{name}", layout.bronze(name, generation), layout.checkpoint(name, generation),
-                      schema=layout.schemas.get(name), exclude=layout.exclude,
+    return IngestSpec(name, f"{layout.raw}/{name}", layout.bronze(name), layout.checkpoint(name),
+                      schema=layout.schemas.get(name), exclude=layout.exclude, subject_index=name == "reviews",
                       erase_requests=layout.requests if name == "reviews" and fs.exists(p) else None,
                       warn_below=jsonl.REVIEWS_WARN_BELOW if name == "reviews" else None)
 
@@ -189,6 +182,13 @@ def run_all(spark: SparkSession, layout: Layout, cfg: ScoringConfig = DEFAULT,
     failed = [r for r in rep.bronze if r.status == "error" and r.name in ("books", "reviews", "genres")]
     if failed:
         raise RuntimeError(f"bronze ingest failed: {[(r.name, r.error) for r in failed]}")
+    _refine(spark, layout, cfg, gate, tests, rep)
+    return rep
+
+
+def _refine(spark: SparkSession, layout: Layout, cfg: ScoringConfig, gate: bool,
+            tests: Sequence[quality.Test] | None, rep: RunReport) -> None:
+    """Bronze → Silver → tests → marts staged → tests → Gold published."""
     rep.counts = build_silver(spark, layout, cfg)
     suite = list(tests if tests is not None else quality.declared_tests())
     marts = [t for t in suite if t.model.startswith("mart_")]
@@ -201,28 +201,20 @@ def run_all(spark: SparkSession, layout: Layout, cfg: ScoringConfig = DEFAULT,
     staged = stage_marts(spark, layout, cfg)
     check(staged, marts)
     rep.versions = publish(layout, staged)
-    return rep
 
 
 def rebuild_after_erasure(spark: SparkSession, layout: Layout, hashes: Sequence[str | None],
-                          cfg: ScoringConfig = DEFAULT) -> Layout:
+                          cfg: ScoringConfig = DEFAULT, gate: bool = True,
+                          tests: Sequence[quality.Test] | None = None) -> RunReport:
     """G2 + G3: the subjects leave Bronze, Silver and Gold for good.
 
     The hashes join the request table, which every later ingest applies, so a subject doesn't come back with
-    a new file.  Bronze reviews are streamed again from the raw files into a fresh generation (own folder, own checkpoint);
-    when it is complete it becomes the current one and the old one is deleted.  Then Silver and Gold are rebuilt.
+    a new file.  The Bronze files that hold them are rewritten in place (``streaming.erasure``); raw files aren't read, so
+    rows whose landing files are gone stay.  Then Silver and Gold are rebuilt behind the same tests as in ``run_all``:
+    with ``gate`` a failing suite raises and Gold stays as it was, while Bronze and Silver are already clean.
     Raw files hold the subjects until the landing folder itself is cleaned.
     """
     governance.request_table(spark, hashes).write.mode("append").parquet(layout.requests)
-    old = layout.generation("reviews")
-    spec = _spec(spark, layout, "reviews", old + 1)
-    for path in (spec.target, spec.checkpoint):  # what a failed attempt has left
-        governance.remove(spark, path)
-    ingest_incremental(spark, spec)
-    fs, p = governance._fs(spark, f"{layout.root}/bronze/_generations/reviews/{old + 1}")
-    fs.create(p, True).close()
-    for path in (layout.bronze("reviews", old), layout.checkpoint("reviews", old)):
-        governance.remove(spark, path)
-    build_silver(spark, layout, cfg)
-    build_gold(spark, layout, cfg)
-    return layout
+    rep = RunReport(erased=erasure.erase(spark, _spec(spark, layout, "reviews"), hashes))
+    _refine(spark, layout, cfg, gate, tests, rep)
+    return rep

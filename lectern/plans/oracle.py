@@ -558,6 +558,22 @@ _q("ingest_incremental", "SELECT event_id, ts, user_id, event_type, value, props
 _q("ingest_compressed", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
 _q("ingest_evolving", """SELECT event_id, ts, user_id, event_type, value,
        CASE WHEN event_type IN ('view', 'click') THEN NULL ELSE props END AS props FROM events""")
+_q("ingest_rescue", """
+SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k, event_type IN ('view', 'click') AS conforms,
+       CASE WHEN event_type NOT IN ('view', 'click') THEN user_id END AS rescued_user,
+       CASE WHEN event_type NOT IN ('view', 'click') THEN value END AS rescued_value
+FROM events""")
+_q("rejected_lines", """
+SELECT batch, reason, count(*) AS lines, of_lines
+FROM (SELECT *, count(*) OVER (PARTITION BY batch) AS of_lines
+      FROM (SELECT CASE WHEN event_type IN ('view', 'click') THEN 'batch_1' ELSE 'batch_2' END AS batch,
+                   CASE event_id % 20 WHEN 3 THEN 'not_json' WHEN 7 THEN 'wrong_type' WHEN 11 THEN 'unknown_field' END AS reason
+            FROM events))
+WHERE reason IS NOT NULL GROUP BY batch, reason, of_lines""")
+_q("global_rank_unrounded", """
+SELECT l_orderkey, l_linenumber, revenue, CAST(rank() OVER (ORDER BY revenue DESC) AS INTEGER) AS revenue_rank
+FROM (SELECT l_orderkey, l_linenumber,
+             CAST(l_extendedprice AS DOUBLE) * (CAST(1.0 AS DOUBLE) - CAST(l_discount AS DOUBLE)) AS revenue FROM lineitem)""")
 _q("subject_erasure_rebuild", f"""SELECT review_id, book_id, user_id_hashed, rating, sentiment,
        review_date, review_year, CAST(NULL AS VARCHAR) AS review_text
 FROM silver_reviews WHERE user_id_hashed IS NULL OR user_id_hashed NOT IN {_SUBJECTS}""", "silver_reviews")

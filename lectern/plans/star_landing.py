@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import governance
+from ..session import run_concurrently, scratch_path
 from ..sources import jsonl, star
 from . import layers
 
@@ -56,3 +58,22 @@ def land(spark: SparkSession, sf_dir: str, raw_root: str) -> dict[str, int]:
         out[name] = jsonl.write_counted(df, f"{raw_root}/{name}", fmt="json",
                                         options={"ignoreNullFields": "false"})
     return out
+
+
+def erased_lake(spark: SparkSession, items: DataFrame, reviews: DataFrame, genres: DataFrame, hashes: list,
+                cfg) -> layers.Layout:
+    """The whole catalogue landed and ingested, the landed reviews cleaned away, then the subjects erased."""
+    root = scratch_path(spark, "erased_lake")
+    layout = layers.Layout(f"{root}/raw", f"{root}/lake", schemas=SCHEMAS)
+    stamps = ("_ingestion_timestamp", "_source_file", "_batch_id", "_row_hash")
+    wide = genres.select("book_id", F.struct(*[F.col(f"genre_{k}").alias(v) for k, v in RAW_GENRE_NAMES.items()]).alias("genres"))
+    landed = {"books": items.drop(*stamps), "reviews": reviews.drop(*stamps), "genres": wide}
+    done = run_concurrently({name: (lambda name=name: landed[name].write.json(f"{layout.raw}/{name}")) for name in landed})
+    if failed := {k: v for k, v in done.items() if isinstance(v, Exception)}:
+        raise RuntimeError(f"landing failed: {failed}")
+    ingested = layers.ingest_bronze(spark, layout, tuple(landed), "landed")
+    if failed := [r for r in ingested if r.status == "error"]:
+        raise RuntimeError(f"ingest failed: {failed}")
+    governance.remove(spark, f"{layout.raw}/reviews")
+    layers.rebuild_after_erasure(spark, layout, hashes, cfg, gate=False)
+    return layout

@@ -19,8 +19,8 @@ from pyspark.sql import types as T
 BAD_NAME_CHARS = r"[ ,;{}()\n\t=]+"
 CORRUPT = "_corrupt_record"
 SAMPLE_SUFFIX = "sample.json"
-#: The line as it was read, so that fields a schema doesn't know survive, and its hash.
-RAW = "_raw_record"
+#: What a line holds beyond the schema (a VARIANT, NULL on lines that conform), and the line's hash.
+RESCUED = "_rescued"
 ROW_HASH = "_row_hash"
 MIN_ROWS = 100
 REVIEWS_WARN_BELOW = 1_000_000
@@ -103,26 +103,94 @@ def keep_files(df: DataFrame, exclude: str | None = None) -> DataFrame:
     return df if exclude is None else df.filter(~name.endswith(exclude))
 
 
-def infer_schema(spark: SparkSession, path: str, hints: str | None = None, sampling_ratio: float = 1.0) -> T.StructType:
-    """Schema of all files of a folder, with hints."""
-    inferred = (spark.read.option("samplingRatio", str(sampling_ratio))
-                .option("columnNameOfCorruptRecord", CORRUPT).json(path).schema)
-    return merge_hints(T.StructType([f for f in inferred.fields if f.name != CORRUPT]), hints, spark)
+# Types as ``schema_of_variant`` writes them, outside of quoted names.
+_VARIANT_TYPE = re.compile(r"(`(?:[^`]|``)*`)|(^|: |ARRAY<)(OBJECT|VOID|VARIANT|FLOAT|DECIMAL\(\d+,\s*\d+\))")
+_JSON_TYPES = {"OBJECT": "STRUCT", "VOID": "STRING", "VARIANT": "STRING", "FLOAT": "DOUBLE"}
+
+
+def _without_empty(dtype: T.DataType) -> T.DataType:
+    """Structs without fields as strings: no file format has a place for them."""
+    if isinstance(dtype, T.StructType):
+        return T.StructType([T.StructField(f.name, _without_empty(f.dataType)) for f in dtype.fields]) if dtype.fields \
+            else T.StringType()
+    return T.ArrayType(_without_empty(dtype.elementType)) if isinstance(dtype, T.ArrayType) else dtype
+
+
+def variant_schema(found: str | None) -> T.StructType:
+    """The result of ``schema_of_variant_agg`` as a schema for ``from_json``.
+
+    Numbers with a fraction are doubles; what is only ever null, or of several types, is a string.
+    """
+    if not found or not found.startswith("OBJECT<") or found == "OBJECT<>":
+        return T.StructType([])
+    ddl = _VARIANT_TYPE.sub(lambda m: m[1] or m[2] + _JSON_TYPES.get(m[3], "DOUBLE"), found)
+    return _without_empty(T.DataType.fromDDL(ddl))
+
+
+def infer_schema(lines: DataFrame, hints: str | None = None, sampling_ratio: float = 1.0) -> T.StructType:
+    """Schema of JSON lines (column ``value``) in one aggregate, with hints; lines that are no objects say nothing."""
+    rows = lines.sample(sampling_ratio, seed=0) if sampling_ratio < 1 else lines
+    v = F.try_parse_json("value")
+    found = rows.select(F.when(F.schema_of_variant(v).startswith("OBJECT"), v).alias("v")).agg(
+        F.schema_of_variant_agg("v").alias("s")).first()["s"]
+    schema = variant_schema(found)
+    return merge_hints(T.StructType([f for f in schema.fields if f.name != CORRUPT]), hints, lines.sparkSession)
+
+
+def missed(v: Column, typed: Column, dtype: T.DataType) -> Column:
+    """What a JSON value (VARIANT) holds beyond its typed form: unknown fields, and values of another type.
+
+    NULL where nothing is missed.  An array keeps its length, with nulls at the elements that conform.
+    """
+    some = lambda x, keep: F.get(F.filter(F.array(x), keep), 0)  # noqa: E731  (x is computed once)
+    other = F.when(~F.is_variant_null(v), v)
+    if isinstance(dtype, T.StructType):
+        known = {f.name: f for f in dtype.fields}
+
+        def field(k: Column, x: Column) -> Column:
+            case = F.when(F.lit(False), x)
+            for name, f in known.items():
+                case = case.when(k == name, missed(x, typed.getField(name), f.dataType))
+            return case.otherwise(F.when(~F.is_variant_null(x), x))
+        m = v.try_cast("map<string,variant>")
+        rest = F.map_filter(F.transform_values(m, field), lambda k, x: x.isNotNull())
+        return F.when(m.isNull(), other).otherwise(F.to_variant_object(some(rest, lambda r: F.size(r) > 0)))
+    if isinstance(dtype, T.ArrayType):
+        a = v.try_cast("array<variant>")
+        rest = F.transform(a, lambda x, i: missed(x, F.get(typed, i), dtype.elementType))
+        return F.when(a.isNull(), other).otherwise(
+            F.to_variant_object(some(rest, lambda r: F.exists(r, lambda x: x.isNotNull()))))
+    if isinstance(dtype, T.MapType):
+        m = v.try_cast("map<string,variant>")
+        rest = F.map_filter(F.transform_values(m, lambda k, x: missed(x, F.try_element_at(typed, k), dtype.valueType)),
+                            lambda k, x: x.isNotNull())
+        return F.when(m.isNull(), other).otherwise(F.to_variant_object(some(rest, lambda r: F.size(r) > 0)))
+    return F.when(typed.isNull(), other)
 
 
 def parse_lines(lines: DataFrame, schema: T.StructType, options: Mapping[str, str] | None = None,
-                keep_raw: bool = True) -> DataFrame:
-    """Text lines (``value`` and file metadata) → columns of ``schema``, PERMISSIVE.
+                rescue: bool = True) -> DataFrame:
+    """Text lines (``value``, and ``_source_file`` or file metadata) → columns of ``schema``, PERMISSIVE.
 
-    ``_corrupt_record`` holds lines that don't parse, ``_raw_record`` every line as it was (fields outside
-    the schema, at any depth, survive there), ``_row_hash`` its hash and ``_source_file`` its file.  Blank lines are no records.
+    ``_corrupt_record`` holds lines that don't parse or have a value of another type; ``_rescued`` only what the
+    schema misses (fields it doesn't know, at any depth, and those values), NULL on lines that conform;
+    ``_row_hash`` the line's hash and ``_source_file`` its file.  Blank lines are no records.
     """
     parser = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, **(options or {})}
+    source = F.col("_source_file") if "_source_file" in lines.columns else F.col("_metadata.file_path")
+    v = F.try_parse_json("value")
     rows = lines.filter(F.trim("value") != "").select(
-        F.from_json("value", with_corrupt_column(schema), parser).alias("_parsed"), F.col("value").alias(RAW),
-        F.xxhash64("value").alias(ROW_HASH), F.col("_metadata.file_path").alias("_source_file"))
-    raw = [RAW] if keep_raw else []
-    return rows.select("_parsed.*", *raw, ROW_HASH, "_source_file")
+        F.from_json("value", with_corrupt_column(schema), parser).alias("_parsed"), *([v.alias("_v")] if rescue else []),
+        F.col("value").alias("_line"), F.xxhash64("value").alias(ROW_HASH), source.alias("_source_file"))
+    rescued = []
+    if rescue:
+        known = T.StructType([f for f in schema.fields if f.name != CORRUPT])
+        is_object = F.schema_of_variant("_v").startswith("OBJECT")
+        # A line that isn't an object is corrupt; one that only JSON with repeated names explains is kept as text.
+        rescued = [F.when(is_object, missed(F.col("_v"), F.col("_parsed"), known))
+                   .when(F.col("_v").isNull() & F.col(f"_parsed.{CORRUPT}").isNull(), F.col("_line").cast("variant"))
+                   .alias(RESCUED)]
+    return rows.select("_parsed.*", *rescued, ROW_HASH, "_source_file")
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
@@ -132,11 +200,12 @@ def read_json_lines(spark: SparkSession, path: str, schema: T.StructType | str |
     Without a schema the folder is inferred once, then hints are merged and the
     corrupt-record column declared, and the data is read with that explicit schema.
     """
+    lines = keep_files(spark.read.text(path), exclude)
     if schema is None:
-        schema = infer_schema(spark, path, hints)
+        schema = infer_schema(lines, hints)
     elif isinstance(schema, str):
         schema = parse_ddl(spark, schema)
-    return parse_lines(keep_files(spark.read.text(path), exclude), schema)
+    return parse_lines(lines, schema, rescue=False)
 
 
 def rejected_records(df: DataFrame, source_col: str = "_source_file") -> DataFrame:
@@ -150,6 +219,46 @@ def rejected_records(df: DataFrame, source_col: str = "_source_file") -> DataFra
             .groupBy(src.alias("source_file")).agg(F.count(F.lit(1)).alias("rejected")))
 
 
+#: Why a line is rejected, or (the last) kept with a part that the schema misses.
+REASONS = ("not_json", "wrong_type", "unknown_field")
+
+
+def reject_reason(df: DataFrame) -> Column:
+    """One of ``REASONS`` for a Bronze row, NULL for a line that conforms.
+
+    A corrupt line that is a JSON object has a value of another type; any other is no record at all.
+    """
+    v = F.try_parse_json(CORRUPT)
+    bad = F.when(F.schema_of_variant(v).startswith("OBJECT"), "wrong_type").otherwise("not_json")
+    drifted = F.when(F.col(RESCUED).isNotNull(), "unknown_field") if RESCUED in df.columns else F.lit(None)
+    return F.when(F.col(CORRUPT).isNotNull(), bad).otherwise(drifted)
+
+
+def rejects_by_reason(df: DataFrame, source_col: str = "_source_file") -> DataFrame:
+    """Lines per source file and reason, with the file's lines: ``source_file, reason, lines, of_lines``.
+
+    One pass over two narrow columns; files without such a line have no row.
+    """
+    marked = df.select(F.col(source_col).alias("source_file"), reject_reason(df).alias("reason"))
+    counts = marked.groupBy("source_file").agg(
+        F.count(F.lit(1)).alias("of_lines"), *[F.count_if(F.col("reason") == r).alias(r) for r in REASONS])
+    long = counts.unpivot(["source_file", "of_lines"], list(REASONS), "reason", "lines")
+    return long.filter("lines > 0").select("source_file", "reason", "lines", "of_lines")
+
+
+def reject_gate(df: DataFrame, max_share: float = 0.01, max_drift: float = 1.0) -> list[dict]:
+    """S2 in the gate: files of which more than ``max_share`` of the lines are rejected, or more than ``max_drift`` drifted.
+
+    Returns one entry per such file and cause; reads the counts per file, of which only failing files reach the driver.
+    """
+    by_file = rejects_by_reason(df).groupBy("source_file", "of_lines").agg(
+        F.sum(F.when(F.col("reason") != "unknown_field", F.col("lines")).otherwise(0)).alias("rejected"),
+        F.sum(F.when(F.col("reason") == "unknown_field", F.col("lines")).otherwise(0)).alias("drifted"))
+    share = lambda c: F.col(c) / F.col("of_lines")
+    bad = by_file.filter((share("rejected") > max_share) | (share("drifted") > max_drift)).orderBy("source_file")
+    return [r.asDict() for r in bad.collect()]
+
+
 def raw_inventory(spark: SparkSession, datasets: Mapping[str, str], exclude: str | None = None) -> DataFrame:
     """Files and bytes per dataset, of the files that ingest reads with the same ``exclude``.
 

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
+from ..sources import jsonl
 from .ingest import IngestSpec, ingest_incremental, read_bronze
 
 EVENT_SCHEMA = ("event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
@@ -53,3 +54,47 @@ def ingest_events(spark: SparkSession, events: DataFrame, compression: str = "no
     if added := ingest_incremental(spark, spec, "batch_3").rows_added:
         raise RuntimeError(f"re-run ingested {added} rows twice")
     return read_bronze(spark, spec.target).select(*COLUMNS)
+
+
+#: What the schema of ``ingest_rescue`` knows: not ``detail.user``, not ``tags[].v``.
+RESCUE_SCHEMA = "event_id BIGINT, detail STRUCT<k: INT>, tags ARRAY<STRUCT<n: INT>>"
+
+
+def ingest_rescue(spark: SparkSession, events: DataFrame) -> DataFrame:
+    """All events as nested lines of which the second landing has fields that the schema doesn't know.
+
+    ``conforms`` (nothing was missed) and the missed values, read back from the rescue column.
+    """
+    root = scratch_path(spark, "ingest_rescue")
+    spec = IngestSpec("events", f"{root}/raw", f"{root}/bronze", f"{root}/_checkpoint", schema=RESCUE_SCHEMA, key="event_id")
+    k = F.get_json_object("props", "$.k").cast("int").alias("k")
+    first, rest = _halves(events)
+    land_json(first.select("event_id", F.struct(k).alias("detail"), F.array(F.struct(F.lit(1).alias("n"))).alias("tags")),
+              spec.source)
+    ingest_incremental(spark, spec, "batch_1")
+    land_json(rest.select("event_id", F.struct(k, F.col("user_id").alias("user")).alias("detail"),
+                          F.array(F.struct(F.lit(1).alias("n"), F.col("value").alias("v"))).alias("tags")), spec.source)
+    ingest_incremental(spark, spec, "batch_2")
+    field = lambda path, kind: F.try_variant_get(jsonl.RESCUED, path, kind)
+    return read_bronze(spark, spec.target).select(
+        "event_id", F.col("detail.k").alias("k"), F.col(jsonl.RESCUED).isNull().alias("conforms"),
+        field("$.detail.user", "bigint").alias("rescued_user"), field("$.tags[0].v", "double").alias("rescued_value"))
+
+
+def rejected_lines(spark: SparkSession, events: DataFrame) -> DataFrame:
+    """All events as lines of which some are cut off, have text for a number or a field too many: counts per landing and reason."""
+    root = scratch_path(spark, "rejected_lines")
+    spec = IngestSpec("events", f"{root}/raw", f"{root}/bronze", f"{root}/_checkpoint", key="event_id",
+                      schema="event_id BIGINT, event_type STRING, value DOUBLE")
+    kind = F.col("event_id") % 20
+    line = lambda value, *more: F.to_json(F.struct("event_id", "event_type", value.alias("value"), *more))
+    plain = line(F.col("value"))
+    lines = (F.when(kind == 3, F.expr("left(plain, length(plain) - 1)"))
+             .when(kind == 7, line(F.lit("n/a")))
+             .when(kind == 11, line(F.col("value"), F.struct(F.col("user_id").alias("user")).alias("detail")))
+             .otherwise(F.col("plain")))
+    for part, batch in zip(_halves(events.withColumn("plain", plain)), ("batch_1", "batch_2")):
+        part.select(lines.alias("value")).write.mode("append").text(spec.source)
+        ingest_incremental(spark, spec, batch)
+    found = jsonl.rejects_by_reason(read_bronze(spark, spec.target), "_batch_id")
+    return found.select(F.col("source_file").alias("batch"), "reason", "lines", "of_lines")
