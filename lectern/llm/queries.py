@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import align, exact, fingerprints, langid, mixing, packing, phrases, ppm, repeats, secret_scan, shard, simhash
+from . import align, exact, fingerprints, langid, licenses, mixing, packing, phrases, ppm, repeats, secret_scan, shard, simhash
 from .common import Scratch, documents, fold, words
 
 #: Production parameters of op 1.
@@ -79,6 +79,17 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, F.col("size")).select("doc_id", "size", "source_size", "target", "copies", "taken")
 
 
+def op11_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences that all documents name, state or hold."""
+    found = licenses.find_licenses(documents(spark, sf_dir).select("doc_id", "text"))
+    base = F.filter("detections", lambda d: d["base"])
+    labels = lambda some: F.array_join(F.sort_array(F.array_distinct(F.transform(some, lambda d: d["label"]))), ",")
+    place = F.transform(base, lambda d: d["first"])
+    return found.select("doc_id", "n_words", F.size(base).cast("long").alias("n_base"),
+                        F.array_min(place).alias("first_word"), F.array_max(place).alias("last_word"),
+                        labels(base).alias("base_labels"), labels(F.col("detections")).alias("labels"), "score")
+
+
 def op12_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of all documents by two vocabularies, aligned, and how frequent their linked pairs are."""
     found = align.align(documents(spark, sf_dir).select("doc_id", "text"), vocabulary_a="byte_bpe_50k.json",
@@ -94,7 +105,7 @@ def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_shard, op2_simhash, op3_language, op4_pack, op5_exact_dedup, op6_repeats, op7_ppm, op8_secrets,
-        op9_fingerprints, op10_mix, op12_align, op13_collocations)}
+        op9_fingerprints, op10_mix, op11_licenses, op12_align, op13_collocations)}
 
 
 def _sql_op1() -> str:
