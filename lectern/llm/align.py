@@ -1,9 +1,10 @@
 """Op 12. Two tokenizers aligned byte by byte, and counts of the pairs of ids that they put on the same bytes.
 
-Tokens.  A text is cut into units before a blank that follows a printable ASCII character.  Neither
+Tokens.  A text is cut into units before a blank that follows a printable ASCII character (but for its last).  Neither
 vocabulary has a token across such a place (checked for B when it is loaded; A's pre-tokens end there), so tokens, groups
 and links of a text are those of its units in order.  A unit is encoded and aligned once and remembered.  Texts
-in which a tokenizer changes bytes have no tokens.
+in which a tokenizer changes bytes have no tokens.  Short units are encoded by A's merges as ranks, many at once; that this
+gives what the merges give is checked for the whole vocabulary when it is loaded, else the merges are used.
 
 Counting by external spills.  A run is what a few MB of text hold: records (pair of ids, document, links), radix-partitioned
 by B id and ordered by B id, A id and document, compressed with zstd.  The pairs of each partition's runs are
@@ -20,6 +21,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import heapq
+import itertools
 import math
 import os
 import struct
@@ -83,11 +85,40 @@ class ByteLevel(Encoder):
         self.tokenizer.encode_special_tokens = True
         to_byte = byte_of_char()
         added = self.tokenizer.get_added_tokens_decoder()
-        super().__init__({i: added[i].content.encode() if i in added else bytes(to_byte[c] for c in token)
-                          for token, i in self.tokenizer.get_vocab().items()})
-
-    def encode(self, units: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch(units, add_special_tokens=False)]
+        vocabulary = {token: i for token, i in self.tokenizer.get_vocab().items() if i not in added}
+        spelled = {i: bytes(to_byte[c] for c in token) for token, i in vocabulary.items()}
+        super().__init__(spelled | {i: token.content.encode() for i, token in added.items()})
+        self.ranked = self._ranked(vocabulary, spelled)
+
+    def _ranked(self, vocabulary: dict[str, int], spelled: dict[int, bytes]):
+        """The merges as ranks of tokens, or None where that could differ.
+
+        By ranks, two neighbours merge if together they are a token, whatever pair it was made of.  That changes nothing if
+        ids follow the order of merges and each token's own bytes merge into it: within a token's bytes, merges go
+        as in the token alone, and those end in its own pair.
+        """
+        import json
+
+        import public_tokenizers
+        import tiktoken
+        model = json.loads(self.tokenizer.to_str())
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in model["model"]["merges"]]
+        in_order = [vocabulary.get("".join(p), -1) for p in pairs]
+        singles = sorted(set(vocabulary.values()) - set(in_order))
+        usual = model["pre_tokenizer"] == {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True,
+                                           "use_regex": True} and model["normalizer"] is None
+        whole = all([t.id for t in self.tokenizer.model.tokenize(token)] == [i] for token, i in vocabulary.items())
+        if not (usual and whole and in_order == sorted(set(in_order)) and len(singles) == 256 and singles[-1] < in_order[0]):
+            return None
+        return tiktoken.Encoding("ranked", pat_str=public_tokenizers.PATTERN, special_tokens={},
+                                 mergeable_ranks={b: i for i, b in spelled.items()})
+
+    def encode(self, units: list[str], size: np.ndarray, plain: bool) -> tuple[np.ndarray, np.ndarray]:
+        if not plain or self.ranked is None:
+            return _flat([e.ids for e in self.tokenizer.encode_batch_fast(units, add_special_tokens=False)])
+        ids = np.array(self.ranked.encode_ordinary("".join(units)), np.int64)
+        ends = np.searchsorted(np.cumsum(self.length[ids]), np.cumsum(size)) + 1
+        return ids, np.diff(ends, prepend=0)
 
 
 class Pieces(Encoder):
@@ -102,15 +133,15 @@ class Pieces(Encoder):
         if any("▁" in p.lstrip("▁") for p in pieces):
             raise ValueError(f"{path}: a piece goes on behind a blank, so texts can't be cut at blanks")
 
-    def encode(self, units: list[str]) -> list[list[int]]:
-        return self.model.encode([u[1:] for u in units], num_threads=1)
+    def encode(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        return _flat(self.model.encode([u[1:] for u in units], num_threads=1))
 
 
 # --- alignment ---------------------------------------------------------------------
 
 def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-    return np.fromiter((i for x in lists for i in x), np.int64, int(sizes.sum())), sizes
+    return np.fromiter(itertools.chain.from_iterable(lists), np.int64, int(sizes.sum())), sizes
 
 
 def _sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -128,11 +159,14 @@ class Aligned:
         marks = [",", "|", ";"]
         self.spelled = pa.array([f"{i}{m}" for i in range(max(len(a.length), len(b.length))) for m in marks], pa.large_string())
 
-    def units(self, units: list[str]) -> list[tuple | None]:
-        """Per unit ``(n_a, n_b, n_groups, groups, links)``; None where joined tokens aren't the unit."""
+    def units(self, units: list[str], plain: bool) -> list[tuple | None]:
+        """Per unit ``(n_a, n_b, n_groups, groups, links)``; None where joined tokens aren't the unit.
+
+        ``plain``: all are short, and each can be followed by any other as in a text.
+        """
         raw = [u.encode() for u in units]
-        (a, n_a), (b, n_b) = _flat(self.a.encode(units)), _flat(self.b.encode(units))
         whole, size = np.frombuffer(b"".join(raw), np.uint8), np.fromiter(map(len, raw), np.int64, len(raw))
+        (a, n_a), (b, n_b) = self.a.encode(units, size, plain), self.b.encode(units)
         good = self._equal(self.a, a, n_a, whole, size) & self._equal(self.b, b, n_b, whole, size)
         a, b = a[np.repeat(good, n_a)], b[np.repeat(good, n_b)]
         n_a, n_b = n_a[good], n_b[good]
@@ -191,16 +225,19 @@ class Texts:
     def look_up(self, units: list[str]) -> list[tuple | None]:
         if len(self.known) > REMEMBERED:
             self.known = {}
-        new = [u for u in units if u not in self.known]
-        fresh = {}
-        for first in range(0, len(new), 20_000):
-            part = new[first:first + 20_000]
-            fresh.update(zip(part, self.aligned.units(part)))
+        fresh, new = {}, ([], [])
+        for u in units:
+            if u not in self.known:
+                new[len(u) < LONG and "!" <= u[-1] <= "~"].append(u)
+        for plain, some in enumerate(new):
+            for first in range(0, len(some), 20_000):
+                part = some[first:first + 20_000]
+                fresh.update(zip(part, self.aligned.units(part, bool(plain))))
         self.known.update((u, x) for u, x in fresh.items() if len(u) < LONG)
         return [fresh[u] if u in fresh else self.known[u] for u in units]
 
-    def batch(self, column: pa.Array) -> tuple[dict[str, np.ndarray | list], np.ndarray, np.ndarray]:
-        """Per text its counts and digest; all links as ``(pair, text)``, in order of the texts."""
+    def batch(self, column: pa.Array) -> tuple[dict[str, np.ndarray | list], np.ndarray, np.ndarray, np.ndarray]:
+        """Per text its counts and digest; the distinct pairs, and all links as ``(number of the pair, text)``."""
         data, ends = text_buffer(column)
         size = np.diff(ends)
         there = np.flatnonzero(size > 0)
@@ -210,6 +247,8 @@ class Texts:
         inside[begin] = False
         whole[inside] = data
         cut = (whole == 32) & (np.concatenate([[0], whole[:-1]]) > 32) & (np.concatenate([[0], whole[:-1]]) < 127)
+        if len(begin):
+            cut[np.append(begin[1:], len(whole)) - 1] = False         # a blank alone at the end goes with the word before
         cut[begin] = True
         starts = np.flatnonzero(cut)
         offsets = np.append(starts, len(whole)).astype(np.int64)
@@ -240,7 +279,8 @@ class Texts:
         where = np.repeat(at[index] - (upto - per_unit), per_unit) + np.arange(int(per_unit.sum()))
         of_text = np.repeat(np.repeat(text, n_units), per_unit)
         result["n_links"] = np.bincount(of_text, minlength=len(size)).astype(np.int64)
-        return result, pool[where], of_text
+        pairs, number = np.unique(pool, return_inverse=True)
+        return result, pairs, number[where], of_text
 
 
 @functools.lru_cache(maxsize=1)
@@ -263,12 +303,15 @@ def unpack(block: bytes) -> list[np.ndarray]:
     return [np.frombuffer(raw, "<i8", n, at) for n, at in zip(sizes, ends.tolist())]
 
 
-def runs_of(pairs: np.ndarray, text: np.ndarray, radix: int) -> Iterator[tuple[int, bytes, bytes]]:
+def runs_of(distinct: np.ndarray, which: np.ndarray, text: np.ndarray, radix: int) -> Iterator[tuple[int, bytes, bytes]]:
     """Per partition: its pairs with their links, and per pair the documents and their links (as steps)."""
-    distinct, which = np.unique(pairs, return_inverse=True)
     n = int(text.max()) + 1 if len(text) else 1
-    records, links = np.unique(which * n + text, return_counts=True)
-    pair, text = records // n, records % n
+    records = np.sort(which * n + text)
+    first = np.flatnonzero(np.append(True, records[1:] != records[:-1])) if len(records) else np.zeros(0, np.int64)
+    links = np.diff(first, append=len(records))
+    pair, text = np.divmod(records[first], n)
+    used = np.unique(pair)                                  # a unit of texts without tokens may have brought others
+    distinct, pair = distinct[used], np.searchsorted(used, pair)
     part = (distinct >> 32) % radix
     for r in range(radix):
         mine = part == r
@@ -286,7 +329,7 @@ def _encode(text_col: str, vocabulary_a: str, vocabulary_b: str, radix: int):
         of, number = texts(vocabulary_a, vocabulary_b), 0
         task = TaskContext.get().partitionId() if TaskContext.get() else 0
         for batch in sliced(batches, text_col, RUN):
-            result, pairs, text = of.batch(batch.column(text_col))
+            result, pairs, which, text = of.batch(batch.column(text_col))
             n, others = batch.num_rows, [f.name for f in batch.schema if f.name != text_col]
             name = task << 32 | number
             number += 1
@@ -296,7 +339,7 @@ def _encode(text_col: str, vocabulary_a: str, vocabulary_b: str, radix: int):
                 [*[batch.column(c) for c in others], *[pa.array(result[m]) for m in made], pa.array(result["groups_sha256"]),
                  pa.array(np.full(n, name)), pa.array(np.arange(n, dtype=np.int32)), pa.nulls(n, pa.int32()),
                  pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary())], names)
-            blocks = list(runs_of(pairs, text, radix))
+            blocks = list(runs_of(pairs, which, text, radix))
             m = len(blocks)
             if m:
                 yield pa.RecordBatch.from_arrays(

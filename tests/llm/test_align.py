@@ -109,10 +109,22 @@ def test_units_are_remembered_within_bounds(monkeypatch, rng):
     texts = [prose(rng, 30) for _ in range(10)]
     one = of.batch(pa.array(texts))
     again = of.batch(pa.array(texts))
-    assert one[0]["groups_sha256"] == again[0]["groups_sha256"] and (one[1] == again[1]).all()
+    assert one[0]["groups_sha256"] == again[0]["groups_sha256"]
+    assert (one[1][one[2]] == again[1][again[2]]).all() and (one[3] == again[3]).all()
     assert len(of.known) <= 10 + len({u for t in texts for u in t.split(" ")})
 
 
+def test_ranks_give_what_merges_give(rng):
+    a = A.ByteLevel(A.place(A.VOCABULARY_A))
+    assert a.ranked is not None
+    letters = "etaoinshrdlucmfwypvbgkqjxz'0159éß.,-"
+    units = [" " + "".join(rng.choice(letters) for _ in range(rng.randint(0, 20))) + rng.choice("abc.,!") for _ in range(5000)]
+    size = np.array([len(u.encode()) for u in units])
+    ids, counts = a.encode(units, size, True)
+    slow, slow_counts = a.encode(units, size, False)
+    assert (ids == slow).all() and (counts == slow_counts).all()
+
+
 def test_heap_merge_and_blocks():
     rng = np.random.default_rng(1)
     runs = [np.unique(rng.integers(0, 1 << 45, 50)) for _ in range(7)]
