@@ -156,7 +156,11 @@ def run_tests(tables: Mapping[str, DataFrame], tests: Iterable[Test] | None = No
             per_key = df.groupBy(t.column).agg(F.count(F.lit(1)).alias("_n"))
             orph = enrich.orphans(per_key, tables[t.to_model], t.column, t.to_column)
             parts.append(_row(t, orph.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("failures"))))
-    return _union(parts, spark).withColumn(
+    return with_status(_union(parts, spark))
+
+
+def with_status(report: DataFrame) -> DataFrame:
+    return report.withColumn(
         "status", F.when(F.col("failures").isNull(), "error").when(F.col("failures") == 0, "pass")
         .when(F.col("severity") == "warn", "warn").otherwise("fail"))
 

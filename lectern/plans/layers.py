@@ -132,9 +132,11 @@ def build_silver(spark: SparkSession, layout: Layout, cfg: ScoringConfig = DEFAU
     return counts
 
 
-def stage_marts(spark: SparkSession, layout: Layout, cfg: ScoringConfig = DEFAULT) -> dict[str, DataFrame]:
+def stage_marts(spark: SparkSession, layout: Layout, cfg: ScoringConfig = DEFAULT,
+                enriched: DataFrame | None = None) -> dict[str, DataFrame]:
     """Both marts from the enriched table, written to the scratch folder and read back; Gold isn't touched."""
-    enriched = spark.read.parquet(layout.silver("int_books_enriched"))
+    if enriched is None:
+        enriched = spark.read.parquet(layout.silver("int_books_enriched"))
     marts = {
         "mart_audiobook_candidates": governance.assert_no_columns(
             quality.enforce_contract(score.candidates(enriched, cfg), "mart_audiobook_candidates"),
@@ -190,6 +192,12 @@ def _refine(spark: SparkSession, layout: Layout, cfg: ScoringConfig, gate: bool,
             tests: Sequence[quality.Test] | None, rep: RunReport) -> None:
     """Bronze → Silver → tests → marts staged → tests → Gold published."""
     rep.counts = build_silver(spark, layout, cfg)
+    _to_gold(spark, layout, cfg, gate, tests, rep, model_tables(spark, layout), None)
+
+
+def _to_gold(spark: SparkSession, layout: Layout, cfg: ScoringConfig, gate: bool, tests: Sequence[quality.Test] | None,
+             rep: RunReport, tables: dict[str, DataFrame], enriched: DataFrame | None) -> None:
+    """Tests of Bronze and Silver → marts staged → their tests → Gold published."""
     suite = list(tests if tests is not None else quality.declared_tests())
     marts = [t for t in suite if t.model.startswith("mart_")]
 
@@ -197,24 +205,60 @@ def _refine(spark: SparkSession, layout: Layout, cfg: ScoringConfig, gate: bool,
         report_df = quality.run_tests(tables, part)
         rep.tests += quality.gate(report_df) if gate else [r.asDict() for r in report_df.collect()]
 
-    check(model_tables(spark, layout), [t for t in suite if t not in marts])
-    staged = stage_marts(spark, layout, cfg)
+    check(tables, [t for t in suite if t not in marts])
+    staged = stage_marts(spark, layout, cfg, enriched)
     check(staged, marts)
     rep.versions = publish(layout, staged)
 
 
+def silver_states(spark: SparkSession, layout: Layout, cfg: ScoringConfig = DEFAULT):
+    """The incremental Silver of a layout."""
+    from .incremental import IncrementalSilver
+    return IncrementalSilver(spark, f"{layout.root}/silver_state", cfg)
+
+
+def run_incremental(spark: SparkSession, layout: Layout, cfg: ScoringConfig = DEFAULT, gate: bool = True,
+                    batch_id: str | None = None, tests: Sequence[quality.Test] | None = None) -> RunReport:
+    """M6 on what is new: ingest → Silver states take in the new epochs → tests → marts staged → tests → Gold published.
+
+    Silver is kept by ``IncrementalSilver``, so a run reads the new Bronze epochs and the buckets that they touch.
+    The result is that of ``run_all`` over everything ingested so far.
+    """
+    rep = RunReport()
+    rep.bronze = ingest_bronze(spark, layout, batch_id=batch_id)
+    failed = [r for r in rep.bronze if r.status == "error" and r.name in ("books", "reviews", "genres")]
+    if failed:
+        raise RuntimeError(f"bronze ingest failed: {[(r.name, r.error) for r in failed]}")
+    silver = silver_states(spark, layout, cfg)
+    rep.counts = silver.refresh_from(layout.bronze)
+    _to_gold(spark, layout, cfg, gate, tests, rep, _state_tables(spark, layout, silver), silver.enriched())
+    return rep
+
+
+def _state_tables(spark: SparkSession, layout: Layout, silver) -> dict[str, DataFrame]:
+    return {**{f"bronze_{n}": read_bronze(spark, layout.bronze(n)) for n in ("books", "reviews", "genres")},
+            "stg_books": silver.stg_books(), "stg_reviews": silver.stg_reviews(), "stg_genres": silver.stg_genres(),
+            "int_books_enriched": silver.enriched()}
+
+
 def rebuild_after_erasure(spark: SparkSession, layout: Layout, hashes: Sequence[str | None],
                           cfg: ScoringConfig = DEFAULT, gate: bool = True,
-                          tests: Sequence[quality.Test] | None = None) -> RunReport:
+                          tests: Sequence[quality.Test] | None = None, incremental: bool = False) -> RunReport:
     """G2 + G3: the subjects leave Bronze, Silver and Gold for good.
 
     The hashes join the request table, which every later ingest applies, so a subject doesn't come back with
     a new file.  The Bronze files that hold them are rewritten in place (``streaming.erasure``); raw files aren't read, so
     rows whose landing files are gone stay.  Then Silver and Gold are rebuilt behind the same tests as in ``run_all``:
     with ``gate`` a failing suite raises and Gold stays as it was, while Bronze and Silver are already clean.
+    With ``incremental`` Silver's states follow: only the erased epochs' reviews and the subjects' items are built anew.
     Raw files hold the subjects until the landing folder itself is cleaned.
     """
     governance.request_table(spark, hashes).write.mode("append").parquet(layout.requests)
     rep = RunReport(erased=erasure.erase(spark, _spec(spark, layout, "reviews"), hashes))
+    if incremental:
+        silver = silver_states(spark, layout, cfg)
+        silver.forget(layout.bronze, rep.erased.epochs, hashes)
+        _to_gold(spark, layout, cfg, gate, tests, rep, _state_tables(spark, layout, silver), silver.enriched())
+        return rep
     _refine(spark, layout, cfg, gate, tests, rep)
     return rep

@@ -589,3 +589,9 @@ SELECT CAST(1 AS BIGINT), 'DELETE',
        (SELECT count(*) FROM raw_reviews
         WHERE sha256(user_id) IS NULL OR sha256(user_id) NOT IN {_SUBJECTS}), 'bronze_reviews'
 """, "candidates", "raw_reviews")
+
+SQL["incremental_enriched"] = SQL["enriched_bucketed"] = SQL["enriched_items"]
+SQL["incremental_metrics"] = SQL["review_metrics"]
+SQL["incremental_tests"] = "SELECT * FROM (" + " UNION ALL ".join(
+    f"SELECT * FROM ({SQL[k]})" for k in ("dq_not_null", "dq_unique", "dq_accepted_values", "dq_relationships")
+) + ") WHERE model NOT LIKE 'mart_%'"
