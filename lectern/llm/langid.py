@@ -10,10 +10,10 @@ space, so layout and junk say nothing about a language.
 Texts are read in blocks of ``BLOCK`` bytes (phrases don't cross a block's end, in any language), which
 lets one automaton step advance thousands of blocks; every byte of every text is read.
 
-The references are a bounded sample of labelled rows: per language ``SAMPLE_ROWS`` rows at most, the ones
-with the smallest draw from the MD5 of their id, ``ROW_CHARS`` characters of each, ``REFERENCE_BYTES`` bytes in
-all.  That bounds the model whatever the input: what is sent to the tasks are the references, and a
-task's tables have at most ``2 * REFERENCE_BYTES * CLASSES`` entries per language.
+The references are a bounded sample of labelled rows: of the ``MOST_LANGUAGES`` most frequent labels ``SAMPLE_ROWS`` rows at
+most, the ones with the smallest draw from the MD5 of their id and text, each with an equal share of
+``REFERENCE_BYTES`` bytes, in windows spread over its whole text.  That bounds the model whatever the input: what is
+sent to the tasks are the references, and a task's tables have about ``2 * REFERENCE_BYTES * CLASSES`` entries per language.
 """
 
 from __future__ import annotations
@@ -29,14 +29,14 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, names_free, sliced, text_buffer
 from .lanes import Lanes
-from .mixing import uniform
 
+#: The bounded sample of labelled rows: the most frequent languages, rows of each, bytes of each language's reference (every
+#: row has an equal share of it, in windows spread over its whole text).
+MOST_LANGUAGES = 256
 SAMPLE_ROWS = 64
-ROW_CHARS = 2048
 REFERENCE_BYTES = 32_768
+WINDOWS = 4
 BLOCK = 4096
-#: A table of at most so many languages is broadcast.
-BROADCAST_LANGUAGES = 10_000
 #: Byte classes of the automata: the commonest bytes of the references, and one for all others.
 CLASSES = 64
 RESULTS = ("lang_pred", "score")
@@ -168,27 +168,44 @@ def _predict(text_col: str, references: tuple[tuple[str, bytes], ...], keep_text
     return run
 
 
+def lettered(text_col: str) -> Column:
+    """Whether a text has a letter (null: no)."""
+    return F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))
+
+
+def _spread(text: Column, share: Column) -> Column:
+    """``share`` bytes (about) of a text: all of a short one, else windows at even distances from its start to its end."""
+    chars = F.length(text)
+    size = F.greatest(F.floor(share * chars / F.octet_length(text) / WINDOWS).cast("int"), F.lit(1))
+    at = lambda k: F.floor(k * (chars - size) / (WINDOWS - 1)).cast("int") + 1
+    parts = F.transform(F.sequence(F.lit(0), F.lit(WINDOWS - 1)), lambda k: text.substr(at(k), size))
+    return F.when(F.octet_length(text) <= share, text).otherwise(F.concat_ws(" ", parts))
+
+
 def references(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                lang_col: str = "lang") -> tuple[tuple[str, bytes], ...]:
     """The reference of each language, in order of names, from the bounded sample of labelled rows.
 
-    Rows with a null label or a text without a letter teach nothing.  Two steps, so that no language is
-    sorted as one group: rows are thinned by their draw to a few times the sample, then ranked.
+    Rows with a null label or a text without a letter teach nothing; of more than ``MOST_LANGUAGES`` labels the most
+    frequent are learned (of equals the first names).  Rows are drawn by their id and text.  Two steps, so that no
+    language is sorted as one group: rows are thinned by their draw to a few times the sample, then ranked.
     """
-    rows = labelled.filter(F.col(lang_col).isNotNull() & F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)))
-    rows = rows.select(F.col(lang_col).alias("lang"), F.substring(text_col, 1, ROW_CHARS).alias("text"),
-                       uniform(id_col, "reference:").alias("draw"))
+    key = F.concat(F.lit("reference:"), F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(":"), F.col(text_col))
+    draw = (F.conv(F.substring(F.md5(key), 1, 13), 16, 10).cast("long").cast("double") + 0.5) / float(2 ** 52)
+    rows = labelled.filter(F.col(lang_col).isNotNull() & lettered(text_col))
+    rows = rows.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), draw.alias("draw"))
     work = Scratch(labelled.sparkSession, "langid")
-    counts = work.write(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "counts")
-    if counts.count() <= BROADCAST_LANGUAGES:  # else the join deals rows by language
-        counts = F.broadcast(counts)
-    thin = rows.join(counts, "lang").filter(F.col("draw") < 4 * SAMPLE_ROWS / F.col("n"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "text"))
-    sample = thin.withColumn("rank", rank).filter(F.col("rank") <= SAMPLE_ROWS).orderBy("lang", "rank").collect()
+    counts = work.write(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang")
+                        .limit(MOST_LANGUAGES), "counts")
+    thin = rows.join(F.broadcast(counts), "lang").filter(F.col("draw") < 4 * SAMPLE_ROWS / F.col("n"))
+    per = Window.partitionBy("lang")
+    sample = thin.withColumn("rank", F.row_number().over(per.orderBy("draw", "text"))).filter(F.col("rank") <= SAMPLE_ROWS)
+    share = F.floor(F.lit(REFERENCE_BYTES) / F.count(F.lit(1)).over(per)).cast("int")
+    sample = sample.withColumn("share", share).select("lang", "rank", _spread(F.col("text"), F.col("share")).alias("text"))
     joined: dict[str, bytes] = {}
-    for row in sample:
+    for row in sample.orderBy("lang", "rank").collect():
         joined[row["lang"]] = joined.get(row["lang"], b"") + row["text"].encode() + b"\n"
-    return tuple((lang, ref[:REFERENCE_BYTES]) for lang, ref in sorted(joined.items()))
+    return tuple(sorted(joined.items()))
 
 
 def identify(docs: DataFrame, learn_from: Column, id_col: str = "doc_id", text_col: str = "text",
@@ -199,7 +216,8 @@ def identify(docs: DataFrame, learn_from: Column, id_col: str = "doc_id", text_c
     winner's share when code lengths are read as probabilities, their gaps divided by the square root of the
     fewest phrases (phrases of one text aren't independent).  Null texts and texts without a
     letter are ``und`` with score 0, and so is everything if no row can be learned from.  Languages that
-    tie go by name.  Without ``keep_text`` the text is left out.  An empty table gives an empty result.
+    tie go by name.  A text of any length is parsed whole; repeated rows are predicted each.  Without ``keep_text`` the
+    text is left out.  An empty table gives an empty result.
     """
     model = references(docs.filter(learn_from), id_col, text_col, lang_col)
     docs = names_free(docs, *RESULTS)

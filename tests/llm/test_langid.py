@@ -67,3 +67,28 @@ def test_edge_cases(spark):
     untaught = langid.identify(df, F.lit(False))
     assert {r["lang_pred"] for r in untaught.collect()} == {"und"}
     assert langid.identify(df.limit(0), F.lit(True)).count() == 0
+
+
+def test_rows_that_share_an_id_teach_alike(spark):
+    """With one id for all rows, every language is learned, from different rows."""
+    docs = documents(spark, SF).withColumn("doc_id", F.lit(7))
+    found = dict(langid.references(docs))
+    assert set(found) == {"de", "en", "es", "fr"}
+    assert all(16_000 < len(ref) < 34_000 for ref in found.values())
+    assert langid.identify(docs, F.lit(True)).filter("lang = lang_pred").count() > 970
+
+
+def test_a_reference_has_equal_shares_of_whole_texts(spark):
+    long = "".join(chr(97 + i // 2600 % 26) for i in range(67_600))         # a..z, 2,600 of each
+    rows = [(i, f"{i} " + long, "xx") for i in range(100)] + [(200, "kurz ä", "yy"), (201, None, "zz"), (202, "12", "zz")]
+    found = dict(langid.references(spark.createDataFrame(rows, "doc_id long, text string, lang string")))
+    assert set(found) == {"xx", "yy"} and found["yy"] == "kurz ä\n".encode()
+    parts = found["xx"].decode().strip().split("\n")
+    assert len(parts) == langid.SAMPLE_ROWS and {len(p) for p in parts} == {515}
+    assert all({"a", "z"} <= set(p) and len(set(p) - set(" 0123456789")) >= 4 for p in parts)
+
+
+def test_the_most_frequent_labels_are_learned(spark, monkeypatch):
+    monkeypatch.setattr(langid, "MOST_LANGUAGES", 2)
+    rows = [(i, f"text {lang}", lang) for i, lang in enumerate(["a"] * 3 + ["b"] * 2 + ["c"] * 2 + ["d"])]
+    assert [n for n, _ in langid.references(spark.createDataFrame(rows, "doc_id long, text string, lang string"))] == ["a", "b"]

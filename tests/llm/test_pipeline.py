@@ -56,7 +56,7 @@ def test_stages_take_effect(spark, rng, tmp_path):
 
 def test_all_queries_are_registered():
     numbers = sorted(int(k[2:].split("_")[0]) for k in queries.QUERIES)
-    assert numbers == list(range(1, 11)) and set(queries.SQL) <= set(queries.QUERIES)
+    assert numbers == list(range(1, 14)) and set(queries.SQL) <= set(queries.QUERIES)
     assert [n for n, _ in C.STAGES] == ["language_id", "exact_dedup", "near_dedup", "mix_sources", "pack_sequences"]
 
 
@@ -66,4 +66,13 @@ def test_every_query_on_an_empty_table_and_on_null_rows(spark, tmp_path):
         spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / name / "documents.parquet"))
         for key, query in {**queries.QUERIES, "pipeline": C.run}.items():
             got = query(spark, str(tmp_path / name)).count()
-            assert got == (0 if key == "pipeline" else len(rows)), (name, key)
+            assert got == (0 if key in ("pipeline", "op13_collocations") else len(rows)), (name, key)
+
+
+def test_without_labels_every_document_with_a_letter_stays(spark):
+    rows = [(1, "one text", None), (2, "日本", None), (3, "12 !", None), (4, None, None), (5, "", None), (1, "one text", None)]
+    docs = spark.createDataFrame([(d, t, l, "s", 0) for d, t, l in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted(r["doc_id"] for r in C.language_id(spark, docs, "").collect()) == [1, 1, 2]
+    labelled = docs.withColumn("lang", F.lit("en"))
+    assert sorted(r["doc_id"] for r in C.language_id(spark, labelled, "").collect()) == [1, 1, 2]
