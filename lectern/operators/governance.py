@@ -1,9 +1,9 @@
 """Privacy and compliance jobs on tables.
 
-Versions of a table are plain Parquet folders, ``<root>/data/snapshot_id=N/``, and a
-list of them, ``<root>/commit_log/``.  A version is read from its own folder;
-retention drops whole folders.  This is no table format: one writer at a time.  The
-root should live on shared storage (e.g. under ``spark.checkpoint.dir``).
+A table that is written whole each time keeps its loads as partitions, ``<root>/_loaded_at=<time>/_operation=<name>``.  The
+time of a load is its version; the history is a grouped count over the partition columns (answered from footers), a
+version is read from its own folder, and retention drops whole partitions.  The root should live on shared storage
+(e.g. under ``spark.checkpoint.dir``).
 """
 
 from __future__ import annotations
@@ -13,7 +13,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import scalar as S
 
@@ -93,13 +92,7 @@ def audit_log(events: DataFrame, prefix: str, since: str, *, prefix_on: str = "t
             .orderBy(F.col("event_time").desc(), F.col("user").asc()))
 
 
-# --- G6-G9: versioned Parquet tables ---------------------------------------
-
-COMMIT_SCHEMA = T.StructType([
-    T.StructField("version", T.LongType()), T.StructField("timestamp", T.TimestampType()),
-    T.StructField("operation", T.StringType()), T.StructField("rows", T.LongType()),
-])
-
+# --- G6-G9: loads as partitions ---------------------------------------------
 
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -114,88 +107,88 @@ def remove(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
-def _commits(spark: SparkSession, root: str) -> DataFrame:
-    fs, p = _fs(spark, f"{root}/commit_log")
-    if not fs.exists(p):
-        return spark.createDataFrame([], COMMIT_SCHEMA)
-    return spark.read.schema(COMMIT_SCHEMA).parquet(f"{root}/commit_log")
+_EPOCH = dt.datetime(1970, 1, 1)
+
+
+def _utc(now: dt.datetime | None) -> dt.datetime:
+    return now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+
 
+def _version(time: dt.datetime) -> int:
+    """A load's time in microseconds."""
+    return (time - _EPOCH) // dt.timedelta(microseconds=1)
 
-def latest_version(spark: SparkSession, root: str) -> int:
-    """Newest committed version, -1 for a new table (reads the tiny commit log)."""
-    row = _commits(spark, root).agg(F.max("version").alias("v")).first()
-    return -1 if row is None or row["v"] is None else int(row["v"])
 
+def _loads(spark: SparkSession, root: str) -> dict[int, str]:
+    """Complete loads in order of time: version → folder."""
+    fs, p = _fs(spark, root)
+    found = {}
+    for part in fs.listStatus(p) if fs.exists(p) else []:
+        if part.getPath().getName().startswith("_loaded_at="):
+            for load in fs.listStatus(part.getPath()):
+                path = load.getPath().toString()
+                if fs.exists(_fs(spark, f"{path}/_SUCCESS")[1]):
+                    found[int(part.getPath().getName().removeprefix("_loaded_at="))] = path
+    return dict(sorted(found.items()))
 
-def write_snapshot(df: DataFrame, root: str, operation: str = "WRITE",
-                   now: dt.datetime | None = None) -> int:
-    """Append ``df`` as the next version; the row count comes from ``observe``.
 
-    Data first, commit row second: a failed write leaves no commit, and
-    readers only see versions listed in the commit log.  One writer per
-    table at a time (versions are numbered from the log).
+def latest_version(spark: SparkSession, root: str) -> int | None:
+    """Newest complete load, None for a new table."""
+    return max(_loads(spark, root), default=None)
+
+
+def write_snapshot(df: DataFrame, root: str, operation: str = "WRITE", now: dt.datetime | None = None) -> int:
+    """Write ``df`` as a load of its own; returns its version.
+
+    A load is there once it is complete: readers pass over one that failed.
     """
-    spark = df.sparkSession
-    version = latest_version(spark, root) + 1
-    from pyspark.sql import Observation
-    obs = Observation(f"snapshot_{version}")
-    (df.observe(obs, F.count(F.lit(1)).alias("rows"))
-       .write.mode("overwrite").parquet(f"{root}/data/snapshot_id={version}"))
-    rows = int(obs.get.get("rows", 0))
-    when = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    (spark.createDataFrame([(version, when, operation, rows)], COMMIT_SCHEMA)
-     .coalesce(1).write.mode("append").parquet(f"{root}/commit_log"))
+    version = _version(_utc(now))
+    df.write.mode("errorifexists").parquet(f"{root}/_loaded_at={version}/_operation={operation}")
     return version
 
 
 def history(spark: SparkSession, root: str) -> DataFrame:
-    """Version, time, operation (and rows) per commit."""
-    return _commits(spark, root).select("version", "timestamp", "operation", "rows")
+    """Version, time, operation and rows of every load that is there."""
+    loads = _loads(spark, root)
+    named = spark.createDataFrame([(v, _EPOCH + dt.timedelta(microseconds=v), p.rsplit("_operation=", 1)[1])
+                                   for v, p in loads.items()], "version BIGINT, timestamp TIMESTAMP, operation STRING")
+    if not loads:
+        return named.withColumn("rows", F.lit(0).cast("bigint"))
+    rows = spark.read.schema("_loaded_at BIGINT, _operation STRING").parquet(root)
+    counts = rows.groupBy(F.col("_loaded_at").alias("version")).agg(F.count(F.lit(1)).alias("rows"))
+    return named.join(counts, "version", "left").select(
+        "version", "timestamp", "operation", F.coalesce("rows", F.lit(0).cast("bigint")).alias("rows"))
 
 
 def read_version(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
-    """The table as of ``version`` (latest by default), read from its own folder with its own columns.
+    """The table as of a version (latest by default), read from its own folder with its own columns.
 
     Raises for a version that was never written or that retention removed.
     """
-    v = latest_version(spark, root) if version is None else version
-    fs, p = _fs(spark, f"{root}/data/snapshot_id={v}/_SUCCESS")
-    if not fs.exists(p):
+    loads = _loads(spark, root)
+    v = max(loads, default=None) if version is None else version
+    if v not in loads:
         raise ValueError(f"no version {v} of {root}")
-    return spark.read.parquet(f"{root}/data/snapshot_id={v}")
+    return spark.read.parquet(loads[v])
 
 
 def erase_and_commit(spark: SparkSession, root: str, hashes: Sequence[str],
                      id_col: str = "user_id") -> int:
-    """G2 + G6: write the erased latest version as a new snapshot.
+    """G2 + G6: write the erased latest version as a load of its own.
 
-    Older snapshots still hold the rows until ``vacuum`` drops them.
+    Older loads still hold the rows until ``vacuum`` drops them.
     """
     current = read_version(spark, root)
     return write_snapshot(erase_subjects(current, hashes, id_col), root, "DELETE")
 
 
-def vacuum(spark: SparkSession, root: str, retain_days: int,
-           now: dt.datetime | None = None, keep_latest: bool = True) -> list[int]:
-    """Delete the data of versions committed more than ``retain_days`` ago.
-
-    The commit rows stay (history remains auditable); only data folders go.
-    The newest version is always kept.  Returns the versions removed.
-    """
-    now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    cutoff = now - dt.timedelta(days=retain_days)
-    commits = _commits(spark, root)
-    newest = latest_version(spark, root)
-    old = [int(r["version"]) for r in
-           commits.filter(F.col("timestamp") < F.lit(cutoff)).select("version").collect()
-           if not (keep_latest and int(r["version"]) == newest)]
-    removed = []
+def vacuum(spark: SparkSession, root: str, retain_days: int, now: dt.datetime | None = None) -> list[int]:
+    """Drop the partitions of loads older than ``retain_days``, but for the newest load.  Returns their versions."""
+    cutoff = _version(_utc(now) - dt.timedelta(days=retain_days))
+    old = [v for v in list(_loads(spark, root))[:-1] if v < cutoff]
     for v in old:
-        fs, p = _fs(spark, f"{root}/data/snapshot_id={v}")
-        if fs.exists(p):
-            fs.delete(p, True)
-            removed.append(v)
-    return removed
+        remove(spark, f"{root}/_loaded_at={v}")
+    return old
 
 
 def apply_retention(spark: SparkSession, tables: dict[str, tuple[str, str]],

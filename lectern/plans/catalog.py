@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import LEGACY3, PRESETS, star_config
@@ -479,19 +479,17 @@ def q_audit_tables(i: Inputs) -> DataFrame:
 
 @register("snapshot_history", GOLD)
 def q_snapshot_history(i: Inputs) -> DataFrame:
-    """Write the mart as versions, erase a subject, list the history."""
+    """The mart written twice, a table and its erasure: operations and rows per table, in order of time."""
     from ..session import scratch_path
-    root = scratch_path(i.spark, "snapshots")
+    root, bronze_root = scratch_path(i.spark, "snapshots"), scratch_path(i.spark, "bronze_reviews")
     governance.write_snapshot(drop_stamps(i.candidates), root, "CREATE OR REPLACE")
     governance.write_snapshot(drop_stamps(i.candidates), root, "WRITE")
-    bronze_root = scratch_path(i.spark, "bronze_reviews")
-    governance.write_snapshot(i.raw_reviews.select("review_id", "book_id", "user_id"),
-                              bronze_root, "WRITE")
+    governance.write_snapshot(i.raw_reviews.select("review_id", "book_id", "user_id"), bronze_root, "WRITE")
     governance.erase_and_commit(i.spark, bronze_root, V.SUBJECT_HASHES)
-    h1 = governance.history(i.spark, root).withColumn("table_name", F.lit("gold_candidates"))
-    h2 = governance.history(i.spark, bronze_root).withColumn("table_name",
-                                                              F.lit("bronze_reviews"))
-    return h1.unionByName(h2).drop("timestamp")
+    found = [governance.history(i.spark, path).withColumn("table_name", F.lit(name))
+             for name, path in (("gold_candidates", root), ("bronze_reviews", bronze_root))]
+    order = F.row_number().over(Window.partitionBy("table_name").orderBy("version")) - 1
+    return found[0].unionByName(found[1]).select(order.cast("bigint").alias("version"), "operation", "rows", "table_name")
 
 
 # --- S: ingest ---------------------------------------------------------------

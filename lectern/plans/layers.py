@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..config import DEFAULT, ScoringConfig
 from ..operators import clean, enrich, governance, quality, report, reshape, score
@@ -48,12 +49,14 @@ SCHEMAS = {
 class Layout:
     """Folder layout of one deployment (all on shared storage).
 
-    ``schemas``: fields per dataset (None: inferred); ``exclude``: file-name suffix that ingest leaves out.
+    ``schemas``: fields per dataset (None: inferred); ``exclude``: file-name suffix that ingest leaves out;
+    ``max_rejected``: share of a file's lines that may be rejected before a gated run stops (None: any share).
     """
     raw: str
     root: str
     schemas: dict = field(default_factory=lambda: dict(SCHEMAS))
     exclude: str | None = None
+    max_rejected: float | None = None
 
     def bronze(self, name: str) -> str:
         return f"{self.root}/bronze/{name}"
@@ -80,6 +83,7 @@ class RunReport:
     versions: dict[str, int] = field(default_factory=dict)
     tests: list[dict] = field(default_factory=list)
     erased: erasure.Erased | None = None
+    rejected: list[dict] = field(default_factory=list)
 
 
 def _spec(spark: SparkSession, layout: Layout, name: str) -> IngestSpec:
@@ -184,10 +188,29 @@ def run_all(spark: SparkSession, layout: Layout, cfg: ScoringConfig = DEFAULT,
     failed = [r for r in rep.bronze if r.status == "error" and r.name in ("books", "reviews", "genres")]
     if failed:
         raise RuntimeError(f"bronze ingest failed: {[(r.name, r.error) for r in failed]}")
+    rep.rejected = check_rejects(spark, layout, rep.bronze, gate)
     _refine(spark, layout, cfg, gate, tests, rep)
     return rep
 
 
+def check_rejects(spark: SparkSession, layout: Layout, results: Sequence[IngestResult], gate: bool) -> list[dict]:
+    """S2 in the gate: files of this run with too many rejected lines; only datasets whose load counted any are read.
+
+    Reads the new epochs alone.  With ``gate`` such a file raises before Silver is touched.
+    """
+    if layout.max_rejected is None:
+        return []
+    bad = []
+    for r in results:
+        if r.corrupt:
+            rows = read_bronze(spark, layout.bronze(r.name)).filter(F.col("_epoch").isin(r.batches))
+            bad += [{"dataset": r.name, **f} for f in jsonl.reject_gate(rows, layout.max_rejected)]
+    if bad and gate:
+        raise quality.DataTestError("; ".join(
+            f"{f['dataset']}: {f['rejected']} of {f['of_lines']} lines of {f['source_file']} rejected" for f in bad))
+    return bad
+
+
 def _refine(spark: SparkSession, layout: Layout, cfg: ScoringConfig, gate: bool,
             tests: Sequence[quality.Test] | None, rep: RunReport) -> None:
     """Bronze → Silver → tests → marts staged → tests → Gold published."""
@@ -229,6 +252,7 @@ def run_incremental(spark: SparkSession, layout: Layout, cfg: ScoringConfig = DE
     failed = [r for r in rep.bronze if r.status == "error" and r.name in ("books", "reviews", "genres")]
     if failed:
         raise RuntimeError(f"bronze ingest failed: {[(r.name, r.error) for r in failed]}")
+    rep.rejected = check_rejects(spark, layout, rep.bronze, gate)
     silver = silver_states(spark, layout, cfg)
     rep.counts = silver.refresh_from(layout.bronze)
     _to_gold(spark, layout, cfg, gate, tests, rep, _state_tables(spark, layout, silver), silver.enriched())

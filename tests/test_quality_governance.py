@@ -108,30 +108,33 @@ def test_snapshots_history_asof_vacuum(spark):
     root = scratch_path(spark, "test_snap")
     df = spark.createDataFrame([("r1", "b", "7", 5), ("r2", "b", "8", 4)], REVIEWS)
     t0 = dt.datetime(2024, 1, 1)
-    assert G.write_snapshot(df, root, "WRITE", now=t0) == 0
-    assert G.write_snapshot(df.limit(1), root, "WRITE", now=t0 + dt.timedelta(days=10)) == 1
-    h7 = hashlib.sha256(b"7").hexdigest()
-    v = G.erase_and_commit(spark, root, [h7])
-    assert v == 2
-    hist = {r.version: (r.operation, r.rows) for r in G.history(spark, root).collect()}
-    assert hist[0] == ("WRITE", 2) and hist[2][0] == "DELETE"
-    assert G.read_version(spark, root, 0).count() == 2
-    asof = G.read_version(spark, root, 0)
-    assert "snapshot_id" not in asof.columns
-    assert all("snapshot_id=0" in f for f in asof.inputFiles())
-    removed = G.vacuum(spark, root, retain_days=7, now=t0 + dt.timedelta(days=12))
-    assert removed == [0]
-    assert {r.version for r in G.history(spark, root).collect()} == {0, 1, 2}
-    for missing in (0, 7):                       # removed, never written
+    v0 = G.write_snapshot(df, root, "CREATE OR REPLACE", now=t0)
+    v1 = G.write_snapshot(df.limit(1), root, "WRITE", now=t0 + dt.timedelta(days=10))
+    v2 = G.erase_and_commit(spark, root, [hashlib.sha256(b"7").hexdigest()])
+    assert v0 == 1_704_067_200_000_000 < v1 < v2 == G.latest_version(spark, root)
+    hist = {r.version: (r.timestamp, r.operation, r.rows) for r in G.history(spark, root).collect()}
+    assert hist[v0] == (t0, "CREATE OR REPLACE", 2) and hist[v2][1:] == ("DELETE", 0)
+    asof = G.read_version(spark, root, v0)
+    assert asof.count() == 2 and asof.columns == df.columns
+    with pytest.raises(Exception, match="exists"):
+        G.write_snapshot(df, root, "CREATE OR REPLACE", now=t0)
+    # a load that failed is no version
+    failed = f"{root}/_loaded_at=1735689600000000/_operation=WRITE"
+    df.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(failed)
+    assert G.latest_version(spark, root) == v2 and len(G.history(spark, root).collect()) == 3
+    assert G.vacuum(spark, root, retain_days=7, now=t0 + dt.timedelta(days=12)) == [v0]
+    assert {r.version for r in G.history(spark, root).collect()} == {v1, v2}
+    for missing in (v0, 7):                       # removed, never written
         with pytest.raises(ValueError):
             G.read_version(spark, root, missing)
+    assert G.history(spark, scratch_path(spark, "none")).count() == 0
 
 
 def test_each_version_keeps_its_own_columns(spark):
     root = scratch_path(spark, "test_columns")
-    G.write_snapshot(spark.createDataFrame([(1, 2)], "id int, x int"), root)
+    first = G.write_snapshot(spark.createDataFrame([(1, 2)], "id int, x int"), root)
     G.write_snapshot(spark.createDataFrame([(1, 2, 3)], "id int, x int, y int"), root)
-    assert G.read_version(spark, root, 0).columns == ["id", "x"]
+    assert G.read_version(spark, root, first).columns == ["id", "x"]
     assert G.read_version(spark, root).columns == ["id", "x", "y"]
 
 
@@ -184,10 +187,10 @@ def test_retention_by_layer_and_share(spark):
     root = scratch_path(spark, "test_ret")
     df = spark.createDataFrame([("g", 1)], "genre string, n int")
     t0 = dt.datetime(2024, 1, 1)
-    G.write_snapshot(df, root, now=t0)
+    first = G.write_snapshot(df, root, now=t0)
     G.write_snapshot(df, root, now=t0 + dt.timedelta(days=1))
     out = G.apply_retention(spark, {"gold_mart": ("gold", root)}, now=t0 + dt.timedelta(days=9))
-    assert out == {"gold_mart": [0]}
+    assert out == {"gold_mart": [first]}
 
 
 def test_share_is_built_as_an_aggregate(spark):
