@@ -293,6 +293,17 @@ def q_layer_quality(i: Inputs) -> DataFrame:
                                  ("gold_candidates", i.candidates)])
 
 
+@register("layer_quality_files", GOLD)
+def q_layer_quality_files(i: Inputs) -> DataFrame:
+    """The same of the written tables, from their footers."""
+    from ..session import scratch_path
+    paths = []
+    for name, df in (("bronze_books", i.raw_items), ("silver_books", i.silver_items), ("gold_candidates", i.candidates)):
+        paths.append((name, scratch_path(i.spark, "layers", name)))
+        df.write.parquet(paths[-1][1])
+    return report.layer_quality_of_files(i.spark, paths)
+
+
 # --- F: scalar functions -----------------------------------------------------
 
 @register("hashed_users")

@@ -595,3 +595,4 @@ SQL["incremental_metrics"] = SQL["review_metrics"]
 SQL["incremental_tests"] = "SELECT * FROM (" + " UNION ALL ".join(
     f"SELECT * FROM ({SQL[k]})" for k in ("dq_not_null", "dq_unique", "dq_accepted_values", "dq_relationships")
 ) + ") WHERE model NOT LIKE 'mart_%'"
+SQL["layer_quality_files"] = SQL["layer_quality"]

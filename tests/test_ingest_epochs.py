@@ -220,3 +220,15 @@ def test_readers_take_the_schema_from_load_records(spark, tmp_path):
     assert rows[1].later is None and rows[1].p.asDict() == {"x": 1, "y": None}
     assert rows[2].later == [1] and rows[2].p.asDict() == {"x": None, "y": "t"}
     assert {r["_epoch"] for r in rows.values()} == {0, 1}
+
+
+def test_rejected_lines_stop_a_gated_run(spark, raw_catalogue, tmp_path):
+    from lectern.operators import quality
+    from lectern.plans import layers as L
+    fine = [t for t in quality.declared_tests() if t.model != "stg_reviews" and not t.model.startswith("bronze")]
+    strict = L.Layout(str(raw_catalogue), str(tmp_path / "lake"), exclude=jsonl.SAMPLE_SUFFIX, max_rejected=0.01)
+    with pytest.raises(quality.DataTestError, match="books: 1 of 14 lines"):
+        L.run_all(spark, strict, tests=fine)
+    assert not Path(strict.silver("stg_books")).exists()
+    lenient = L.Layout(str(raw_catalogue), str(tmp_path / "lake2"), exclude=jsonl.SAMPLE_SUFFIX, max_rejected=0.5)
+    assert L.run_all(spark, lenient, tests=fine).rejected == []

@@ -37,3 +37,15 @@ def test_the_genre_mart_is_one_pass_over_the_enriched_items(spark):
     for name in ("genre_performance", "legacy_genre_summary", "genre_strategy"):
         df = QUERIES[name](spark, SF_SMALL)
         assert scans(df, "lineitem") <= scans(once, "lineitem"), name
+
+
+def test_layer_counts_come_from_footers(spark, tmp_path):
+    from lectern.operators import report
+    rows = spark.range(1000).selectExpr("if(id % 10 = 0, null, cast(id AS string)) AS book_id", "id AS x")
+    rows.write.parquet(str(tmp_path / "a"))
+    rows.limit(0).write.parquet(str(tmp_path / "b"))
+    df = report.layer_quality_of_files(spark, [("a", str(tmp_path / "a")), ("b", str(tmp_path / "b"))])
+    plan = report.footer_counts(spark, str(tmp_path / "a"), "book_id")._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [COUNT(*), COUNT(book_id)]" in plan
+    assert {tuple(r) for r in df.collect()} == {("a", 1000, 100), ("b", 0, 0)}
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"      # the caller's session is as it was
