@@ -72,6 +72,62 @@ def test_labelled_sample_may_be_given(spark, rng):
     assert not any(r["spans"] for r in untaught.collect())
 
 
+IDENTIFIERS = ["HTTP_STATUS_INTERNAL_SERVER_ERROR", "2024-01-15-backup-production-server", "com/example/project/src/main/java/org",
+               "get_user_account_by_identifier", "ApplicationContextFactoryBuilder", "my-very-long-kebab-case-name",
+               "articles/2021-07-03/the-history-of-tea", "MAX_CONNECTION_TIMEOUT_SECONDS", "internationalization", "test_empty_table_and_null_rows",
+               "UserAuthenticationServiceImpl", "lib/python/site-packages/numpy/core"]
+
+
+def test_keys_inside_longer_runs(spark, rng):
+    """Keys joined to an AKIA key or inside a path are found, within two characters; identifiers aren't."""
+    docs = documents(spark, "/root/testdata/sf0.01").select("doc_id", "text")
+    known = [(5000 + i, f"password={draw(rng, 20)} x AKIA{draw(rng, 16, ALNUM[26:])}") for i in range(60)]
+    joined = {10_000 + i: draw(rng, 24) for i in range(50)}
+    paths = {20_000 + i: draw(rng, 24) for i in range(50)}
+    rows = ([(i, f"see AKIA{draw(rng, 16, 'ABCDEFGHXYZ0123456789')}-{k} there") for i, k in joined.items()]
+            + [(i, f"get https://example.com/articles/about/{k}/index now") for i, k in paths.items()]
+            + [(30_000 + i, f"the {name} here") for i, name in enumerate(IDENTIFIERS)])
+    df = docs.union(spark.createDataFrame(known + rows, docs.schema))
+    texts = dict(rows)
+    found = {r["doc_id"]: [(s["start"], s["end"]) for s in r["spans"] if s["kind"] == 3]
+             for r in S.find_secrets(df).filter("doc_id >= 10000").collect()}
+    for keys, least in ((joined, 50), (paths, 48)):
+        hits = 0
+        for i, key in keys.items():
+            at = texts[i].index(key)
+            hits += any(abs(a - at) <= 2 and abs(b - at - len(key)) <= 2 for a, b in found[i])
+        assert hits >= least, hits
+    flagged = [IDENTIFIERS[i - 30_000] for i, spans in found.items() if i >= 30_000 and spans]
+    assert len(flagged) <= 1, flagged
+
+
+def test_best_stretch_equals_brute_force(spark, rng):
+    ratio = [rng.uniform(-1, 1) for _ in range(S.WIDTH ** 2)]
+    values = ["".join(rng.choices(S.ALPHABET, k=rng.randint(2, 40))) for _ in range(60)] + ["aé", "ab"]
+    df = spark.createDataFrame([(v,) for v in values], "v string").select("v", S.best_stretch(F.col("v"), ratio).alias("b"))
+    for r in df.collect():
+        c = [S.ALPHABET.find(x) + 1 for x in r["v"]]
+        t = [ratio[a * S.WIDTH + b] for a, b in zip(c, c[1:])]
+        best = max(sum(t[i:j + 1]) for i in range(len(t)) for j in range(i, len(t)))
+        assert abs(r["b"]["score"] - best) < 1e-9
+        assert abs(sum(t[r["b"]["first"]:r["b"]["last"] + 1]) - best) < 1e-9
+
+
+def test_candidates_are_what_base_spans_leave(spark, rng):
+    rows = [(i, "".join(rng.choice(["token=", draw(rng, 20), "AKIA" + draw(rng, 16, "ABC123"), "-", " ", draw(rng, 40, "0123456789abcdef")])
+                        for _ in range(8))) for i in range(80)]
+    got = S.scan(spark.createDataFrame(rows, "doc_id long, text string"), "text").select("doc_id", "__cand").collect()
+    for r in got:
+        text = dict(rows)[r["doc_id"]]
+        taken = {i for a, _, b in brute(text) for i in range(a, b)}
+        want = []
+        for m in re.finditer(S.CANDIDATE, text):
+            free = "".join("." if i in taken else text[i] for i in range(*m.span()))
+            want += [(m.start() + x.start(), m.start() + x.end()) for x in re.finditer(r"[^.]+", free) if len(x[0]) >= 16]
+        assert [(c["start"], c["end"]) for c in r["__cand"]] == want
+        assert all(c["value"] == text[c["start"]:c["end"]] for c in r["__cand"])
+
+
 def test_spelling_empty_table_and_no_python(spark):
     spans = F.array(*[F.struct(F.lit(k).alias("kind"), F.lit(5).alias("start"), F.lit(9).alias("end")) for k in (0, 3)])
     assert spark.range(1).select(S.spelled(spans)).first()[0] == "assign:5:9,random:5:9"
