@@ -24,6 +24,7 @@ def spark(tmp_path_factory):
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.checkpoint.dir", str(ckpt))
+         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     from lectern.session import ensure_checkpoint_dir
