@@ -52,7 +52,7 @@ class IngestSpec:
     rescue: bool = True                             # keep what the schema misses in _rescued
     # Bytes of lines (as shuffled) that one task parses and one Bronze file holds; None: no exchange, a task per
     # split of a file (for landing folders of large splittable files).
-    file_bytes: int | None = 128 << 20
+    file_bytes: int | None = 32 << 20
     # A file is new by its path, however old its time looks (the source forgets, and then ignores, older files).
     max_file_age: str = "36500d"
     # Table of erased subjects (``_erase_hash``) and the raw id column they are hashes of; ``subject_index`` keeps, per
