@@ -46,6 +46,8 @@ from pyspark.sql import functions as F
 #   date_added = l_shipdate as yyyy-MM-dd, text 'n/a' when l_suppkey % 11 = 0
 #   genre counts all NULL for parts with p_partkey % 7 = 0 (FIXTURES drops the
 #   row; all-NULL counts give the same shelf fallback); one column per c_mktsegment
+#: Order lines that one task of a shuffle by key is dealt, so that its sorts and hash maps keep their size as tables grow.
+LINES_PER_TASK = 500_000
 SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 BATCH = "star"
 
@@ -59,6 +61,18 @@ def _reader(spark: SparkSession, sf_dir: str, read=None):
     return read if read is not None else (lambda name: table(spark, sf_dir, name))
 
 
+def dealt(lines: DataFrame, *keys: str) -> DataFrame:
+    """``lines`` in as many partitions of ``keys`` as their count asks for; unchanged where the session's number is enough.
+
+    AQE merges partitions of a shuffle but never makes more, so with the session's number a task's memory would grow with
+    the table.  The count comes from the Parquet footers.
+    """
+    tasks = -(-lines.count() // LINES_PER_TASK)
+    if tasks <= int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        return lines
+    return lines.repartition(tasks, *keys)
+
+
 def _batch_ts() -> "F.Column":
     # Fixed stamp: the star tables are one bootstrap batch.
     return F.lit("2024-01-01 00:00:00").cast("timestamp")
@@ -68,7 +82,9 @@ def raw_items(spark: SparkSession, sf_dir: str, read=None) -> DataFrame:
     """All versions of all parts.  ``lineitem`` is added up once per part and supplier; both kinds of version use that."""
     read = _reader(spark, sf_dir, read)
     part = read("part").select("p_partkey", "p_name", "p_type", "p_size")
-    per_supplier = read("lineitem").groupBy("l_partkey", "l_suppkey").agg(
+    # Dealt by part, which the sums per supplier, those per part and the joins all go by; no part is without a key.
+    lines = dealt(read("lineitem").select("l_partkey", "l_suppkey", "l_quantity"), "l_partkey").filter("l_partkey IS NOT NULL")
+    per_supplier = lines.groupBy("l_partkey", "l_suppkey").agg(
         F.sum("l_quantity").alias("sum_q"), F.count(F.lit(1)).alias("n_lines"))
     old = per_supplier.select("l_partkey", F.struct(
         F.lit(False).alias("newest"), F.col("l_suppkey").alias("supp"), "sum_q", "n_lines").alias("v"))
@@ -110,6 +126,7 @@ def lines_with_orders(spark: SparkSession, sf_dir: str, read=None) -> DataFrame:
     """Order lines with their customer; reviews and genre counts are both made from it."""
     read = _reader(spark, sf_dir, read)
     lines, orders = read("lineitem").select(*LINE_COLUMNS), read("orders").select("o_orderkey", "o_custkey")
+    lines = dealt(lines, "l_orderkey")
     return lines.join(orders, lines.l_orderkey == orders.o_orderkey).drop("o_orderkey")
 
 
