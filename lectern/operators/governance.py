@@ -18,6 +18,8 @@ from ..functions import scalar as S
 
 # Retention per layer in days (bronze 90, silver 30, gold 7).
 RETENTION_DAYS = {"bronze": 90, "silver": 30, "gold": 7}
+#: Lists of at most so many hashes (64 bytes each) are sent to every task, so that the table they apply to isn't shuffled.
+BROADCAST = 10_000
 
 
 # --- G1 / G2 ----------------------------------------------------------------
@@ -36,6 +38,8 @@ def request_table(spark: SparkSession, hashes: Sequence[str | None] | DataFrame)
 
 def _by_request(df: DataFrame, hashes, id_col: str, salt: str | None, how: str) -> DataFrame:
     req = request_table(df.sparkSession, hashes)
+    if not isinstance(hashes, DataFrame) and len(hashes) <= BROADCAST:
+        req = F.broadcast(req)
     return (df.withColumn("_h", S.hash_id(id_col, salt))
             .join(req, F.col("_h") == F.col("_erase_hash"), how).drop("_h"))
 
@@ -50,8 +54,8 @@ def erase_subjects(df: DataFrame, hashes: Sequence[str | None] | DataFrame, id_c
                    salt: str | None = None) -> DataFrame:
     """Every row except the subjects' (rows with a NULL id are kept: they name nobody).
 
-    One path for any number of requests: an anti join with the request table, which AQE broadcasts when
-    its measured size is small.
+    One path for any number of requests: an anti join with the request table, which is broadcast when it is a short
+    list (AQE would see that only after both sides were shuffled).
     """
     return _by_request(df, hashes, id_col, salt, "left_anti")
 

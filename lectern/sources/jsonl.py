@@ -142,32 +142,49 @@ def missed(v: Column, typed: Column, dtype: T.DataType) -> Column:
 
     NULL where nothing is missed.  An array keeps its length, with nulls at the elements that conform.
     """
-    some = lambda x, keep: F.get(F.filter(F.array(x), keep), 0)  # noqa: E731  (x is computed once)
     other = F.when(~F.is_variant_null(v), v)
     if isinstance(dtype, T.StructType):
-        known = {f.name: f for f in dtype.fields}
-
-        def field(k: Column, x: Column) -> Column:
-            case = F.when(F.lit(False), x)
-            for name, f in known.items():
-                case = case.when(k == name, missed(x, typed.getField(name), f.dataType))
-            return case.otherwise(F.when(~F.is_variant_null(x), x))
-        m = v.try_cast("map<string,variant>")
-        rest = F.map_filter(F.transform_values(m, field), lambda k, x: x.isNotNull())
-        return F.when(m.isNull(), other).otherwise(F.to_variant_object(some(rest, lambda r: F.size(r) > 0)))
+        return _once(v.try_cast(_FIELDS), lambda m: F.when(m.isNull(), other).otherwise(_missed_fields(m, typed, dtype)))
     if isinstance(dtype, T.ArrayType):
-        a = v.try_cast("array<variant>")
-        rest = F.transform(a, lambda x, i: missed(x, F.get(typed, i), dtype.elementType))
-        return F.when(a.isNull(), other).otherwise(
-            F.to_variant_object(some(rest, lambda r: F.exists(r, lambda x: x.isNotNull()))))
+        def elements(a: Column) -> Column:
+            rest = F.transform(a, lambda x, i: missed(x, F.get(typed, i), dtype.elementType))
+            return F.when(a.isNull(), other).otherwise(
+                F.to_variant_object(_some(rest, lambda r: F.exists(r, lambda x: x.isNotNull()))))
+        return _once(v.try_cast("array<variant>"), elements)
     if isinstance(dtype, T.MapType):
-        m = v.try_cast("map<string,variant>")
-        rest = F.map_filter(F.transform_values(m, lambda k, x: missed(x, F.try_element_at(typed, k), dtype.valueType)),
-                            lambda k, x: x.isNotNull())
-        return F.when(m.isNull(), other).otherwise(F.to_variant_object(some(rest, lambda r: F.size(r) > 0)))
+        def values(m: Column) -> Column:
+            rest = F.map_filter(F.transform_values(m, lambda k, x: missed(x, F.try_element_at(typed, k), dtype.valueType)),
+                                lambda k, x: x.isNotNull())
+            return F.when(m.isNull(), other).otherwise(F.to_variant_object(_some(rest, lambda r: F.size(r) > 0)))
+        return _once(v.try_cast(_FIELDS), values)
     return F.when(typed.isNull(), other)
 
 
+#: A JSON object by its fields; NULL for any other value.
+_FIELDS = "map<string,variant>"
+
+
+def _once(x: Column, use) -> Column:
+    """``use(x)`` with ``x`` computed once, however often it is used."""
+    return F.get(F.transform(F.array(x), use), 0)
+
+
+def _some(x: Column, keep) -> Column:
+    """``x`` where ``keep(x)``, else NULL; ``x`` is computed once."""
+    return F.get(F.filter(F.array(x), keep), 0)
+
+
+def _missed_fields(m: Column, typed: Column, dtype: T.StructType) -> Column:
+    """``missed`` of an object that is there as a map of its fields."""
+    def field(k: Column, x: Column) -> Column:
+        case = F.when(F.lit(False), x)
+        for f in dtype.fields:
+            case = case.when(k == f.name, missed(x, typed.getField(f.name), f.dataType))
+        return case.otherwise(F.when(~F.is_variant_null(x), x))
+    rest = F.map_filter(F.transform_values(m, field), lambda k, x: x.isNotNull())
+    return F.to_variant_object(_some(rest, lambda r: F.size(r) > 0))
+
+
 def parse_lines(lines: DataFrame, schema: T.StructType, options: Mapping[str, str] | None = None,
                 rescue: bool = True) -> DataFrame:
     """Text lines (``value``, and ``_source_file`` or file metadata) → columns of ``schema``, PERMISSIVE.
@@ -185,11 +202,12 @@ def parse_lines(lines: DataFrame, schema: T.StructType, options: Mapping[str, st
     rescued = []
     if rescue:
         known = T.StructType([f for f in schema.fields if f.name != CORRUPT])
-        is_object = F.schema_of_variant("_v").startswith("OBJECT")
-        # A line that isn't an object is corrupt; one that only JSON with repeated names explains is kept as text.
-        rescued = [F.when(is_object, missed(F.col("_v"), F.col("_parsed"), known))
-                   .when(F.col("_v").isNull() & F.col(f"_parsed.{CORRUPT}").isNull(), F.col("_line").cast("variant"))
-                   .alias(RESCUED)]
+
+        def beyond(m: Column) -> Column:
+            # A line that isn't an object is corrupt; one that only JSON with repeated names explains is kept as text.
+            return (F.when(m.isNotNull(), _missed_fields(m, F.col("_parsed"), known))
+                    .when(F.col("_v").isNull() & F.col(f"_parsed.{CORRUPT}").isNull(), F.col("_line").cast("variant")))
+        rescued = [_once(F.col("_v").try_cast(_FIELDS), beyond).alias(RESCUED)]
     return rows.select("_parsed.*", *rescued, ROW_HASH, "_source_file")
 
 
