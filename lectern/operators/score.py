@@ -118,7 +118,10 @@ def with_ranks(df: DataFrame, score: str, groups: Sequence[str] = (),
                rank_col: str = "rank", global_rank_col: str | None = None) -> DataFrame:
     """Attach histogram ranks to every row (equi-join on groups + score).
 
-    No side is forced to be broadcast: AQE does so where a histogram's measured size allows.
+    No side is forced to be broadcast: AQE does so where a histogram's measured size allows.  Every row has its rank in
+    the histogram, so the left join keeps the same rows as an inner one, but never broadcasts the rows: their size on disk
+    may be estimated under the threshold while they are hundreds of MB in memory, and the join would run in the few tasks
+    of the histogram.
     """
     keys = [*groups, score]
     table = rank_table(df, score, groups, rank_col, global_rank_col)
@@ -126,7 +129,7 @@ def with_ranks(df: DataFrame, score: str, groups: Sequence[str] = (),
                          *[c for c in table.columns if c not in keys])
     # Null-safe on every key: a NULL group is its own partition, as in SQL RANK.
     cond = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
-    return df.join(table, cond).drop(*[f"_r_{k}" for k in keys])
+    return df.join(table, cond, "left").drop(*[f"_r_{k}" for k in keys])
 
 
 def global_rank(df: DataFrame, score: str = "weighted_score",

@@ -265,6 +265,18 @@ def test_sentiment_shares_sum_to_100(spark, reviews):
         assert abs(total - 100) <= 0.02
 
 
+def test_ranked_rows_are_never_the_broadcast_side(spark):
+    """Files of few MB may be hundreds in memory; joined from the other side, all rows came out of the histogram's tasks."""
+    path = scratch_path(spark, "ranked_rows")
+    rows = [(i, "ab"[i % 2], None if i % 50 == 0 else float(i % 40)) for i in range(400)]
+    spark.createDataFrame(rows, "id long, g string, s double").repartition(4).write.parquet(path)
+    df = spark.read.parquet(path)
+    ranked = score.with_ranks(df, "s", ["g"], "r", "all_r")
+    assert "BuildLeft" not in ranked._jdf.queryExecution().executedPlan().toString()
+    want = score.rank_window(score.rank_window(df, "s", "g", "r"), "s", None, "all_r")
+    assert sorted(map(repr, ranked.collect())) == sorted(map(repr, want.collect()))
+
+
 def test_null_group_is_ranked(spark):
     df = spark.createDataFrame([("1", None, 0.5), ("2", None, 0.7), ("3", "g", 0.6)],
                                "id string, g string, s double")
