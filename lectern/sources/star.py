@@ -61,13 +61,13 @@ def _reader(spark: SparkSession, sf_dir: str, read=None):
     return read if read is not None else (lambda name: table(spark, sf_dir, name))
 
 
-def dealt(lines: DataFrame, *keys: str) -> DataFrame:
+def dealt(lines: DataFrame, *keys: str, counted: DataFrame | None = None) -> DataFrame:
     """``lines`` in as many partitions of ``keys`` as their count asks for; unchanged where the session's number is enough.
 
     AQE merges partitions of a shuffle but never makes more, so with the session's number a task's memory would grow with
-    the table.  The count comes from the Parquet footers.
+    the table.  The count comes from the Parquet footers; for lines that are joined already, from the table ``counted``.
     """
-    tasks = -(-lines.count() // LINES_PER_TASK)
+    tasks = -(-(lines if counted is None else counted).count() // LINES_PER_TASK)
     if tasks <= int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions")):
         return lines
     return lines.repartition(tasks, *keys)
@@ -165,6 +165,8 @@ def raw_genres(spark: SparkSession, sf_dir: str, read=None, lines: DataFrame | N
     read = _reader(spark, sf_dir, read)
     cust = read("customer").select("c_custkey", "c_mktsegment")
     lines = lines if lines is not None else lines_with_orders(spark, sf_dir, read)
+    # Dealt by customer too: where customers are too many to broadcast, both sides of this join are sorted.
+    lines = dealt(lines.select("l_partkey", "o_custkey"), "o_custkey", counted=read("lineitem"))
     seg = lines.join(cust, lines.o_custkey == cust.c_custkey)
     counts = seg.groupBy("l_partkey").agg(*[
         F.count_if(F.col("c_mktsegment") == s).alias(f"n_{s.lower()}") for s in SEGMENTS])

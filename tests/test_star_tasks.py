@@ -46,3 +46,17 @@ def test_more_lines_are_dealt_to_more_tasks(spark, tables, monkeypatch, build):
 def test_few_lines_keep_the_sessions_number(spark, tables):
     lines = star.table(spark, tables, "lineitem")
     assert star.dealt(lines, "l_partkey") is lines
+
+
+def test_lines_are_dealt_by_customer_too(spark, tables, monkeypatch):
+    before = sorted(map(repr, star.raw_genres(spark, tables).collect()))
+    monkeypatch.setattr(star, "LINES_PER_TASK", 30)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # as with many customers
+    try:
+        genres = star.raw_genres(spark, tables)
+        numbers = [line for line in _plan(genres).splitlines() if "hashpartitioning(o_custkey#" in line]
+        after = sorted(map(repr, genres.collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert numbers and all(", 30)" in line for line in numbers)
+    assert after == before and before
