@@ -1,10 +1,12 @@
 """Op 13. Collocations: phrases whose words occur together far more often than apart.
 
-Counting is by HAT-trie.  A task numbers the words it meets; a trie that is shallow in word ids has hash containers
-of suffixes as leaves, and a container that outgrows its limit bursts into one child per next word.  When a trie
-holds too much, its largest subtrees leave it whole, as runs sorted by phrase.  Runs are cut by prefix
+Counting is by a trie in arrays.  A task numbers the words it meets; a trie's containers hold the suffixes of a first
+word in order, side by side, and phrases that are met wait beside them until one sort takes them in.  When the tries
+hold too much, their largest subtrees leave them whole, as runs sorted by phrase.  Runs are cut by prefix
 partition (the first words of a phrase) and into blocks; Spark's external sort brings the blocks of a partition in
-order of their first phrase, and a phrase is final as soon as a block starts behind it.
+order of their first phrase, and a phrase is final as soon as a block starts behind it.  Final counts are summed by a
+hash of the phrase first; only phrases whose hash is frequent enough are told apart.  What isn't final is summed again only
+after it has doubled.
 
 Phrases of k words are counted after those of k - 1 words: a phrase can be frequent only if both its parts of k - 1
 words are.  Which those are is known from a bit set of fixed size; a bit that is set wrongly costs a count that
@@ -28,20 +30,23 @@ from pyspark.sql import functions as F
 from .common import Scratch, release_memory, sliced, text_buffer
 
 LONGEST = 3
-#: Entries of a container before it bursts, and of a task's tries before subtrees are spilled.
-BURST, ENTRIES = 4096, 1_000_000
+#: Phrases that wait beside a trie's containers at least, and entries of a task's tries before subtrees are spilled.
+BURST, ENTRIES = 4096, 2_000_000
 #: Words that a trie numbers before it is emptied and starts anew.
 NUMBERED = 400_000
 #: Phrases of a block of a run, and of blocks that are merged at once.
-BLOCK, MERGED = 8192, 400_000
+BLOCK, MERGED = 8192, 1_000_000
 #: Bits of the set of frequent phrases: 4 MB, whatever the input.
 BITS = 1 << 25
-SLICE = 4 << 20
+SLICE = 8 << 20
 #: Lower-case letters; blanks as 32; piece ends as 10.
 PIECES = np.arange(256, dtype=np.uint8)
 PIECES[65:91] += 32
 PIECES[9] = 32
 PIECES[[ord(c) for c in ".,;:!?\n\x0b\x0c\r"]] = 10
+#: Bytes of the longest word that is hashed in steps of 8; masks of so many first bytes of 8.
+LONG_WORD = 64
+FIRST_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 
 # --- text ------------------------------------------------------------------------
@@ -50,21 +55,56 @@ def split_pieces(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """All words, and for each the number of its piece (words of one piece are neighbours)."""
     data, ends = text_buffer(texts)
     sizes = np.diff(ends)
-    whole = np.full(len(data) + len(sizes), 10, np.uint8)     # every text ends with a piece end
-    whole[np.arange(len(data)) + np.repeat(np.arange(len(sizes)), sizes)] = PIECES[data]
-    inside = (whole != 32) & (whole != 10)
-    edge = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+    text = np.ones(len(data) + len(sizes), bool)
+    text[ends[1:] + np.arange(len(sizes))] = False
+    whole = np.full(len(text), 10, np.uint8)                  # every text ends with a piece end
+    whole[text] = PIECES[data]
+    inside = np.zeros(len(whole) + 2, bool)
+    inside[1:-1] = (whole != 32) & (whole != 10)
+    edge = np.flatnonzero(inside[1:] != inside[:-1])
+    inside = inside[1:-1]
     begin, end = edge[::2], edge[1::2]
     offsets = np.concatenate([[0], np.cumsum(end - begin)]).astype(np.int64)
     words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(begin),
                                              [None, pa.py_buffer(offsets), pa.py_buffer(whole[inside])])
-    return words, np.cumsum(whole == 10)[begin]
+    return words, np.searchsorted(np.flatnonzero(whole == 10), begin)
+
+
+def word_codes(words: pa.Array, seed: int) -> np.ndarray:
+    """A hash of each word: by 8 bytes at a time, or (longer words) by crc32."""
+    if not len(words):
+        return np.zeros(0, np.uint64)
+    ends = np.frombuffer(words.buffers()[1], np.int64)[words.offset:words.offset + len(words) + 1]
+    data = np.zeros(int(ends[-1] - ends[0]) + 8, np.uint8)
+    data[:-8] = np.frombuffer(words.buffers()[2], np.uint8)[ends[0]:ends[-1]]
+    begin, size = ends[:-1] - ends[0], np.diff(ends)
+    eights = np.lib.stride_tricks.as_strided(data, (len(data) - 7, 8), (1, 1), writeable=False)
+
+    def step(h: np.ndarray, more: np.ndarray) -> np.ndarray:
+        h = (h ^ more) * np.uint64(0x9E3779B97F4A7C15)
+        return h ^ h >> np.uint64(29)
+
+    codes = step(np.full(len(words), seed, np.uint64), size.astype(np.uint64))
+    left = np.flatnonzero(size <= LONG_WORD)
+    for at in range(0, LONG_WORD, 8):
+        left = left[size[left] > at]
+        if not len(left):
+            break
+        eight = eights[begin[left] + at].view("<u8").ravel() & FIRST_BYTES[np.minimum(size[left] - at, 8)]
+        codes[left] = step(codes[left], eight)
+    for i in np.flatnonzero(size > LONG_WORD).tolist():
+        codes[i] = step(codes[i:i + 1], np.array([zlib.crc32(data[begin[i]:begin[i] + size[i]], seed)], np.uint64))[0]
+    return step(codes, codes >> np.uint64(32))
 
 
 # --- trie ------------------------------------------------------------------------
 
 class HatTrie:
-    """Counts of phrases of ``width`` words of one language."""
+    """Counts of phrases of ``width`` words of one language.
+
+    The containers of suffixes lie side by side in arrays, ordered by first word and suffix.  Phrases that are added wait
+    beside them; when more wait than a container may hold and than are held, one sort takes them all in.
+    """
 
     def __init__(self, lang: str, width: int):
         self.lang, self.width = lang, width
@@ -72,25 +112,25 @@ class HatTrie:
         self.clear()
 
     def clear(self) -> None:
-        self.ids: dict[bytes, int] = {}
-        self.names: list[bytes] = []
-        self.codes: list[int] = []            # crc32 of each word
-        self.root: dict[int, dict] = {}       # first word -> container, or (burst) second word -> container
-        self.burst: set[int] = set()
-        self.sizes: dict[int, int] = {}       # entries of each subtree
+        self.names = pa.array([], pa.large_binary())
+        self.codes = np.zeros(0, np.uint64)   # a hash of each word
+        self.held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []    # first words, other words, counts
+        self.settled = 0                      # of the entries, those in order
         self.leaves = np.zeros(0, np.int64)   # phrases of one word: a leaf is a count beside the word
         self.entries = 0
 
     def number(self, words: list[bytes]) -> np.ndarray:
-        ids, names, codes = self.ids, self.names, self.codes
-        found = np.empty(len(words), np.int64)
-        for i, w in enumerate(words):
-            k = ids.get(w)
-            if k is None:
-                k = ids[w] = len(names)
-                names.append(w)
-                codes.append(zlib.crc32(w, self.seed))
-            found[i] = k
+        coded = pa.array(words, pa.large_binary()).dictionary_encode()
+        return self.number_distinct(coded.dictionary)[coded.indices.to_numpy()]
+
+    def number_distinct(self, words: pa.Array) -> np.ndarray:
+        at = pc.index_in(words, value_set=self.names)
+        found, new = at.fill_null(0).to_numpy().astype(np.int64), at.is_null().to_numpy(zero_copy_only=False)
+        if new.any():
+            fresh = words.filter(pa.array(new))
+            found[new] = len(self.names) + np.arange(len(fresh))
+            self.names = pa.concat_arrays([self.names, fresh])
+            self.codes = np.append(self.codes, word_codes(fresh, self.seed))
         return found
 
     def add(self, first: np.ndarray, rest: np.ndarray, counts: np.ndarray) -> None:
@@ -102,34 +142,21 @@ class HatTrie:
             self.leaves[first] += counts
             self.entries = len(self.names)
             return
-        cuts = np.flatnonzero(np.diff(first)) + 1
-        heads, rests, times = first[np.concatenate([[0], cuts])].tolist(), rest.tolist(), counts.tolist()
-        bounds = [0, *cuts.tolist(), len(first)]
-        root, burst, sizes = self.root, self.burst, self.sizes
-        for head, a, b in zip(heads, bounds, bounds[1:]):
-            node = root.setdefault(head, {})
-            grown = 0
-            if head in burst:
-                for r, c in zip(rests[a:b], times[a:b]):
-                    leaf = node.setdefault(r >> 32, {})
-                    if r in leaf:
-                        leaf[r] += c
-                    else:
-                        leaf[r] = c
-                        grown += 1
-            else:
-                before = len(node)
-                for r, c in zip(rests[a:b], times[a:b]):
-                    node[r] = node.get(r, 0) + c
-                grown = len(node) - before
-                if self.width > 2 and len(node) > BURST:
-                    children: dict[int, dict] = {}
-                    for r, c in node.items():
-                        children.setdefault(r >> 32, {})[r] = c
-                    root[head] = children
-                    burst.add(head)
-            sizes[head] = sizes.get(head, 0) + grown
-            self.entries += grown
+        self.held.append((first, rest, counts))
+        self.entries += len(first)
+        if self.entries - self.settled > max(BURST, self.settled):
+            self.settle()
+
+    def settle(self) -> None:
+        """Take the phrases that wait into the containers."""
+        if self.settled == self.entries or self.width == 1:
+            return
+        first, rest, counts = (np.concatenate(x) for x in zip(*self.held))
+        order = np.argsort(first << 32 | rest, kind="stable") if self.width == 2 else np.lexsort((rest, first))
+        first, rest, counts = first[order], rest[order], counts[order]
+        begins = np.flatnonzero(np.append(True, (first[1:] != first[:-1]) | (rest[1:] != rest[:-1])))
+        self.held = [(first[begins], rest[begins], np.add.reduceat(counts, begins))]
+        self.entries = self.settled = len(begins)
 
     def spill(self, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Take out whole subtrees, the largest first, until at most ``least`` entries stay."""
@@ -137,27 +164,50 @@ class HatTrie:
             first = np.flatnonzero(self.leaves)
             counts, self.leaves, self.entries = self.leaves[first], np.zeros(len(self.leaves), np.int64), 0
             return first, np.zeros(len(first), np.int64), counts
-        heads, rests, counts = [], [], []
-        for head in sorted(self.sizes, key=self.sizes.get, reverse=True) if least else list(self.sizes):
-            if self.entries <= least:
-                break
-            node = self.root.pop(head)
-            leaves = list(node.values()) if head in self.burst else [node]
-            for leaf in leaves:
-                rests.extend(leaf.keys())
-                counts.extend(leaf.values())
-            heads.append((head, self.sizes[head]))
-            self.entries -= self.sizes.pop(head)
-            self.burst.discard(head)
-        first = np.repeat(np.array([h for h, _ in heads], np.int64), np.array([n for _, n in heads], np.int64))
-        return first, np.array(rests, np.int64), np.array(counts, np.int64)
+        self.settle()
+        if self.entries <= least:
+            return (np.zeros(0, np.int64),) * 3
+        first, rest, counts = self.held[0]
+        sizes = np.diff(np.concatenate([[0], np.flatnonzero(np.diff(first)) + 1, [len(first)]]))
+        largest = np.argsort(-sizes, kind="stable")
+        out = np.zeros(len(sizes), bool)
+        out[largest[:np.searchsorted(np.cumsum(sizes[largest]), self.entries - least) + 1]] = True
+        out = np.repeat(out, sizes)
+        self.held = [(first[~out], rest[~out], counts[~out])]
+        self.entries = self.settled = len(self.held[0][0])
+        return first[out], rest[out], counts[out]
+
+    def ids(self, first: np.ndarray, rest: np.ndarray) -> list[np.ndarray]:
+        """Word ids by place."""
+        return [first, rest >> 32, rest & 0xFFFFFFFF] if self.width == 3 else [first, rest][:self.width]
 
     def phrases(self, first: np.ndarray, rest: np.ndarray) -> tuple[list[np.ndarray], pa.Array]:
         """Word ids by place, and the phrases as bytes."""
-        ids = [first, rest >> 32, rest & 0xFFFFFFFF] if self.width == 3 else [first, rest][:self.width]
-        names = pa.array(self.names, pa.large_binary())
-        words = [names.take(pa.array(i)) for i in ids]
-        return ids, words[0] if self.width == 1 else pc.binary_join_element_wise(*words, pa.scalar(b" ", pa.large_binary()))
+        ids = self.ids(first, rest)
+        return ids, _joined([self.names] * self.width, ids)
+
+    def order(self, ids: list[np.ndarray]) -> np.ndarray:
+        """Places of phrases in order of their bytes: ranks of words, all but the last with the blank that follows."""
+        ranks = []
+        for names in [_with_end(self.names, b" ")] * (self.width - 1) + [self.names]:
+            if not ranks or names is self.names:
+                rank = np.empty(len(names), np.int64)
+                rank[pc.sort_indices(names).to_numpy()] = np.arange(len(names))
+            ranks.append(rank)
+        keys = [rank[i] for rank, i in zip(ranks, ids)]
+        if len(keys) > 1:
+            keys[-2:] = [keys[-2] << 32 | keys[-1]]
+        return np.lexsort(keys[::-1]) if len(keys) > 1 else np.argsort(keys[0], kind="stable")
+
+
+def _with_end(names: pa.Array, end: bytes) -> pa.Array:
+    empty = pa.scalar(b"", pa.large_binary())
+    return pc.binary_join_element_wise(names, empty, pa.scalar(end, pa.large_binary()))
+
+
+def _joined(names: list[pa.Array], ids: list[np.ndarray]) -> pa.Array:
+    words = [n.take(pa.array(i)) for n, i in zip(names, ids)]
+    return words[0] if len(words) == 1 else pc.binary_join_element_wise(*words, pa.scalar(b" ", pa.large_binary()))
 
 
 def mixed(codes: np.ndarray, ids: list[np.ndarray]) -> np.ndarray:
@@ -171,7 +221,7 @@ def mixed(codes: np.ndarray, ids: list[np.ndarray]) -> np.ndarray:
 def phrase_hashes(lang: str, phrases: list[bytes]) -> np.ndarray:
     """``mixed`` of phrases of equally many words."""
     seed, width = zlib.crc32(lang.encode()), phrases[0].count(b" ") + 1 if phrases else 1
-    codes = np.array([zlib.crc32(w, seed) for p in phrases for w in p.split(b" ")], np.uint64)
+    codes = word_codes(pa.array([w for p in phrases for w in p.split(b" ")], pa.large_binary()), seed)
     return mixed(codes, [np.arange(k, len(codes), width) for k in range(width)])
 
 
@@ -185,16 +235,15 @@ def _blocks(trie: HatTrie, least: int, parts: int, hot: np.ndarray) -> Iterator[
     first, rest, counts = trie.spill(least)
     if not len(first):
         return
-    ids, phrases = trie.phrases(first, rest)
-    codes = np.array(trie.codes, np.uint64)
+    ids, codes = trie.ids(first, rest), trie.codes
     prefix = mixed(codes, ids[:2])
     if trie.width > 2 and len(hot):
         prefix = np.where(np.isin(prefix, hot), mixed(codes, ids), prefix)
     part = (prefix % np.uint64(parts)).astype(np.int32)
-    order = pc.sort_indices(phrases).to_numpy().astype(np.int64)
-    order = order[np.argsort(part[order], kind="stable")]
-    phrases, counts, part = phrases.take(pa.array(order)), counts[order].astype("<i8"), part[order]
-    lines = pc.binary_join_element_wise(phrases, pa.scalar(b"", pa.large_binary()), pa.scalar(b"\n", pa.large_binary()))
+    order = trie.order(ids)
+    order = order[np.argsort(part[order].astype(np.uint16) if parts <= 1 << 16 else part[order], kind="stable")]
+    counts, part = counts[order].astype("<i8"), part[order]
+    lines = _joined([trie.names] * (trie.width - 1) + [_with_end(trie.names, b"\n")], [i[order] for i in ids])
     at = np.frombuffer(lines.buffers()[1], np.int64)[lines.offset:lines.offset + len(lines) + 1]
     raw = memoryview(lines.buffers()[2])
     cuts = np.flatnonzero(np.diff(part)) + 1
@@ -204,11 +253,11 @@ def _blocks(trie: HatTrie, least: int, parts: int, hot: np.ndarray) -> Iterator[
     pack = zstandard.ZstdCompressor(level=1)
     blocks = [pack.compress(struct.pack("<Q", b - a) + counts[a:b].tobytes() + bytes(raw[at[a]:at[b]]))
               for a, b in zip(begins.tolist(), stops.tolist())]
-    take = pa.array(begins)
+    heads = [bytes(raw[at[a]:at[a + 1] - 1]) for a in begins.tolist()]
     for a in range(0, len(blocks), 1000):
         n = len(blocks[a:a + 1000])
         yield pa.RecordBatch.from_arrays(
-            [pa.array([trie.lang] * n), pa.array(part[begins[a:a + n]]), phrases.take(take[a:a + n]).cast(pa.binary()),
+            [pa.array([trie.lang] * n), pa.array(part[begins[a:a + n]]), pa.array(heads[a:a + n], pa.binary()),
              pa.array(blocks[a:a + n], pa.binary())], ["lang", "part", "first", "block"])
 
 
@@ -226,20 +275,20 @@ def open_block(block: bytes) -> tuple[pa.Array, np.ndarray]:
 
 def grams(words: pa.Array, piece: np.ndarray, trie: HatTrie, frequent: np.ndarray | None) -> tuple:
     """Distinct phrases of ``trie.width`` words whose shorter parts may be frequent: first word, other words, count."""
-    coded = words.dictionary_encode()
-    index, distinct = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
     if trie.width == 1:
-        return trie.number(distinct), np.zeros(0, np.int64), np.bincount(index, minlength=len(distinct))
+        coded = words.dictionary_encode()
+        return (trie.number_distinct(coded.dictionary), np.zeros(0, np.int64),
+                np.bincount(coded.indices.to_numpy(), minlength=len(coded.dictionary)))
 
     def bit(h: np.ndarray) -> np.ndarray:
         at = h % np.uint64(BITS)
         return (frequent[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
 
-    seed = trie.seed
-    known = bit(mixed(np.array([zlib.crc32(w, seed) for w in distinct], np.uint64), [np.arange(len(distinct))]))
-    ids = np.zeros(len(distinct), np.int64)
-    ids[known] = trie.number([distinct[i] for i in np.flatnonzero(known).tolist()])
-    codes, ok, word = np.array(trie.codes, np.uint64), known[index], ids[index]
+    ok = bit(mixed(word_codes(words, trie.seed), [np.arange(len(words))]))
+    coded = words.filter(pa.array(ok)).dictionary_encode()
+    word = np.zeros(len(words), np.int64)
+    word[ok] = trie.number_distinct(coded.dictionary)[coded.indices.to_numpy()]
+    codes = trie.codes
     pair = np.flatnonzero((piece[1:] == piece[:-1]) & ok[1:] & ok[:-1])
     two = word[pair] << 32 | word[pair + 1]
     if trie.width == 2:
@@ -268,7 +317,10 @@ def _count(text_col: str, lang_col: str, width: int, parts: int, sets, entries:
                     trie.clear()
                 elif sum(t.entries for t in tries.values()) > entries:
                     for t in tries.values():
-                        yield from _blocks(t, t.entries // 2, parts, hot)
+                        t.settle()
+                    if sum(t.entries for t in tries.values()) > entries // 2:
+                        for t in tries.values():
+                            yield from _blocks(t, t.entries // 2, parts, hot)
         for trie in tries.values():
             yield from _blocks(trie, 0, parts, hot)
         release_memory()
@@ -280,28 +332,46 @@ def _count(text_col: str, lang_col: str, width: int, parts: int, sets, entries:
 COUNTS = "lang string, phrase string, f long, h long"
 
 
+def _summed(phrases: pa.Array, counts: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """Distinct phrases and the sums of their counts."""
+    table = pa.table({"p": phrases, "n": counts}).group_by("p", use_threads=False).aggregate([("n", "sum")]).combine_chunks()
+    return pa.concat_arrays(table["p"].chunks or [phrases]), table["n_sum"].to_numpy()
+
+
+def _often(phrases: pa.Array, counts: np.ndarray, least: int) -> np.ndarray:
+    """Which phrases may occur ``least`` times: those whose hash does (no others can, and telling hashes is cheaper)."""
+    codes = word_codes(phrases, 0)
+    order = np.argsort(codes)
+    begins = np.flatnonzero(np.append(True, np.diff(codes[order]) != 0)[:len(codes)])
+    some = np.zeros(len(codes), bool)
+    if len(begins):
+        some[order] = np.repeat(np.add.reduceat(counts[order], begins) >= least, np.diff(np.append(begins, len(codes))))
+    return some
+
+
 def _merge(least: int):
     """Sum the runs; rows come by partition, in order of each block's first phrase.
 
     Gives the phrases counted ``least`` times, and per partition one row without phrase: the sum of all counts.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, key, total = [], 0, None, 0
+        held, size, most, key, total = [], 0, MERGED, None, 0
 
         def settle(before):
             """Rows of all phrases that come before ``before`` (None: of all); the others are held on."""
-            nonlocal held, size, total
-            table = pa.table({"p": pa.chunked_array([p for p, _ in held], pa.large_binary()),
-                              "n": pa.chunked_array([pa.array(n) for _, n in held], pa.int64())})
-            table = table.group_by("p", use_threads=False).aggregate([("n", "sum")]).combine_chunks()
-            phrases, counts = table["p"].combine_chunks(), table["n_sum"].to_numpy()
-            if before is None:
-                held, size, final = [], 0, np.ones(len(counts), bool)
-            else:
+            nonlocal held, size, most, total
+            phrases, counts = pa.concat_arrays([p for p, _ in held]), np.concatenate([n for _, n in held])
+            held, size = [], 0
+            if before is not None:
                 final = pc.less(phrases, pa.scalar(before, pa.large_binary())).to_numpy(zero_copy_only=False)
-                held, size = [(phrases.filter(pa.array(~final)), counts[~final])], int((~final).sum())
-            total += int(counts[final].sum())
-            final &= counts >= least
+                held = [_summed(phrases.filter(pa.array(~final)), counts[~final])]
+                size = len(held[0][1])
+                phrases, counts = phrases.filter(pa.array(final)), counts[final]
+            most = max(MERGED, 2 * size)      # what stays isn't summed again before it has doubled
+            total += int(counts.sum())
+            some = _often(phrases, counts, least)
+            phrases, counts = _summed(phrases.filter(pa.array(some)), counts[some])
+            final = counts >= least
             return phrases.filter(pa.array(final)).to_pylist(), counts[final].tolist()
 
         def rows(found):
@@ -322,7 +392,7 @@ def _merge(least: int):
                         yield rows(settle(None))
                         yield sums()
                     key, total = (row["lang"], row["part"]), 0
-                elif size > MERGED:
+                elif size > most:
                     yield rows(settle(row["first"]))
                 phrases, counts = open_block(row["block"])
                 held.append((phrases, counts))

@@ -159,3 +159,33 @@ def test_hot_prefixes_are_dealt_by_whole_phrases():
     assert len(parts) == 16
     trie.add(np.zeros(500, np.int64), (np.int64(1) << 32) | ids[2:], np.ones(500, np.int64))
     assert len({r["part"] for b in P._blocks(trie, 0, 16, np.zeros(0, np.uint64)) for r in b.to_pylist()}) == 1
+
+
+def test_merge_sums_what_it_holds_only_after_it_doubled(monkeypatch):
+    """All blocks of all runs begin alike, so nothing is final before the last: rows looked at grow with rows, not their square."""
+    monkeypatch.setattr(P, "MERGED", 50)
+    looked, less = [], P.pc.less
+    monkeypatch.setattr(P.pc, "less", lambda a, b: looked.append(len(a)) or less(a, b))
+    rows = []
+    for k in range(100):
+        trie = P.HatTrie("en", 2)
+        for w in ["a", *[f"w{k}x{i}" for i in range(40)]]:
+            ids = trie.number([w.encode(), b"z"])
+            trie.add(ids[:1], ids[1:].copy(), np.array([1]))
+        rows += [r for b in P._blocks(trie, 0, 1, np.zeros(0, np.uint64)) for r in b.to_pylist()]
+    schema = pa.schema([("lang", pa.string()), ("part", pa.int32()), ("first", pa.binary()), ("block", pa.binary())])
+    found = [r for b in P._merge(2)(iter([pa.RecordBatch.from_pylist(rows, schema)])) for r in b.to_pylist()]
+    assert [(r["phrase"], r["f"]) for r in found] == [("a z", 100), (None, 4100)]
+    assert sum(looked) < 3 * 4100
+
+
+def test_phrases_are_ordered_by_their_bytes():
+    """Also where a word holds bytes below the blank, or is the start of another."""
+    trie = P.HatTrie("en", 3)
+    words = [b"a", b"a\x00", b"a\x01b", b"ab", "é".encode(), b"b" * 70, b"b" * 71]
+    ids = trie.number(words)
+    first, second, third = (x.ravel() for x in np.meshgrid(ids, ids, ids, indexing="ij"))
+    trie.add(first, second << 32 | third, np.ones(len(first), np.int64))
+    first, rest, _ = trie.spill(0)
+    found = trie.phrases(first, rest)[1].take(pa.array(trie.order(trie.ids(first, rest)))).to_pylist()
+    assert found == sorted(found) and len(found) == len(words) ** 3
