@@ -50,13 +50,16 @@ class Layout:
     """Folder layout of one deployment (all on shared storage).
 
     ``schemas``: fields per dataset (None: inferred); ``exclude``: file-name suffix that ingest leaves out;
-    ``max_rejected``: share of a file's lines that may be rejected before a gated run stops (None: any share).
+    ``max_rejected``: share of a file's lines that may be rejected before a gated run stops (None: any share);
+    ``file_bytes``, ``file_rows``: how lines are dealt to tasks and Bronze files (``IngestSpec``).
     """
     raw: str
     root: str
     schemas: dict = field(default_factory=lambda: dict(SCHEMAS))
     exclude: str | None = None
     max_rejected: float | None = None
+    file_bytes: int | None = IngestSpec.file_bytes
+    file_rows: int | None = None
 
     def bronze(self, name: str) -> str:
         return f"{self.root}/bronze/{name}"
@@ -90,6 +93,7 @@ def _spec(spark: SparkSession, layout: Layout, name: str) -> IngestSpec:
     fs, p = governance._fs(spark, layout.requests)
     return IngestSpec(name, f"{layout.raw}/{name}", layout.bronze(name), layout.checkpoint(name),
                       schema=layout.schemas.get(name), exclude=layout.exclude, subject_index=name == "reviews",
+                      file_bytes=layout.file_bytes, file_rows=layout.file_rows,
                       erase_requests=layout.requests if name == "reviews" and fs.exists(p) else None,
                       warn_below=jsonl.REVIEWS_WARN_BELOW if name == "reviews" else None)
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import governance
-from ..session import run_concurrently, scratch_path
+from ..session import lean_disk, run_concurrently, scratch_path
 from ..sources import jsonl, star
 from . import layers
 
@@ -26,6 +26,10 @@ RAW_GENRE_NAMES = {"automobile": "automobile, transport", "building": "building"
 SCHEMAS = {**layers.SCHEMAS, "genres": layers.genre_schema(list(RAW_GENRE_NAMES.values()))}
 
 
+#: How the erased lake's files are landed (lines of a file, gzip), and rows of its Bronze files.
+LANDED = {"compression": "gzip", "maxRecordsPerFile": 100_000}
+BRONZE_ROWS = 200_000
+
 #: Characters of a document that a landed review or description carries.
 TEXT_CHARS = 400
 
@@ -62,13 +66,22 @@ def land(spark: SparkSession, sf_dir: str, raw_root: str) -> dict[str, int]:
 
 def erased_lake(spark: SparkSession, items: DataFrame, reviews: DataFrame, genres: DataFrame, hashes: list,
                 cfg) -> layers.Layout:
-    """The whole catalogue landed and ingested, the landed reviews cleaned away, then the subjects erased."""
+    """The whole catalogue landed and ingested, the landed reviews cleaned away, then the subjects erased.
+
+    Landed files are gzip and of even size, so ingest parses them without the exchange of all lines.
+    """
+    with lean_disk(spark):
+        return _erased_lake(spark, items, reviews, genres, hashes, cfg)
+
+
+def _erased_lake(spark: SparkSession, items: DataFrame, reviews: DataFrame, genres: DataFrame, hashes: list,
+                 cfg) -> layers.Layout:
     root = scratch_path(spark, "erased_lake")
-    layout = layers.Layout(f"{root}/raw", f"{root}/lake", schemas=SCHEMAS)
+    layout = layers.Layout(f"{root}/raw", f"{root}/lake", schemas=SCHEMAS, file_bytes=None, file_rows=BRONZE_ROWS)
     stamps = ("_ingestion_timestamp", "_source_file", "_batch_id", "_row_hash")
     wide = genres.select("book_id", F.struct(*[F.col(f"genre_{k}").alias(v) for k, v in RAW_GENRE_NAMES.items()]).alias("genres"))
     landed = {"books": items.drop(*stamps), "reviews": reviews.drop(*stamps), "genres": wide}
-    done = run_concurrently({name: (lambda name=name: landed[name].write.json(f"{layout.raw}/{name}")) for name in landed})
+    done = run_concurrently({name: (lambda name=name: landed[name].write.options(**LANDED).json(f"{layout.raw}/{name}")) for name in landed})
     if failed := {k: v for k, v in done.items() if isinstance(v, Exception)}:
         raise RuntimeError(f"landing failed: {failed}")
     ingested = layers.ingest_bronze(spark, layout, tuple(landed), "landed")

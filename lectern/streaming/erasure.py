@@ -24,8 +24,8 @@ from . import ingest
 
 #: Requests of at most so many hashes are pushed down to the index's row groups as a list.
 PUSHED = 200
-#: Files that are rewritten by one job.
-FILES_PER_JOB = 2000
+#: Files that are rewritten by one job, which shuffles their rows and keeps both copies of them until it ends.
+FILES_PER_JOB = 100
 
 
 @dataclass

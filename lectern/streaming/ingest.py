@@ -53,6 +53,8 @@ class IngestSpec:
     # Bytes of lines (as shuffled) that one task parses and one Bronze file holds; None: no exchange, a task per
     # split of a file (for landing folders of large splittable files).
     file_bytes: int | None = 32 << 20
+    # Rows of one Bronze file at most; None: as many as its task has.
+    file_rows: int | None = None
     # A file is new by its path, however old its time looks (the source forgets, and then ignores, older files).
     max_file_age: str = "36500d"
     # Table of erased subjects (``_erase_hash``) and the raw id column they are hashes of; ``subject_index`` keeps, per
@@ -218,9 +220,10 @@ def shape_lines(spec: IngestSpec, lines: DataFrame, batch_id: str, old: T.Struct
 def index_epoch(spark: SparkSession, target: str, epoch: int, schema: T.StructType, id_col: str) -> None:
     """Which file of an epoch holds which subject: hashes in order, so that a look-up skips row groups by their range."""
     rows = spark.read.schema(schema).parquet(f"{epoch_path(target, epoch)}/*")
+    # Told apart by the id, which is shorter than its hash.
     pairs = rows.filter(F.col(id_col).isNotNull()).select(
-        S.hash_id(id_col).alias("subject"), F.col("_metadata.file_path").alias("file")).distinct()
-    (pairs.sortWithinPartitions("subject").write.mode("overwrite")
+        F.col(id_col).alias("id"), F.col("_metadata.file_path").alias("file")).distinct()
+    (pairs.select(S.hash_id("id").alias("subject"), "file").sortWithinPartitions("subject").write.mode("overwrite")
      .parquet(f"{target.rstrip('/')}/_subjects/epoch={epoch}"))
 
 
@@ -246,7 +249,7 @@ def _write_epoch(spec: IngestSpec, batch_id: str, done: list[dict]):
             rows = counted.filter(~erased).drop("_erased")
             path = epoch_path(spec.target, epoch)
             governance.remove(spark, path)                # what a failed attempt has left
-            rows.write.parquet(f"{path}/_batch_id={batch_id}")
+            rows.write.option("maxRecordsPerFile", spec.file_rows or 0).parquet(f"{path}/_batch_id={batch_id}")
             if spec.subject_index and spec.erase_col in rows.columns:
                 index_epoch(spark, spec.target, epoch, rows.schema, spec.erase_col)
             record = {"epoch": epoch, "batch_id": batch_id, **{k: int(v or 0) for k, v in obs.get.items()},

@@ -126,3 +126,48 @@ def test_gold_stays_when_its_tests_fail_after_an_erasure(spark, raw_catalogue, t
     assert rep.versions["mart_genre_performance"] > first and rep.erased.rows == 2         # r2, and one of the two r11
     left = {r.review_id for r in I.read_bronze(spark, layout.bronze("reviews")).collect()}
     assert left == {"r3", "r4", "r6", "r7", "r8", "r9", "r11"}
+
+
+def test_the_erased_lake_holds_little_disk(spark, monkeypatch):
+    """Landed files are gzip in parts, lines aren't exchanged, and no job's shuffle files outlive it; all rows stay but the subject's."""
+    import time
+
+    from pyspark.sql import functions as F
+
+    from lectern.config import star_config
+    from lectern.plans import star_landing
+    from lectern.session import LEAN
+    monkeypatch.setitem(getattr(star_landing, "LANDED", {}), "maxRecordsPerFile", 40)
+    monkeypatch.setattr(star_landing, "BRONZE_ROWS", 30, raising=False)
+
+    def shuffled() -> set:
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().iterator()
+        names = set()
+        while found.hasNext():
+            names.add(found.next().getName())
+        return {n for n in names if n.startswith("shuffle_")}
+
+    items = spark.range(120).select(
+        F.col("id").cast("string").alias("book_id"), F.lit("T").alias("title"),
+        F.expr("array(named_struct('author_id', 'a'))").alias("authors"),
+        F.expr("array(named_struct('name', 'fiction'))").alias("popular_shelves"), F.lit("4.0").alias("average_rating"),
+        F.lit("20000").alias("ratings_count"), F.lit("10").alias("text_reviews_count"), F.lit("300").alias("num_pages"))
+    reviews = spark.range(400).repartition(3).select(
+        F.col("id").cast("string").alias("review_id"), (F.col("id") % 120).cast("string").alias("book_id"),
+        F.when(F.col("id") > 9, (F.col("id") % 50).cast("string")).alias("user_id"), F.lit(4).cast("bigint").alias("rating"),
+        F.lit(None).cast("string").alias("review_text"), F.lit("2024-01-01").alias("date_added"))
+    genres = spark.range(120).select(F.col("id").cast("string").alias("book_id"), *[
+        F.lit(3).cast("bigint").alias(f"genre_{k}") for k in star_landing.RAW_GENRE_NAMES])
+    kept, before = {k: spark.conf.get(k, None) for k in LEAN}, shuffled()
+    layout = star_landing.erased_lake(spark, items, reviews, genres, [sha("7"), None], star_config())
+    landed = [p.name for p in (Path(layout.raw.removeprefix("file:")) / "books").glob("part-*")]
+    assert len(landed) >= 3 and all(name.endswith(".json.gz") for name in landed)
+    deadline = time.time() + 20
+    while (left := shuffled() - before) and time.time() < deadline:
+        time.sleep(0.2)
+    assert not left
+    assert {k: spark.conf.get(k, None) for k in LEAN} == kept
+    silver = spark.read.parquet(layout.silver("stg_reviews"))
+    assert {int(r["review_id"]) for r in silver.select("review_id").collect()} == {k for k in range(400) if k < 10 or k % 50 != 7}
+    bronze = spark.read.parquet(layout.bronze("reviews"))
+    assert bronze.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0] <= 30 and bronze.count() == silver.count()
